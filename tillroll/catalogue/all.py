@@ -4,7 +4,7 @@ from importlib import import_module
 
 from tillroll.catalogue.registry import REGISTRY
 
-AREAS = ("predicates",)
+AREAS = ("predicates", "joins", "aggregates")
 
 for _area in AREAS:
     import_module(f"tillroll.catalogue.{_area}")

@@ -74,19 +74,20 @@ def next_event(
     is_start: Column,
     is_stop: Column,
     value: str,
-    bucket: Column,
     out: str = "stop_value",
     passenger: Sequence[str] = (),
+    piece_size: int = 1_000_000,
 ) -> DataFrame:
     """For every start row, the value at the first later stop row of the same key.
 
-    One key may hold a large part of the log, so the log is cut into (key, bucket) pieces with
-    ``bucket`` non-decreasing in ``order``.  Inside a piece a window finds the next stop.  The stop
-    after the piece is the smallest first-stop of a later piece: pieces are reduced to one row each
-    before that second window, and the two answers are joined back on the piece.
+    ``order`` is a unique log number.  One key may hold a large part of the log, so the log is cut
+    into pieces of ``piece_size`` numbers: no window partition is larger than that, whatever the
+    keys.  Inside a piece a window finds the next stop.  The stop after the piece is the first stop
+    of a later piece: pieces are reduced to one row each before that second window, and the two
+    answers are joined back on the piece.
     """
     base = events.filter(is_start | is_stop).select(
-        key, order, value, *passenger, bucket.alias("_bucket"), is_start.alias("_start"), is_stop.alias("_stop")
+        key, order, value, *passenger, F.floor(F.col(order) / piece_size).alias("_bucket"), is_start.alias("_start"), is_stop.alias("_stop")
     )
     stop = F.when(F.col("_stop"), F.struct(F.col(order).alias("o"), F.col(value).alias("v")))
     piece = Window.partitionBy(key, "_bucket").orderBy(order).rowsBetween(1, Window.unboundedFollowing)
