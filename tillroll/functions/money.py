@@ -52,6 +52,12 @@ def safe_div(num: Column, den: Column, mode: str = "zero") -> Column:
     raise ValueError(f"unknown ratio mode: {mode}")
 
 
+def unit_value(amount: Column, qty: Column) -> Column:
+    """Amount per unit in cents, rounded half up from the exact quotient; 0 without a quantity."""
+    exact = amount / F.nullif(qty, F.lit(0).cast("decimal(12,2)"))
+    return F.coalesce(exact.cast("decimal(18,2)"), F.lit(0).cast("decimal(18,2)"))
+
+
 def in_home_currency(amount: Column | str, rate: Column | str) -> Column:
     """Amount times exchange rate; a missing or zero rate counts as 1."""
     a = F.col(amount) if isinstance(amount, str) else amount

@@ -6,7 +6,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, functions as F
 
-from tillroll.functions.money import net_qty, safe_div
+from tillroll.functions.money import net_qty, unit_value
 from tillroll.operators import filters as flt
 from tillroll.operators.aggregates import distinct_text
 from tillroll.operators.joins import either_key
@@ -27,8 +27,8 @@ def campaign_profitability(
     kept = flt.in_campaigns(kept, campaigns, CAMPAIGN_COLUMNS)
     priced = kept.withColumns(
         {
-            "unit_price": safe_div(F.col("sales_amount"), F.col("qty_sold")).cast("decimal(18,2)"),
-            "unit_cost": safe_div(F.col("cost_amount"), F.col("qty_sold")).cast("decimal(18,2)"),
+            "unit_price": unit_value(F.col("sales_amount"), F.col("qty_sold")),
+            "unit_cost": unit_value(F.col("cost_amount"), F.col("qty_sold")),
         }
     )
     keys = ["store_idx", "article_idx", "unit_price", "unit_cost", "campaign_kind"]
