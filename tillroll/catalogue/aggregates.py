@@ -277,11 +277,11 @@ def _(m: Mart) -> DataFrame:
 
 @query("w02_last_sale", """
     SELECT article_id, max(sale_date)::VARCHAR AS last_sold FROM article a
-    LEFT JOIN sales_row s ON s.article_idx = a.article_idx AND s.supplier_idx = 3 GROUP BY article_id""")
+    LEFT JOIN sales_row s ON s.article_idx = a.article_idx GROUP BY article_id""")
 def _(m: Mart) -> DataFrame:
     from tillroll.plans.flights import last_sold
 
-    return last_sold(m.articles, m.sales_rows.filter(F.col("supplier_idx") == 3)).select("article_id", "last_sold")
+    return last_sold(m.articles, m.sales_rows).select("article_id", "last_sold")
 
 
 @query("w03_days_since_last_sale", """
@@ -434,11 +434,11 @@ def _(m: Mart) -> DataFrame:
 
 @query("u07_filled_categories", """
     WITH g AS (SELECT article_idx, CASE WHEN price_type = 0 THEN 'Single' ELSE 'MixMatch' END AS kind, sum(sales_amount) AS sales
-               FROM sales_row WHERE supplier_idx = 5 GROUP BY ALL),
+               FROM sales_row GROUP BY ALL),
          k AS (SELECT DISTINCT article_idx FROM g)
     SELECT k.article_idx, c.kind, g.sales::DOUBLE AS sales FROM k CROSS JOIN (VALUES ('Single'), ('MixMatch')) c(kind)
     LEFT JOIN g ON g.article_idx = k.article_idx AND g.kind = c.kind""")
 def _(m: Mart) -> DataFrame:
     kind = F.when(F.col("price_type") == 0, F.lit("Single")).otherwise(F.lit("MixMatch")).alias("kind")
-    grouped = m.sales_rows.filter(F.col("supplier_idx") == 5).groupBy("article_idx", kind).agg(F.sum("sales_amount").alias("sales"))
+    grouped = m.sales_rows.groupBy("article_idx", kind).agg(F.sum("sales_amount").alias("sales"))
     return reshape.fill_categories(grouped, ["article_idx"], "kind", ["Single", "MixMatch"])

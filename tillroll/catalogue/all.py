@@ -4,7 +4,7 @@ from importlib import import_module
 
 from tillroll.catalogue.registry import REGISTRY
 
-AREAS = ("predicates", "joins", "aggregates", "reports_sales", "reports_stock")
+AREAS = ("predicates", "joins", "aggregates", "reports_sales", "reports_stock", "reports_money")
 
 for _area in AREAS:
     import_module(f"tillroll.catalogue.{_area}")

@@ -119,11 +119,11 @@ def _(m: Mart) -> DataFrame:
 
 
 @query("r41_orders_of_article", """
-    SELECT order_no, l.line_no, ordered_qty::DOUBLE AS ordered_qty, store_idx, cashier_name, collect_date::VARCHAR AS collect_date,
+    SELECT order_no, l.line_no, article_idx, ordered_qty::DOUBLE AS ordered_qty, store_idx, cashier_name, collect_date::VARCHAR AS collect_date,
            (SELECT count(*) FROM order_line b WHERE b.order_no = l.order_no AND b.line_no = l.line_no AND b.is_substitute) AS substitutes
-    FROM order_line l JOIN collected USING (order_no) WHERE line_status = 10 AND article_idx = 555""")
+    FROM order_line l JOIN collected USING (order_no) WHERE line_status = 10""")
 def _(m: Mart) -> DataFrame:
-    return picking.orders_of_article(m.collected_orders, m.order_lines, article_idx=555)
+    return picking.orders_of_article(m.collected_orders, m.order_lines)
 
 
 @query("r42_picking_differences", """

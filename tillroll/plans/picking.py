@@ -69,13 +69,14 @@ def still_to_pick(orders: DataFrame, lines: DataFrame, articles: DataFrame, *, b
     return per_key.join(dim, "article_idx").drop("article_idx")
 
 
-def orders_of_article(orders: DataFrame, lines: DataFrame, *, article_idx: int) -> DataFrame:
-    """Open lines of one article with the number of substitutes on the same order line."""
-    open_lines = lines.filter((F.col("line_status") == LINE_OPEN) & (F.col("article_idx") == article_idx))
+def orders_of_article(orders: DataFrame, lines: DataFrame, *, article_idx: int | None = None) -> DataFrame:
+    """Open lines per article, or of one article, with the number of substitutes on the same order
+    line."""
+    open_lines = flt.when_set(lines.filter(F.col("line_status") == LINE_OPEN), "article_idx", article_idx)
     substitutes = lines.filter("is_substitute").groupBy("order_no", "line_no").agg(F.count("*").alias("substitutes"))
     heads = orders.select("order_no", "store_idx", "cashier_name", "collect_date")
     return (
-        open_lines.select("order_no", "line_no", "ordered_qty").join(substitutes, ["order_no", "line_no"], "left")
+        open_lines.select("order_no", "line_no", "article_idx", "ordered_qty").join(substitutes, ["order_no", "line_no"], "left")
         .join(heads, "order_no").fillna(0, ["substitutes"])
     )
 
