@@ -6,6 +6,7 @@ from tillroll.catalogue.registry import REGISTRY
 
 AREAS = (
     "predicates", "joins", "aggregates", "reports_sales", "reports_stock", "reports_money", "reports_cashiers", "loads_exports",
+    "streams",
 )
 
 for _area in AREAS:

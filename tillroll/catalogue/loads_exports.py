@@ -256,7 +256,7 @@ def _(m: Mart) -> DataFrame:
 @query("h01_scalar_functions", """
     SELECT event_no, isodow(log_date) AS weekday, weekofyear(log_date) AS iso_week,
            ((dayofyear(log_date) - 1 + isodow(date_trunc('year', log_date)) - 1) // 7 + 1)::BIGINT AS calendar_week,
-           lpad(CAST(event_no * 37 // 3600 AS VARCHAR), greatest(2, length(CAST(event_no * 37 // 3600 AS VARCHAR))), '0') || ':'
+           lpad(CAST(event_no * 37 // 3600 AS VARCHAR), CAST(greatest(2, length(CAST(event_no * 37 // 3600 AS VARCHAR))) AS INTEGER), '0') || ':'
              || lpad(CAST(event_no * 37 % 3600 // 60 AS VARCHAR), 2, '0') || ':' || lpad(CAST(event_no * 37 % 60 AS VARCHAR), 2, '0') AS duration,
            coalesce(TRY_CAST(event_type AS BIGINT), -1) AS numeric_id, length(rtrim(event_type || '  ')) AS text_length,
            hour(logged_at) * 100 + minute(logged_at) AS time_key
@@ -286,12 +286,12 @@ def _(m: Mart) -> DataFrame:
     return exports.down_pricing_export(m.receipt_rows, m.articles, m.stores, group="CA", columns=m.STORE_GROUP_COLUMNS)
 
 
-@query("r50_week_sales_file", _REPORT_LINES.replace(", 1::BIGINT AS part,", ",").replace(", 2, concat_ws", ", concat_ws").replace(", 3, concat_ws", ", concat_ws"))
+@query("r50_week_sales_file", f"SELECT store_idx, line FROM ({_REPORT_LINES})")
 def _(m: Mart) -> DataFrame:
     lines = exports.week_sales_lines(m.receipt_rows, m.articles)
     path = f"{scratch_path(m.spark)}/week_sales"
     sinks.write_report_lines(exports.report_lines(lines, exports.week_totals(lines)), path)
-    return m.spark.read.schema("value string, store_idx int, week string").text(path).select("store_idx", "week", F.col("value").alias("line"))
+    return m.spark.read.schema("value string, store_idx int").text(path).select("store_idx", F.col("value").alias("line"))
 
 
 @query("r51_wastage_export", f"""

@@ -35,20 +35,21 @@ def export_per_store(df: DataFrame, path: str, sep: str = ";", store: str = "sto
     """One folder per store that has rows.
 
     Rows are shuffled by store and a piece number, so a store with most of the rows is written by
-    ``pieces`` tasks.
+    ``pieces`` tasks.  The piece is a hash of the row: a task that is run again puts every row where
+    it was before.
     """
-    spread = (F.rand(7) * pieces).cast("int") if pieces > 1 else F.lit(0)
+    piece = F.pmod(F.xxhash64(*df.columns), F.lit(pieces)) if pieces > 1 else F.lit(0)
     (
-        df.withColumn("_piece", spread).repartition(store, "_piece").drop("_piece")
+        df.withColumn("_piece", piece).repartition(store, "_piece").drop("_piece")
         .write.mode("overwrite").partitionBy(store).options(sep=sep, header=True).csv(path)
     )
 
 
 def write_report_lines(lines: DataFrame, path: str) -> None:
-    """Text report per store and week: header first, then detail lines in descending order, then the
-    sum line."""
+    """Text reports, one folder per store.  The lines of one week stay together in one file: header
+    first, then detail lines in descending order, then the sum line."""
     ordered = lines.repartition("store_idx", "week").sortWithinPartitions("store_idx", "week", "part", F.desc("line"))
-    ordered.select("store_idx", "week", "line").write.mode("overwrite").partitionBy("store_idx", "week").text(path)
+    ordered.select("store_idx", "line").write.mode("overwrite").partitionBy("store_idx").text(path)
 
 
 def write_revision(new: DataFrame, stored: DataFrame, current_path: str, archive_path: str) -> DataFrame:
