@@ -12,6 +12,7 @@ from tillroll.functions.keys import moment
 from tillroll.functions.text import as_bigint, label, split_list
 from tillroll.functions.weeks import weekday_no
 from tillroll.plans.calendar import Period, within
+from tillroll.sources.inline import inline_table
 
 # Above this many values a list is joined, not inlined into the plan.
 INLINE_LIST_LIMIT = 1000
@@ -36,7 +37,7 @@ def in_list(df: DataFrame, col: str, values) -> DataFrame:
         return df
     if len(wanted) <= INLINE_LIST_LIMIT:
         return df.filter(F.col(col).isin(wanted))
-    listed = df.sparkSession.createDataFrame([(v,) for v in set(wanted)], "wanted string")
+    listed = inline_table(df.sparkSession, {"wanted": sorted(set(wanted))})
     return df.join(listed, F.col(col).cast("string") == F.col("wanted"), "left_semi")
 
 

@@ -7,7 +7,7 @@ joins first.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
@@ -72,13 +72,13 @@ def next_event(
     key: str,
     order: str,
     is_start: Column,
-    is_stop: Column,
+    stops: Mapping[str, Column],
     value: str,
-    out: str = "stop_value",
     passenger: Sequence[str] = (),
     piece_size: int = 1_000_000,
 ) -> DataFrame:
-    """For every start row, the value at the first later stop row of the same key.
+    """For every start row, the value at the first later stop row of the same key, for each named
+    kind of stop in one pass.
 
     ``order`` is a unique log number.  One key may hold a large part of the log, so the log is cut
     into pieces of ``piece_size`` numbers: no window partition is larger than that, whatever the
@@ -86,23 +86,25 @@ def next_event(
     of a later piece: pieces are reduced to one row each before that second window, and the two
     answers are joined back on the piece.
     """
-    base = events.filter(is_start | is_stop).select(
-        key, order, value, *passenger, F.floor(F.col(order) / piece_size).alias("_bucket"), is_start.alias("_start"), is_stop.alias("_stop")
+    wanted = is_start
+    for is_stop in stops.values():
+        wanted = wanted | is_stop
+    found = {n: F.when(c, F.struct(F.col(order).alias("o"), F.col(value).alias("v"))) for n, c in stops.items()}
+    base = events.filter(wanted).select(
+        key, order, value, *passenger, F.floor(F.col(order) / piece_size).alias("_piece"), is_start.alias("_start"),
+        *[c.alias(f"_stop_{n}") for n, c in found.items()],
     )
-    stop = F.when(F.col("_stop"), F.struct(F.col(order).alias("o"), F.col(value).alias("v")))
-    piece = Window.partitionBy(key, "_bucket").orderBy(order).rowsBetween(1, Window.unboundedFollowing)
-    starts = base.withColumn("_here", F.first(stop, ignorenulls=True).over(piece)).filter("_start")
-    later = Window.partitionBy(key).orderBy("_bucket").rowsBetween(1, Window.unboundedFollowing)
-    pieces = (
-        base.groupBy(key, "_bucket")
-        .agg(F.min(stop).alias("_first"))
-        .withColumn("_after", F.first("_first", ignorenulls=True).over(later))
-        .drop("_first")
+    # Read backwards, the next stop is the last one seen: a frame that only grows is linear.
+    inside = Window.partitionBy(key, "_piece").orderBy(F.desc(order)).rowsBetween(Window.unboundedPreceding, -1)
+    starts = base.select(
+        "*", *[F.last(f"_stop_{n}", ignorenulls=True).over(inside).alias(f"_here_{n}") for n in stops]
+    ).filter("_start")
+    later = Window.partitionBy(key).orderBy(F.desc("_piece")).rowsBetween(Window.unboundedPreceding, -1)
+    pieces = base.groupBy(key, "_piece").agg(*[F.min(f"_stop_{n}").alias(f"_first_{n}") for n in stops]).select(
+        key, "_piece", *[F.last(f"_first_{n}", ignorenulls=True).over(later).alias(f"_after_{n}") for n in stops]
     )
-    return (
-        starts.join(pieces, [key, "_bucket"], "left")
-        .withColumn(out, F.coalesce(F.col("_here.v"), F.col("_after.v")))
-        .select(key, order, value, *passenger, out)
+    return starts.join(pieces, [key, "_piece"], "left").select(
+        key, order, value, *passenger, *[F.coalesce(F.col(f"_here_{n}.v"), F.col(f"_after_{n}.v")).alias(n) for n in stops]
     )
 
 

@@ -11,6 +11,7 @@ import datetime as dt
 from pyspark.sql import Column, DataFrame, functions as F
 
 from tillroll.functions.money import net_amount, net_qty, safe_div
+from tillroll.functions.text import split_list
 from tillroll.operators import filters as flt
 from tillroll.operators.aggregates import with_grand_total
 from tillroll.operators.reshape import measures_as_rows
@@ -19,11 +20,6 @@ from tillroll.plans.calendar import Bounds, YearWindows, same_length, within
 CAMPAIGN_COLUMNS = ("campaign_id", "combination_id", "reduction_id")
 
 
-def campaign_days(rows: DataFrame, campaigns) -> DataFrame:
-    """(store, article, day) on which a listed campaign sold."""
-    return flt.in_campaigns(rows, campaigns, CAMPAIGN_COLUMNS).select("store_idx", "article_idx", "sale_date")
-
-
 def compared_revenue(
     rows: DataFrame, stores: DataFrame, articles: DataFrame, *, bounds: Bounds, second_start: dt.date | None,
     by_article: bool, article_ids=None, campaigns=None, direction: int = 0,
@@ -34,8 +30,6 @@ def compared_revenue(
     in_first = within("sale_date", bounds)
     kept = flt.in_direction(rows, direction)
     kept = kept.filter(in_first if second is None else in_first | within("sale_date", second))
-    if campaigns is not None:
-        kept = kept.join(campaign_days(kept, campaigns), ["store_idx", "article_idx", "sale_date"], "left_semi")
     dim = flt.in_list(articles, "article_id", article_ids).select("article_idx", "article_id", "article_name")
     revenue, moved = net_amount("sales_excl_vat", "return_excl_vat"), net_qty(mode="moved")
 
@@ -48,7 +42,7 @@ def compared_revenue(
     aggs = pair(in_first, "1")
     if second is not None:
         aggs += pair(within("sale_date", second), "2")
-    per_key = kept.groupBy("store_idx", "article_idx").agg(*aggs)
+    per_key = _on_campaign_days(kept, aggs, campaigns) if campaigns else kept.groupBy("store_idx", "article_idx").agg(*aggs)
     named = per_key.join(stores.select("store_idx", "store_name"), "store_idx").join(dim, "article_idx")
     names = [c for c in per_key.columns if c not in ("store_idx", "article_idx")]
     keys: list = ["store_name"]
@@ -64,6 +58,16 @@ def compared_revenue(
     return out.filter((F.col("revenue_1") != 0) | (F.col("revenue_2") != 0))
 
 
+def _on_campaign_days(rows: DataFrame, aggs: list[Column], campaigns) -> DataFrame:
+    """Sums per store and article over the days on which a listed campaign sold.  The day carries
+    the test as one more aggregate, so the sales are not joined with themselves."""
+    listed = split_list(campaigns)
+    hit = flt.any_of(F.coalesce(F.col(c).cast("string").isin(listed), F.lit(False)) for c in CAMPAIGN_COLUMNS)
+    days = rows.groupBy("store_idx", "article_idx", "sale_date").agg(*aggs, F.max(hit).alias("_hit")).filter("_hit")
+    names = [c for c in days.columns if c not in ("store_idx", "article_idx", "sale_date", "_hit")]
+    return days.groupBy("store_idx", "article_idx").agg(*[F.sum(n).alias(n) for n in names])
+
+
 # -- year report ------------------------------------------------------------------------------
 
 

@@ -17,13 +17,12 @@ ORDER_OPEN = (10, 20)
 LINE_OPEN, LINES_PICKED = 10, (60, 70, 80)
 
 
-def start_stop_pairs(events: DataFrame) -> DataFrame:
-    """Every picking start with the next stop of the same order.  The log number sets the order, so
-    equal times do not matter."""
-    return next_event(
-        events, "order_no", "tracking_no", F.col("status") == PICK_START, F.col("status") == PICK_STOP,
-        "created_at", "stopped_at", ("picker",),
-    )
+def start_stop_pairs(events: DataFrame, piece_size: int = 1_000_000) -> DataFrame:
+    """Every picking start with the next stop and the next confirmed line of the same order.  The
+    log number sets the order, so equal times do not matter."""
+    status = F.col("status")
+    stops = {"stopped_at": status == PICK_STOP, "confirmed_at": status == LINE_CONFIRMED}
+    return next_event(events, "order_no", "tracking_no", status == PICK_START, stops, "created_at", ("picker",), piece_size)
 
 
 def pick_times(events: DataFrame) -> DataFrame:
@@ -32,11 +31,7 @@ def pick_times(events: DataFrame) -> DataFrame:
     A start without a stop falls back on the next confirmed line of the order; a start with neither
     counts no time.
     """
-    by_line = next_event(
-        events, "order_no", "tracking_no", F.col("status") == PICK_START, F.col("status") == LINE_CONFIRMED,
-        "created_at", "confirmed_at",
-    ).select("order_no", "tracking_no", "confirmed_at")
-    pairs = start_stop_pairs(events).join(by_line, ["order_no", "tracking_no"])
+    pairs = start_stop_pairs(events)
     stop = F.coalesce("stopped_at", "confirmed_at")
     seconds = F.unix_timestamp(stop) - F.unix_timestamp("created_at")
     timed = pairs.select("order_no", "picker", "created_at", stop.alias("stop"), seconds.alias("seconds"))

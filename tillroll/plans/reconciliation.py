@@ -11,6 +11,7 @@ from tillroll.operators.aggregates import conditional_sums, latest_rows
 from tillroll.operators.joins import full_on
 from tillroll.operators.reshape import ledger_lines, padded_union_sum
 from tillroll.plans.calendar import Bounds, within
+from tillroll.sources.inline import inline_table
 
 # Tender selections with the sign their amounts count with.
 TENDER_SELECTION = (
@@ -39,9 +40,8 @@ GAMING_GROUP, GIFT_CARD_GROUP = "STANDARD", "ECONOMY"
 def tender_bridge(spark: SparkSession) -> DataFrame:
     """Tender to selection and sign; one row per pair, so joining it repeats a payment only where a
     tender really is in several selections."""
-    return spark.createDataFrame(list(TENDER_SELECTION), "selection string, tender_id int, sign int").dropDuplicates(
-        ["selection", "tender_id"]
-    )
+    selection, tender, sign = zip(*sorted(set(TENDER_SELECTION)))
+    return inline_table(spark, {"selection": selection, "tender_id": tender, "sign": sign})
 
 
 def tender_is(numbers: tuple[int, ...], col: str = "tender_id") -> Column:
