@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, functions as F
 
 from tillroll.catalogue.registry import query
-from tillroll.functions.money import in_home_currency, net_amount, net_qty, safe_div
+from tillroll.functions.money import in_home_currency, net_amount_sum, net_qty_sum, safe_div
 from tillroll.operators import aggregates as agg, ranking, reshape
 from tillroll.sources.mart import AS_OF, EVENTS_AS_OF, Mart
 
@@ -59,8 +59,9 @@ def _(m: Mart) -> DataFrame:
            sum(sales_amount + return_amount)::DOUBLE AS revenue
     FROM sales_row JOIN article USING (article_idx) GROUP BY ROLLUP (lev1_id, lev2_id) HAVING grouping(lev1_id) = 0""")
 def _(m: Mart) -> DataFrame:
-    rows = m.sales_rows.join(m.articles, "article_idx")
-    return agg.subtotals(rows, "lev1_id", "lev2_id", [F.sum(net_amount()).alias("revenue")])
+    per_article = m.sales_rows.groupBy("article_idx").agg(net_amount_sum().alias("revenue"))
+    groups = per_article.join(m.articles, "article_idx")
+    return agg.subtotals(groups, "lev1_id", "lev2_id", [F.sum("revenue").alias("revenue")])
 
 
 @query("a06_count_distinct", """
@@ -82,7 +83,7 @@ def _(m: Mart) -> DataFrame:
     SELECT article_idx, sum(qty_sold - qty_return)::DOUBLE AS qty FROM sales_row GROUP BY article_idx
     HAVING sum(sales_amount + return_amount) < 0""")
 def _(m: Mart) -> DataFrame:
-    grouped = m.sales_rows.groupBy("article_idx").agg(F.sum(net_qty()).alias("qty"), F.sum(net_amount()).alias("revenue"))
+    grouped = m.sales_rows.groupBy("article_idx").agg(net_qty_sum().alias("qty"), net_amount_sum().alias("revenue"))
     return grouped.filter(F.col("revenue") < 0).drop("revenue")
 
 
@@ -124,7 +125,7 @@ def _(m: Mart) -> DataFrame:
     SELECT till_id, count(*) AS receipts, sum(qty)::DOUBLE AS qty, max(qty)::DOUBLE AS largest
     FROM (SELECT receipt_id, till_id, sum(qty_sold - qty_return) AS qty FROM receipt_row GROUP BY receipt_id, till_id) GROUP BY till_id""")
 def _(m: Mart) -> DataFrame:
-    per_receipt = m.sales_rows.groupBy("receipt_id").agg(F.sum(net_qty()).alias("qty"))
+    per_receipt = m.sales_rows.groupBy("receipt_id").agg(net_qty_sum().alias("qty"))
     return per_receipt.join(m.receipts, "receipt_id").groupBy("till_id").agg(
         F.count("*").alias("receipts"), F.sum("qty").alias("qty"), F.max("qty").alias("largest")
     )
@@ -159,8 +160,9 @@ def _(m: Mart) -> DataFrame:
     FROM sales_row JOIN article USING (article_idx) GROUP BY lev1_id
     UNION ALL SELECT 'Total', sum(sales_amount + return_amount)::DOUBLE, count(*) FROM sales_row""")
 def _(m: Mart) -> DataFrame:
-    rows = m.sales_rows.join(m.articles, "article_idx")
-    return agg.with_grand_total(rows, ["lev1_id"], [F.sum(net_amount()).alias("revenue"), F.count("*").alias("row_count")])
+    per_article = m.sales_rows.groupBy("article_idx").agg(net_amount_sum().alias("revenue"), F.count("*").alias("row_count"))
+    groups = per_article.join(m.articles, "article_idx")
+    return agg.with_grand_total(groups, ["lev1_id"], [F.sum(c).alias(c) for c in ("revenue", "row_count")])
 
 
 @query("a15_ratios", """
@@ -170,9 +172,9 @@ def _(m: Mart) -> DataFrame:
            sum(return_amount)::DOUBLE / coalesce(nullif(sum(sales_amount)::DOUBLE, 0), 1) AS return_share
     FROM sales_row GROUP BY article_idx""")
 def _(m: Mart) -> DataFrame:
-    net = F.sum(net_amount("sales_excl_vat", "return_excl_vat"))
+    net = net_amount_sum("sales_excl_vat", "return_excl_vat")
     return m.sales_rows.groupBy("article_idx").agg(
-        safe_div(F.sum(net_amount()), F.sum(net_qty())).alias("avg_price"),
+        safe_div(net_amount_sum(), net_qty_sum()).alias("avg_price"),
         safe_div(net - F.sum("cost_amount"), net, "null").alias("margin"),
         safe_div(F.sum("return_amount"), F.sum("sales_amount"), "one").alias("return_share"),
     )
@@ -250,7 +252,7 @@ def _(m: Mart) -> DataFrame:
     from pyspark.sql import Window
 
     month = (F.year("sale_date") * 100 + F.month("sale_date")).alias("month_no")
-    per_month = m.sales_rows.groupBy("article_idx", month).agg(F.sum(net_amount()).alias("revenue")).join(m.articles, "article_idx").groupBy(
+    per_month = m.sales_rows.groupBy("article_idx", month).agg(net_amount_sum().alias("revenue")).join(m.articles, "article_idx").groupBy(
         "lev1_id", "month_no"
     ).agg(F.sum("revenue").alias("revenue"))
     group = Window.partitionBy("lev1_id")
@@ -411,7 +413,7 @@ def _(m: Mart) -> DataFrame:
     UNION ALL SELECT lev1_id, '3 Price', revenue / nullif(qty, 0) FROM t""")
 def _(m: Mart) -> DataFrame:
     groups = m.sales_rows.join(m.articles, "article_idx").groupBy("lev1_id").agg(
-        F.sum(net_amount()).alias("revenue"), F.sum(net_qty()).alias("qty")
+        net_amount_sum().alias("revenue"), net_qty_sum().alias("qty")
     )
     price = safe_div(F.col("revenue"), F.col("qty"), "null")
     return reshape.measures_as_rows(

@@ -36,15 +36,15 @@ FRAMES = {
                s_nationkey AS supplier_store_idx, s_acctbal >= 0 AS is_current,
                CAST(s_acctbal AS DECIMAL(12,2)) AS balance
         FROM supplier""",
+    "line_cents": """
+        SELECT *, CAST(round(l_extendedprice * 100) AS BIGINT) AS price_c, CAST(round(l_discount * 100) AS INTEGER) AS disc_no,
+               CAST(round(l_tax * 100) AS INTEGER) AS tax_no FROM lineitem""",
     "line_raw": """
-        SELECT *, CAST(l_extendedprice AS DECIMAL(12,2)) AS price,
-               CAST(l_extendedprice AS DECIMAL(12,2)) * (CAST(1 AS DECIMAL(4,2)) - CAST(l_discount AS DECIMAL(4,2))) AS gross,
-               CAST(CAST(l_extendedprice AS DECIMAL(12,2)) * (CAST(1 AS DECIMAL(4,2)) - CAST(l_discount AS DECIMAL(4,2)))
-                    * CAST(l_tax AS DECIMAL(4,2)) AS DECIMAL(18,4)) AS vat,
-               CAST(l_quantity AS DECIMAL(12,2)) AS qty,
-               CAST(round(l_discount * 100) AS INTEGER) AS disc_no,
-               l_returnflag = 'R' AS is_return
-        FROM lineitem""",
+        SELECT *, CAST(l_extendedprice AS DECIMAL(12,2)) AS price, gross_c * CAST(0.01 AS DECIMAL(3,2)) AS gross,
+               ((gross_c * tax_no + 50) // 100) * CAST(0.01 AS DECIMAL(3,2)) AS vat,
+               ((price_c * 70 + 50) // 100) * CAST(0.01 AS DECIMAL(3,2)) AS cost,
+               CAST(l_quantity AS DECIMAL(12,2)) AS qty, l_returnflag = 'R' AS is_return
+        FROM (SELECT *, (price_c * (100 - disc_no) + 50) // 100 AS gross_c FROM line_cents)""",
     "sales_row": """
         SELECT l_orderkey AS receipt_id, l_linenumber AS line_no, l_orderkey * 1000 + l_linenumber AS receipt_idx,
                CAST(l_shipdate AS DATE) AS sale_date,
@@ -60,8 +60,8 @@ FRAMES = {
                CASE WHEN is_return THEN 0 ELSE vat END AS sales_vat,
                CASE WHEN is_return THEN -vat ELSE 0 END AS return_vat,
                CASE WHEN is_return THEN 0 ELSE price - gross END AS discount_amount,
-               price * CAST(0.70 AS DECIMAL(4,2)) * CASE WHEN is_return THEN -1 ELSE 1 END AS cost_amount,
-               CAST(round(l_tax * 100) AS INTEGER) AS vat_group, disc_no AS price_type,
+               cost * CASE WHEN is_return THEN -1 ELSE 1 END AS cost_amount,
+               tax_no AS vat_group, disc_no AS price_type,
                CASE WHEN disc_no BETWEEN 1 AND 4 THEN disc_no END AS campaign_id,
                CASE WHEN disc_no BETWEEN 5 AND 7 THEN disc_no END AS combination_id,
                CASE WHEN disc_no >= 8 THEN disc_no END AS reduction_id
@@ -147,7 +147,7 @@ FRAMES = {
                CASE l_returnflag WHEN 'N' THEN 1 WHEN 'R' THEN 51
                     ELSE CASE WHEN l_linestatus = 'F' THEN 2 ELSE 52 END END AS type_no,
                l_linenumber AS reason_no, CASE WHEN l_linenumber <= 4 THEN -1 ELSE 1 END AS sign, qty,
-               price * CAST(0.70 AS DECIMAL(4,2)) AS cost_amount, price AS sales_value, s_nationkey AS store_idx
+               cost AS cost_amount, price AS sales_value, s_nationkey AS store_idx
         FROM line_raw JOIN supplier ON l_suppkey = s_suppkey""",
     "count_line": """
         SELECT CAST(strftime(l_shipdate, '%Y%m') AS INTEGER) AS count_no, l_partkey AS article_idx,

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, functions as F
 
 from tillroll.catalogue.registry import query
 from tillroll.functions.keys import receipt_head, receipt_line
-from tillroll.functions.money import net_amount, net_qty, safe_div
+from tillroll.functions.money import net_amount_sum, net_qty_sum, safe_div, signed
 from tillroll.operators import joins
 from tillroll.sources.mart import Mart
 
@@ -16,7 +16,7 @@ from tillroll.sources.mart import Mart
     FROM sales_row JOIN article USING (article_idx) JOIN supp USING (supplier_idx) GROUP BY supplier_name, lev1_name""")
 def _(m: Mart) -> DataFrame:
     rows = m.sales_rows.join(m.articles, "article_idx").join(m.suppliers, "supplier_idx")
-    return rows.groupBy("supplier_name", "lev1_name").agg(F.sum(net_qty()).alias("qty"), F.sum(net_amount()).alias("revenue"))
+    return rows.groupBy("supplier_name", "lev1_name").agg(net_qty_sum().alias("qty"), net_amount_sum().alias("revenue"))
 
 
 @query("j02_left_join", """
@@ -106,8 +106,9 @@ def _(m: Mart) -> DataFrame:
     FROM (SELECT lev1_id, sum(sales_amount + return_amount) AS revenue
           FROM sales_row JOIN article USING (article_idx) GROUP BY lev1_id)""")
 def _(m: Mart) -> DataFrame:
-    groups = m.sales_rows.join(m.articles, "article_idx").groupBy("lev1_id").agg(F.sum(net_amount()).alias("revenue"))
-    totals = m.sales_rows.agg(F.sum(net_amount()).alias("revenue"))
+    per_article = m.sales_rows.groupBy("article_idx").agg(net_amount_sum().alias("revenue"))
+    groups = per_article.join(m.articles, "article_idx").groupBy("lev1_id").agg(F.sum("revenue").alias("revenue"))
+    totals = groups.agg(F.sum("revenue").alias("revenue"))
     return joins.with_totals(groups, totals).select(
         "lev1_id", "revenue", F.col("totals.revenue").alias("total_revenue"),
         safe_div(F.col("revenue"), F.col("totals.revenue"), "null").alias("share"),
@@ -259,7 +260,7 @@ def _(m: Mart) -> DataFrame:
     LEFT JOIN b ON b.store_idx = s.store_idx AND b.sale_date = s.sale_date""")
 def _(m: Mart) -> DataFrame:
     day = ["store_idx", "sale_date"]
-    sales = m.receipt_rows.groupBy(*day).agg(F.sum(net_amount()).alias("sales"))
+    sales = m.receipt_rows.groupBy(*day).agg(net_amount_sum().alias("sales"))
     paid = m.receipts.groupBy(*day).agg(F.sum("amount").alias("paid"))
     settled = m.bank_settlements.groupBy(*day).agg(F.sum("amount").alias("settled"))
     return sales.join(paid, day, "left").join(settled, day, "left").fillna(0, ["paid", "settled"])
@@ -275,7 +276,7 @@ def _(m: Mart) -> DataFrame:
     FROM t LEFT JOIN c USING (lev1_id)""")
 def _(m: Mart) -> DataFrame:
     everything = m.receipt_rows.join(m.articles, "article_idx").groupBy("lev1_id").agg(
-        F.sum(net_qty()).alias("qty"), F.sum(net_amount()).alias("revenue")
+        net_qty_sum().alias("qty"), net_amount_sum().alias("revenue")
     )
     paid = m.collected_orders.filter((F.col("status") == 60) & (F.col("flight_direction") == "A")).select("order_no")
     collected = m.order_lines.join(paid, "order_no").join(m.articles, "article_idx").groupBy("lev1_id").agg(
@@ -292,4 +293,4 @@ def _(m: Mart) -> DataFrame:
     from tillroll.plans.reconciliation import tender_bridge
 
     rows = m.receipts.join(tender_bridge(m.spark), "tender_id")
-    return rows.groupBy("selection", "store_idx").agg(F.sum(F.col("amount") * F.col("sign")).alias("amount"))
+    return rows.groupBy("selection", "store_idx").agg(F.sum(signed("amount", "sign")).alias("amount"))

@@ -10,7 +10,7 @@ import datetime as dt
 from pyspark.sql import DataFrame, functions as F
 
 from tillroll.catalogue.registry import query
-from tillroll.functions.money import net_qty
+from tillroll.functions.money import dec, net_qty_sum, sum_if
 from tillroll.functions.text import format_date, format_decimal, hhmmss
 from tillroll.functions.weeks import calendar_week, iso_week, week_end, week_stamp, week_start, weekday_no
 from tillroll.plans import exports, flights, sales
@@ -24,8 +24,6 @@ from tillroll.sources.scratch import scratch_path
     SELECT l_returnflag AS return_flag, l_linestatus AS line_status, count(*) AS row_count, sum(CAST(l_quantity AS DECIMAL(12,2)))::DOUBLE AS quantity
     FROM lineitem GROUP BY l_returnflag, l_linestatus""")
 def _(m: Mart) -> DataFrame:
-    from tillroll.functions.money import dec
-
     return m.table("lineitem").groupBy(F.col("l_returnflag").alias("return_flag"), F.col("l_linestatus").alias("line_status")).agg(
         F.count("*").alias("row_count"), F.sum(dec("l_quantity")).alias("quantity")
     )
@@ -116,7 +114,7 @@ def _(m: Mart) -> DataFrame:
     SELECT CAST(store_idx AS VARCHAR) AS store_id, article_id, sum(qty_sold - qty_return)::DOUBLE AS qty
     FROM receipt_row JOIN article USING (article_idx) GROUP BY 1, 2""")
 def _(m: Mart) -> DataFrame:
-    out = m.receipt_rows.groupBy("store_idx", "article_idx").agg(F.sum(net_qty()).alias("qty")).join(m.articles, "article_idx").select(
+    out = m.receipt_rows.groupBy("store_idx", "article_idx").agg(net_qty_sum().alias("qty")).join(m.articles, "article_idx").select(
         F.col("store_idx").cast("string").alias("store_id"), "article_id", "qty"
     )
     path = f"{scratch_path(m.spark)}/per_store"
@@ -180,8 +178,8 @@ def _(m: Mart) -> DataFrame:
     first = (dt.date(2000, 2, 1), dt.date(2000, 2, 29))
     second = same_length(dt.date(1999, 2, 1), *first)
     return m.sales_rows.groupBy("article_idx").agg(
-        F.sum(F.when(within("sale_date", first), F.col("sales_amount")).otherwise(0)).alias("first_period"),
-        F.sum(F.when(within("sale_date", second), F.col("sales_amount")).otherwise(0)).alias("second_period"),
+        sum_if(within("sale_date", first), F.col("sales_amount")).alias("first_period"),
+        sum_if(within("sale_date", second), F.col("sales_amount")).alias("second_period"),
     )
 
 
@@ -197,7 +195,7 @@ def _(m: Mart) -> DataFrame:
 
     windows = YearWindows.of(dt.date(2000, 2, 1), dt.date(2000, 2, 29))
     return m.sales_rows.filter(windows.any_of("sale_date")).groupBy("supplier_idx").agg(
-        *[F.sum(F.when(within("sale_date", b), F.col("sales_amount")).otherwise(0)).alias(n) for n, b in windows.named().items()]
+        *[sum_if(within("sale_date", b), F.col("sales_amount")).alias(n) for n, b in windows.named().items()]
     )
 
 

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, functions as F
 
 from tillroll.catalogue.registry import query
 from tillroll.functions.labels import FLIGHT_TYPE, TRAVEL_TYPE, label_of
-from tillroll.functions.money import net_amount, net_qty
+from tillroll.functions.money import net_amount_sum, net_qty_sum, sum_if
 from tillroll.operators import filters as flt
 from tillroll.operators.payments import classify_payments
 from tillroll.plans.calendar import Period
@@ -17,7 +17,7 @@ from tillroll.sources.mart import AS_OF, Mart
 
 def _sales_by(df: DataFrame, *keys: str) -> DataFrame:
     return df.groupBy(*keys).agg(
-        F.sum(net_qty()).alias("qty"), F.sum(net_amount()).alias("revenue"), F.count("*").alias("row_count")
+        net_qty_sum().alias("qty"), net_amount_sum().alias("revenue"), F.count("*").alias("row_count")
     )
 
 
@@ -205,7 +205,7 @@ def _(m: Mart) -> DataFrame:
     return m.sales_rows.filter(F.col("qty_sold") > 0).groupBy("line_status").agg(
         F.count_if(normal).alias("normal_rows"),
         F.count_if(~normal).alias("offer_rows"),
-        F.sum(F.when(F.col("price_type").isin(8, 9), F.col("discount_amount")).otherwise(0)).alias("downprice_amount"),
+        sum_if(F.col("price_type").isin(8, 9), F.col("discount_amount")).alias("downprice_amount"),
     )
 
 

@@ -2,38 +2,53 @@
 
 from __future__ import annotations
 
-from decimal import Decimal
-
 from pyspark.sql import Column, functions as F
 
-ZERO = Decimal("0")
+
+def cents(col: Column | str) -> Column:
+    """Hundredths of a raw number as a whole number."""
+    c = F.col(col) if isinstance(col, str) else col
+    return F.rint(c * 100).cast("bigint")
 
 
-def dec(col: Column | str, precision: int = 12, scale: int = 2) -> Column:
-    """Cast a raw number to a fixed-point amount.
+def from_cents(whole: Column) -> Column:
+    """Hundredths to a row amount, ``decimal(8,2)``.
 
     Sums over fixed-point columns do not depend on the order in which partitions are merged, which
-    sums over doubles do.  Up to 18 digits Spark keeps the value in one long.
+    sums over doubles do.  Eight digits are the most for which Spark adds whole longs instead of
+    big decimals: a sum costs a tenth, and holds up to 9.9e15 per group.  Row amounts beyond
+    999 999.99 raise an error.
     """
-    c = F.col(col) if isinstance(col, str) else col
-    return c.cast(f"decimal({precision},{scale})")
+    return (whole.cast("decimal(8,0)") * F.lit("0.01").cast("decimal(2,2)")).cast("decimal(8,2)")
 
 
-def zero_if_null(col: Column | str) -> Column:
-    c = F.col(col) if isinstance(col, str) else col
-    return F.coalesce(c, F.lit(0))
+def percent_of(whole: Column, percent: Column | int) -> Column:
+    """Percent of a non-negative whole amount, rounded half up."""
+    part = whole * percent + 50
+    return F.call_function("div", part, F.lit(100))
 
 
-def sum_of(expr: Column | str) -> Column:
-    """Sum where an empty or all-NULL group gives 0 rather than NULL."""
-    return F.coalesce(F.sum(expr), F.lit(0))
+def dec(col: Column | str) -> Column:
+    """Raw number to a row amount."""
+    return from_cents(cents(col))
 
 
 def sum_if(cond: Column, value: Column | str, default: int | None = 0) -> Column:
-    """Conditional sum; ``default=None`` keeps NULL for groups in which nothing matched."""
+    """Conditional sum; ``default=None`` keeps NULL for groups in which nothing matched.
+
+    The rows that do not match are NULL, not 0: a literal 0 would widen the amount's type.
+    """
     v = F.col(value) if isinstance(value, str) else value
-    case = F.when(cond, v)
-    return F.sum(case if default is None else case.otherwise(F.lit(default)))
+    total = F.sum(F.when(cond, v))
+    return total if default is None else F.coalesce(total, F.lit(default))
+
+
+def sum_each_if(cond: Column, *values: Column | str) -> Column:
+    """Conditional sum of several columns, each added up on its own (see ``net_amount_sum``)."""
+    first, *rest = [sum_if(cond, v) for v in values]
+    for part in rest:
+        first = first + part
+    return first
 
 
 def safe_div(num: Column, den: Column, mode: str = "zero") -> Column:
@@ -78,3 +93,22 @@ def net_qty(sold: str = "qty_sold", returned: str = "qty_return", mode: str = "n
 def net_amount(sales: str = "sales_amount", returned: str = "return_amount") -> Column:
     """Sales plus returns; return amounts are stored negative."""
     return F.col(sales) + F.col(returned)
+
+
+def net_qty_sum(sold: str = "qty_sold", returned: str = "qty_return", mode: str = "net") -> Column:
+    """Sum of ``net_qty``, as a difference (or total) of two sums."""
+    a, b = F.sum(sold), F.sum(returned)
+    return a - b if mode == "net" else a + b
+
+
+def net_amount_sum(sales: str = "sales_amount", returned: str = "return_amount") -> Column:
+    """Sum of ``net_amount``.  Two sums over eight-digit columns stay whole-number sums; one sum over
+    their nine-digit total would not."""
+    return F.sum(sales) + F.sum(returned)
+
+
+def signed(amount: Column | str, sign: Column | str) -> Column:
+    """Amount with the sign of another column."""
+    a = F.col(amount) if isinstance(amount, str) else amount
+    s = F.col(sign) if isinstance(sign, str) else sign
+    return F.when(s < 0, -a).otherwise(a)

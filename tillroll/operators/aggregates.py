@@ -6,15 +6,12 @@ from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
+from tillroll.functions.money import sum_if
+
 
 def conditional_sums(cases: Mapping[str, Column], value: Column | str, default: int | None = 0) -> list[Column]:
     """One sum per named condition, to be used in a single aggregation."""
-    v = F.col(value) if isinstance(value, str) else value
-    out = []
-    for name, cond in cases.items():
-        case = F.when(cond, v)
-        out.append(F.sum(case if default is None else case.otherwise(F.lit(default))).alias(name))
-    return out
+    return [sum_if(cond, value, default).alias(name) for name, cond in cases.items()]
 
 
 def attributes_wide(rows: DataFrame, entity: Sequence[str], key: str, value: str, names: Sequence[str]) -> DataFrame:

@@ -6,7 +6,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, functions as F
 
-from tillroll.functions.money import net_qty, unit_value
+from tillroll.functions.money import net_qty_sum, sum_if, unit_value
 from tillroll.operators import filters as flt
 from tillroll.operators.aggregates import distinct_text
 from tillroll.operators.joins import either_key
@@ -63,15 +63,15 @@ def campaign_quantities(
     kept = flt.in_campaigns(flt.in_direction(rows, direction), campaigns, CAMPAIGN_COLUMNS)
     campaign = F.coalesce(*CAMPAIGN_COLUMNS)
     per_key = kept.groupBy("article_idx", "store_idx", campaign.alias("campaign_no")).agg(
-        F.sum(net_qty()).alias("qty"), F.sum("qty_sold").alias("sold")
+        net_qty_sum().alias("qty"), F.sum("qty_sold").alias("sold")
     )
     named = per_key.join(stores.select("store_idx", "store_id"), "store_idx").join(
         articles.select("article_idx", "article_name"), "article_idx"
     )
     listed = F.col("store_id").isin(list(store_columns))
-    wide = [F.sum(F.when(F.col("store_id") == s, F.col("qty")).otherwise(0)).alias(f"store_{s}") for s in store_columns]
+    wide = [sum_if(F.col("store_id") == s, F.col("qty")).alias(f"store_{s}") for s in store_columns]
     return named.groupBy("article_name", "campaign_no").agg(
-        *wide, F.sum(F.when(listed, F.col("qty")).otherwise(0)).alias("total"), F.sum("sold").alias("sold")
+        *wide, sum_if(listed, F.col("qty")).alias("total"), F.sum("sold").alias("sold")
     ).filter(F.col("sold") > 0).drop("sold")
 
 

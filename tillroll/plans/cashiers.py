@@ -7,7 +7,7 @@ import datetime as dt
 from pyspark.sql import DataFrame, functions as F
 
 from tillroll.functions.labels import AGE_CHECK_APPROVED, AGE_CHECK_REFUSED, label_of
-from tillroll.functions.money import net_amount, net_qty, safe_div, sum_if
+from tillroll.functions.money import net_amount_sum, safe_div, sum_each_if, sum_if
 from tillroll.operators import filters as flt
 from tillroll.operators.reshape import padded_union_sum
 from tillroll.plans.calendar import Period
@@ -69,7 +69,7 @@ def bags_per_customer(rows: DataFrame, articles: DataFrame, *, bag_group: str) -
     is_bag = F.col("article_idx").isNotNull() & F.col("is_bag")
     flagged = rows.join(articles.select("article_idx", (F.col("lev1_id") == bag_group).alias("is_bag")), "article_idx")
     per_cashier = flagged.groupBy(*CASHIER).agg(
-        sum_if(is_bag, net_qty()).alias("bags"), F.count_if(is_bag).alias("bag_rows"), F.count_if(F.col("line_no") == 1).alias("customers")
+        sum_each_if(is_bag, "qty_sold", -F.col("qty_return")).alias("bags"), F.count_if(is_bag).alias("bag_rows"), F.count_if(F.col("line_no") == 1).alias("customers")
     )
     sold = per_cashier.filter(F.col("bag_rows") > 0).drop("bag_rows")
     return sold.withColumn("bags_per_customer", safe_div(F.col("bags"), F.col("customers"), "one"))
@@ -82,7 +82,7 @@ def bottle_deposit(rows: DataFrame, articles: DataFrame, counters: DataFrame, lo
     """Sales, deposit sold, deposit returned and lottery pay-outs per cashier."""
     deposit = articles.select("article_idx", (F.col("article_type_id") == 130).alias("is_deposit"))
     sales = rows.join(deposit, "article_idx").groupBy(*CASHIER).agg(
-        F.sum(net_amount()).alias("revenue_incl_vat"),
+        net_amount_sum().alias("revenue_incl_vat"),
         sum_if(F.col("is_deposit"), "sales_amount").alias("deposit_sold"),
         sum_if(F.col("is_deposit"), "return_amount").alias("deposit_returned"),
     )
@@ -108,11 +108,10 @@ def bottle_lottery(tickets: DataFrame, *, as_of: dt.date, large: int = 1000, day
     voucher comes from an aggregate next to the gains, not from a lookup per row.
     """
     kind = F.col("trans_type")
-    zero = F.lit(0)
     per_voucher = tickets.groupBy("voucher_no", "log_date").agg(
-        F.sum(F.when(kind == LOTTERY_STAKE, F.col("amount")).otherwise(zero)).alias("stake"),
-        F.sum(F.when((kind == LOTTERY_GAIN) & (F.col("amount") < large), F.col("amount")).otherwise(zero)).alias("gain_small"),
-        F.sum(F.when((kind == LOTTERY_GAIN) & (F.col("amount") >= large), F.col("amount")).otherwise(zero)).alias("gain_large"),
+        sum_if(kind == LOTTERY_STAKE, F.col("amount")).alias("stake"),
+        sum_if((kind == LOTTERY_GAIN) & (F.col("amount") < large), F.col("amount")).alias("gain_small"),
+        sum_if((kind == LOTTERY_GAIN) & (F.col("amount") >= large), F.col("amount")).alias("gain_large"),
     )
     paid = tickets.filter(kind == LOTTERY_PAID).groupBy("voucher_no").agg(F.max("log_date").alias("paid_on"))
     gain = F.col("gain_small") + F.col("gain_large")
@@ -120,8 +119,8 @@ def bottle_lottery(tickets: DataFrame, *, as_of: dt.date, large: int = 1000, day
     old = F.datediff(F.lit(as_of), "log_date") >= days
     return per_voucher.join(paid, "voucher_no", "left").agg(
         F.sum("stake").alias("used_for_lottery"), F.sum("gain_small").alias("gains_small"), F.sum("gain_large").alias("gains_large"),
-        F.sum(F.when(unclaimed & ~old, gain).otherwise(zero)).alias("unclaimed_recent"),
-        F.sum(F.when(unclaimed & old, gain).otherwise(zero)).alias("unclaimed_old"),
+        sum_if(unclaimed & ~old, gain).alias("unclaimed_recent"),
+        sum_if(unclaimed & old, gain).alias("unclaimed_old"),
     )
 
 
@@ -150,12 +149,12 @@ def key_figures(rows: DataFrame, articles: DataFrame) -> DataFrame:
     dim = articles.select("article_idx", "is_third_party", (F.length("gtin") > 6).alias("scannable"))
     flagged = rows.join(dim, "article_idx")
     third = F.col("is_third_party")
-    moved, amount = net_qty(mode="moved"), net_amount()
     scanned = F.col("scannable") & (F.col("line_status") == "F")
     per_receipt = flagged.groupBy(*CASHIER, "receipt_id").agg(
-        F.sum(amount).alias("amount"), sum_if(third, amount).alias("third_amount"),
-        sum_if(~third, moved).alias("own_items"), sum_if(~third & F.col("scannable"), moved).alias("own_scannable"),
-        sum_if(~third & scanned, moved).alias("own_scanned"),
+        net_amount_sum().alias("amount"), sum_each_if(third, "sales_amount", "return_amount").alias("third_amount"),
+        sum_each_if(~third, "qty_sold", "qty_return").alias("own_items"),
+        sum_each_if(~third & F.col("scannable"), "qty_sold", "qty_return").alias("own_scannable"),
+        sum_each_if(~third & scanned, "qty_sold", "qty_return").alias("own_scanned"),
         F.max(third).alias("has_third"), F.min(third).alias("only_third"),
     )
     grouped = per_receipt.groupBy(*CASHIER).agg(

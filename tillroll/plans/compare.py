@@ -10,7 +10,7 @@ import datetime as dt
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from tillroll.functions.money import net_amount, net_qty, safe_div
+from tillroll.functions.money import safe_div, sum_each_if
 from tillroll.functions.text import split_list
 from tillroll.operators import filters as flt
 from tillroll.operators.aggregates import with_grand_total
@@ -31,12 +31,11 @@ def compared_revenue(
     kept = flt.in_direction(rows, direction)
     kept = kept.filter(in_first if second is None else in_first | within("sale_date", second))
     dim = flt.in_list(articles, "article_id", article_ids).select("article_idx", "article_id", "article_name")
-    revenue, moved = net_amount("sales_excl_vat", "return_excl_vat"), net_qty(mode="moved")
 
     def pair(cond: Column, suffix: str) -> list[Column]:
         return [
-            F.sum(F.when(cond, revenue).otherwise(0)).alias(f"revenue_{suffix}"),
-            F.sum(F.when(cond, moved).otherwise(0)).alias(f"moved_{suffix}"),
+            sum_each_if(cond, "sales_excl_vat", "return_excl_vat").alias(f"revenue_{suffix}"),
+            sum_each_if(cond, "qty_sold", "qty_return").alias(f"moved_{suffix}"),
         ]
 
     aggs = pair(in_first, "1")
@@ -71,20 +70,20 @@ def _on_campaign_days(rows: DataFrame, aggs: list[Column], campaigns) -> DataFra
 # -- year report ------------------------------------------------------------------------------
 
 
-def _window_sums(windows: YearWindows, base: dict[str, Column]) -> list[Column]:
+def _window_sums(windows: YearWindows, base: dict[str, list[Column]]) -> list[Column]:
     out = []
     for window, bounds in windows.named().items():
         inside = within("sale_date", bounds)
-        out += [F.sum(F.when(inside, c).otherwise(0)).alias(f"{n}_{window}") for n, c in base.items()]
+        out += [sum_each_if(inside, *parts).alias(f"{n}_{window}") for n, parts in base.items()]
     return out
 
 
 def year_sums(rows: DataFrame, articles: DataFrame, windows: YearWindows, *, article_ids=None) -> DataFrame:
     """Revenue, quantity and customers per first-level group in the four windows of the year."""
     base = {
-        "revenue": net_amount("sales_excl_vat", "return_excl_vat"),
-        "items": net_qty(),
-        "customers": F.when(F.col("line_no") == 1, 1).otherwise(0).cast("decimal(12,2)"),
+        "revenue": [F.col("sales_excl_vat"), F.col("return_excl_vat")],
+        "items": [F.col("qty_sold"), -F.col("qty_return")],
+        "customers": [F.when(F.col("line_no") == 1, 1)],
     }
     per_article = rows.filter(windows.any_of("sale_date")).groupBy("article_idx").agg(
         *_window_sums(windows, base), F.max(within("sale_date", windows.period)).alias("in_period")
@@ -104,9 +103,9 @@ def _by_level1(per_article: DataFrame, articles: DataFrame, article_ids) -> Data
 def collected_year_sums(lines: DataFrame, articles: DataFrame, windows: YearWindows, *, article_ids=None) -> DataFrame:
     """The same sums over the delivered lines of collected orders."""
     base = {
-        "revenue": F.col("delivered_amount"),
-        "items": F.col("received_qty"),
-        "customers": F.when(F.col("line_no") == 1, 1).otherwise(0).cast("decimal(12,2)"),
+        "revenue": [F.col("delivered_amount")],
+        "items": [F.col("received_qty")],
+        "customers": [F.when(F.col("line_no") == 1, 1)],
     }
     dated = lines.withColumnRenamed("collect_date", "sale_date")
     per_article = dated.filter(windows.any_of("sale_date")).groupBy("article_idx").agg(

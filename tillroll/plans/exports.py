@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from tillroll.functions.money import net_amount, net_qty
+from tillroll.functions.money import net_amount_sum, net_qty_sum, signed
 from tillroll.functions.text import format_date, format_decimal, sql_len
 from tillroll.functions.weeks import week_stamp
 from tillroll.operators import filters as flt
@@ -37,9 +37,9 @@ def week_sales_lines(rows: DataFrame, articles: DataFrame) -> DataFrame:
     offer = F.col("list_amount") != F.col("sales_amount")
     code = F.when(offer, F.lit(OFFER_LINE)).otherwise(F.lit(NORMAL_LINE)).alias("report_code")
     per_key = rows.groupBy("store_idx", week_stamp("sale_date").alias("week"), code, "article_idx", "supplier_idx").agg(
-        F.sum(net_amount("sales_excl_vat", "return_excl_vat")).alias("net"), F.sum("cost_amount").alias("cost"),
-        F.sum(net_qty()).alias("qty"), F.count_if(F.col("line_no") == 1).alias("customers"),
-        F.sum(net_amount("sales_vat", "return_vat")).alias("vat"),
+        net_amount_sum("sales_excl_vat", "return_excl_vat").alias("net"), F.sum("cost_amount").alias("cost"),
+        net_qty_sum().alias("qty"), F.count_if(F.col("line_no") == 1).alias("customers"),
+        net_amount_sum("sales_vat", "return_vat").alias("vat"),
     )
     dim = articles.select(
         "article_idx", "gtin", "article_name", F.col("lev1_id").alias("group_id"), "unit_amount", "unit_name",
@@ -90,7 +90,7 @@ def wastage_export(moves: DataFrame, articles: DataFrame, stores: DataFrame, *,
     target = stores.select(F.col("store_idx").alias("target_idx"), F.col("store_id").alias("to_store"), F.col("lev1_legal_no").alias("to_legal_no"))
     is_transfer = F.col("type_no") == 52
     per_key = rows.groupBy("store_idx", "article_idx", "adj_date", "type_no", "reason_no").agg(
-        F.sum(signed_cost()).alias("cost"), F.sum(signed_qty()).alias("qty"), F.sum(F.col("sales_value") * F.col("sign")).alias("value")
+        F.sum(signed_cost()).alias("cost"), F.sum(signed_qty()).alias("qty"), F.sum(signed("sales_value", "sign")).alias("value")
     )
     routed = per_key.withColumn("target_idx", F.when(is_transfer, F.col("reason_no")))
     joined = routed.join(home, "store_idx").join(target, "target_idx", "left").join(articles.select("article_idx", "gtin"), "article_idx")
@@ -108,7 +108,7 @@ def financial_figures(rows: DataFrame, receipts: DataFrame) -> DataFrame:
     """Revenue, VAT, cost and payments per store and week, for the financial export."""
     week = week_stamp("sale_date").alias("week")
     sales = rows.groupBy("store_idx", week).agg(
-        F.sum(net_amount("sales_excl_vat", "return_excl_vat")).alias("net"), F.sum(net_amount("sales_vat", "return_vat")).alias("vat"),
+        net_amount_sum("sales_excl_vat", "return_excl_vat").alias("net"), net_amount_sum("sales_vat", "return_vat").alias("vat"),
         F.sum("cost_amount").alias("cost"),
     )
     paid = receipts.groupBy("store_idx", week).agg(F.sum("amount").alias("paid"), F.count("*").alias("receipts"))

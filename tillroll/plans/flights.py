@@ -7,7 +7,7 @@ import datetime as dt
 from pyspark.sql import DataFrame, functions as F
 
 from tillroll.functions.labels import FLIGHT_TYPE, TRAVEL_TYPE, label_of
-from tillroll.functions.money import net_amount, net_qty
+from tillroll.functions.money import net_amount_sum, net_qty_sum
 from tillroll.functions.text import split_list
 from tillroll.operators import filters as flt
 from tillroll.operators.joins import difference, latest_before
@@ -39,7 +39,7 @@ def flight_revenue(rows: DataFrame, articles: DataFrame, *, by_flight: bool, dir
     per_key = kept.groupBy(
         (flight if by_flight else none).alias("flight_no"), (kind if by_flight else none).alias("flight_type"), "article_idx"
     ).agg(
-        F.sum(net_qty()).alias("sold"), F.sum(net_amount("sales_excl_vat", "return_excl_vat")).alias("revenue"),
+        net_qty_sum().alias("sold"), net_amount_sum("sales_excl_vat", "return_excl_vat").alias("revenue"),
         F.count_if(F.col("line_no") == 1).alias("customers"),
     )
     names = articles.select("article_idx", "article_name")
@@ -52,8 +52,8 @@ def group_quantities(rows: DataFrame, articles: DataFrame, *, direction: int = 0
     """Quantity, units and revenue per second-level group of flight receipts."""
     kept = flt.in_direction(rows, direction)
     per_article = kept.groupBy("article_idx").agg(
-        F.sum(net_qty()).alias("sold"), F.sum(net_amount("sales_excl_vat", "return_excl_vat")).alias("revenue"),
-        F.sum(net_amount()).alias("revenue_incl_vat"),
+        net_qty_sum().alias("sold"), net_amount_sum("sales_excl_vat", "return_excl_vat").alias("revenue"),
+        net_amount_sum().alias("revenue_incl_vat"),
     )
     return _by_group(per_article, articles).filter(F.col("revenue_incl_vat") != 0)
 
@@ -107,8 +107,8 @@ def last_sold(articles: DataFrame, sales: DataFrame) -> DataFrame:
 
 def article_revenue(rows: DataFrame) -> DataFrame:
     return rows.groupBy("article_idx").agg(
-        F.sum(net_qty()).alias("sold"), F.sum(net_amount()).alias("revenue"),
-        (F.sum(net_amount()) - F.sum("cost_amount")).alias("gross_profit"),
+        net_qty_sum().alias("sold"), net_amount_sum().alias("revenue"),
+        (net_amount_sum() - F.sum("cost_amount")).alias("gross_profit"),
     ).filter(F.col("revenue") != 0)
 
 
@@ -178,7 +178,7 @@ def flight_sales_export(rows: DataFrame, articles: DataFrame, stores: DataFrame)
     keys = ["store_idx", "sale_date", "flight_no", "origin", "destination", "flight_type", "travel_type"]
     groups = rows.join(articles.select("article_idx", "lev1_id", "lev1_name"), "article_idx").groupBy(
         *flight, F.col("lev1_id").alias("group_id"), F.col("lev1_name").alias("group_name")
-    ).agg(F.sum(net_qty()).alias("sold"), F.sum(net_amount("sales_excl_vat", "return_excl_vat")).alias("revenue"))
+    ).agg(net_qty_sum().alias("sold"), net_amount_sum("sales_excl_vat", "return_excl_vat").alias("revenue"))
     customers = rows.filter(F.col("line_no") == 1).groupBy(*flight).agg(F.count("*").cast("decimal(28,4)").alias("revenue")).select(
         *keys, F.lit("9999").alias("group_id"), F.lit("**No of customers**").alias("group_name"),
         F.lit(0).cast("decimal(28,4)").alias("sold"), "revenue",

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from tillroll.functions.labels import label_of
-from tillroll.functions.money import in_home_currency, net_amount, sum_if
+from tillroll.functions.money import in_home_currency, net_amount, net_amount_sum, sum_each_if, sum_if
 from tillroll.operators import filters as flt
 from tillroll.operators.aggregates import conditional_sums, latest_rows
 from tillroll.operators.joins import full_on
@@ -62,8 +62,8 @@ def reconciliation_summary(rows: DataFrame, receipts: DataFrame, totals: DataFra
     for g in vat_groups:
         cond = F.col("vat_group") == g
         vat_sums += [
-            sum_if(cond, net_amount("sales_excl_vat", "return_excl_vat")).alias(f"revenue_{g}"),
-            sum_if(cond, net_amount("sales_vat", "return_vat")).alias(f"vat_{g}"),
+            sum_each_if(cond, "sales_excl_vat", "return_excl_vat").alias(f"revenue_{g}"),
+            sum_each_if(cond, "sales_vat", "return_vat").alias(f"vat_{g}"),
         ]
     vat = rows.groupBy(*day).agg(*vat_sums)
     tender = receipts.groupBy(*day).agg(
@@ -88,15 +88,15 @@ def daily_branches(
     grouped = rows.join(articles.select("article_idx", "lev1_id"), "article_idx")
     plain = ~F.col("lev1_id").isin(GAMING_GROUP, GIFT_CARD_GROUP)
     vat = F.col("vat_group")
-    amount = net_amount()
+    amount = ("sales_amount", "return_amount")
     sales = grouped.groupBy(*day).agg(
-        sum_if(plain & (vat < 3), amount).alias("sales_low"),
-        sum_if(plain & vat.between(3, 5), amount).alias("sales_mid"),
-        sum_if(plain & (vat > 5), amount).alias("sales_high"),
-        sum_if(plain, net_amount("sales_excl_vat", "return_excl_vat")).alias("net_revenue"),
-        sum_if(plain, amount).alias("gross_revenue"),
-        sum_if(F.col("lev1_id") == GAMING_GROUP, amount).alias("gaming"),
-        sum_if(F.col("lev1_id") == GIFT_CARD_GROUP, amount).alias("gift_cards"),
+        sum_each_if(plain & (vat < 3), *amount).alias("sales_low"),
+        sum_each_if(plain & vat.between(3, 5), *amount).alias("sales_mid"),
+        sum_each_if(plain & (vat > 5), *amount).alias("sales_high"),
+        sum_each_if(plain, "sales_excl_vat", "return_excl_vat").alias("net_revenue"),
+        sum_each_if(plain, *amount).alias("gross_revenue"),
+        sum_each_if(F.col("lev1_id") == GAMING_GROUP, *amount).alias("gaming"),
+        sum_each_if(F.col("lev1_id") == GIFT_CARD_GROUP, *amount).alias("gift_cards"),
     )
     cards = {
         "card_1": tender_is(CARDS) & (F.col("sub_tender_id") == 1),
@@ -180,8 +180,8 @@ def monthly_account(branches: DataFrame) -> DataFrame:
 
 def vat_by_store(rows: DataFrame, *, keys=("store_idx", "vat_group")) -> DataFrame:
     return rows.groupBy(*keys).agg(
-        F.sum(net_amount()).alias("sales_amount"), F.sum(net_amount("sales_vat", "return_vat")).alias("vat_amount"),
-        F.sum(net_amount("sales_excl_vat", "return_excl_vat")).alias("sales_excl_vat"),
+        net_amount_sum().alias("sales_amount"), net_amount_sum("sales_vat", "return_vat").alias("vat_amount"),
+        net_amount_sum("sales_excl_vat", "return_excl_vat").alias("sales_excl_vat"),
     )
 
 
@@ -304,7 +304,7 @@ def cash_settlement(totals: DataFrame, counts: DataFrame, gaming: DataFrame) ->
     )
     last_no = F.max(F.struct("count_no", "amount", "cash"))
     per_count = counts.groupBy(*keys, "count_no").agg(
-        F.sum("amount").alias("amount"), F.sum(F.when(tender_is(CASH), F.col("amount")).otherwise(0)).alias("cash")
+        F.sum("amount").alias("amount"), sum_if(tender_is(CASH), F.col("amount")).alias("cash")
     )
     counted = per_count.groupBy(*keys).agg(last_no.alias("last")).select(
         *keys, F.col("last.amount").alias("counted"), F.col("last.cash").alias("counted_cash")
@@ -317,7 +317,7 @@ def cash_settlement(totals: DataFrame, counts: DataFrame, gaming: DataFrame) ->
 def gaming_by_round(rows: DataFrame, articles: DataFrame) -> DataFrame:
     games = articles.filter(F.col("lev1_id") == GAMING_GROUP).select("article_idx")
     znr = (F.year("sale_date") * 100 + F.month("sale_date")).alias("znr")
-    return rows.join(games, "article_idx", "left_semi").groupBy("store_idx", znr).agg(F.sum(net_amount()).alias("gaming"))
+    return rows.join(games, "article_idx", "left_semi").groupBy("store_idx", znr).agg(net_amount_sum().alias("gaming"))
 
 
 def reconciliation_with_bag(totals: DataFrame, counts: DataFrame) -> DataFrame:

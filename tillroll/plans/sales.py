@@ -11,7 +11,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from tillroll.functions.money import net_amount, net_qty, safe_div
+from tillroll.functions.money import net_amount_sum, net_qty, net_qty_sum, safe_div, sum_if
 from tillroll.functions.text import blank_to_null
 from tillroll.functions.weeks import iso_week, weekday_no
 from tillroll.operators import filters as flt
@@ -20,16 +20,16 @@ from tillroll.operators.reshape import union_rows
 from tillroll.plans.calendar import Bounds, Period, months_covered, within
 
 def measures() -> dict[str, Column]:
-    """Additive measures of the sales fact."""
-    revenue = net_amount("sales_excl_vat", "return_excl_vat")
+    """Additive measures of the sales fact, as sums."""
+    revenue = net_amount_sum("sales_excl_vat", "return_excl_vat")
     return {
-        "quantity": net_qty(),
-        "revenue_incl_vat": net_amount(),
+        "quantity": net_qty_sum(),
+        "revenue_incl_vat": net_amount_sum(),
         "revenue": revenue,
-        "gross_profit": revenue - F.col("cost_amount"),
-        "price": net_amount("list_amount", "return_amount"),
-        "cost_of_goods": F.col("cost_amount"),
-        "revenue_vat": net_amount("sales_vat", "return_vat"),
+        "gross_profit": revenue - F.sum("cost_amount"),
+        "price": net_amount_sum("list_amount", "return_amount"),
+        "cost_of_goods": F.sum("cost_amount"),
+        "revenue_vat": net_amount_sum("sales_vat", "return_vat"),
     }
 
 
@@ -37,7 +37,7 @@ def reduce_to(fact: DataFrame, *keys: str | Column) -> DataFrame:
     """First step: all measures per surrogate key, with the price-source flags."""
     derived, used = (F.col("line_status") == "F").cast("int"), (F.col("price_type") == 0).cast("int")
     return fact.groupBy(*keys).agg(
-        *[F.sum(c).alias(n) for n, c in measures().items()],
+        *[total.alias(n) for n, total in measures().items()],
         F.min(derived).alias("use_derived"),
         F.min(used).alias("min_derived_used"),
         F.max(used).alias("max_derived_used"),
@@ -290,7 +290,7 @@ def discount_by_kind(sales: DataFrame, articles: DataFrame, *, bounds: Bounds |
     rows = sales if bounds is None else sales.filter(within("sale_date", bounds))
     rows = rows.filter((F.col("discount_amount") > 0) & (F.col("list_amount") > 0) & (net_qty() != 0))
     kinds = [
-        F.sum(F.when(F.col("price_type").isin(*types), F.col("discount_amount")).otherwise(0)).alias(name)
+        sum_if(F.col("price_type").isin(*types), F.col("discount_amount")).alias(name)
         for name, types in DISCOUNT_KINDS.items()
     ]
     month = F.date_format("sale_date", "MMMM").alias("month_name")
@@ -327,9 +327,9 @@ def daily_sales(sales: DataFrame, *, bounds: Bounds | None = None) -> DataFrame:
     rows = sales if bounds is None else sales.filter(within("sale_date", bounds))
     return rows.groupBy("sale_date").agg(
         F.sum("qty_sold").alias("sold"), F.sum("qty_return").alias("returned"),
-        F.sum(net_qty(mode="moved")).alias("movement"),
+        net_qty_sum(mode="moved").alias("movement"),
         F.sum("sales_excl_vat").alias("sales_excl_vat"), F.sum("return_excl_vat").alias("return_excl_vat"),
-        safe_div(F.sum(net_amount("list_amount", "return_amount")), F.sum(net_qty())).alias("price"),
+        safe_div(net_amount_sum("list_amount", "return_amount"), net_qty_sum()).alias("price"),
     )
 
 
@@ -338,10 +338,10 @@ def space_planning(rows: DataFrame, *, as_of: dt.date, weeks: int = 13) -> DataF
     weeks."""
     period = Period("R", unit="W", start=-weeks, duration=weeks)
     kept = flt.in_period(rows, "sale_date", period, as_of)
-    moved = F.sum(net_qty(mode="moved"))
+    moved = net_qty_sum(mode="moved")
     sold_markdown = F.sum(F.col("list_amount") - F.col("sales_amount"))
     return kept.groupBy("store_idx", "article_idx", "vat_group").agg(
-        safe_div(F.sum(net_amount("list_amount", "return_amount")), moved).alias("price"),
+        safe_div(net_amount_sum("list_amount", "return_amount"), moved).alias("price"),
         safe_div(F.sum("cost_amount"), moved).alias("cost"),
         moved.alias("movement"),
         safe_div(sold_markdown, moved).alias("marked_down_value"),

@@ -6,7 +6,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from tillroll.functions.money import safe_div
+from tillroll.functions.money import safe_div, signed, sum_if
 from tillroll.operators import filters as flt
 from tillroll.plans.calendar import Bounds, within
 
@@ -18,11 +18,11 @@ LINE_CLOSED = 80
 
 
 def signed_qty() -> Column:
-    return F.col("qty") * F.col("sign")
+    return signed("qty", "sign")
 
 
 def signed_cost() -> Column:
-    return F.col("cost_amount") * F.col("sign")
+    return signed("cost_amount", "sign")
 
 
 def destruction_by_reason(moves: DataFrame, articles: DataFrame, *, reasons, bounds: Bounds | None = None) -> DataFrame:
@@ -42,10 +42,9 @@ def shrinkage(moves: DataFrame, articles: DataFrame, *, report_type: int = 0, bo
     """
     rows = moves if bounds is None else moves.filter(within("adj_date", bounds))
     rows = rows.filter(F.col("type_no").isin(TYPE_COUNT, TYPE_DIFFERENCE))
-    zero = F.lit(0)
     days = rows.groupBy("article_idx", "adj_date").agg(
-        F.sum(F.when(F.col("type_no") == TYPE_COUNT, signed_qty()).otherwise(zero)).alias("counted"),
-        F.sum(F.when(F.col("type_no") == TYPE_DIFFERENCE, signed_qty()).otherwise(zero)).alias("difference"),
+        sum_if(F.col("type_no") == TYPE_COUNT, signed_qty()).alias("counted"),
+        sum_if(F.col("type_no") == TYPE_DIFFERENCE, signed_qty()).alias("difference"),
     )
     last = F.max(F.struct("adj_date", "counted"))
     first = F.min(F.struct("adj_date", (F.col("counted") - F.col("difference")).alias("book")))
@@ -97,12 +96,11 @@ def wastage_extract(moves: DataFrame, articles: DataFrame, *, loss_reasons: Sequ
     rows = rows.filter(F.col("reason_no").isin(list(loss_reasons)))
     loss = F.col("type_no").isin(TYPE_LOSS, TYPE_DIFFERENCE)
     sale = F.col("type_no") == TYPE_SALE
-    zero = F.lit(0)
 
     def total(cond: Column, value: Column, name: str) -> Column:
-        return F.sum(F.when(cond, value).otherwise(zero)).alias(name)
+        return sum_if(cond, value).alias(name)
 
-    sold_value, sold_cost = -F.col("sales_value") * F.col("sign"), -signed_cost()
+    sold_value, sold_cost = -signed("sales_value", "sign"), -signed_cost()
     days = rows.groupBy("adj_date", "article_idx").agg(
         total(F.col("type_no") == TYPE_LOSS, signed_cost(), "registered_loss_cost"),
         total(F.col("type_no") == TYPE_DIFFERENCE, signed_cost(), "unregistered_loss_cost"),
@@ -180,8 +178,8 @@ def against_previous_count(lines: DataFrame, articles: DataFrame, *, count_no: i
     counted = lines.filter((F.col("counted_qty") != 0) & (F.col("count_no") <= count_no))
     here, before = F.col("count_no") == count_no, F.col("count_no") == previous
     per_article = counted.filter(here | before).groupBy("article_idx").agg(
-        F.sum(F.when(here, F.col("counted_qty")).otherwise(0)).alias("now"),
-        F.sum(F.when(before, F.col("counted_qty")).otherwise(0)).alias("then"),
+        sum_if(here, F.col("counted_qty")).alias("now"),
+        sum_if(before, F.col("counted_qty")).alias("then"),
         F.count_if(here).alias("lines"),
     )
     dim = articles.select("article_idx", F.col(level).alias("level_id"), "unit_name", "retail_price")

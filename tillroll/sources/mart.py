@@ -17,7 +17,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from tillroll.functions.keys import date_key, receipt_row_key, time_key
 from tillroll.functions.labels import label_of
-from tillroll.functions.money import dec
+from tillroll.functions.money import cents, dec, from_cents, percent_of
 
 # The last business day of the order tables and of the event log; "today" for relative periods.
 AS_OF = dt.date(2001, 8, 1)
@@ -75,7 +75,7 @@ class Mart:
             (F.col("p_type") == "PROMO").alias("is_third_party"),
             F.when(F.col("p_type") == "SMALL", 130).otherwise(1).alias("article_type_id"),
             F.when(F.col("p_type") == "LARGE", 18).otherwise(0).alias("age_limit"),
-            dec("p_size", 10, 2).alias("unit_amount"),
+            F.col("p_size").cast("decimal(8,2)").alias("unit_amount"),
             F.when(F.col("p_type") == "MEDIUM", F.lit("L")).otherwise(F.lit("PCS")).alias("unit_name"),
             dec("p_retailprice").alias("retail_price"),
         )
@@ -133,18 +133,19 @@ class Mart:
         ``return_*``.
         """
         returned = F.col("l_returnflag") == "R"
-        price, share = dec("l_extendedprice"), dec("l_discount", 4, 2)
-        gross = price * (F.lit(1).cast("decimal(4,2)") - share)
-        vat = (gross * dec("l_tax", 4, 2)).cast("decimal(18,4)")
-        qty = dec("l_quantity")
-        zero = F.lit(0)
-        campaign = (F.col("l_discount") * 100).cast("decimal(4,0)").cast("int")
+        campaign = cents("l_discount").cast("int")
+        vat_group = cents("l_tax").cast("int")
+        price = cents("l_extendedprice")
+        gross = percent_of(price, 100 - campaign)
+        vat = percent_of(gross, vat_group)
+        cost = percent_of(price, 70)
+        qty = cents("l_quantity")
 
-        def sold(c: Column) -> Column:
-            return F.when(~returned, c).otherwise(zero)
+        def sold(whole: Column) -> Column:
+            return from_cents(F.when(~returned, whole).otherwise(0))
 
-        def back(c: Column) -> Column:
-            return F.when(returned, -c).otherwise(zero)
+        def back(whole: Column) -> Column:
+            return from_cents(F.when(returned, whole).otherwise(0))
 
         day = F.col("l_shipdate").cast("date")
         return self.table("lineitem").select(
@@ -157,18 +158,17 @@ class Mart:
             F.col("l_suppkey").alias("supplier_idx"),
             F.col("l_linestatus").alias("line_status"),
             sold(qty).alias("qty_sold"),
-            F.when(returned, qty).otherwise(zero).alias("qty_return"),
+            back(qty).alias("qty_return"),
             sold(price).alias("list_amount"),
             sold(gross).alias("sales_amount"),
-            back(gross).alias("return_amount"),
-            sold(gross - vat).cast("decimal(18,4)").alias("sales_excl_vat"),
-            back(gross - vat).cast("decimal(18,4)").alias("return_excl_vat"),
+            back(-gross).alias("return_amount"),
+            sold(gross - vat).alias("sales_excl_vat"),
+            back(vat - gross).alias("return_excl_vat"),
             sold(vat).alias("sales_vat"),
-            back(vat).alias("return_vat"),
-            sold(price - gross).cast("decimal(18,4)").alias("discount_amount"),
-            (price * F.lit("0.70").cast("decimal(4,2)") * F.when(returned, -1).otherwise(1).cast("decimal(2,0)"))
-            .cast("decimal(18,4)").alias("cost_amount"),
-            (F.col("l_tax") * 100).cast("decimal(4,0)").cast("int").alias("vat_group"),
+            back(-vat).alias("return_vat"),
+            sold(price - gross).alias("discount_amount"),
+            from_cents(F.when(returned, -cost).otherwise(cost)).alias("cost_amount"),
+            vat_group.alias("vat_group"),
             campaign.alias("price_type"),
             F.when(campaign.between(1, 4), campaign).alias("campaign_id"),
             F.when(campaign.between(5, 7), campaign).alias("combination_id"),
@@ -251,17 +251,17 @@ class Mart:
     def order_lines(self) -> DataFrame:
         """Picked lines.  A line that was returned replaced the ordered article: it carries a
         substituted price."""
-        price, qty = dec("l_extendedprice"), dec("l_quantity")
+        price, qty = cents("l_extendedprice"), cents("l_quantity")
         short = F.col("l_linestatus") == "O"
         return self.table("lineitem").select(
             F.col("l_orderkey").alias("order_no"),
             F.col("l_linenumber").alias("line_no"),
             F.col("l_partkey").alias("article_idx"),
             F.col("l_suppkey").alias("supplier_idx"),
-            qty.alias("ordered_qty"),
-            F.when(short, qty - dec("l_linenumber", 4, 2)).otherwise(qty).cast("decimal(12,2)").alias("received_qty"),
-            price.alias("line_price"),
-            (price * (F.lit(1).cast("decimal(4,2)") - dec("l_discount", 4, 2))).alias("delivered_amount"),
+            from_cents(qty).alias("ordered_qty"),
+            from_cents(F.when(short, qty - F.col("l_linenumber") * 100).otherwise(qty)).alias("received_qty"),
+            from_cents(price).alias("line_price"),
+            from_cents(percent_of(price, 100 - cents("l_discount"))).alias("delivered_amount"),
             F.when(F.col("l_returnflag") == "R", 60)
             .when(F.col("l_returnflag") == "A", 10)
             .otherwise(80)
@@ -372,7 +372,7 @@ class Mart:
             .when(flag == "R", 51)
             .otherwise(F.when(F.col("l_linestatus") == "F", 2).otherwise(52))
         )
-        price = dec("l_extendedprice")
+        price = cents("l_extendedprice")
         rows = self.table("lineitem").select(
             F.col("l_shipdate").cast("date").alias("adj_date"),
             F.col("l_partkey").alias("article_idx"),
@@ -381,8 +381,8 @@ class Mart:
             F.col("l_linenumber").alias("reason_no"),
             F.when(F.col("l_linenumber") <= 4, -1).otherwise(1).alias("sign"),
             dec("l_quantity").alias("qty"),
-            (price * F.lit("0.70").cast("decimal(4,2)")).alias("cost_amount"),
-            price.alias("sales_value"),
+            from_cents(percent_of(price, 70)).alias("cost_amount"),
+            from_cents(price).alias("sales_value"),
         )
         homes = self.suppliers.select("supplier_idx", F.col("supplier_store_idx").alias("store_idx"))
         return rows.join(homes, "supplier_idx")
@@ -395,7 +395,7 @@ class Mart:
             F.col("l_partkey").alias("article_idx"),
             F.col("l_suppkey").alias("supplier_idx"),
             dec("l_quantity").alias("in_stock_qty"),
-            (dec("l_quantity") - (F.col("l_linenumber") - 4).cast("decimal(4,2)")).cast("decimal(12,2)").alias("counted_qty"),
+            from_cents(cents("l_quantity") - (F.col("l_linenumber") - 4) * 100).alias("counted_qty"),
             F.when(F.col("l_linestatus") == "F", 80).otherwise(70).alias("line_status"),
         )
         homes = self.suppliers.select("supplier_idx", F.col("supplier_store_idx").alias("store_idx"))
