@@ -165,7 +165,7 @@ FRAMES = {
     "counting": """
         SELECT *, 'B-' || CAST(store_idx AS VARCHAR) || '-' || CAST(count_no AS VARCHAR) AS bag_id FROM (
             SELECT store_idx, CAST(strftime(sale_date, '%Y%m') AS INTEGER) AS znr, till_id, tender_id,
-                   l_linenumber AS count_no, sum(price) AS amount, max(cashier_name) AS counted_by
+                   l_linenumber AS count_no, sum(price) AS amount, max(cashier_idx) AS counted_by
             FROM line_raw JOIN receipt ON l_orderkey = receipt_id GROUP BY ALL)""",
     "bank": """
         SELECT store_idx, till_id, tender_id, sub_tender_id, sale_date, count(*) AS transactions, sum(amount) AS amount

@@ -318,10 +318,10 @@ def _(m: Mart) -> DataFrame:
 
 
 @query("r72_last_count_cashier", """
-    SELECT store_idx, znr, count_no, counted_by, bag_id FROM (SELECT *, row_number() OVER (PARTITION BY store_idx, znr
-        ORDER BY count_no DESC, till_id DESC, tender_id DESC) AS rn FROM counting) WHERE rn = 1""")
+    SELECT store_idx, znr, count_no, counted_by, c_name AS cashier_name, bag_id FROM (SELECT *, row_number() OVER (PARTITION BY store_idx, znr
+        ORDER BY count_no DESC, till_id DESC, tender_id DESC) AS rn FROM counting) JOIN customer ON c_custkey = counted_by WHERE rn = 1""")
 def _(m: Mart) -> DataFrame:
-    return rec.last_count_cashier(m.counts)
+    return rec.last_count_cashier(m.counts, m.users)
 
 
 # -- finance report ---------------------------------------------------------------------------

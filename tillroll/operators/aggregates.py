@@ -71,8 +71,14 @@ def running_total(df: DataFrame, partition: Sequence[str], order: Sequence[str],
 
 
 def latest_rows(df: DataFrame, keys: Sequence[str], order: Sequence[str], columns: Sequence[str]) -> DataFrame:
-    """The row with the highest order per key.  An aggregate over structs, not a ranking window:
-    each map task forwards one candidate per key, so a key with a third of all rows does not end up
-    in one sort."""
+    """The row with the highest order per key.
+
+    An aggregate, not a ranking window: each map task forwards one candidate per key, so a key with a
+    third of all rows does not end up in one sort.  With one order column (unique within the key) and
+    columns of fixed width the aggregate is a hash aggregate; several order columns are compared as
+    one struct.
+    """
+    if len(order) == 1:
+        return df.groupBy(*keys).agg(*[F.max_by(c, order[0]).alias(c) for c in columns])
     best = F.max(F.struct(*order, *[c for c in columns if c not in order]))
     return df.groupBy(*keys).agg(best.alias("_best")).select(*keys, *[F.col(f"_best.{c}").alias(c) for c in columns])

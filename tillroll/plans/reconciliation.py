@@ -275,9 +275,15 @@ def accumulation_details(counters: DataFrame, payments: DataFrame) -> DataFrame:
 ROUND = ["store_idx", "znr", "till_id"]
 
 
+def bag_of(store: str, count: str) -> Column:
+    """Every count of a store goes into a bag of its own."""
+    return F.concat_ws("-", F.lit("B"), F.col(store).cast("string"), F.col(count).cast("string"))
+
+
 def last_counts(counts: DataFrame) -> DataFrame:
     """The latest manual count per round, till and tender."""
-    return latest_rows(counts, ROUND + ["tender_id"], ["count_no"], ["count_no", "amount", "counted_by", "bag_id"])
+    last = latest_rows(counts, ROUND + ["tender_id"], ["count_no"], ["count_no", "amount", "counted_by"])
+    return last.withColumn("bag_id", bag_of("store_idx", "count_no"))
 
 
 def _tender_columns(prefix: str = "") -> list[Column]:
@@ -360,7 +366,8 @@ def receipt_date_range(totals: DataFrame) -> DataFrame:
     return totals.groupBy("store_idx", "znr").agg(F.min("first_date").alias("first_day"), F.max("last_date").alias("last_day"))
 
 
-def last_count_cashier(counts: DataFrame) -> DataFrame:
+def last_count_cashier(counts: DataFrame, users: DataFrame) -> DataFrame:
     """Who made the last count of a round, and the bag it went into."""
-    latest = latest_rows(counts, ["store_idx", "znr"], ["count_no", "till_id", "tender_id"], ["count_no", "counted_by", "bag_id"])
-    return latest
+    latest = latest_rows(counts, ["store_idx", "znr"], ["count_no", "till_id", "tender_id"], ["count_no", "counted_by"])
+    names = users.select(F.col("cashier_idx").alias("counted_by"), "cashier_name")
+    return latest.join(names, "counted_by").withColumn("bag_id", bag_of("store_idx", "count_no"))

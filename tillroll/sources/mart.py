@@ -132,14 +132,24 @@ class Mart:
         A returned row keeps its quantity positive in ``qty_return`` and its amounts negative in
         ``return_*``.
         """
-        returned = F.col("l_returnflag") == "R"
-        campaign = cents("l_discount").cast("int")
-        vat_group = cents("l_tax").cast("int")
-        price = cents("l_extendedprice")
-        gross = percent_of(price, 100 - campaign)
-        vat = percent_of(gross, vat_group)
-        cost = percent_of(price, 70)
-        qty = cents("l_quantity")
+        raw = self.table("lineitem").select(
+            F.col("l_orderkey").alias("receipt_id"),
+            F.col("l_linenumber").alias("line_no"),
+            F.col("l_shipdate").cast("date").alias("sale_date"),
+            F.col("l_partkey").alias("article_idx"),
+            F.col("l_suppkey").alias("supplier_idx"),
+            F.col("l_linestatus").alias("line_status"),
+            (F.col("l_returnflag") == "R").alias("_returned"),
+            cents("l_quantity").alias("_qty"),
+            cents("l_extendedprice").alias("_price"),
+            cents("l_discount").cast("int").alias("price_type"),
+            cents("l_tax").cast("int").alias("vat_group"),
+        )
+        # One step per derived amount: each is computed once per row, whichever columns are read.
+        priced = raw.withColumn("_gross", percent_of(F.col("_price"), 100 - F.col("price_type")))
+        taxed = priced.withColumn("_vat", percent_of(F.col("_gross"), F.col("vat_group")))
+        returned, campaign = F.col("_returned"), F.col("price_type")
+        qty, price, gross, vat = F.col("_qty"), F.col("_price"), F.col("_gross"), F.col("_vat")
 
         def sold(whole: Column) -> Column:
             return from_cents(F.when(~returned, whole).otherwise(0))
@@ -147,16 +157,15 @@ class Mart:
         def back(whole: Column) -> Column:
             return from_cents(F.when(returned, whole).otherwise(0))
 
-        day = F.col("l_shipdate").cast("date")
-        return self.table("lineitem").select(
-            F.col("l_orderkey").alias("receipt_id"),
-            F.col("l_linenumber").alias("line_no"),
-            receipt_row_key("l_orderkey", "l_linenumber").alias("receipt_idx"),
-            day.alias("sale_date"),
-            date_key(day).alias("date_key"),
-            F.col("l_partkey").alias("article_idx"),
-            F.col("l_suppkey").alias("supplier_idx"),
-            F.col("l_linestatus").alias("line_status"),
+        return taxed.select(
+            "receipt_id",
+            "line_no",
+            receipt_row_key("receipt_id", "line_no").alias("receipt_idx"),
+            "sale_date",
+            date_key("sale_date").alias("date_key"),
+            "article_idx",
+            "supplier_idx",
+            "line_status",
             sold(qty).alias("qty_sold"),
             back(qty).alias("qty_return"),
             sold(price).alias("list_amount"),
@@ -167,9 +176,9 @@ class Mart:
             sold(vat).alias("sales_vat"),
             back(-vat).alias("return_vat"),
             sold(price - gross).alias("discount_amount"),
-            from_cents(F.when(returned, -cost).otherwise(cost)).alias("cost_amount"),
-            vat_group.alias("vat_group"),
-            campaign.alias("price_type"),
+            from_cents(F.when(returned, -percent_of(price, 70)).otherwise(percent_of(price, 70))).alias("cost_amount"),
+            "vat_group",
+            "price_type",
             F.when(campaign.between(1, 4), campaign).alias("campaign_id"),
             F.when(campaign.between(5, 7), campaign).alias("combination_id"),
             F.when(campaign >= 8, campaign).alias("reduction_id"),
@@ -435,13 +444,12 @@ class Mart:
             F.col("l_linenumber").alias("count_no"),
             dec("l_extendedprice").alias("counted"),
         )
-        heads = self.receipts.select("receipt_id", "sale_date", "store_idx", "till_id", "tender_id", "cashier_name")
+        heads = self.receipts.select("receipt_id", "sale_date", "store_idx", "till_id", "tender_id", "cashier_idx")
         znr = F.year("sale_date") * 100 + F.month("sale_date")
         return (
             rows.join(heads, "receipt_id")
             .groupBy("store_idx", znr.alias("znr"), "till_id", "tender_id", "count_no")
-            .agg(F.sum("counted").alias("amount"), F.max("cashier_name").alias("counted_by"))
-            .withColumn("bag_id", F.concat_ws("-", F.lit("B"), F.col("store_idx").cast("string"), F.col("count_no").cast("string")))
+            .agg(F.sum("counted").alias("amount"), F.max("cashier_idx").alias("counted_by"))
         )
 
     @cached_property
