@@ -162,7 +162,7 @@ def _(m: Mart) -> DataFrame:
 def _(m: Mart) -> DataFrame:
     per_article = m.sales_rows.groupBy("article_idx").agg(net_amount_sum().alias("revenue"), F.count("*").alias("row_count"))
     groups = per_article.join(m.articles, "article_idx")
-    return agg.with_grand_total(groups, ["lev1_id"], [F.sum(c).alias(c) for c in ("revenue", "row_count")])
+    return agg.with_grand_total(groups, ["lev1_id"], [F.sum(c).alias(c) for c in ("revenue", "row_count")]).drop("is_total")
 
 
 @query("a15_ratios", """

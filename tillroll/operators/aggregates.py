@@ -37,15 +37,18 @@ def subtotals(df: DataFrame, outer: str, inner: str, aggs: Sequence[Column], lab
     )
 
 
-def with_grand_total(df: DataFrame, keys: Sequence[str], aggs: Sequence[Column], label: str = "Total") -> DataFrame:
-    """Grouped rows and one total row, from a single pass."""
+def with_grand_total(
+    df: DataFrame, keys: Sequence[str], aggs: Sequence[Column], label: str = "Total", flag: str = "is_total"
+) -> DataFrame:
+    """Grouped rows and one total row, from a single pass.  The flag comes from the grouping id, so a
+    group that happens to bear the label is not taken for the total."""
     first, *rest = keys
     grouped = df.groupingSets([[F.col(k) for k in keys], []], *[F.col(k) for k in keys]).agg(
         *aggs, F.grouping_id().alias("_level")
     )
     is_total = F.col("_level") > 0
-    return grouped.withColumn(
-        first, F.when(is_total, F.lit(label)).otherwise(F.col(first).cast("string"))
+    return grouped.withColumns(
+        {first: F.when(is_total, F.lit(label)).otherwise(F.col(first).cast("string")), flag: is_total}
     ).drop("_level")
 
 

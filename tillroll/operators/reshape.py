@@ -65,13 +65,22 @@ def ledger_lines(
     return df.select(*keep, F.explode(F.array(*items)).alias("_line")).select(*keep, "_line.*")
 
 
-def fill_categories(df: DataFrame, keys: Sequence[str], category: str, values: Sequence[str]) -> DataFrame:
-    """Make sure every key has every category; added rows carry NULL measures.
+def missing_categories(
+    df: DataFrame, keys: Sequence[str], category: str, values: Sequence[str], like: DataFrame
+) -> DataFrame:
+    """Rows for the categories a key does not have, shaped like another frame with NULL measures.
 
-    The missing pairs come from the set of categories each key already has (bounded by the list),
-    so only absent rows are made and the existing rows are not joined.
+    Each key is reduced to one flag per category (combined before the shuffle), so neither rows nor
+    sets are gathered and the existing rows are not joined.
     """
-    present = df.groupBy(*keys).agg(F.collect_set(category).alias("_have"))
-    wanted = F.array(*[F.lit(v) for v in values])
-    added = present.select(*keys, F.explode(F.array_except(wanted, "_have")).alias(category))
-    return df.unionByName(added, allowMissingColumns=True)
+    has = [F.max(F.col(category) == v).alias(f"_has_{i}") for i, v in enumerate(values)]
+    flags = df.groupBy(*keys).agg(*has)
+    absent = [F.when(~F.col(f"_has_{i}"), F.lit(v)) for i, v in enumerate(values)]
+    added = flags.select(*keys, F.explode(F.array_compact(F.array(*absent))).alias(category))
+    types = dict(like.dtypes)
+    return added.select(*[F.col(c) if c in added.columns else F.lit(None).cast(types[c]).alias(c) for c in like.columns])
+
+
+def fill_categories(df: DataFrame, keys: Sequence[str], category: str, values: Sequence[str]) -> DataFrame:
+    """Make sure every key has every category; added rows carry NULL measures."""
+    return df.unionByName(missing_categories(df, keys, category, values, df))

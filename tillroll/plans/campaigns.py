@@ -10,7 +10,7 @@ from tillroll.functions.money import net_qty_sum, sum_if, unit_value
 from tillroll.operators import filters as flt
 from tillroll.operators.aggregates import distinct_text
 from tillroll.operators.joins import either_key
-from tillroll.operators.reshape import fill_categories, union_distinct, union_rows
+from tillroll.operators.reshape import missing_categories, union_rows
 from tillroll.plans.calendar import Bounds, within
 from tillroll.plans.compare import CAMPAIGN_COLUMNS
 
@@ -32,28 +32,22 @@ def campaign_profitability(
         }
     )
     keys = ["store_idx", "article_idx", "unit_price", "unit_cost", "campaign_kind"]
-    parts = []
+    wanted = []
     if kinds in (DISCOUNTS_ONLY, ALL_KINDS):
-        kind = F.when(F.col("price_type") == 0, F.lit("Single")).otherwise(F.lit("MixMatch"))
-        discounts = priced.filter(F.col("combination_id").isNotNull() | (F.col("price_type") == 0))
-        parts.append(discounts.withColumn("campaign_kind", kind))
+        wanted.append(F.when(F.col("price_type") == 0, F.lit("Single")).when(F.col("combination_id").isNotNull(), F.lit("MixMatch")))
     if kinds in (PRICE_CUTS_ONLY, ALL_KINDS):
-        parts.append(priced.filter(F.col("reduction_id").isNotNull()).withColumn("campaign_kind", F.lit("PriceCut")))
-    grouped = [
-        p.groupBy(*keys).agg(F.sum("sales_amount").alias("sales_amount"), F.sum("qty_sold").alias("sold")) for p in parts
-    ]
-    found = grouped[0] if len(grouped) == 1 else union_distinct(*grouped)
+        wanted.append(F.when(F.col("reduction_id").isNotNull(), F.lit("PriceCut")))
+    # A sale may count as a discount and as a price cut: one pass gives it to each kind it has.
+    tagged = priced.withColumn("campaign_kind", F.explode(F.array_compact(F.array(*wanted))))
+    found = tagged.groupBy(*keys).agg(F.sum("sales_amount").alias("sales_amount"), F.sum("qty_sold").alias("sold"))
     named = found.join(stores.select("store_idx", "store_name"), "store_idx").join(
         articles.select("article_idx", "article_id", "article_name"), "article_idx"
     ).drop("store_idx", "article_idx")
     if kinds == PRICE_CUTS_ONLY:
         return named
-    cuts = named.filter(F.col("campaign_kind") == "PriceCut")
-    paired = fill_categories(
-        named.filter(F.col("campaign_kind") != "PriceCut"), ["store_name", "article_id", "article_name"], "campaign_kind",
-        ["Single", "MixMatch"],
-    )
-    return union_rows(paired, cuts.select(*paired.columns))
+    pair = ["Single", "MixMatch"]
+    having = named.filter(F.col("campaign_kind").isin(pair))
+    return union_rows(named, missing_categories(having, ["store_name", "article_id", "article_name"], "campaign_kind", pair, named))
 
 
 def campaign_quantities(

@@ -8,7 +8,7 @@ from __future__ import annotations
 
 import datetime as dt
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from tillroll.functions.money import safe_div, sum_each_if
 from tillroll.functions.text import split_list
@@ -41,8 +41,13 @@ def compared_revenue(
     aggs = pair(in_first, "1")
     if second is not None:
         aggs += pair(within("sale_date", second), "2")
-    per_key = _on_campaign_days(kept, aggs, campaigns) if campaigns else kept.groupBy("store_idx", "article_idx").agg(*aggs)
-    named = per_key.join(stores.select("store_idx", "store_name"), "store_idx").join(dim, "article_idx")
+    if campaigns:
+        per_key = _on_campaign_days(kept, aggs, campaigns)
+    else:
+        per_key = kept.groupBy("store_idx", *(["article_idx"] if by_article or article_ids else [])).agg(*aggs)
+    named = per_key.join(stores.select("store_idx", "store_name"), "store_idx")
+    if "article_idx" in per_key.columns:
+        named = named.join(dim, "article_idx")
     names = [c for c in per_key.columns if c not in ("store_idx", "article_idx")]
     keys: list = ["store_name"]
     none = F.lit(None).cast("string")
@@ -123,14 +128,19 @@ def year_report(sums: DataFrame) -> DataFrame:
     windows = ("period", "ytd", "last_year", "last_ytd")
     sum_names = [c for c in sums.columns if c != "lev1_name"]
     rows = with_grand_total(sums, ["lev1_name"], [F.sum(n).alias(n) for n in sum_names])
-    totals = sums.agg(*[F.sum(f"customers_{w}").alias(w) for w in windows])
-    joined = rows.withColumn("all_customers", totals.select(F.struct(*windows)).scalar())
+    # One row per group by now: the total's customers reach the groups through a window over these
+    # few rows, where a scalar subquery would read the sales a second time.
+    everything = Window.partitionBy(F.lit(0))
+    is_total = F.col("is_total")
+    joined = rows.withColumns(
+        {f"all_customers_{w}": F.max(F.when(is_total, F.col(f"customers_{w}"))).over(everything) for w in windows}
+    )
 
     def row(make) -> dict[str, Column]:
         return {w: F.nullif(make(w), F.lit(0.0)) for w in windows}
 
     def customers(w: str) -> Column:
-        return F.col(f"all_customers.{w}")
+        return F.col(f"all_customers_{w}")
 
     def amount(w: str) -> Column:
         return F.col(f"revenue_{w}").cast("double")
@@ -146,9 +156,9 @@ def year_report(sums: DataFrame) -> DataFrame:
         "5 ItemsPerCustomer": row(lambda w: safe_div(items(w), customers(w), "null")),
         "6 PricePerItem": row(lambda w: safe_div(amount(w), items(w), "null")),
     }
-    shown = joined.filter((F.col("revenue_period") != 0) | (F.col("lev1_name") == "Total"))
-    lines = measures_as_rows(shown, ["lev1_name"], table)
-    return lines.filter((F.col("measure") != "3 NoOfCustomers") | (F.col("lev1_name") == "Total"))
+    shown = joined.filter((F.col("revenue_period") != 0) | is_total)
+    lines = measures_as_rows(shown, ["lev1_name", "is_total"], table)
+    return lines.filter((F.col("measure") != "3 NoOfCustomers") | is_total).drop("is_total")
 
 
 def year_difference(everything: DataFrame, collected: DataFrame) -> DataFrame:

@@ -66,12 +66,11 @@ def report_lines(lines: DataFrame, totals: DataFrame) -> DataFrame:
         text(F.col("report_code"), F.col("store_idx"), F.col("week"), F.col("id_kind"), F.col("gtin"), *money, F.col("customers"),
              F.col("vat").cast("decimal(28,2)"), F.col("supplier_idx"), F.col("group_id"), F.col("article_name")).alias("line"),
     )
-    total = totals.select(
-        "store_idx", "week", F.lit(3).alias("part"),
-        text(F.lit("OTU"), F.col("store_idx"), F.col("week"), F.lit("SUM"), *money, F.col("customers"), F.col("vat").cast("decimal(28,2)")).alias("line"),
+    total = text(F.lit("OTU"), F.col("store_idx"), F.col("week"), F.lit("SUM"), *money, F.col("customers"), F.col("vat").cast("decimal(28,2)"))
+    frame = F.array(
+        F.struct(F.lit(1).alias("part"), F.lit(FILE_HEADER).alias("line")), F.struct(F.lit(3).alias("part"), total.alias("line"))
     )
-    header = totals.select("store_idx", "week", F.lit(1).alias("part"), F.lit(FILE_HEADER).alias("line"))
-    return union_rows(header, detail, total)
+    return union_rows(detail, totals.select("store_idx", "week", F.inline(frame)))
 
 
 # Reason written for a transfer between stores.
