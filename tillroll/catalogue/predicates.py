@@ -12,6 +12,7 @@ from tillroll.functions.money import net_amount_sum, net_qty_sum, sum_if
 from tillroll.operators import filters as flt
 from tillroll.operators.payments import classify_payments
 from tillroll.plans.calendar import Period
+from tillroll.plans.masterdata import hierarchy_nodes
 from tillroll.sources.mart import AS_OF, Mart
 
 
@@ -235,11 +236,7 @@ def _(m: Mart) -> DataFrame:
     SELECT DISTINCT lev2_id AS node_id, lev1_id AS parent_id FROM article
     WHERE lev2_id IS NOT NULL AND lower(lev1_name) LIKE '%prom%'""")
 def _(m: Mart) -> DataFrame:
-    upper = m.articles.select(F.col("lev1_id").alias("node_id"), F.col("lev1_name").alias("node_name")).distinct()
-    lower = m.articles.filter(F.col("lev2_id").isNotNull()).select(
-        F.col("lev2_id").alias("node_id"), F.col("lev2_name").alias("node_name"), F.col("lev1_id").alias("parent_id")
-    ).distinct()
-    nodes = upper.withColumn("parent_id", F.lit(None).cast("string")).unionByName(lower)
+    nodes = hierarchy_nodes(m.articles)
     return flt.branch_members(nodes, "Prom").select("node_id", "parent_id")
 
 

@@ -10,7 +10,7 @@ from pyspark.sql import SparkSession
 def shared_folder(spark: SparkSession) -> str:
     """The folder every executor can reach, as the session names it.  Only a local session without
     the setting falls back on a temporary folder of its own machine."""
-    named = spark.conf.get("spark.checkpoint.dir", None)
+    named = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if named:
         return named
     if not spark.sparkContext.master.startswith("local"):
