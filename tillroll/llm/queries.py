@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from tillroll.llm import covering_simhash, entropy_mix, pu_quality, token_files, winnowing
+from tillroll.llm import covering_simhash, entropy_mix, pu_quality, token_files, toxicity_gru, winnowing
 from tillroll.llm.shared import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -76,6 +76,12 @@ def op8(spark: SparkSession, directory: str) -> DataFrame:
     return found.select("doc_id", "n_words", "n_hit", "n_items", digest.alias("items_sha256"), "contaminated")
 
 
+@query("op9_toxicity_gru")
+def op9(spark: SparkSession, directory: str) -> DataFrame:
+    scored = toxicity_gru.toxicity(table(spark, directory, "documents"), table(spark, directory, "labels"))
+    return scored.select("doc_id", "held_out", "score", (F.col("score") >= toxicity_gru.THRESHOLD).cast("int").alias("predicted"))
+
+
 @query("op10_token_files")
 def op10(spark: SparkSession, directory: str) -> DataFrame:
     return token_files.token_digests(table(spark, directory, "documents"), token_files.default_tokenizer(spark))
