@@ -6,7 +6,10 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from tillroll.llm import covering_simhash, entropy_mix, pu_quality, token_files, toxicity_gru, winnowing
+from tillroll.llm import (
+    covering_simhash, entropy_mix, fuzzy_lines, line_frequency, perspectives, pu_quality, token_files, toxicity_gru, url_templates,
+    winnowing,
+)
 from tillroll.llm.shared import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -23,12 +26,44 @@ def query(name: str, sql: str | None = None) -> Callable:
     return register
 
 
+@query("op1_url_templates")
+def op1(spark: SparkSession, directory: str) -> DataFrame:
+    return url_templates.judge(table(spark, directory, "pages"))
+
+
 @query("op2_entropy_mix")
 def op2(spark: SparkSession, directory: str) -> DataFrame:
     mixed = entropy_mix.mixed(table(spark, directory, "documents"))
     return mixed.select("doc_id", "size", "source_size", "target", (F.col("copies") * F.col("size")).alias("taken"))
 
 
+OP3_SQL = """
+WITH turns AS (
+  SELECT conv_id, role AS speaker, replace(coalesce(text, ''), '<|', '< |') AS text,
+    row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS LAST, role NULLS LAST, text NULLS LAST) - 1 AS nth
+  FROM conversations
+), seen AS (
+  SELECT t.conv_id, p.perspective, nth // 200 AS piece, nth, speaker IS NOT DISTINCT FROM p.perspective AS mine, text || '<|im_end|>' AS body,
+    '<|im_start|>' || CASE WHEN speaker IS NOT DISTINCT FROM p.perspective THEN 'assistant' WHEN speaker = 'system' THEN 'system'
+      ELSE 'user name=' || coalesce(replace(speaker, '<|', '< |'), 'unknown') END || chr(10) AS head
+  FROM turns t JOIN (SELECT DISTINCT conv_id, speaker AS perspective FROM turns WHERE speaker <> 'system') p ON t.conv_id IS NOT DISTINCT FROM p.conv_id
+), placed AS (
+  SELECT *, sum(length(head) + length(body) + 1) OVER (PARTITION BY conv_id, perspective, piece ORDER BY nth) - length(body) - 1 AS start FROM seen
+)
+SELECT conv_id, perspective, CAST(piece AS BIGINT) AS piece, count(*) AS n_turns, count(*) FILTER (mine) AS n_own,
+  sha256(string_agg(head || body || chr(10), '' ORDER BY nth)) AS rendered_sha256,
+  coalesce(string_agg(CAST(start AS BIGINT) || '-' || CAST(start + length(body) AS BIGINT), ',' ORDER BY nth) FILTER (mine), '') AS spans
+FROM placed GROUP BY conv_id, perspective, piece
+"""
+
+
+@query("op3_perspectives", OP3_SQL)
+def op3(spark: SparkSession, directory: str) -> DataFrame:
+    shown = perspectives.perspectives(table(spark, directory, "conversations"))
+    spans = F.array_join(F.transform("spans", lambda s: F.concat(s["begin"].cast("string"), F.lit("-"), s["end"].cast("string"))), ",")
+    return shown.select("conv_id", "perspective", "piece", "n_turns", "n_own", F.sha2(F.col("rendered").cast("binary"), 256).alias("rendered_sha256"), spans.alias("spans"))
+
+
 @query("op4_pu_quality")
 def op4(spark: SparkSession, directory: str) -> DataFrame:
     scored = pu_quality.quality(table(spark, directory, "documents"), table(spark, directory, "labels"))
@@ -41,6 +76,43 @@ def op5(spark: SparkSession, directory: str) -> DataFrame:
     return found.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
 
 
+OP6_SQL = """
+WITH d AS (SELECT row_number() OVER () AS r, doc_id, coalesce('=' || source, '') AS host, coalesce(text, '') AS t FROM documents
+), w AS (SELECT r, regexp_extract_all(t, '[^\\x20\\x09-\\x0D]+') AS w FROM d
+), runs AS (SELECT r, i, array_to_string(w[i : i + 4], ' ') AS s FROM (SELECT r, w, unnest(range(1, len(w) - 3)) AS i FROM w WHERE len(w) >= 5)
+), twice AS (SELECT r, i FROM runs JOIN (SELECT r, s FROM runs GROUP BY r, s HAVING count(*) > 1) USING (r, s)
+), repeated AS (SELECT r, count(DISTINCT p) AS n_repeat_words FROM (SELECT r, unnest(range(i, i + 5)) AS p FROM twice) GROUP BY r
+), lines AS (
+  SELECT r, host, l, regexp_extract_all(l, '[^\\x20\\x09-\\x0D]+') AS w FROM (SELECT r, host, unnest(string_split(t, chr(10))) AS l FROM d)
+  WHERE regexp_matches(l, '[^\\x20\\x09-\\x0D]')
+), dups AS (SELECT r, count(*) - count(DISTINCT l) AS n_dup_lines FROM lines GROUP BY r
+), in_doc AS (SELECT r, host, lower(array_to_string(w, ' ')) AS line, sum(len(w)) AS size FROM lines GROUP BY ALL
+), common AS (
+  SELECT host, line FROM (SELECT host, line, count(*) AS n FROM in_doc GROUP BY ALL) JOIN (SELECT host, count(*) AS documents FROM d GROUP BY host) USING (host)
+  WHERE n >= 20 AND n >= 0.01 * documents
+), removed AS (SELECT r, sum(size) AS n_removed FROM in_doc JOIN common USING (host, line) GROUP BY r
+), counts AS (
+  SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(length(array_to_string(w, '')) AS BIGINT) AS word_chars,
+    CAST(length(regexp_replace(t, '[^#*$%&|<>]', '', 'g')) AS BIGINT) AS n_symbols, CAST(coalesce(n_dup_lines, 0) AS BIGINT) AS n_dup_lines,
+    CAST(coalesce(n_repeat_words, 0) AS BIGINT) AS n_repeat_words, CAST(coalesce(n_removed, 0) AS BIGINT) AS n_removed
+  FROM d JOIN w USING (r) LEFT JOIN dups USING (r) LEFT JOIN repeated USING (r) LEFT JOIN removed USING (r)
+)
+SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, n_words < 10 OR 100 * n_repeat_words > 20 * n_words AS base_failed, n_removed,
+  NOT (n_words < 10 OR 100 * n_repeat_words > 20 * n_words) AND n_words - n_removed >= 0.3 * n_words AS kept
+FROM counts
+"""
+
+
+@query("op6_line_frequency", OP6_SQL)
+def op6(spark: SparkSession, directory: str) -> DataFrame:
+    return line_frequency.judged(table(spark, directory, "documents"))
+
+
+@query("op7_fuzzy_lines")
+def op7(spark: SparkSession, directory: str) -> DataFrame:
+    return fuzzy_lines.fuzzy(table(spark, directory, "documents"))
+
+
 OP8_SQL = """
 WITH doc_words AS (
   SELECT rowid AS r, doc_id, w, len(w) AS n FROM (
