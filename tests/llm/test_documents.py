@@ -315,7 +315,8 @@ def test_fuzzy_lines(spark, rounds):
     lines = [(i, n, " ".join(raw.lower().split())) for i, t, _ in rows for n, raw in enumerate((t or "").split("\n")) if raw.strip()]
     distinct = sorted({x[2] for x in lines})
     edges = [round(k * 64 / 5) for k in range(6)]
-    prints = [[plain_simhash(x) >> a & (1 << b - a) - 1 for a, b in zip(edges, edges[1:], strict=False)] for x in distinct]
+    whole = [plain_simhash(x) for x in distinct]
+    prints = [[x >> a & (1 << b - a) - 1 for a, b in zip(edges, edges[1:], strict=False)] for x in whole]
     parent = list(range(len(distinct)))
 
     def top(x):
@@ -326,7 +327,8 @@ def test_fuzzy_lines(spark, rounds):
     for i in range(len(distinct)):
         for j in range(i):
             a, b = distinct[i], distinct[j]
-            if sum(x == y for x, y in zip(prints[i], prints[j], strict=True)) >= 2 and edit_distance(a, b) <= int(round(0.2 * max(len(a), len(b)), 6)):
+            met = sum(x == y for x, y in zip(prints[i], prints[j], strict=True)) >= 2 and (whole[i] ^ whole[j]).bit_count() <= 8
+            if met and edit_distance(a, b) <= int(round(0.2 * max(len(a), len(b)), 6)):
                 parent[max(top(i), top(j))] = min(top(i), top(j))
     group = {x: top(k) for k, x in enumerate(distinct)}
     assert Counter((r.doc_id, r.nth) for r in got) == Counter((i, n) for i, n, _ in lines)

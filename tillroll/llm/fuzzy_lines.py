@@ -2,24 +2,29 @@
 
 The 64 bits of a line's SimHash are cut into five blocks, and each pair of blocks is a table: lines
 that differ in at most three bits agree in two blocks at least, so they meet in a table.  Lines
-that meet are linked if their edit similarity, 1 - distance / longer length, is at least 0.8.
+that meet and differ in at most `RADIUS` bits are linked if their edit similarity,
+1 - distance / longer length, is at least 0.8: no pair within three bits is missed, and those
+beyond that agree in two blocks are taken along.
 
 Not all pairs of a crowded bucket are compared.  Rounds of pivots come first: in each bucket all
-lines are compared with one, the first of those that aren't connected to the earlier pivots, and
-what is linked becomes one component.  Then only pairs of a bucket that lie in different
+lines are compared with one, first the smallest and then one of those that aren't connected to it,
+and what is linked becomes one component.  Then only pairs of a bucket that lie in different
 components are compared, as pairs of one component have nothing to add.  The components are those
 of all links.  All of it is made of DataFrame functions.
 """
 
 from __future__ import annotations
 
+import uuid
 from itertools import combinations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
 from tillroll.llm.shared import components, staged, words
+from tillroll.sources.scratch import scratch_path
 
 BITS, BLOCKS = 64, 5
+RADIUS = 8
 SIMILARITY = 0.8
 #: Rounds of pivots before the remaining pairs are compared.
 ROUNDS = 2
@@ -52,15 +57,31 @@ def simhash(lines: DataFrame) -> DataFrame:
     return sums.select("key", bits.alias("simhash"))
 
 
+def kept_by_key(lines: DataFrame) -> DataFrame:
+    """Distinct lines (key, line), written once in buckets of their key: what is summed by key or
+    joined on it later doesn't move the texts again."""
+    spark = lines.sparkSession
+    name, parts = f"lines_{uuid.uuid4().hex}", int(spark.conf.get("spark.sql.shuffle.partitions"))
+    once = lines.groupBy("key").agg(F.first("line").alias("line"))
+    writer = once.write.format("parquet").option("path", f"{scratch_path(spark)}-lines").option("compression", "zstd")
+    writer.bucketBy(parts, "key").sortBy("key").saveAsTable(name)
+    return spark.table(name)
+
+
 def buckets(hashes: DataFrame) -> DataFrame:
-    """tab, bucket and key, for each pair of blocks; only buckets that more than one line is in."""
+    """bucket, key and simhash, for each pair of blocks; only buckets that more than one line is in."""
     edges = [round(k * BITS / BLOCKS) for k in range(BLOCKS + 1)]
     masks = [((1 << b) - (1 << a)) for a, b in zip(edges, edges[1:], strict=False)]
     pairs = [x | y for x, y in combinations(masks, 2)]
     signed = [m - (1 << BITS) if m >> BITS - 1 else m for m in pairs]
-    spread = F.array(*[F.struct(F.lit(k).alias("tab"), F.col("simhash").bitwiseAND(F.lit(m)).alias("bucket")) for k, m in enumerate(signed)])
-    rows = hashes.select("key", F.inline(spread))
-    return rows.join(rows.groupBy("tab", "bucket").count().where("count > 1").select("tab", "bucket"), ["tab", "bucket"])
+    spread = F.array(*[F.xxhash64(F.lit(k), F.col("simhash").bitwiseAND(F.lit(m))) for k, m in enumerate(signed)])
+    # One exchange serves both the counts and the rows.
+    rows = hashes.select("key", "simhash", F.explode(spread).alias("bucket")).repartition("bucket")
+    return rows.join(rows.groupBy("bucket").count().where("count > 1").select("bucket"), "bucket")
+
+
+def _near(a: Column, b: Column) -> Column:
+    return F.bit_count(a.bitwiseXOR(b)) <= RADIUS
 
 
 def _similar(a: Column, b: Column, similarity: float) -> Column:
@@ -83,20 +104,21 @@ def linked(hashes: DataFrame, lines: DataFrame, similarity: float = SIMILARITY,
     met = staged(buckets(hashes), "met")
     links, found = None, None
     for number in range(rounds + 1):
-        rows = met if found is None else met.join(found, met["key"] == found["node"], "left").select("tab", "bucket", "key", F.coalesce("root", "key").alias("root"))
         if found is None:
-            rows = rows.withColumn("root", F.col("key"))
-        # A bucket is open while its lines lie in more than one component; the pivot is the first of its second component in turn.
-        state = rows.groupBy("tab", "bucket").agg(F.min("root").alias("low"), F.max("root").alias("high")).where("low <> high")
-        open_ = rows.join(state, ["tab", "bucket"])
+            rows = met.withColumn("root", F.col("key"))
+        else:
+            rows = met.join(found, met["key"] == found["node"], "left").select("bucket", "key", "simhash", F.coalesce("root", "key").alias("root"))
+        # A bucket is open while its lines lie in more than one component.
+        state = rows.groupBy("bucket").agg(F.min("root").alias("low"), F.max("root").alias("high")).where("low <> high")
+        open_ = rows.join(state, "bucket")
         if number < rounds:
-            pick = F.min("key") if number == 0 else F.min(F.when(F.col("root") == F.col("high"), F.col("key")))
-            pivot = open_.groupBy("tab", "bucket").agg(pick.alias("pivot"))
-            pairs = open_.join(pivot, ["tab", "bucket"]).select(F.col("key").alias("a"), F.col("pivot").alias("b"))
+            pivot = open_.where("root = low" if number == 0 else "root = high").groupBy("bucket").agg(F.min(F.struct("key", "simhash")).alias("p"))
+            met_pivot = open_.join(pivot, "bucket").where(_near(F.col("simhash"), F.col("p.simhash")))
+            pairs = met_pivot.select(F.col("key").alias("a"), F.col("p.key").alias("b"))
         else:
-            x = open_.select("tab", "bucket", F.col("key").alias("a"), F.col("root").alias("ra"))
-            y = open_.select("tab", "bucket", F.col("key").alias("b"), F.col("root").alias("rb"))
-            pairs = x.join(y, ["tab", "bucket"]).where("ra < rb").select("a", "b")
+            x = open_.select("bucket", F.col("key").alias("a"), F.col("root").alias("ra"), F.col("simhash").alias("sa"))
+            y = open_.select("bucket", F.col("key").alias("b"), F.col("root").alias("rb"), F.col("simhash").alias("sb"))
+            pairs = x.join(y, (x["bucket"] == y["bucket"]) & (F.col("ra") < F.col("rb")) & _near(F.col("sa"), F.col("sb"))).select("a", "b")
         new = verified(pairs, lines, similarity)
         links = staged(new if links is None else links.union(new), "similar")
         found = staged(components(links), "components")
@@ -112,7 +134,7 @@ def fuzzy(docs: DataFrame, similarity: float = SIMILARITY, rounds: int = ROUNDS)
     """
     all_lines = normal_lines(docs).withColumn("key", F.xxhash64("line"))
     places = staged(all_lines.select("doc_id", "nth", "key").withColumn("row", F.monotonically_increasing_id()), "places")
-    lines = staged(all_lines.groupBy("key").agg(F.first("line").alias("line")), "lines")
+    lines = kept_by_key(all_lines.select("key", "line"))
     hashes = staged(simhash(lines), "simhashes")
     found = linked(hashes, lines, similarity, rounds).select(F.col("node").alias("key"), "root")
     placed = places.join(found, "key", "left").withColumn("component", F.coalesce("root", "key"))
