@@ -310,7 +310,7 @@ def test_fuzzy_lines(spark, rounds):
             for place in rng.choice(60, int(rng.integers(0, 5)), replace=False):
                 words[place] = f"v{rng.integers(50)}"
             texts.append(" ".join(words).upper() if rng.random() < 0.2 else "  ".join(words))
-    rows = [(k, f"{t}\n\n{texts[(k * 7) % len(texts)]}\nonly {k}", "s") for k, t in enumerate(texts)] + [(None, None, None), (77, "", "s"), (5, "Only 5", "s")]
+    rows = [(k, f"{t}\n\n{texts[(k * 7) % len(texts)]}\nonly {k}", "s") for k, t in enumerate(texts)] + [(None, None, None), (77, "", "s"), (505, "Only 5", "s")]
     got = fuzzy_lines.fuzzy(cases.frame(spark, rows), rounds=rounds).collect()
     lines = [(i, n, " ".join(raw.lower().split())) for i, t, _ in rows for n, raw in enumerate((t or "").split("\n")) if raw.strip()]
     distinct = sorted({x[2] for x in lines})
