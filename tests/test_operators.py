@@ -31,6 +31,18 @@ def test_long_list_becomes_a_join_with_the_same_result(spark, monkeypatch):
     assert rows(flt.in_list(df, "x", values)) == expected
 
 
+def test_numbers_in_lists_compare_as_numbers(spark, monkeypatch):
+    df = spark.range(100).select("id")
+    for limit in (1000, 1):
+        monkeypatch.setattr(flt, "INLINE_LIST_LIMIT", limit)
+        assert rows(flt.in_list(df, "id", "007, abc,3, +12")) == [(12,), (3,), (7,)]
+        assert flt.in_list(df, "id", "abc").count() == 0
+
+
+def test_member_zero_is_known(spark):
+    assert rows(flt.known_members(spark.createDataFrame([(-1,), (0,), (4,), (None,)], "k int"), "k")) == [(0,), (4,)]
+
+
 def test_store_matching_on_two_levels_appears_once(spark):
     stores = spark.createDataFrame([(1, "10", "N", "1"), (2, None, "S", "2"), (3, "30", None, "3")], "store_idx int, a string, b string, store_id string")
     assert rows(flt.store_group(stores, "10,N,3", ["a", "b", "store_id"]).select("store_idx")) == [(1,), (3,)]

@@ -226,13 +226,13 @@ def _(m: Mart) -> DataFrame:
 
 
 @query("a20_correlated_count", """
-    SELECT a.order_no, a.line_no, a.article_idx, (SELECT count(*) FROM order_line b WHERE b.order_no = a.order_no AND b.line_no = a.line_no
+    SELECT a.order_no, a.line_no, a.article_idx, (SELECT count(*) FROM order_line b WHERE b.order_no = a.order_no AND b.link_no = a.link_no
         AND b.is_substitute) AS substitutes
     FROM order_line a WHERE a.line_status = 10""")
 def _(m: Mart) -> DataFrame:
-    found = m.order_lines.filter("is_substitute").groupBy("order_no", "line_no").agg(F.count("*").alias("substitutes"))
-    open_lines = m.order_lines.filter(F.col("line_status") == 10).select("order_no", "line_no", "article_idx")
-    return open_lines.join(found, ["order_no", "line_no"], "left").fillna(0, ["substitutes"])
+    found = m.order_lines.filter("is_substitute").groupBy("order_no", "link_no").agg(F.count("*").alias("substitutes"))
+    open_lines = m.order_lines.filter(F.col("line_status") == 10).select("order_no", "line_no", "link_no", "article_idx")
+    return open_lines.join(found, ["order_no", "link_no"], "left").drop("link_no").fillna(0, ["substitutes"])
 
 
 @query("a21_counts_with_sums", """

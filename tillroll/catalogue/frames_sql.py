@@ -37,7 +37,11 @@ FRAMES = {
                CAST(s_acctbal AS DECIMAL(12,2)) AS balance
         FROM supplier""",
     "line_cents": """
-        SELECT *, CAST(round(l_extendedprice * 100) AS BIGINT) AS price_c, CAST(round(l_discount * 100) AS INTEGER) AS disc_no,
+        SELECT *, row_number() OVER (PARTITION BY l_orderkey ORDER BY l_linenumber, l_partkey, l_suppkey, l_quantity, l_extendedprice, l_discount, l_tax,
+                   l_returnflag, l_linestatus, l_shipdate) AS line_pos,
+               row_number() OVER (PARTITION BY l_orderkey, l_returnflag = 'R' ORDER BY l_linenumber, l_partkey, l_suppkey, l_quantity, l_extendedprice, l_discount,
+                   l_tax, l_returnflag, l_linestatus, l_shipdate) AS link_pos,
+               CAST(round(l_extendedprice * 100) AS BIGINT) AS price_c, CAST(round(l_discount * 100) AS INTEGER) AS disc_no,
                CAST(round(l_tax * 100) AS INTEGER) AS tax_no FROM lineitem""",
     "line_raw": """
         SELECT *, CAST(l_extendedprice AS DECIMAL(12,2)) AS price, gross_c * CAST(0.01 AS DECIMAL(3,2)) AS gross,
@@ -46,7 +50,7 @@ FRAMES = {
                CAST(l_quantity AS DECIMAL(12,2)) AS qty, l_returnflag = 'R' AS is_return
         FROM (SELECT *, (price_c * (100 - disc_no) + 50) // 100 AS gross_c FROM line_cents)""",
     "sales_row": """
-        SELECT l_orderkey AS receipt_id, l_linenumber AS line_no, l_orderkey * 1000 + l_linenumber AS receipt_idx,
+        SELECT l_orderkey AS receipt_id, line_pos AS line_no, l_orderkey * 1000 + line_pos AS receipt_idx,
                CAST(l_shipdate AS DATE) AS sale_date,
                CAST(strftime(l_shipdate, '%Y%m%d') AS INTEGER) AS date_key,
                l_partkey AS article_idx, l_suppkey AS supplier_idx, l_linestatus AS line_status,
@@ -99,7 +103,7 @@ FRAMES = {
                flight_no, origin_code AS flight_direction, amount AS actual_amount
         FROM receipt WHERE tender_id = 3""",
     "order_line": """
-        SELECT l_orderkey AS order_no, l_linenumber AS line_no, l_partkey AS article_idx, l_suppkey AS supplier_idx,
+        SELECT l_orderkey AS order_no, line_pos AS line_no, link_pos AS link_no, l_partkey AS article_idx, l_suppkey AS supplier_idx,
                qty AS ordered_qty,
                CASE WHEN l_linestatus = 'O' THEN qty - l_linenumber ELSE qty END AS received_qty,
                price AS line_price, gross AS delivered_amount,
@@ -107,12 +111,12 @@ FRAMES = {
                is_return AS is_substitute
         FROM line_raw""",
     "till_event": """
-        SELECT event_id AS event_no, ts AS logged_at, CAST(ts AS DATE) AS log_date, user_id AS cashier_idx,
+        SELECT event_id AS event_no, ts AS logged_at, CAST(ts AS DATE) AS log_date, CAST(ts AS DATE) - 8218 AS business_date, user_id AS cashier_idx,
                event_type, CAST(value AS DECIMAL(12,2)) AS amount,
                CAST(regexp_extract(props, '([0-9]+)', 1) AS INTEGER) AS detail
         FROM events""",
     "payment": """
-        SELECT event_no AS payment_no, logged_at, log_date, CAST(strftime(log_date, '%Y%m%d') AS INTEGER) AS date_key,
+        SELECT event_no AS payment_no, logged_at, log_date, business_date, CAST(strftime(log_date, '%Y%m%d') AS INTEGER) AS date_key,
                hour(logged_at) * 100 + minute(logged_at) AS time_key, cashier_idx, c_name AS cashier_name,
                c_nationkey AS store_idx, c_mktsegment AS till_id, event_type, detail, amount,
                CASE event_type WHEN 'view' THEN 1 WHEN 'click' THEN 3 WHEN 'purchase' THEN 22 WHEN 'signup' THEN 2
@@ -126,7 +130,7 @@ FRAMES = {
                CASE WHEN event_type = 'signup' THEN detail // 13 + 1 ELSE detail // 9 + 50 END AS reason_no
         FROM payment WHERE event_type IN ('signup', 'error')""",
     "accumulation": """
-        SELECT store_idx, till_id, cashier_idx, cashier_name, log_date, amount,
+        SELECT store_idx, till_id, cashier_idx, cashier_name, log_date, business_date, amount,
                CASE event_type WHEN 'purchase' THEN 1 WHEN 'error' THEN 5
                     WHEN 'click' THEN CASE WHEN detail < 50 THEN 7 ELSE 6 END
                     WHEN 'signup' THEN CASE WHEN detail < 50 THEN 11 ELSE 19 END

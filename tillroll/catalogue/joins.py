@@ -135,17 +135,21 @@ def _(m: Mart) -> DataFrame:
 
 
 @query("j09_either_key", """
-    WITH item AS (SELECT reduction_id AS campaign, max(article_idx) AS item_idx, max(lev2_id) AS item_group
-                  FROM sales_row JOIN article USING (article_idx) WHERE reduction_id IS NOT NULL GROUP BY reduction_id)
-    SELECT campaign, article_idx, article_name FROM item JOIN article a
+    WITH item AS (SELECT DISTINCT reduction_id AS campaign, article_idx AS item_idx, lev2_id AS item_group
+                  FROM sales_row JOIN article USING (article_idx) WHERE reduction_id IS NOT NULL)
+    SELECT DISTINCT campaign, article_idx, article_name FROM item JOIN article a
       ON a.article_idx = item.item_idx OR a.lev2_id = item.item_group""")
 def _(m: Mart) -> DataFrame:
-    items = m.sales_rows.filter(F.col("reduction_id").isNotNull()).join(m.articles, "article_idx").groupBy(
-        F.col("reduction_id").alias("campaign")
-    ).agg(F.max("article_idx").alias("item_idx"), F.max("lev2_id").alias("item_group"))
+    covered = m.sales_rows.filter(F.col("reduction_id").isNotNull()).select(
+        F.col("reduction_id").alias("campaign"), F.col("article_idx").alias("item_idx")
+    ).distinct()
+    groups = covered.join(m.articles, F.col("item_idx") == F.col("article_idx")).select(
+        "campaign", F.lit(None).cast("bigint").alias("item_idx"), F.col("lev2_id").alias("item_group")
+    ).filter(F.col("item_group").isNotNull()).distinct()
+    items = covered.withColumn("item_group", F.lit(None).cast("string")).union(groups)
     return joins.either_key(
         items, m.articles, ("item_idx", "article_idx"), ("item_group", "lev2_id")
-    ).select("campaign", "article_idx", "article_name")
+    ).select("campaign", "article_idx", "article_name").distinct()
 
 
 @query("j10_value_in_columns", """
@@ -188,13 +192,13 @@ def _(m: Mart) -> DataFrame:
 
 @query("j13_self_join", """
     SELECT a.order_no, a.line_no, sum(b.line_price - a.line_price)::DOUBLE AS price_diff, count(*) AS pairs
-    FROM order_line a JOIN order_line b ON a.order_no = b.order_no AND a.line_no = b.line_no
+    FROM order_line a JOIN order_line b ON a.order_no = b.order_no AND a.link_no = b.link_no
     WHERE NOT a.is_substitute AND b.is_substitute AND b.line_price > a.line_price GROUP BY a.order_no, a.line_no""")
 def _(m: Mart) -> DataFrame:
-    a = m.order_lines.filter(~F.col("is_substitute")).select("order_no", "line_no", "line_price")
-    b = m.order_lines.filter("is_substitute").select("order_no", "line_no", F.col("line_price").alias("new_price"))
+    a = m.order_lines.filter(~F.col("is_substitute")).select("order_no", "line_no", "link_no", "line_price")
+    b = m.order_lines.filter("is_substitute").select("order_no", "link_no", F.col("line_price").alias("new_price"))
     diff = F.col("new_price") - F.col("line_price")
-    return a.join(b, ["order_no", "line_no"]).filter(diff > 0).groupBy("order_no", "line_no").agg(
+    return a.join(b, ["order_no", "link_no"]).filter(diff > 0).groupBy("order_no", "line_no").agg(
         F.sum(diff).alias("price_diff"), F.count("*").alias("pairs")
     )
 

@@ -158,8 +158,8 @@ def _(m: Mart) -> DataFrame:
 
 @query("p11_known_members", """
     SELECT s.supplier_idx, u.supplier_name, count(*) AS row_count
-    FROM sales_row s LEFT JOIN supp u ON u.supplier_idx = s.supplier_idx AND u.supplier_idx > 0
-    WHERE s.article_idx > 0 GROUP BY s.supplier_idx, u.supplier_name""")
+    FROM sales_row s LEFT JOIN supp u ON u.supplier_idx = s.supplier_idx AND u.supplier_idx >= 0
+    WHERE s.article_idx >= 0 GROUP BY s.supplier_idx, u.supplier_name""")
 def _(m: Mart) -> DataFrame:
     named = flt.known_members(m.suppliers, "supplier_idx").select("supplier_idx", "supplier_name")
     rows = flt.known_members(m.sales_rows, "article_idx")
@@ -184,7 +184,7 @@ def _(m: Mart) -> DataFrame:
        OR (date_key > 20240105 AND date_key < 20240121)
     GROUP BY date_key, tender_id""")
 def _(m: Mart) -> DataFrame:
-    rows = flt.between_moments(m.payments, "date_key", "time_key", (20240105, 930), (20240121, 1745))
+    rows = flt.between_moments(m.payments, "date_key", "time_key", (20240105, 930), (20240121, 1745), at_col="logged_at")
     return rows.groupBy("date_key", "tender_id").agg(F.count("*").alias("payments"), F.sum("amount").alias("amount"))
 
 

@@ -124,7 +124,7 @@ def _(m: Mart) -> DataFrame:
 
 
 _BAGS = """bag AS (SELECT cashier_idx, cashier_name, sum(CASE WHEN lev1_id = 'SMALL' THEN qty_sold - qty_return ELSE 0 END) AS bags,
-    count(CASE WHEN line_no = 1 THEN 1 END) AS customers FROM receipt_row JOIN article USING (article_idx) GROUP BY ALL
+    count(DISTINCT receipt_id) AS customers FROM receipt_row JOIN article USING (article_idx) GROUP BY ALL
     HAVING count(CASE WHEN lev1_id = 'SMALL' THEN 1 END) > 0)"""
 _BAG_RATIO = "bags::DOUBLE / coalesce(nullif(customers::DOUBLE, 0), 1)"
 

@@ -133,7 +133,7 @@ _BRANCHES = f"""
             FROM counting WHERE tender_id IN (1, 9)) WHERE rn = 1 GROUP BY ALL),
     c AS (SELECT store_idx, sale_date, sum(k.amount) AS counted_cash FROM k JOIN
             (SELECT store_idx, znr, max(last_date) AS sale_date FROM system_total GROUP BY ALL) x USING (store_idx, znr) GROUP BY ALL),
-    l AS (SELECT store_idx, log_date AS sale_date, sum(amount) AS lottery FROM payment WHERE event_type = 'purchase' GROUP BY ALL),
+    l AS (SELECT store_idx, business_date AS sale_date, sum(amount) AS lottery FROM payment WHERE event_type = 'purchase' GROUP BY ALL),
     b AS (SELECT s.*, coalesce(cash, 0) AS cash, coalesce(credit, 0) AS credit, coalesce(bank, 0) AS bank,
             {", ".join(f"coalesce(card_{c}, 0) AS card_{c}" for c in (1, 2, 3, 4, 9))}, coalesce(counted_cash, 0) AS counted_cash, coalesce(lottery, 0) AS lottery
           FROM s LEFT JOIN p ON p.store_idx = s.store_idx AND p.sale_date = s.sale_date LEFT JOIN c ON c.store_idx = s.store_idx AND c.sale_date = s.sale_date
@@ -403,7 +403,7 @@ def _pivot_sql(keys: str, counted: bool, invoices: bool) -> str:
     WITH t AS (SELECT {keys}, sum(CASE WHEN tender_id IN (1, 8) THEN {_HOME} ELSE 0 END) AS cash, sum(CASE WHEN tender_id IN (3, 5) THEN {_HOME} ELSE 0 END) AS bank_cards,
                  sum(CASE WHEN tender_id = 6 THEN -({_HOME}) ELSE 0 END) AS account_credit FROM system_total GROUP BY {keys}),
     a AS (SELECT {keys}, sum(CASE WHEN accumulation_id = 7 THEN amount ELSE 0 END) AS bottle_deposit, sum(CASE WHEN accumulation_id = 13 THEN amount ELSE 0 END) AS expenses
-          FROM (SELECT *, CAST(strftime(log_date, '%Y%m') AS INTEGER) AS znr FROM accumulation) WHERE accumulation_id IN (7, 13) GROUP BY {keys}){count_cte}{inv_cte}
+          FROM (SELECT *, CAST(strftime(business_date, '%Y%m') AS INTEGER) AS znr FROM accumulation) WHERE accumulation_id IN (7, 13) GROUP BY {keys}){count_cte}{inv_cte}
     SELECT 'POS' AS source, {keys}, coalesce(cash, 0)::DOUBLE AS cash, coalesce(bank_cards, 0)::DOUBLE AS bank_cards, coalesce(account_credit, 0)::DOUBLE AS account_credit,
            0::DOUBLE AS vouchers, 0::DOUBLE AS mobile, coalesce(bottle_deposit, 0)::DOUBLE AS bottle_deposit, coalesce(expenses, 0)::DOUBLE AS expenses,
            (coalesce(cash, 0) + coalesce(bank_cards, 0) + coalesce(account_credit, 0))::DOUBLE AS total{count_out}
@@ -411,7 +411,7 @@ def _pivot_sql(keys: str, counted: bool, invoices: bool) -> str:
 
 
 def _counters(m: Mart) -> DataFrame:
-    return m.accumulations.withColumn("znr", F.year("log_date") * 100 + F.month("log_date"))
+    return m.accumulations.withColumn("znr", F.year("business_date") * 100 + F.month("business_date"))
 
 
 @query("r78_reconciliation_by_register", _pivot_sql("store_idx, znr, till_id", False, True))

@@ -172,7 +172,7 @@ _COLLECTED_REVENUE = """SELECT article_idx, sum(received_qty) AS sold, sum(deliv
     sum(delivered_amount) - max(last_cost) * count(*) AS gross_profit
     FROM order_line JOIN collected USING (order_no) JOIN (
         SELECT article_idx, cost_amount AS last_cost FROM (SELECT *, row_number() OVER (PARTITION BY article_idx
-            ORDER BY sale_date DESC, receipt_idx DESC, cost_amount DESC) AS rn FROM sales_row) WHERE rn = 1) c USING (article_idx)
+            ORDER BY sale_date DESC, receipt_idx DESC) AS rn FROM sales_row WHERE qty_sold > 0) WHERE rn = 1) c USING (article_idx)
     WHERE delivered_amount <> 0 GROUP BY article_idx"""
 _CHANNEL = """SELECT article_name, article_id, lev2_name, sold::DOUBLE AS sold, revenue::DOUBLE AS revenue, gross_profit::DOUBLE AS gross_profit,
     last_sold::VARCHAR AS last_sold, DATE '2001-08-01' - last_sold AS days_since FROM last JOIN rev USING (article_idx)"""
@@ -359,8 +359,8 @@ def _(m: Mart) -> DataFrame:
                FROM receipt_row JOIN article USING (article_idx)),
     u AS (SELECT store_idx, sale_date, flight_no, origin, destination, flight_type, travel_type, lev1_id AS group_id, lev1_name AS group_name,
                  sum(qty_sold - qty_return) AS sold, sum(sales_excl_vat + return_excl_vat) AS revenue FROM f GROUP BY ALL
-          UNION ALL SELECT store_idx, sale_date, flight_no, origin, destination, flight_type, travel_type, '9999', '**No of customers**', 0, count(*)
-          FROM f WHERE line_no = 1 GROUP BY ALL)
+          UNION ALL SELECT store_idx, sale_date, flight_no, origin, destination, flight_type, travel_type, '9999', '**No of customers**', 0, count(DISTINCT receipt_id)
+          FROM f GROUP BY ALL)
     SELECT u.* EXCLUDE (store_idx, sale_date, sold, revenue), sale_date::VARCHAR AS sale_date, sold::DOUBLE AS sold, revenue::DOUBLE AS revenue,
            store_name, airport FROM u JOIN store USING (store_idx)""")
 def _(m: Mart) -> DataFrame:
@@ -424,7 +424,7 @@ def _(m: Mart) -> DataFrame:
     SELECT store_idx, till_id, date_key, article_id, gtin, article_name, lev3_id AS group_no, lev3_name AS group_name, qty_sold::DOUBLE AS qty,
            list_amount::DOUBLE AS normal_amount, sales_amount::DOUBLE AS sales_amount, (list_amount - sales_amount)::DOUBLE AS discount_amount,
            price_type, cashier_name
-    FROM receipt_row JOIN article USING (article_idx) WHERE price_type = 9 AND article_idx > 0""")
+    FROM receipt_row JOIN article USING (article_idx) WHERE price_type = 9""")
 def _(m: Mart) -> DataFrame:
     return sales.price_overrides(m.receipt_rows, m.articles, price_types=(9,))
 
@@ -437,10 +437,9 @@ def _(m: Mart) -> DataFrame:
            sum(CASE WHEN price_type IN (3, 4) THEN discount_amount ELSE 0 END)::DOUBLE AS campaign,
            sum(CASE WHEN price_type = 10 THEN discount_amount ELSE 0 END)::DOUBLE AS receipt_discount
     FROM sales_row LEFT JOIN article USING (article_idx)
-    WHERE discount_amount > 0 AND list_amount > 0 AND qty_sold - qty_return <> 0 GROUP BY 1, 2
-    ORDER BY 1, 2 NULLS FIRST LIMIT 1000""")
+    WHERE discount_amount > 0 AND list_amount > 0 AND qty_sold - qty_return <> 0 GROUP BY 1, 2""")
 def _(m: Mart) -> DataFrame:
-    return sales.discount_by_kind(m.sales_rows, m.articles, cap=1000)
+    return sales.discount_by_kind(m.sales_rows, m.articles)
 
 
 @query("r24_discount_detail", """
@@ -448,8 +447,7 @@ def _(m: Mart) -> DataFrame:
            sum(sales_amount)::DOUBLE AS sales_amount, sum(discount_amount)::DOUBLE AS discount_amount,
            sum(((list_amount - sales_amount)::DOUBLE / list_amount::DOUBLE * 100)::DECIMAL(18,6))::DOUBLE AS discount_percent
     FROM receipt_row JOIN article USING (article_idx) JOIN store USING (store_idx)
-    WHERE discount_amount > 0 AND list_amount > 0 AND qty_sold - qty_return <> 0 GROUP BY ALL
-    ORDER BY 1, 2, article_name, gtin LIMIT 1000""")
+    WHERE discount_amount > 0 AND list_amount > 0 AND qty_sold - qty_return <> 0 GROUP BY ALL""")
 def _(m: Mart) -> DataFrame:
     return sales.discount_detail(m.receipt_rows, m.articles, m.stores)
 
@@ -498,10 +496,10 @@ def _(m: Mart) -> DataFrame:
               HAVING min(sale_date) BETWEEN DATE '1995-01-01' AND DATE '1995-12-31'),
     regions AS (SELECT campaign_no, string_agg(DISTINCT lev1_region_name, ', ' ORDER BY lev1_region_name) AS selected_regions
                 FROM s JOIN store USING (store_idx) GROUP BY campaign_no),
-    item AS (SELECT campaign_no, max(article_idx) AS item_idx, max(lev2_id) AS item_group FROM s JOIN article USING (article_idx)
-             WHERE combination_id IS NOT NULL GROUP BY campaign_no),
+    item AS (SELECT DISTINCT campaign_no, article_idx AS item_idx, lev2_id AS item_group FROM s JOIN article USING (article_idx)
+             WHERE combination_id IS NOT NULL),
     cut AS (SELECT campaign_no, article_idx, max(sales_amount) AS campaign_price FROM s WHERE reduction_id IS NOT NULL AND qty_sold > 0 GROUP BY ALL),
-    u AS (SELECT campaign_no, 'No' AS promotion_price, article_id, article_name, brand_id, lev1_name AS category, lev2_name AS sub_category,
+    u AS (SELECT DISTINCT campaign_no, 'No' AS promotion_price, article_id, article_name, brand_id, lev1_name AS category, lev2_name AS sub_category,
                  retail_price AS ordinary_price, CAST(NULL AS DECIMAL(18,4)) AS campaign_price
           FROM item JOIN article ON article_idx = item_idx OR lev2_id = item_group
           UNION ALL SELECT campaign_no, 'Yes', article_id, article_name, brand_id, lev1_name, lev2_name, retail_price, campaign_price

@@ -58,8 +58,8 @@ def _(m: Mart) -> DataFrame:
                FROM stock_move GROUP BY ALL)
     SELECT store_name, article_id, article_name, gtin, supplier_name, adj_date::VARCHAR AS adj_date, type_no, reason_no, qty::DOUBLE AS qty,
            cost::DOUBLE / coalesce(nullif(qty::DOUBLE, 0), 1) AS unit_cost
-    FROM k LEFT JOIN store s ON s.store_idx = k.store_idx AND s.store_idx > 0 LEFT JOIN article a ON a.article_idx = k.article_idx AND a.article_idx > 0
-    LEFT JOIN supp u ON u.supplier_idx = k.supplier_idx AND u.supplier_idx > 0""")
+    FROM k LEFT JOIN store s ON s.store_idx = k.store_idx AND s.store_idx >= 0 LEFT JOIN article a ON a.article_idx = k.article_idx AND a.article_idx >= 0
+    LEFT JOIN supp u ON u.supplier_idx = k.supplier_idx AND u.supplier_idx >= 0""")
 def _(m: Mart) -> DataFrame:
     return stock.stock_movements(m.stock_moves, m.stores, m.articles, m.suppliers)
 
@@ -120,7 +120,7 @@ def _(m: Mart) -> DataFrame:
 
 @query("r41_orders_of_article", """
     SELECT order_no, l.line_no, article_idx, ordered_qty::DOUBLE AS ordered_qty, store_idx, cashier_name, collect_date::VARCHAR AS collect_date,
-           (SELECT count(*) FROM order_line b WHERE b.order_no = l.order_no AND b.line_no = l.line_no AND b.is_substitute) AS substitutes
+           (SELECT count(*) FROM order_line b WHERE b.order_no = l.order_no AND b.link_no = l.link_no AND b.is_substitute) AS substitutes
     FROM order_line l JOIN collected USING (order_no) WHERE line_status = 10""")
 def _(m: Mart) -> DataFrame:
     return picking.orders_of_article(m.collected_orders, m.order_lines)
@@ -133,7 +133,7 @@ def _(m: Mart) -> DataFrame:
     FROM p WHERE received_qty <> ordered_qty
     UNION ALL SELECT p.order_no, p.line_no, 0, (b.line_price - p.line_price)::DOUBLE, (p.received_qty * (b.line_price - p.line_price))::DOUBLE,
            store_idx, cashier_name, collect_date::VARCHAR
-    FROM p JOIN order_line b ON b.order_no = p.order_no AND b.line_no = p.line_no AND b.is_substitute WHERE b.line_price > p.line_price""")
+    FROM p JOIN order_line b ON b.order_no = p.order_no AND b.link_no = p.link_no AND b.is_substitute AND NOT p.is_substitute WHERE b.line_price > p.line_price""")
 def _(m: Mart) -> DataFrame:
     return picking.picking_differences(m.collected_orders, m.order_lines)
 

@@ -25,11 +25,9 @@ def _(m: Mart) -> DataFrame:
 @query("t02_stream_picking_pairs", """
     SELECT order_no, tracking_no, strftime(created_at, '%Y-%m-%d %H:%M:%S') AS started_at, strftime(stopped, '%Y-%m-%d %H:%M:%S') AS stopped_at FROM (
         SELECT *, (SELECT min_by(p.created_at, p.tracking_no) FROM order_event p WHERE p.order_no = s.order_no AND p.status = 50
-                   AND p.tracking_no > s.tracking_no) AS stopped FROM order_event s WHERE status = 40) WHERE stopped IS NOT NULL""")
+                   AND p.tracking_no > s.tracking_no) AS stopped FROM order_event s WHERE status = 40)""")
 def _(m: Mart) -> DataFrame:
     base = scratch_path(m.spark)
     live = LiveMart(m.spark, m.directory)
-    write_pairs(picking_pairs(live.order_events), f"{base}/pairs", f"{base}/state").awaitTermination()
-    return m.spark.read.schema("order_no string, tracking_no bigint, started_at timestamp, stopped_at timestamp").parquet(f"{base}/pairs").filter(
-        F.col("stopped_at").isNotNull()
-    )
+    write_pairs(live.order_events, f"{base}/pairs", f"{base}/state").awaitTermination()
+    return picking_pairs(m.spark, f"{base}/pairs")

@@ -12,14 +12,12 @@ def cents(col: Column | str) -> Column:
 
 
 def from_cents(whole: Column) -> Column:
-    """Hundredths to a row amount, ``decimal(8,2)``.
+    """Hundredths to a row amount, ``decimal(12,2)``: up to 9 999 999 999.99.
 
     Sums over fixed-point columns do not depend on the order in which partitions are merged, which
-    sums over doubles do.  Eight digits are the most for which Spark adds whole longs instead of
-    big decimals: a sum costs a tenth, and holds up to 9.9e15 per group.  Row amounts beyond
-    999 999.99 raise an error.
+    sums over doubles do.
     """
-    return (whole.cast("decimal(8,0)") * F.lit("0.01").cast("decimal(2,2)")).cast("decimal(8,2)")
+    return (whole.cast("decimal(12,0)") * F.lit("0.01").cast("decimal(2,2)")).cast("decimal(12,2)")
 
 
 def percent_of(whole: Column, percent: Column | int) -> Column:

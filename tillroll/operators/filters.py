@@ -3,10 +3,11 @@
 from __future__ import annotations
 
 import datetime as dt
+import re
 from collections.abc import Iterable, Sequence
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 from tillroll.functions.keys import moment
 from tillroll.functions.text import as_bigint, label, split_list
@@ -14,7 +15,7 @@ from tillroll.functions.weeks import weekday_no
 from tillroll.plans.calendar import Period, within
 from tillroll.sources.inline import inline_table
 
-# Above this many values a list is joined, not inlined into the plan.
+# Above this many values a list is joined, not inlined into the plan; the values compare alike.
 INLINE_LIST_LIMIT = 1000
 
 
@@ -31,14 +32,24 @@ def when_set(df: DataFrame, col: str, value) -> DataFrame:
 
 def in_list(df: DataFrame, col: str, values) -> DataFrame:
     """Membership in a comma list or Python list; blank means no filter.  Long lists become a
-    left-semi join so that the plan stays small."""
+    left-semi join so that the plan stays small.
+
+    On a whole-number column the values are read as whole numbers, so '007' is 7, and a value that
+    isn't one matches nothing; on any other column they are texts.
+    """
     wanted = split_list(values)
     if wanted is None:
         return df
+    whole = isinstance(df.schema[col].dataType, T.IntegralType)
+    if whole:
+        wanted = [int(v) for v in wanted if re.fullmatch(r"[+-]?[0-9]{1,18}", v)]
+    key = F.col(col).cast("bigint" if whole else "string")
+    if not wanted:
+        return df.limit(0)
     if len(wanted) <= INLINE_LIST_LIMIT:
-        return df.filter(F.col(col).isin(wanted))
+        return df.filter(key.isin(wanted))
     listed = inline_table(df.sparkSession, {"wanted": sorted(set(wanted))})
-    return df.join(listed, F.col(col).cast("string") == F.col("wanted"), "left_semi")
+    return df.join(listed, key == F.col("wanted"), "left_semi")
 
 
 def store_group(stores: DataFrame, values, columns: Sequence[str]) -> DataFrame:
@@ -114,7 +125,8 @@ def current_only(df: DataFrame, only_current: bool, flag: str = "is_current") ->
 
 
 def known_members(df: DataFrame, key: str) -> DataFrame:
-    return df.filter(F.col(key) > 0)
+    """Rows whose member is known; keys of unknown members are negative."""
+    return df.filter(F.col(key) >= 0)
 
 
 def exclude(df: DataFrame, col: str, values: Sequence) -> DataFrame:
@@ -123,11 +135,20 @@ def exclude(df: DataFrame, col: str, values: Sequence) -> DataFrame:
 
 
 def between_moments(
-    df: DataFrame, day_col: str, time_col: str, first: tuple[int, int], last: tuple[int, int]
+    df: DataFrame, day_col: str, time_col: str, first: tuple[int, int], last: tuple[int, int], at_col: str | None = None
 ) -> DataFrame:
-    """Interval over split date and time keys.  The day bounds stand alone as well, so that they
-    can prune."""
+    """Interval over split date and time keys, by whole minutes.
+
+    ``at_col`` names the timestamp that the keys are made of: its bounds reach the scan and prune it,
+    where computed keys can't.
+    """
     at = moment(day_col, time_col)
+    if at_col is not None:
+        kind = df.schema[at_col].dataType
+        begin, end = (dt.datetime.strptime(f"{day:08d}{time:04d}", "%Y%m%d%H%M") for day, time in (first, last))
+        df = df.filter(
+            (F.col(at_col) >= F.lit(str(begin)).cast(kind)) & (F.col(at_col) < F.lit(str(end + dt.timedelta(minutes=1))).cast(kind))
+        )
     return df.filter(F.col(day_col).between(first[0], last[0])).filter(
         at.between(first[0] * 10000 + first[1], last[0] * 10000 + last[1])
     )

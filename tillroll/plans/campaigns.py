@@ -82,15 +82,19 @@ def campaign_listing(rows: DataFrame, stores: DataFrame, articles: DataFrame, *,
         .join(stores.select("store_idx", "lev1_region_name"), "store_idx")
         .groupBy("campaign_no").agg(distinct_text("lev1_region_name").alias("selected_regions"))
     )
-    discount = sold.filter(F.col("combination_id").isNotNull()).join(articles.select("article_idx", "lev2_id"), "article_idx").groupBy(
-        number
-    ).agg(F.max("article_idx").alias("item_idx"), F.max("lev2_id").alias("item_group"))
+    covered = sold.filter(F.col("combination_id").isNotNull()).select(number, F.col("article_idx").alias("item_idx")).distinct()
+    groups = covered.join(articles.select(F.col("article_idx").alias("item_idx"), F.col("lev2_id").alias("item_group")), "item_idx")
+    # An article and a group are rows of their own: each row then meets the articles by one key.
+    discount = union_rows(
+        covered.withColumn("item_group", F.lit(None).cast("string")),
+        groups.filter(F.col("item_group").isNotNull()).select("campaign_no", F.lit(None).cast("bigint").alias("item_idx"), "item_group").distinct(),
+    )
     dim = articles.select("article_idx", "article_id", "article_name", "brand_id", "lev1_name", "lev2_id", "lev2_name", "retail_price")
     by_discount = either_key(discount, dim, ("item_idx", "article_idx"), ("item_group", "lev2_id")).select(
         "campaign_no", F.lit("No").alias("promotion_price"), "article_id", "article_name", "brand_id",
         F.col("lev1_name").alias("category"), F.col("lev2_name").alias("sub_category"),
         F.col("retail_price").alias("ordinary_price"), F.lit(None).cast("decimal(18,4)").alias("campaign_price"),
-    )
+    ).distinct()
     cuts = sold.filter(F.col("reduction_id").isNotNull() & (F.col("qty_sold") > 0)).groupBy(number, "article_idx").agg(
         F.max(F.col("sales_amount")).alias("campaign_price")
     )

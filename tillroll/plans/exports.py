@@ -22,7 +22,7 @@ def down_pricing_export(rows: DataFrame, articles: DataFrame, stores: DataFrame,
     kept = rows if bounds is None else rows.filter(within("sale_date", bounds))
     kept = kept.filter(F.col("price_type").isin(list(price_types)) & (F.col("qty_sold") != 0))
     chosen = flt.store_group(stores, group, columns).select("store_idx", "store_id")
-    per_key = kept.groupBy("sale_date", "store_idx", "article_idx").agg(
+    per_key = flt.in_stores(kept, chosen).groupBy("sale_date", "store_idx", "article_idx").agg(
         F.sum("cost_amount").alias("cost"), F.sum("qty_sold").alias("qty"), F.sum("discount_amount").alias("discount"),
         F.sum("sales_excl_vat").alias("net"), F.sum("sales_vat").alias("vat"),
     )

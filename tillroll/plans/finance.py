@@ -33,7 +33,7 @@ def card_settlement(payments: DataFrame, eft_span: tuple[Moment, Moment], till_s
     cards = flt.counted_receipts(payments.filter(tender_is(CARDS)))
 
     def source(span: tuple[Moment, Moment], suffix: str) -> DataFrame:
-        part = flt.between_moments(cards, "date_key", "time_key", *span)
+        part = flt.between_moments(cards, "date_key", "time_key", *span, at_col="logged_at")
         return part.groupBy(name).agg(F.count("*").alias(f"count_{suffix}"), F.sum("amount").alias(f"amount_{suffix}"))
 
     everything = payments.filter(tender_is(CARDS)).groupBy(name).agg(
@@ -44,7 +44,7 @@ def card_settlement(payments: DataFrame, eft_span: tuple[Moment, Moment], till_s
 
 def pay_outs(payments: DataFrame, span: tuple[Moment, Moment]) -> DataFrame:
     """Counted cash pay-outs per cashier in a span."""
-    part = flt.between_moments(flt.counted_receipts(payments.filter(tender_is((1,)))), "date_key", "time_key", *span)
+    part = flt.between_moments(flt.counted_receipts(payments.filter(tender_is((1,)))), "date_key", "time_key", *span, at_col="logged_at")
     return part.groupBy("cashier_idx", "cashier_name").agg(F.count("*").alias("pay_outs"), F.sum("amount").alias("amount"))
 
 
@@ -84,7 +84,7 @@ def tender_totals(payments: DataFrame, selection: str, span: tuple[Moment, Momen
     from tillroll.sources.mart import TENDER_NAMES
 
     chosen = tender_bridge(payments.sparkSession).filter(F.col("selection") == selection).select("tender_id")
-    part = flt.between_moments(flt.counted_receipts(payments), "date_key", "time_key", *span)
+    part = flt.between_moments(flt.counted_receipts(payments), "date_key", "time_key", *span, at_col="logged_at")
     return part.join(chosen, "tender_id", "left_semi").groupBy(label_of("tender_id", TENDER_NAMES, "N/A").alias("tender_name")).agg(
         F.count("*").alias("payments"), F.sum("amount").alias("amount")
     )

@@ -113,8 +113,11 @@ def article_revenue(rows: DataFrame) -> DataFrame:
 
 
 def collected_revenue(orders: DataFrame, lines: DataFrame, sales: DataFrame, *, direction: int = 0, bounds: Bounds | None = None) -> DataFrame:
-    """Collected revenue per article, costed at the latest purchase price of each article."""
-    cost = latest_before(sales, ["article_idx"], ["sale_date", "receipt_idx"], ["cost_amount"], ["last_cost"])
+    """Collected revenue per article, costed at the latest purchase price of each article: that of its
+    last sold row of the period.  A returned row carries its cost back and is no purchase price."""
+    bought = sales.filter(F.col("qty_sold") > 0)
+    bought = bought if bounds is None else bought.filter(within("sale_date", bounds))
+    cost = latest_before(bought, ["article_idx"], ["sale_date", "receipt_idx"], ["cost_amount"], ["last_cost"])
     per_article = collected_lines(orders, lines, direction=direction, bounds=bounds).groupBy("article_idx").agg(
         F.sum("received_qty").alias("sold"), F.sum("delivered_amount").alias("revenue"), F.count("*").alias("lines")
     )

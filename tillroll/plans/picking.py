@@ -65,19 +65,18 @@ def still_to_pick(orders: DataFrame, lines: DataFrame, articles: DataFrame, *, b
 
 
 def orders_of_article(orders: DataFrame, lines: DataFrame, *, article_idx: int | None = None) -> DataFrame:
-    """Open lines per article, or of one article, with the number of substitutes on the same order
-    line."""
+    """Open lines per article, or of one article, with the number of substitutes linked to each."""
     open_lines = flt.when_set(lines.filter(F.col("line_status") == LINE_OPEN), "article_idx", article_idx)
-    substitutes = lines.filter("is_substitute").groupBy("order_no", "line_no").agg(F.count("*").alias("substitutes"))
+    substitutes = lines.filter("is_substitute").groupBy("order_no", "link_no").agg(F.count("*").alias("substitutes"))
     heads = orders.select("order_no", "store_idx", "cashier_name", "collect_date")
     return (
-        open_lines.select("order_no", "line_no", "article_idx", "ordered_qty").join(substitutes, ["order_no", "line_no"], "left")
-        .join(heads, "order_no").fillna(0, ["substitutes"])
+        open_lines.select("order_no", "line_no", "link_no", "article_idx", "ordered_qty").join(substitutes, ["order_no", "link_no"], "left")
+        .drop("link_no").join(heads, "order_no").fillna(0, ["substitutes"])
     )
 
 
 def picking_differences(orders: DataFrame, lines: DataFrame, *, bounds: Bounds | None = None) -> DataFrame:
-    """Quantity differences of picked lines, and price differences against a substituted line."""
+    """Quantity differences of picked lines, and price differences of the substitute linked to a line."""
     heads = orders if bounds is None else orders.filter(within("collect_date", bounds))
     heads = heads.select("order_no", "store_idx", "cashier_name", "collect_date")
     picked = lines.filter(F.col("line_status").isin(*LINES_PICKED))
@@ -87,9 +86,9 @@ def picking_differences(orders: DataFrame, lines: DataFrame, *, bounds: Bounds |
         "order_no", "line_no", gap.cast("decimal(13,2)").alias("qty_diff"), zero.alias("price_diff"),
         (gap * F.col("line_price")).cast("decimal(26,4)").alias("result"),
     )
-    new_line = lines.filter("is_substitute").select("order_no", "line_no", F.col("line_price").alias("new_price"))
+    new_line = lines.filter("is_substitute").select("order_no", "link_no", F.col("line_price").alias("new_price"))
     rise = F.col("new_price") - F.col("line_price")
-    price = picked.join(new_line, ["order_no", "line_no"]).filter(rise > 0).select(
+    price = picked.filter(~F.col("is_substitute")).join(new_line, ["order_no", "link_no"]).filter(rise > 0).select(
         "order_no", "line_no", zero.alias("qty_diff"), rise.cast("decimal(13,2)").alias("price_diff"),
         (F.col("received_qty") * rise).cast("decimal(26,4)").alias("result"),
     )

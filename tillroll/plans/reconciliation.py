@@ -124,7 +124,7 @@ def counted_cash_by_day(counts: DataFrame, totals: DataFrame) -> DataFrame:
 
 def lottery_by_day(payments: DataFrame) -> DataFrame:
     """Bottle-lottery pay-outs per store and day, on the business calendar of the receipts."""
-    return payments.filter(F.col("event_type") == "purchase").groupBy("store_idx", F.col("log_date").alias("sale_date")).agg(
+    return payments.filter(F.col("event_type") == "purchase").groupBy("store_idx", F.col("business_date").alias("sale_date")).agg(
         F.sum("amount").alias("lottery")
     )
 

@@ -93,8 +93,9 @@ def top_articles_by_store(
     rows: DataFrame, stores: DataFrame, articles: DataFrame, *, direction: int = 0, group: str | None = None,
     order_by: str = "TopNetSales", n: int = 50,
 ) -> DataFrame:
-    """Best articles per chosen store and flight direction."""
-    kept = flt.in_direction(rows, direction)
+    """Best articles per chosen store and flight direction.  The stores are chosen among the receipts,
+    before these meet their rows."""
+    kept = flt.in_stores(flt.in_direction(rows, direction), stores)
     own = in_group(articles.filter(~F.col("is_third_party")), group).select("article_idx", "article_name", "gtin")
     named = stores.select("store_idx", "store_id", "store_name")
     per_key = reduce_to(kept, "store_idx", "article_idx").join(named, "store_idx").join(own, "article_idx")
@@ -265,7 +266,7 @@ def revenue_drill_down(
 
 def price_overrides(rows: DataFrame, articles: DataFrame, *, price_types: Sequence[int]) -> DataFrame:
     """Sold rows whose price was overridden, with the discount given."""
-    kept = rows.filter(F.col("price_type").isin(list(price_types)) & (F.col("article_idx") > 0))
+    kept = flt.known_members(rows.filter(F.col("price_type").isin(list(price_types))), "article_idx")
     dim = articles.select("article_idx", "article_id", "article_name", "gtin", "lev3_id", "lev3_name")
     return kept.join(dim, "article_idx").select(
         "store_idx", "till_id", "date_key", "article_id", "gtin", "article_name",
@@ -302,7 +303,7 @@ def discount_by_kind(sales: DataFrame, articles: DataFrame, *, bounds: Bounds |
     return out if cap is None else out.orderBy("month_name", F.asc_nulls_first("lev2_name")).limit(cap)
 
 
-def discount_detail(rows: DataFrame, articles: DataFrame, stores: DataFrame, *, cap: int = 1000) -> DataFrame:
+def discount_detail(rows: DataFrame, articles: DataFrame, stores: DataFrame, *, cap: int | None = None) -> DataFrame:
     """Discounts per month, store and article with the discount percent of each sale summed."""
     kept = rows.filter((F.col("discount_amount") > 0) & (F.col("list_amount") > 0) & (net_qty() != 0))
     percent = safe_div(F.col("list_amount") - F.col("sales_amount"), F.col("list_amount"), "null") * 100
@@ -316,7 +317,7 @@ def discount_detail(rows: DataFrame, articles: DataFrame, stores: DataFrame, *,
     )
     sums = ("sold", "normal_amount", "sales_amount", "discount_amount", "discount_percent")
     grouped = named.groupBy("month_name", "store_name", "gtin", "article_name").agg(*[F.sum(c).alias(c) for c in sums])
-    return grouped.orderBy("month_name", "store_name", "article_name", "gtin").limit(cap)
+    return grouped if cap is None else grouped.orderBy("month_name", "store_name", "article_name", "gtin").limit(cap)
 
 
 # -- listings and extracts --------------------------------------------------------------------

@@ -18,6 +18,8 @@ SETTINGS = {
     "spark.sql.optimizer.runtime.bloomFilter.enabled": "true",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
     "spark.sql.session.timeZone": "UTC",
+    # Overflow and bad casts are errors, not NULL.
+    "spark.sql.ansi.enabled": "true",
     # Do not record a Python call site for every column expression of these large plans.
     "spark.python.sql.dataFrameDebugging.enabled": "false",
 }

@@ -13,7 +13,7 @@ from __future__ import annotations
 import datetime as dt
 from functools import cached_property
 
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
 from tillroll.functions.keys import date_key, receipt_row_key, time_key
 from tillroll.functions.labels import label_of
@@ -23,6 +23,14 @@ from tillroll.functions.money import cents, dec, from_cents, percent_of
 AS_OF = dt.date(2001, 8, 1)
 EVENTS_AS_OF = dt.date(2024, 1, 31)
 
+# From the days of the event log to the business days of the receipts: both end on the same day.
+LOG_DAYS_AHEAD = (EVENTS_AS_OF - AS_OF).days
+
+# What tells the lines of a receipt apart; only equal lines are interchangeable.
+LINE_ORDER = (
+    "l_linenumber", "l_partkey", "l_suppkey", "l_quantity", "l_extendedprice", "l_discount", "l_tax", "l_returnflag", "l_linestatus", "l_shipdate",
+)
+
 # Fixed values of the mapping.
 TENDER_OF_PRIORITY = {"1": 1, "2": 3, "3": 5, "4": 6, "5": 8}
 SUB_TENDER_OF_TILL = {"BUILDING": 1, "HOUSEHOLD": 2, "FURNITURE": 3, "AUTOMOBILE": 4}
@@ -40,6 +48,12 @@ def load(spark: SparkSession, directory: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{directory}/{name}.parquet")
 
 
+def line_number(*within: Column | str) -> Column:
+    """Number of a line in its receipt, from 1, without gaps or ties.  Plans that don't read it don't
+    compute it; a receipt is as long as it is, so no partition of the window grows with the data."""
+    return F.row_number().over(Window.partitionBy("l_orderkey", *within).orderBy(*LINE_ORDER))
+
+
 class Mart:
     """Retail frames over one table directory."""
 
@@ -129,12 +143,14 @@ class Mart:
     def sales_rows(self) -> DataFrame:
         """Receipt rows without the receipt head: article, supplier, quantities and amounts.
 
+        ``line_no`` is unique in its receipt and each receipt has a line 1: that line counts the customer.
+
         A returned row keeps its quantity positive in ``qty_return`` and its amounts negative in
         ``return_*``.
         """
         raw = self.table("lineitem").select(
             F.col("l_orderkey").alias("receipt_id"),
-            F.col("l_linenumber").alias("line_no"),
+            line_number().alias("line_no"),
             F.col("l_shipdate").cast("date").alias("sale_date"),
             F.col("l_partkey").alias("article_idx"),
             F.col("l_suppkey").alias("supplier_idx"),
@@ -258,13 +274,15 @@ class Mart:
 
     @cached_property
     def order_lines(self) -> DataFrame:
-        """Picked lines.  A line that was returned replaced the ordered article: it carries a
-        substituted price."""
+        """Picked lines.  A line that was returned replaced an ordered article: it carries a
+        substituted price.  ``link_no`` links one to one: the n-th substitute of an order replaced its
+        n-th other line."""
         price, qty = cents("l_extendedprice"), cents("l_quantity")
         short = F.col("l_linestatus") == "O"
         return self.table("lineitem").select(
             F.col("l_orderkey").alias("order_no"),
-            F.col("l_linenumber").alias("line_no"),
+            line_number().alias("line_no"),
+            line_number(F.col("l_returnflag") == "R").alias("link_no"),
             F.col("l_partkey").alias("article_idx"),
             F.col("l_suppkey").alias("supplier_idx"),
             from_cents(qty).alias("ordered_qty"),
@@ -287,6 +305,7 @@ class Mart:
             F.col("event_id").alias("event_no"),
             F.col("ts").alias("logged_at"),
             F.col("ts").cast("date").alias("log_date"),
+            F.date_sub(F.col("ts").cast("date"), LOG_DAYS_AHEAD).alias("business_date"),
             F.col("user_id").alias("cashier_idx"),
             "event_type",
             dec("value").alias("amount"),
@@ -301,6 +320,7 @@ class Mart:
             F.col("event_no").alias("payment_no"),
             "logged_at",
             "log_date",
+            "business_date",
             date_key("log_date").alias("date_key"),
             time_key("logged_at").alias("time_key"),
             "cashier_idx",
@@ -339,7 +359,7 @@ class Mart:
             .otherwise(F.when(low, 10).otherwise(13))
         )
         return self.payments.select(
-            "store_idx", "till_id", "cashier_idx", "cashier_name", "log_date", "amount", acc.alias("accumulation_id")
+            "store_idx", "till_id", "cashier_idx", "cashier_name", "log_date", "business_date", "amount", acc.alias("accumulation_id")
         )
 
     @cached_property

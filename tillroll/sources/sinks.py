@@ -1,8 +1,7 @@
 """Exports: delimited files, text reports, one folder per store, revisioned settlements.
 
 Writers keep the partitioning of the frame.  A file per store comes from one job partitioned by
-store, not from a loop.  Only ``single_file`` gathers rows into one task, and it refuses frames that
-the caller has not declared small.
+store, not from a loop.
 """
 
 from __future__ import annotations
@@ -19,13 +18,6 @@ def export_csv(df: DataFrame, path: str, sep: str = ";", header: bool = True) ->
     df.write.mode("overwrite").options(sep=sep, header=header, emptyValue="", nullValue="").csv(path)
 
 
-def single_file(df: DataFrame, path: str, sep: str = ";", *, max_rows: int) -> None:
-    """One delimited file for a frame whose size is known to be small; larger frames are refused."""
-    if df.limit(max_rows + 1).count() > max_rows:
-        raise ValueError(f"more than {max_rows} rows: use export_csv")
-    df.coalesce(1).write.mode("overwrite").options(sep=sep, header=True, emptyValue="", nullValue="").csv(path)
-
-
 def export_name(store: str, day: dt.date, prefix: str = "sales", suffix: str = "csv") -> str:
     """File name from store and date."""
     return f"{prefix}_{store}_{day:%Y%m%d}.{suffix}"

@@ -7,6 +7,9 @@ from pyspark.sql.streaming import StreamingQuery
 
 from tillroll.sources.loads import empty_like, incremental_append
 
+SHAPE = "order_no string, tracking_no bigint, created_at timestamp_ntz, status int, picker string"
+FOLDERS = "run_id string, batch_id bigint"
+
 
 def first_lines(batch: DataFrame) -> DataFrame:
     """The first log line of every order in a batch."""
@@ -17,21 +20,24 @@ def first_lines(batch: DataFrame) -> DataFrame:
 def append_new_orders(stream: DataFrame, target: str, checkpoint: str) -> StreamingQuery:
     """Append each order once, with its first log line.
 
-    A batch compares its orders with those of earlier batches and writes to a folder of its own
-    number, so a batch that is repeated after a failure replaces its own rows and adds nothing twice.
+    A batch compares its orders with all that is loaded but its own rows, and writes to a folder
+    named by the query and its number.  A batch that is repeated after a failure replaces its own
+    rows and adds nothing twice; a query with a new checkpoint adds to what earlier ones loaded.
     """
     spark = stream.sparkSession
-    shape = "order_no string, tracking_no bigint, created_at timestamp_ntz, status int, picker string"
-    empty_like(spark, shape).write.mode("overwrite").parquet(f"{target}/batch_id=-1")
+    empty_like(spark, SHAPE).write.mode("ignore").parquet(f"{target}/run_id=none/batch_id=-1")
 
     def load(batch: DataFrame, batch_id: int) -> None:
         session = batch.sparkSession
-        loaded = session.read.schema(f"{shape}, batch_id bigint").parquet(target).filter(F.col("batch_id") < batch_id)
+        # The query's id lives in its checkpoint: it stays over restarts, and a new checkpoint has another.
+        run_id = session.sparkContext.getLocalProperty("sql.streaming.queryId")
+        own = (F.col("run_id") == run_id) & (F.col("batch_id") >= batch_id)
+        loaded = session.read.schema(f"{SHAPE}, {FOLDERS}").parquet(target).filter(~own)
         fresh = incremental_append(first_lines(batch), loaded, ["order_no"])
-        fresh.write.mode("overwrite").parquet(f"{target}/batch_id={batch_id}")
+        fresh.write.mode("overwrite").parquet(f"{target}/run_id={run_id}/batch_id={batch_id}")
 
     return stream.writeStream.foreachBatch(load).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
 
 
 def loaded_orders(spark, target: str) -> DataFrame:
-    return spark.read.parquet(target).filter(F.col("batch_id") >= 0).drop("batch_id")
+    return spark.read.schema(f"{SHAPE}, {FOLDERS}").parquet(target).drop("run_id", "batch_id")

@@ -2,62 +2,42 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
-
-import pandas as pd
 from pyspark.sql import DataFrame, functions as F
 from pyspark.sql.streaming import StreamingQuery
-from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
+from tillroll.operators.joins import next_event
 from tillroll.plans.picking import PICK_START, PICK_STOP
 
-PAIR = "order_no string, tracking_no bigint, started_at timestamp, stopped_at timestamp"
-OPEN_STARTS = "numbers array<bigint>, times array<timestamp>"
-FORGET_AFTER_MS = 24 * 3600 * 1000
+PAIR = "order_no string, tracking_no bigint, created_at timestamp_ntz, stopped_at timestamp_ntz"
 
 
-def pair_lines(key: tuple, batches: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
-    """Close the open starts of one order with the next stop.
+def write_pairs(stream: DataFrame, target: str, checkpoint: str, piece_size: int = 1_000_000) -> StreamingQuery:
+    """Start and stop per picking, as soon as the stop is seen.
 
-    Only starts without a stop are kept between batches; the log of one order arrives in log order.
-    A start that stays open for a day of event time is given out without a stop.
+    Each batch pairs its lines, and the starts that the batch before left open, with the operator of
+    the batch report, and writes them to a folder of its own number: what is still open there is
+    carried on.  A start waits for its stop as long as it takes.  The log of one order arrives in
+    log order; how many lines of it come in one batch does not matter.
     """
-    numbers, times = (list(x) for x in state.get) if state.exists else ([], [])
-    if state.hasTimedOut:
-        state.remove()
-        yield pd.DataFrame({"order_no": key[0], "tracking_no": numbers, "started_at": pd.to_datetime(times), "stopped_at": pd.NaT})
-        return
-    closed = []
-    lines = pd.concat(list(batches)).sort_values("tracking_no")
-    for number, at, status in zip(lines["tracking_no"], lines["created_at"], lines["status"]):
-        if status == PICK_START:
-            numbers.append(int(number))
-            times.append(at)
-        else:
-            closed += [(key[0], n, t, at) for n, t in zip(numbers, times)]
-            numbers, times = [], []
-    if numbers:
-        state.update((numbers, times))
-        newest = max(int(pd.Timestamp(t).timestamp() * 1000) for t in times)
-        state.setTimeoutTimestamp(max(newest, state.getCurrentWatermarkMs()) + FORGET_AFTER_MS)
-    elif state.exists:
-        state.remove()
-    if closed:
-        yield pd.DataFrame(closed, columns=["order_no", "tracking_no", "started_at", "stopped_at"])
-
-
-def picking_pairs(stream: DataFrame, delay: str = "1 hour") -> DataFrame:
-    """Start and stop per picking, as soon as the stop is seen."""
-    lines = stream.filter(F.col("status").isin(PICK_START, PICK_STOP)).select(
-        "order_no", "tracking_no", F.col("created_at").cast("timestamp").alias("created_at"), "status"
-    )
-    return lines.withWatermark("created_at", delay).groupBy("order_no").applyInPandasWithState(
-        pair_lines, PAIR, OPEN_STARTS, "append", GroupStateTimeout.EventTimeTimeout
-    )
-
-
-def write_pairs(pairs: DataFrame, target: str, checkpoint: str) -> StreamingQuery:
-    return (
-        pairs.writeStream.format("parquet").option("path", target).option("checkpointLocation", checkpoint)
-        .outputMode("append").trigger(availableNow=True).start()
-    )
+    def pair(batch: DataFrame, batch_id: int) -> None:
+        lines = batch.filter(F.col("status").isin(PICK_START, PICK_STOP)).select(
+            "order_no", "tracking_no", F.col("created_at").cast("timestamp_ntz").alias("created_at"), "status"
+        )
+        if batch_id > 0:
+            left = batch.sparkSession.read.schema(PAIR).parquet(f"{target}/batch_id={batch_id - 1}").filter(F.col("stopped_at").isNull())
+            lines = lines.union(left.select("order_no", "tracking_no", "created_at", F.lit(PICK_START).alias("status")))
+        status = F.col("status")
+        paired = next_event(
+            lines, "order_no", "tracking_no", status == PICK_START, {"stopped_at": status == PICK_STOP}, "created_at", (), piece_size
+        )
+        paired.write.mode("overwrite").parquet(f"{target}/batch_id={batch_id}")
+
+    return stream.writeStream.foreachBatch(pair).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
+
+
+def picking_pairs(spark, target: str) -> DataFrame:
+    """All starts so far: those with a stop, and those that the newest batch still carries."""
+    rows = spark.read.schema(f"{PAIR}, batch_id bigint").parquet(target)
+    newest = rows.agg(F.max("batch_id")).first()[0]
+    kept = F.col("stopped_at").isNotNull() | (F.col("batch_id") == F.lit(newest))
+    return rows.filter(kept).select("order_no", "tracking_no", F.col("created_at").alias("started_at"), "stopped_at")
