@@ -108,6 +108,11 @@ def _(m: Mart) -> DataFrame:
     return settlements.tenders_equal_reconciliation(m.receipts, m.system_totals, total_type=1)
 
 
+@query("r55_tenders_by_till", _APPROVAL.format(znr=_ZNR))
+def _(m: Mart) -> DataFrame:
+    return settlements.tenders_equal_reconciliation(m.receipts, m.system_totals, total_type=4)
+
+
 @query("r55_tenders_by_cashier", _APPROVAL.format(znr=_ZNR))
 def _(m: Mart) -> DataFrame:
     return settlements.tenders_equal_reconciliation(m.receipts, m.system_totals, total_type=2)
@@ -266,11 +271,14 @@ def _kinds(prefix: str = "") -> str:
     WITH {_LAST_COUNTS}, s AS (SELECT store_idx, znr, till_id, sum(amount)::DOUBLE AS sales_amount, {_kinds()},
               sum(CASE WHEN tender_id = 1 THEN amount ELSE 0 END) AS exact_cash FROM system_total GROUP BY ALL),
     c AS (SELECT store_idx, znr, till_id, sum(CASE WHEN tender_id = 1 THEN amount ELSE 0 END) AS exact_counted, max(bag_id) AS bag_id FROM last_count GROUP BY ALL),
-    k AS (SELECT store_idx, sum(amount)::DOUBLE AS total_sales, {_kinds("total_")} FROM receipt GROUP BY store_idx)
+    k AS (SELECT store_idx, {_ZNR} AS znr, sum(amount)::DOUBLE AS total_sales, {_kinds("total_")} FROM receipt GROUP BY 1, 2),
+    d AS (SELECT store_idx, CAST(strftime(business_date, '%Y%m') AS INTEGER) AS znr, till_id, sum(amount)::DOUBLE AS bottle_deposit FROM accumulation
+          WHERE accumulation_id = 7 GROUP BY ALL)
     SELECT s.* EXCLUDE (exact_cash), bag_id, coalesce(exact_counted, 0)::DOUBLE AS counted_cash, (coalesce(exact_counted, 0) - exact_cash)::DOUBLE AS cash_deviation,
-           k.* EXCLUDE (store_idx) FROM s LEFT JOIN c USING (store_idx, znr, till_id) LEFT JOIN k USING (store_idx)""")
+           coalesce(bottle_deposit, 0)::DOUBLE AS bottle_deposit, k.* EXCLUDE (store_idx, znr)
+    FROM s LEFT JOIN c USING (store_idx, znr, till_id) LEFT JOIN d USING (store_idx, znr, till_id) LEFT JOIN k USING (store_idx, znr)""")
 def _(m: Mart) -> DataFrame:
-    return rec.reconciliation_details(m.system_totals, m.counts, m.receipts)
+    return rec.reconciliation_details(m.system_totals, m.counts, m.receipts, m.accumulations)
 
 
 @query("r66_accumulation_details", f"""

@@ -37,6 +37,7 @@ TRANS_BY_TYPE = {
     "Check": 20501,
     "Loyalty": 20501,
     "GiftCard": 20702,
+    "Retain24In": 20702,
     "StoreAccountOut": 20704,
     "StoreAccount": 20705,
     "HouseAccount": 20201,
@@ -44,11 +45,14 @@ TRANS_BY_TYPE = {
     "Mobile": 20401,
     "OnlinePayment": 21201,
     "Voucher": 20709,
+    "TypiskNorskDiscount": 20710,
+    "TypiskNorskReturn": 20710,
     "RecyclingLotteryPrize": 20906,
-    "PurchaseOrder": 40303,
-    "CashPrize": 21001,
 }
 
+# The types that a pay-in or pay-out line comes before.
+TRANS_AFTER_PAID = {"PurchaseOrder": 40303, "RXBagPayment": 20805, "CashPrize": 21001}
+
 # Cash lines by line type; pay-ins and pay-outs without a typed tender.
 CASH_TRANS = {"Tender": 20101, "TenderChange": 21301}
 CASH_SYSTEM_TRANS = {"Tender": 20102, "TenderChange": 21302}
@@ -97,6 +101,7 @@ def transaction_number() -> Column:
     ]
     rules += _by_type(kind, TRANS_BY_TYPE)
     rules += [(line == name, number) for name, number in PAID_TRANS.items()]
+    rules += _by_type(kind, TRANS_AFTER_PAID)
     return first_rule(rules, UNKNOWN_TRANS)
 
 

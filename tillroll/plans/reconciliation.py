@@ -338,16 +338,22 @@ def reconciliation_with_bag(totals: DataFrame, counts: DataFrame) -> DataFrame:
     )
 
 
-def reconciliation_details(totals: DataFrame, counts: DataFrame, receipts: DataFrame) -> DataFrame:
-    """System amounts by kind per round and till, counted cash and deviation, and the key figures of
-    the store in the same rounds."""
+def reconciliation_details(totals: DataFrame, counts: DataFrame, receipts: DataFrame, counters: DataFrame) -> DataFrame:
+    """System amounts by kind per round and till, bottle deposit, counted cash and deviation, and the
+    key figures of the store in the same round."""
     system = totals.groupBy(*ROUND).agg(F.sum("amount").alias("sales_amount"), *_tender_columns())
     counted = last_counts(counts).groupBy(*ROUND).agg(
         sum_if(tender_is((1,)), "amount").alias("counted_cash"), F.max("bag_id").alias("bag_id")
     )
-    key = receipts.groupBy("store_idx").agg(F.sum("amount").alias("total_sales"), *_tender_columns("total_"))
+    znr = (F.year("sale_date") * 100 + F.month("sale_date")).alias("znr")
+    key = receipts.groupBy("store_idx", znr).agg(F.sum("amount").alias("total_sales"), *_tender_columns("total_"))
+    day = F.col("business_date")
+    deposit = counters.filter(F.col("accumulation_id") == ACC_BOTTLE_DEPOSIT).groupBy(
+        "store_idx", (F.year(day) * 100 + F.month(day)).alias("znr"), "till_id"
+    ).agg(F.sum("amount").alias("bottle_deposit"))
     return (
-        system.join(counted, ROUND, "left").join(key, "store_idx", "left").fillna(0, ["counted_cash"])
+        system.join(counted, ROUND, "left").join(deposit, ROUND, "left").join(key, ["store_idx", "znr"], "left")
+        .fillna(0, ["counted_cash", "bottle_deposit"])
         .withColumn("cash_deviation", F.col("counted_cash") - F.col("cash"))
     )
 
