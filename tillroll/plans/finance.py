@@ -6,11 +6,12 @@ import datetime as dt
 
 from pyspark.sql import Column, DataFrame, functions as F
 
+from tillroll.functions.keys import moment
 from tillroll.functions.labels import label_of
-from tillroll.functions.money import in_home_currency
+from tillroll.functions.money import in_home_currency, sum_if
 from tillroll.operators import filters as flt
 from tillroll.operators.aggregates import latest_rows, pivot_sums
-from tillroll.operators.joins import full_chain, full_on, single_row
+from tillroll.operators.joins import full_on, single_row
 from tillroll.operators.reshape import union_rows
 from tillroll.plans.calendar import Bounds, Period
 from tillroll.plans.reconciliation import ACC_BOTTLE_DEPOSIT, ACC_EXPENSES, CARDS, tender_bridge, tender_is
@@ -25,21 +26,22 @@ def _column_name(selection: str) -> str:
 
 
 def card_settlement(payments: DataFrame, eft_span: tuple[Moment, Moment], till_span: tuple[Moment, Moment]) -> DataFrame:
-    """Card payments by card: all, in the bank's settlement span, in the tills' span.  The two spans
-    are cut from one scan by conditional sums; a card in one source only stays."""
+    """Card payments by card: all, in the bank's settlement span, in the tills' span.  All three are
+    conditional sums of one scan; a card without payments in a span has no value there."""
     from tillroll.sources.mart import CARD_NAMES
 
     name = label_of("sub_tender_id", CARD_NAMES, "N/A").alias("card_name")
-    cards = flt.counted_receipts(payments.filter(tender_is(CARDS)))
 
-    def source(span: tuple[Moment, Moment], suffix: str) -> DataFrame:
-        part = flt.between_moments(cards, "date_key", "time_key", *span, at_col="logged_at")
-        return part.groupBy(name).agg(F.count("*").alias(f"count_{suffix}"), F.sum("amount").alias(f"amount_{suffix}"))
+    def inside(span: tuple[Moment, Moment]) -> Column:
+        first, last = (day * 10000 + time for day, time in span)
+        return F.col("receipt_status").isin(*flt.COUNTED_STATUSES) & moment("date_key", "time_key").between(first, last)
 
-    everything = payments.filter(tender_is(CARDS)).groupBy(name).agg(
-        F.count("*").alias("count_bank"), F.sum("amount").alias("amount_bank")
+    def source(cond: Column, suffix: str) -> list[Column]:
+        return [F.nullif(F.count_if(cond), F.lit(0)).alias(f"count_{suffix}"), sum_if(cond, "amount", None).alias(f"amount_{suffix}")]
+
+    return payments.filter(tender_is(CARDS)).groupBy(name).agg(
+        F.count("*").alias("count_bank"), F.sum("amount").alias("amount_bank"), *source(inside(eft_span), "eft"), *source(inside(till_span), "till")
     )
-    return full_chain([everything, source(eft_span, "eft"), source(till_span, "till")], ["card_name"])
 
 
 def pay_outs(payments: DataFrame, span: tuple[Moment, Moment]) -> DataFrame:

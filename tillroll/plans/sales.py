@@ -16,7 +16,6 @@ from tillroll.functions.text import blank_to_null
 from tillroll.functions.weeks import iso_week, weekday_no
 from tillroll.operators import filters as flt
 from tillroll.operators.ranking import top_by_name, top_n
-from tillroll.operators.reshape import union_rows
 from tillroll.plans.calendar import Bounds, Period, months_covered, within
 
 def measures() -> dict[str, Column]:
@@ -355,14 +354,15 @@ def sales_extract(sales: DataFrame, articles: DataFrame, *, bounds: Bounds | Non
     rows = sales if bounds is None else sales.filter(within("sale_date", bounds))
     dim = articles.select("article_idx", "article_id", "article_name", "gtin", "lev2_id", "lev2_name", "lev3_id", "lev3_name")
 
-    def branch(part: DataFrame, text: str) -> DataFrame:
-        grouped = reduce_to(part, "sale_date", "article_idx").withColumn("unit_price", safe_div(F.col("price"), F.col("quantity")))
-        positive = [F.col(c) > 0 for c in measures()] + [F.col("unit_price") > 0]
-        for test in positive:
-            grouped = grouped.filter(test)
-        return grouped.select(F.lit(text).alias("description"), "sale_date", "article_idx", *measures(), "unit_price")
-
-    both = union_rows(branch(rows, "Sales"), branch(rows.filter(F.col("price_type").isin(list(clearance))), "RTC"))
+    # One scan: sums by whether a sale is a clearance, of which each counts as a sale and may count as clearance.
+    flag = F.col("price_type").isin(list(clearance))
+    parts = reduce_to(rows.withColumn("is_clearance", flag), "sale_date", "article_idx", "is_clearance")
+    kinds = F.when(F.col("is_clearance"), F.array(F.lit("Sales"), F.lit("RTC"))).otherwise(F.array(F.lit("Sales")))
+    both = parts.withColumn("description", F.explode(kinds)).groupBy("description", "sale_date", "article_idx").agg(
+        *[F.sum(c).alias(c) for c in measures()]
+    ).withColumn("unit_price", safe_div(F.col("price"), F.col("quantity")))
+    for test in [F.col(c) > 0 for c in measures()] + [F.col("unit_price") > 0]:
+        both = both.filter(test)
     return both.join(dim, "article_idx").drop("article_idx")
 
 
