@@ -158,7 +158,8 @@ def _(m: Mart) -> DataFrame:
 _PICK_TIMES = """
     WITH s AS (SELECT order_no, picker, created_at, coalesce(
             (SELECT min_by(p.created_at, p.tracking_no) FROM order_event p WHERE p.order_no = e.order_no AND p.status = 50 AND p.tracking_no > e.tracking_no),
-            (SELECT min_by(p.created_at, p.tracking_no) FROM order_event p WHERE p.order_no = e.order_no AND p.status = 60 AND p.tracking_no > e.tracking_no)) AS stop
+            (SELECT min_by(p.created_at, p.tracking_no) FROM order_event p WHERE p.order_no = e.order_no AND p.status = 60 AND p.tracking_no > e.tracking_no
+                AND p.tracking_no < (SELECT max(x.tracking_no) FROM order_event x WHERE x.order_no = e.order_no AND x.status = 40))) AS stop
         FROM order_event e WHERE status = 40),
     t AS (SELECT order_no, CASE WHEN grouping(picker) = 1 THEN 'Total' ELSE picker END AS picker, min(created_at) AS started, max(stop) AS stopped,
                  coalesce(sum(date_diff('second', created_at, stop)), 0)::BIGINT AS seconds_used

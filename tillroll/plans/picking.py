@@ -28,13 +28,18 @@ def start_stop_pairs(events: DataFrame, piece_size: int = 1_000_000) -> DataFram
 def pick_times(events: DataFrame) -> DataFrame:
     """Start, stop and seconds per order and picker, with a subtotal row per order.
 
-    A start without a stop falls back on the next confirmed line of the order; a start with neither
-    counts no time.
+    A start without a stop falls back on the next confirmed line of the order, if that lies before the
+    order's last start; a start with neither counts no time.
     """
-    pairs = start_stop_pairs(events)
-    stop = F.coalesce("stopped_at", "confirmed_at")
-    seconds = F.unix_timestamp(stop) - F.unix_timestamp("created_at")
-    timed = pairs.select("order_no", "picker", "created_at", stop.alias("stop"), seconds.alias("seconds"))
+    status, order = F.col("status"), "tracking_no"
+    stamped = events.withColumn("at", F.struct(order, "created_at"))
+    stops = {"stopped": status == PICK_STOP, "confirmed": status == LINE_CONFIRMED}
+    pairs = next_event(stamped, "order_no", order, status == PICK_START, stops, "at", ("picker",), 1_000_000)
+    last = events.filter(status == PICK_START).groupBy("order_no").agg(F.max(order).alias("last_start"))
+    confirmed = F.when(F.col(f"confirmed.{order}") < F.col("last_start"), F.col("confirmed.created_at"))
+    stop = F.coalesce(F.col("stopped.created_at"), confirmed)
+    timed = pairs.join(last, "order_no").select("order_no", "picker", F.col("at.created_at").alias("created_at"), stop.alias("stop"))
+    timed = timed.withColumn("seconds", F.unix_timestamp("stop") - F.unix_timestamp("created_at"))
     rows = subtotals(
         timed, "order_no", "picker",
         [F.min("created_at").alias("started"), F.max("stop").alias("stopped"), F.sum("seconds").alias("seconds_used")],
