@@ -88,7 +88,8 @@ def _similar(a: Column, b: Column, similarity: float) -> Column:
     """Edit similarity of at least `similarity`; lengths that rule it out are seen first."""
     longer, shorter = F.greatest(F.length(a), F.length(b)), F.least(F.length(a), F.length(b))
     most = F.floor(F.round((1 - similarity) * longer, 6)).cast("int")
-    return (longer - shorter <= most) & (F.levenshtein(a, b) <= most)
+    # With a bound the distance is computed in a band of that width, and is -1 beyond it.
+    return (longer - shorter <= most) & (F.call_function("levenshtein", a, b, most) >= 0)
 
 
 def verified(pairs: DataFrame, lines: DataFrame, similarity: float) -> DataFrame:
