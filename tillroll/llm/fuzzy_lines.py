@@ -20,7 +20,7 @@ from itertools import combinations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from tillroll.llm.shared import components, staged, words
+from tillroll.llm.shared import SPACE_RUN, SPACES, components, staged
 from tillroll.sources.scratch import scratch_path
 
 BITS, BLOCKS = 64, 5
@@ -32,8 +32,11 @@ ROUNDS = 2
 
 def normal_lines(docs: DataFrame) -> DataFrame:
     """doc_id, number of the line in its text, and the line: its words, lower-cased, one space apart."""
-    lines = docs.select("doc_id", F.posexplode(F.split(F.coalesce("text", F.lit("")), "\n")).alias("nth", "raw"))
-    return lines.select("doc_id", "nth", "raw", F.array_join(words(F.lower("raw")), " ").alias("line")).where("line <> ''")
+    lines = docs.select("doc_id", F.posexplode(F.split(F.coalesce("text", F.lit("")), "\n")).alias("nth", "raw")).where(F.col("raw").rlike(r"[^\x20\x09-\x0D]"))
+    bare = F.btrim(F.lower("raw"), F.lit(SPACES))
+    # Most lines have lone spaces only and stay as they are.
+    line = F.when(bare.rlike(r"[\x09-\x0D]|\x20\x20"), F.regexp_replace(bare, SPACE_RUN, " ")).otherwise(bare)
+    return lines.select("doc_id", "nth", line.alias("line"))
 
 
 def simhash(lines: DataFrame) -> DataFrame:
@@ -69,15 +72,17 @@ def kept_by_key(lines: DataFrame) -> DataFrame:
 
 
 def buckets(hashes: DataFrame) -> DataFrame:
-    """bucket, key and simhash, for each pair of blocks; only buckets that more than one line is in."""
+    """bucket, key and simhash, for each pair of blocks, with the bucket's size n and its first line;
+    only buckets that more than one line is in."""
     edges = [round(k * BITS / BLOCKS) for k in range(BLOCKS + 1)]
     masks = [((1 << b) - (1 << a)) for a, b in zip(edges, edges[1:], strict=False)]
     pairs = [x | y for x, y in combinations(masks, 2)]
     signed = [m - (1 << BITS) if m >> BITS - 1 else m for m in pairs]
     spread = F.array(*[F.xxhash64(F.lit(k), F.col("simhash").bitwiseAND(F.lit(m))) for k, m in enumerate(signed)])
-    # One exchange serves both the counts and the rows.
+    # One exchange serves both the sums and the rows.
     rows = hashes.select("key", "simhash", F.explode(spread).alias("bucket")).repartition("bucket")
-    return rows.join(rows.groupBy("bucket").count().where("count > 1").select("bucket"), "bucket")
+    first = rows.groupBy("bucket").agg(F.count("*").alias("n"), F.min("key").alias("first"), F.min_by("simhash", "key").alias("first_hash"))
+    return rows.join(first.where("n > 1"), "bucket")
 
 
 def _near(a: Column, b: Column) -> Column:
@@ -92,37 +97,63 @@ def _similar(a: Column, b: Column, similarity: float) -> Column:
     return (longer - shorter <= most) & (F.call_function("levenshtein", a, b, most) >= 0)
 
 
+def _pairs(a: Column, b: Column) -> list[Column]:
+    return [F.least(a, b).alias("a"), F.greatest(a, b).alias("b")]
+
+
 def verified(pairs: DataFrame, lines: DataFrame, similarity: float) -> DataFrame:
-    """Of the pairs (a, b) of keys, each taken once, those that are similar."""
-    once = pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).where("a <> b").distinct()
-    left = once.join(lines.select(F.col("key").alias("a"), F.col("line").alias("left")), "a")
+    """Of the pairs (a, b) of keys those that are similar."""
+    left = pairs.join(lines.select(F.col("key").alias("a"), F.col("line").alias("left")), "a")
     both = left.join(lines.select(F.col("key").alias("b"), F.col("line").alias("right")), "b")
     return both.where(_similar(F.col("left"), F.col("right"), similarity)).select("a", "b")
 
 
+def _rooted(rows: DataFrame, key: str, found: DataFrame, name: str) -> DataFrame:
+    named = found.select(F.col("node").alias(key), F.col("root").alias(name))
+    return rows.join(named, key, "left").withColumn(name, F.coalesce(name, key))
+
+
 def linked(hashes: DataFrame, lines: DataFrame, similarity: float = SIMILARITY, rounds: int = ROUNDS) -> DataFrame:
     """Components (node, root) of the links between distinct lines."""
     met = staged(buckets(hashes), "met")
-    links, found = None, None
-    for number in range(rounds + 1):
-        if found is None:
-            rows = met.withColumn("root", F.col("key"))
-        else:
-            rows = met.join(found, met["key"] == found["node"], "left").select("bucket", "key", "simhash", F.coalesce("root", "key").alias("root"))
-        # A bucket is open while its lines lie in more than one component.
+    beside = met.where((F.col("key") != F.col("first")) & _near(F.col("simhash"), F.col("first_hash")))
+    # A bucket of two is its pair; larger ones keep their rows.
+    direct = staged(beside.where("n = 2").select(*_pairs(F.col("key"), F.col("first"))).distinct(), "pairs")
+    crowded = staged(met.where("n > 2").select("bucket", "key", "simhash"), "crowded")
+    tried = direct.limit(0)
+    links = found = None
+
+    def open_rows() -> DataFrame:
+        """Rows of buckets whose lines lie in more than one component, with their roots."""
+        rows = _rooted(crowded, "key", found, "root")
         state = rows.groupBy("bucket").agg(F.min("root").alias("low"), F.max("root").alias("high")).where("low <> high")
-        open_ = rows.join(state, "bucket")
-        if number < rounds:
-            pivot = open_.where("root = low" if number == 0 else "root = high").groupBy("bucket").agg(F.min(F.struct("key", "simhash")).alias("p"))
-            met_pivot = open_.join(pivot, "bucket").where(_near(F.col("simhash"), F.col("p.simhash")))
-            pairs = met_pivot.select(F.col("key").alias("a"), F.col("p.key").alias("b"))
-        else:
-            x = open_.select("bucket", F.col("key").alias("a"), F.col("root").alias("ra"), F.col("simhash").alias("sa"))
-            y = open_.select("bucket", F.col("key").alias("b"), F.col("root").alias("rb"), F.col("simhash").alias("sb"))
-            pairs = x.join(y, (x["bucket"] == y["bucket"]) & (F.col("ra") < F.col("rb")) & _near(F.col("sa"), F.col("sb"))).select("a", "b")
+        return rows.join(state, "bucket")
+
+    def add(pairs: DataFrame) -> None:
+        nonlocal tried, links, found
+        pairs = staged(pairs.join(tried, ["a", "b"], "left_anti"), "tried")
         new = verified(pairs, lines, similarity)
+        tried = tried.union(pairs)
         links = staged(new if links is None else links.union(new), "similar")
         found = staged(components(links), "components")
+
+    for number in range(rounds):
+        if number == 0:
+            chosen = beside.select("key", "first")
+        else:
+            rows = open_rows()
+            pivot = rows.where("root = high").groupBy("bucket").agg(F.min("key").alias("first"), F.min_by("simhash", "key").alias("first_hash"))
+            chosen = rows.join(pivot, "bucket").where((F.col("key") != F.col("first")) & _near(F.col("simhash"), F.col("first_hash"))).select("key", "first")
+        # One pivot for each line and round is enough to connect a crowd.
+        add(chosen.groupBy("key").agg(F.min("first").alias("first")).select(*_pairs(F.col("key"), F.col("first"))).distinct())
+    if found is None:
+        found = direct.limit(0).select(F.col("a").alias("node"), F.col("b").alias("root"))
+    rows = open_rows()
+    x = rows.select("bucket", F.col("key").alias("x"), F.col("root").alias("rx"), F.col("simhash").alias("sx"))
+    y = rows.select("bucket", F.col("key").alias("y"), F.col("root").alias("ry"), F.col("simhash").alias("sy"))
+    across = x.join(y, (x["bucket"] == y["bucket"]) & (F.col("rx") < F.col("ry")) & _near(F.col("sx"), F.col("sy"))).select(*_pairs(F.col("x"), F.col("y")))
+    apart = _rooted(_rooted(direct, "a", found, "ra"), "b", found, "rb").where("ra <> rb").select("a", "b")
+    add(across.union(apart).distinct())
     return found
 
 
