@@ -71,9 +71,13 @@ def kept_by_key(lines: DataFrame) -> DataFrame:
     return spark.table(name)
 
 
+def _near(a: Column, b: Column) -> Column:
+    return F.bit_count(a.bitwiseXOR(b)) <= RADIUS
+
+
 def buckets(hashes: DataFrame) -> DataFrame:
-    """bucket, key and simhash, for each pair of blocks, with the bucket's size n and its first line;
-    only buckets that more than one line is in."""
+    """bucket, key and simhash, for each pair of blocks, with the bucket's size n and its first line:
+    the rows of buckets of more than two lines, and of those of two the second if it is near the first."""
     edges = [round(k * BITS / BLOCKS) for k in range(BLOCKS + 1)]
     masks = [((1 << b) - (1 << a)) for a, b in zip(edges, edges[1:], strict=False)]
     pairs = [x | y for x, y in combinations(masks, 2)]
@@ -82,19 +86,19 @@ def buckets(hashes: DataFrame) -> DataFrame:
     # One exchange serves both the sums and the rows.
     rows = hashes.select("key", "simhash", F.explode(spread).alias("bucket")).repartition("bucket")
     first = rows.groupBy("bucket").agg(F.count("*").alias("n"), F.min("key").alias("first"), F.min_by("simhash", "key").alias("first_hash"))
-    return rows.join(first.where("n > 1"), "bucket")
-
-
-def _near(a: Column, b: Column) -> Column:
-    return F.bit_count(a.bitwiseXOR(b)) <= RADIUS
+    met = rows.join(first.where("n > 1"), "bucket")
+    # Of a bucket of two, the first line's row says nothing that the other's doesn't, and that only if the two are near.
+    pair = (F.col("key") != F.col("first")) & _near(F.col("simhash"), F.col("first_hash"))
+    return met.where((F.col("n") > 2) | pair)
 
 
 def _similar(a: Column, b: Column, similarity: float) -> Column:
     """Edit similarity of at least `similarity`; lengths that rule it out are seen first."""
     longer, shorter = F.greatest(F.length(a), F.length(b)), F.least(F.length(a), F.length(b))
     most = F.floor(F.round((1 - similarity) * longer, 6)).cast("int")
-    # With a bound the distance is computed in a band of that width, and is -1 beyond it.
-    return (longer - shorter <= most) & (F.call_function("levenshtein", a, b, most) >= 0)
+    # With a bound the distance is computed in a band of that width, and is -1 beyond it: most similar lines pass the narrow one.
+    within = F.when(F.call_function("levenshtein", a, b, F.floor(most / 4).cast("int")) >= 0, True).otherwise(F.call_function("levenshtein", a, b, most) >= 0)
+    return (longer - shorter <= most) & within
 
 
 def _pairs(a: Column, b: Column) -> list[Column]:
