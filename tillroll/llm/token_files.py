@@ -10,10 +10,13 @@ ids before each: the prefix sum of the parts' counts.
 
 from __future__ import annotations
 
+import sys
 import uuid
 import zlib
+from array import array
 from collections.abc import Iterator
 from functools import partial
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -27,7 +30,7 @@ from tillroll.sources.scratch import scratch_path
 #: In `.doc` files: a document without id.
 NO_ID = -(1 << 63)
 END = 2
-#: Different pieces of text whose ids a worker remembers.
+#: Different pieces of text whose ids a worker remembers: as many again are kept from before.
 REMEMBERED = 400_000
 
 
@@ -52,10 +55,14 @@ class Encoder:
         self.tokenizer = load_tokenizer(path)
         self.type = np.dtype("<u2" if self.tokenizer.get_vocab_size() <= 1 << 16 else "<u4")
         self.known: dict[str, bytes] = {}
+        self.older: dict[str, bytes] = {}
 
     def raw(self, texts: list[str]) -> list[bytes]:
         found = self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)
-        return [np.array(x.ids, self.type).tobytes() for x in found]
+        if sys.byteorder == "big":
+            return [np.array(x.ids, self.type).tobytes() for x in found]
+        code = "H" if self.type.itemsize == 2 else "I"
+        return [array(code, x.ids).tobytes() for x in found]
 
     @staticmethod
     def pieces(text: str) -> list[str] | None:
@@ -73,12 +80,20 @@ class Encoder:
 
     def encode(self, texts: list[str]) -> list[bytes]:
         cut = [self.pieces(t) if t else [] for t in texts]
-        new = list({p for pieces in cut if pieces for p in pieces if p not in self.known})
-        if len(self.known) + len(new) > REMEMBERED:
-            self.known.clear()
-            new = list({p for pieces in cut if pieces for p in pieces})
-        for at in range(0, len(new), 4096):
-            self.known.update(zip(new[at : at + 4096], self.raw(new[at : at + 4096]), strict=True))
+        if len(self.known) > REMEMBERED:
+            # What is still in use comes back from the older half when it is next seen.
+            self.known, self.older = {}, self.known
+        new = set(chain.from_iterable(filter(None, cut))) - self.known.keys()
+        back = new & self.older.keys()
+        self.known.update((p, self.older[p]) for p in back)
+        new -= back
+        # A letter and the mark after it are never merged: such pieces are put together from what is known.
+        marked = [p for p in new if p[-1] in ".," and p[-2:-1].isalpha()]
+        wanted = new.difference(marked).union((p[:-1] for p in marked), (p[-1] for p in marked)) - self.known.keys()
+        wanted = list(wanted)
+        for at in range(0, len(wanted), 4096):
+            self.known.update(zip(wanted[at : at + 4096], self.raw(wanted[at : at + 4096]), strict=True))
+        self.known.update((p, self.known[p[:-1]] + self.known[p[-1]]) for p in marked)
         known = self.known
         return [self.raw([t])[0] if pieces is None else b"".join([known[p] for p in pieces]) for t, pieces in zip(texts, cut, strict=True)]
 
