@@ -342,6 +342,33 @@ def test_fuzzy_lines(spark, rounds):
     assert fuzzy_lines.fuzzy(cases.empty(spark)).count() == 0
 
 
+def test_fuzzy_lines_find_what_edit_similarity_finds(spark):
+    """Recall against edit similarity over all pairs, and nothing that it doesn't connect."""
+    rng = np.random.default_rng(8)
+    texts = ["\u4f60\u597d\u4e16\u754c" * 6 + "abcdefgh"[k:] for k in range(3)]
+    for n, changed in ((6, 1), (10, 1), (20, 1), (20, 2), (40, 4), (60, 5)):
+        for _ in range(25):
+            words = ["".join(rng.choice(list("abcdefghijklmnop"), int(rng.integers(2, 8)))) for _ in range(n)]
+            copy = list(words)
+            for place in rng.choice(n, changed, replace=False):
+                copy[place] = "".join(rng.choice(list("qrstuvwxyz"), int(rng.integers(2, 8))))
+            texts += [" ".join(words), " ".join(copy)]
+    rows = [(k, t, "s") for k, t in enumerate(texts)]
+    component = {r.doc_id: r.component for r in fuzzy_lines.fuzzy(cases.frame(spark, rows), meet=fuzzy_lines.by_words).collect()}
+    x = spark.createDataFrame([r[:2] for r in rows], "i int, x string")
+    y = spark.createDataFrame([r[:2] for r in rows], "j int, y string")
+    longer = F.greatest(F.length("x"), F.length("y"))
+    close = x.join(y, (F.col("i") < F.col("j")) & (5 * F.levenshtein("x", "y") <= longer)).select("i", "j").collect()
+    recall = sum(component[i] == component[j] for i, j in close) / len(close)
+    print("recall", recall, len(close))
+    assert len(close) > 110 and recall >= 0.97
+    groups = dict(components(spark.createDataFrame(close, "a bigint, b bigint")).collect())
+    whole = defaultdict(set)
+    for i, c in component.items():
+        whole[c].add(groups.get(i, i))
+    assert all(len(g) == 1 for g in whole.values())
+
+
 def test_fuzzy_lines_on_odd_rows(spark, docs):
     assert fuzzy_lines.fuzzy(docs).where("kept").count() > 0
 

@@ -1,10 +1,18 @@
-"""Fuzzy duplicate lines: SimHash, pigeonhole blocks, edit similarity, one occurrence of each group.
+"""Fuzzy duplicate lines: tables in which lines meet, edit similarity, one occurrence of each group.
 
-The 64 bits of a line's SimHash are cut into five blocks, and each pair of blocks is a table: lines
-that differ in at most three bits agree in two blocks at least, so they meet in a table.  Lines
-that meet and differ in at most `RADIUS` bits are linked if their edit similarity,
-1 - distance / longer length, is at least 0.8: no pair within three bits is missed, and those
-beyond that agree in two blocks are taken along.
+Lines that meet in a table are linked if their edit similarity, 1 - distance / longer length, is at
+least 0.8.  There are two ways to meet.
+
+`by_words`, which the query takes: least hash values of a line's words, and for short lines and those of
+long words of its character trigrams, in tables of four values each.  Lines that share two thirds of
+their different words miss each other in about one of a hundred cases, those that share more hardly
+ever; on lengths alone pairs are passed over before their distance is computed, and only where the
+lengths rule the similarity out.
+
+`by_bits`: the 64 bits of a line's SimHash are cut into five blocks, and each pair of blocks is a table.
+Lines that differ in at most three bits agree in two blocks at least, so they meet in a table; those
+of up to `RADIUS` bits that agree in two blocks are taken along, and others aren't compared.  One changed
+word moves more bits than that on most lines, so it finds near-copies of long lines only.
 
 Not all pairs of a crowded bucket are compared.  Rounds of pivots come first: in each bucket all
 lines are compared with one, first the smallest and then one of those that aren't connected to it,
@@ -15,7 +23,9 @@ of all links.  All of it is made of DataFrame functions.
 
 from __future__ import annotations
 
+import random
 import uuid
+from collections.abc import Callable
 from itertools import combinations
 
 from pyspark.sql import Column, DataFrame, functions as F
@@ -26,6 +36,10 @@ from tillroll.sources.scratch import scratch_path
 BITS, BLOCKS = 64, 5
 RADIUS = 8
 SIMILARITY = 0.8
+#: Tables of `by_words`, the least values that agree in a table, and how many tables each value serves.
+TABLES, AGREE, SERVES = 20, 4, 2
+#: Lines of up to so many characters, or with words of more characters than that on average, meet by their trigrams too.
+SHORT_LINE, LONG_WORD = 80, 12
 #: Rounds of pivots before the remaining pairs are compared.
 ROUNDS = 2
 
@@ -75,27 +89,61 @@ def _near(a: Column, b: Column) -> Column:
     return F.bit_count(a.bitwiseXOR(b)) <= RADIUS
 
 
-def buckets(hashes: DataFrame) -> DataFrame:
-    """bucket, key and simhash, for each pair of blocks, with the bucket's size n and its first line:
-    the rows of buckets of more than two lines, and of those of two the second if it is near the first."""
+def by_bits(lines: DataFrame, similarity: float) -> tuple[DataFrame, Callable[[Column, Column], Column]]:
+    """key, mark (the SimHash) and bucket for each pair of blocks, and which marks may be linked."""
+    hashes = staged(simhash(lines), "simhashes")
     edges = [round(k * BITS / BLOCKS) for k in range(BLOCKS + 1)]
     masks = [((1 << b) - (1 << a)) for a, b in zip(edges, edges[1:], strict=False)]
     pairs = [x | y for x, y in combinations(masks, 2)]
     signed = [m - (1 << BITS) if m >> BITS - 1 else m for m in pairs]
     spread = F.array(*[F.xxhash64(F.lit(k), F.col("simhash").bitwiseAND(F.lit(m))) for k, m in enumerate(signed)])
+    return hashes.select("key", F.col("simhash").alias("mark"), F.explode(spread).alias("bucket")), _near
+
+
+def _least(features: DataFrame, kind: int) -> DataFrame:
+    """key, mark (the line's length) and tables of lines given by their features (key, size, h)."""
+    rng, values = random.Random(kind), TABLES * AGREE // SERVES
+    flips = [rng.getrandbits(63) for _ in range(values)]
+    least = features.groupBy("key").agg(F.first("size").alias("mark"), *[F.min(F.xxhash64(F.col("h").bitwiseXOR(F.lit(f)))).alias(f"m{i}") for i, f in enumerate(flips)])
+    dealt = [i for _ in range(SERVES) for i in rng.sample(range(values), values)]
+    tables = [dealt[k * AGREE : (k + 1) * AGREE] for k in range(TABLES)]
+    return least.select("key", "mark", F.array(*[F.xxhash64(F.lit(kind), F.lit(k), *[f"m{i}" for i in sorted(t)]) for k, t in enumerate(tables)]).alias("tables"))
+
+
+def by_words(lines: DataFrame, similarity: float) -> tuple[DataFrame, Callable[[Column, Column], Column]]:
+    """key, mark (the length) and bucket for each table of least values, and which marks may be linked."""
+    sized = lines.select("key", "line", F.length("line").alias("size"))
+    of_words = sized.select("key", "size", F.explode(F.split("line", " ")).alias("part"))
+    n_words = F.length("line") - F.length(F.translate("line", " ", "")) + 1
+    letters = sized.where((F.col("size") <= SHORT_LINE) | (F.col("size") > LONG_WORD * n_words)).select("key", "size", F.split(F.concat(F.lit(" "), "line", F.lit(" ")), "").alias("c"))
+    trigrams = F.transform(F.sequence(F.lit(0), F.greatest(F.size("c") - 3, F.lit(0))), lambda i: F.concat_ws("", F.get("c", i), F.get("c", i + 1), F.get("c", i + 2)))
+    of_letters = letters.select("key", "size", F.explode(trigrams).alias("part"))
+    kinds = [_least(f.select("key", "size", F.xxhash64("part").alias("h")), kind) for kind, f in enumerate((of_words, of_letters))]
+    tables = staged(kinds[0].union(kinds[1]), "tables")
+    return tables.select("key", "mark", F.explode("tables").alias("bucket")), lambda a, b: F.abs(a - b) <= _most(F.greatest(a, b), similarity)
+
+
+def buckets(spread: DataFrame, near: Callable[[Column, Column], Column]) -> DataFrame:
+    """bucket, key and mark with the bucket's size n and its first line: the rows of buckets of more
+    than two lines, and of those of two the second if it is near the first."""
     # One exchange serves both the sums and the rows.
-    rows = hashes.select("key", "simhash", F.explode(spread).alias("bucket")).repartition("bucket")
-    first = rows.groupBy("bucket").agg(F.count("*").alias("n"), F.min("key").alias("first"), F.min_by("simhash", "key").alias("first_hash"))
+    rows = spread.repartition("bucket")
+    first = rows.groupBy("bucket").agg(F.count("*").alias("n"), F.min("key").alias("first"), F.min_by("mark", "key").alias("first_mark"))
     met = rows.join(first.where("n > 1"), "bucket")
     # Of a bucket of two, the first line's row says nothing that the other's doesn't, and that only if the two are near.
-    pair = (F.col("key") != F.col("first")) & _near(F.col("simhash"), F.col("first_hash"))
+    pair = (F.col("key") != F.col("first")) & near(F.col("mark"), F.col("first_mark"))
     return met.where((F.col("n") > 2) | pair)
 
 
+def _most(longer: Column, similarity: float) -> Column:
+    """The largest distance that is similar enough."""
+    return F.floor(F.round((1 - similarity) * longer, 6)).cast("int")
+
+
 def _similar(a: Column, b: Column, similarity: float) -> Column:
     """Edit similarity of at least `similarity`; lengths that rule it out are seen first."""
     longer, shorter = F.greatest(F.length(a), F.length(b)), F.least(F.length(a), F.length(b))
-    most = F.floor(F.round((1 - similarity) * longer, 6)).cast("int")
+    most = _most(longer, similarity)
     # With a bound the distance is computed in a band of that width, and is -1 beyond it: most similar lines pass the narrow one.
     within = F.when(F.call_function("levenshtein", a, b, F.floor(most / 4).cast("int")) >= 0, True).otherwise(F.call_function("levenshtein", a, b, most) >= 0)
     return (longer - shorter <= most) & within
@@ -117,13 +165,14 @@ def _rooted(rows: DataFrame, key: str, found: DataFrame, name: str) -> DataFrame
     return rows.join(named, key, "left").withColumn(name, F.coalesce(name, key))
 
 
-def linked(hashes: DataFrame, lines: DataFrame, similarity: float = SIMILARITY, rounds: int = ROUNDS) -> DataFrame:
+def linked(lines: DataFrame, similarity: float = SIMILARITY, rounds: int = ROUNDS, meet: Callable = by_bits) -> DataFrame:
     """Components (node, root) of the links between distinct lines."""
-    met = staged(buckets(hashes), "met")
-    beside = met.where((F.col("key") != F.col("first")) & _near(F.col("simhash"), F.col("first_hash")))
+    spread, near = meet(lines, similarity)
+    met = staged(buckets(spread, near), "met")
+    beside = met.where((F.col("key") != F.col("first")) & near(F.col("mark"), F.col("first_mark")))
     # A bucket of two is its pair; larger ones keep their rows.
     direct = staged(beside.where("n = 2").select(*_pairs(F.col("key"), F.col("first"))).distinct(), "pairs")
-    crowded = staged(met.where("n > 2").select("bucket", "key", "simhash"), "crowded")
+    crowded = staged(met.where("n > 2").select("bucket", "key", "mark"), "crowded")
     tried = direct.limit(0)
     links = found = None
 
@@ -146,33 +195,33 @@ def linked(hashes: DataFrame, lines: DataFrame, similarity: float = SIMILARITY,
             chosen = beside.select("key", "first")
         else:
             rows = open_rows()
-            pivot = rows.where("root = high").groupBy("bucket").agg(F.min("key").alias("first"), F.min_by("simhash", "key").alias("first_hash"))
-            chosen = rows.join(pivot, "bucket").where((F.col("key") != F.col("first")) & _near(F.col("simhash"), F.col("first_hash"))).select("key", "first")
+            pivot = rows.where("root = high").groupBy("bucket").agg(F.min("key").alias("first"), F.min_by("mark", "key").alias("first_mark"))
+            chosen = rows.join(pivot, "bucket").where((F.col("key") != F.col("first")) & near(F.col("mark"), F.col("first_mark"))).select("key", "first")
         # One pivot for each line and round is enough to connect a crowd.
         add(chosen.groupBy("key").agg(F.min("first").alias("first")).select(*_pairs(F.col("key"), F.col("first"))).distinct())
     if found is None:
         found = direct.limit(0).select(F.col("a").alias("node"), F.col("b").alias("root"))
     rows = open_rows()
-    x = rows.select("bucket", F.col("key").alias("x"), F.col("root").alias("rx"), F.col("simhash").alias("sx"))
-    y = rows.select("bucket", F.col("key").alias("y"), F.col("root").alias("ry"), F.col("simhash").alias("sy"))
-    across = x.join(y, (x["bucket"] == y["bucket"]) & (F.col("rx") < F.col("ry")) & _near(F.col("sx"), F.col("sy"))).select(*_pairs(F.col("x"), F.col("y")))
+    x = rows.select("bucket", F.col("key").alias("x"), F.col("root").alias("rx"), F.col("mark").alias("sx"))
+    y = rows.select("bucket", F.col("key").alias("y"), F.col("root").alias("ry"), F.col("mark").alias("sy"))
+    across = x.join(y, (x["bucket"] == y["bucket"]) & (F.col("rx") < F.col("ry")) & near(F.col("sx"), F.col("sy"))).select(*_pairs(F.col("x"), F.col("y")))
     apart = _rooted(_rooted(direct, "a", found, "ra"), "b", found, "rb").where("ra <> rb").select("a", "b")
     add(across.union(apart).distinct())
     return found
 
 
-def fuzzy(docs: DataFrame, similarity: float = SIMILARITY, rounds: int = ROUNDS) -> DataFrame:
+def fuzzy(docs: DataFrame, similarity: float = SIMILARITY, rounds: int = ROUNDS, meet: Callable = by_bits) -> DataFrame:
     """Every line with a word: doc_id, nth, key, component (key of its group) and kept.
 
     kept is true for the first occurrence of each group, by doc_id, NULL last, and number of the line.
     NULL and empty texts have no lines.  Where rows repeat an id, the first place may be theirs
     together; one of them keeps the line.  Lines are told apart by a 64-bit hash.  Other columns are ignored.
+    `meet` is `by_bits` or `by_words`.
     """
     all_lines = normal_lines(docs).withColumn("key", F.xxhash64("line"))
     places = staged(all_lines.select("doc_id", "nth", "key").withColumn("row", F.monotonically_increasing_id()), "places")
     lines = kept_by_key(all_lines.select("key", "line"))
-    hashes = staged(simhash(lines), "simhashes")
-    found = linked(hashes, lines, similarity, rounds).select(F.col("node").alias("key"), "root")
+    found = linked(lines, similarity, rounds, meet).select(F.col("node").alias("key"), "root")
     placed = places.join(found, "key", "left").withColumn("component", F.coalesce("root", "key"))
     placed = staged(placed.select("doc_id", "nth", "key", "component", "row"), "placed")
     order = F.struct(F.col("doc_id").isNull().alias("a"), F.col("doc_id").alias("b"), F.col("nth").alias("c"), F.col("row").alias("d"))

@@ -110,7 +110,7 @@ def op6(spark: SparkSession, directory: str) -> DataFrame:
 
 @query("op7_fuzzy_lines")
 def op7(spark: SparkSession, directory: str) -> DataFrame:
-    return fuzzy_lines.fuzzy(table(spark, directory, "documents"))
+    return fuzzy_lines.fuzzy(table(spark, directory, "documents"), meet=fuzzy_lines.by_words)
 
 
 OP8_SQL = """
