@@ -283,6 +283,13 @@ def test_line_frequency_on_odd_rows(spark, triples, docs):
     assert line_frequency.judged(cases.empty(spark)).count() == 0
 
 
+def test_line_frequency_in_a_large_source(spark):
+    """A line of thousands of documents is removed however many other documents its source has."""
+    text = F.concat_ws("\n", F.when(F.col("id") < 2000, "subscribe to our letter"), F.format_string("%d some text of its own with ten words in all", "id"))
+    got = line_frequency.judged(spark.range(210_000).select(F.col("id").alias("doc_id"), text.alias("text"), F.lit("big").alias("source")))
+    assert [tuple(r) for r in got.groupBy(F.col("doc_id") < 2000, "n_removed").count().orderBy("n_removed").collect()] == [(False, 0, 208_000), (True, 4, 2000)]
+
+
 # Fuzzy lines
 
 def edit_distance(a, b):

@@ -1,6 +1,6 @@
 """Quality rules with the frequency of lines across documents.
 
-Lines are normalised and hashed; a line that more documents of a host share than the limits allow is
+Lines are normalised and hashed; a line that so many documents of a host share is
 boilerplate there and is taken out; a document of which too little is left is rejected.  Rules on
 the text alone come first: too few words, or too many words in runs that the text repeats.  All
 of it is made of DataFrame functions.
@@ -16,9 +16,8 @@ SYMBOLS = "#*$%&|<>"
 RUN = 5
 LEAST_WORDS = 10
 REPEATED_PERCENT = 20
-#: A line of a host is boilerplate if at least so many of its documents have it, and at least this share of them.
+#: A line of a host is boilerplate if at least so many of its documents have it, however many others the host has.
 LINE_DOCUMENTS = 20
-LINE_SHARE = 0.01
 #: A document is depleted if less than this share of its words remains.
 REMAINING = 0.3
 HAS_WORD = r"[^\x20\x09-\x0D]"
@@ -68,20 +67,23 @@ def measured(docs: DataFrame) -> DataFrame:
     )
 
 
-def judged(docs: DataFrame, line_documents: int = LINE_DOCUMENTS, line_share: float = LINE_SHARE, remaining: float = REMAINING) -> DataFrame:
+def judged(docs: DataFrame, line_documents: int = LINE_DOCUMENTS, line_share: float = 0.0, remaining: float = REMAINING) -> DataFrame:
     """doc_id, counts, base_failed, n_removed (words in boilerplate lines) and kept of every document row.
 
     NULL and empty texts have no words and fail.  Documents without source are a host of their own.
     Each row counts as a document, so repeated rows make their lines frequent like other copies.
     A line that a document repeats counts once for its frequency and each time for what is removed.
+    A caller may ask for a share of the host's documents besides; the query doesn't.
     Other columns are ignored.
     """
     rows = staged(measured(docs).withColumn("row", F.monotonically_increasing_id()).withColumn("host", F.coalesce(F.concat(F.lit("="), "source"), F.lit(""))), "measured")
     in_doc = rows.select("row", "host", F.inline("lines")).groupBy("row", "host", "line").agg(F.sum("size").alias("size"))
     in_doc = staged(in_doc, "lines")
-    sizes = rows.groupBy("host").agg(F.count("*").alias("documents"))
     common = in_doc.groupBy("host", "line").agg(F.count("*").alias("n")).where(F.col("n") >= line_documents)
-    common = common.join(sizes, "host").where(F.col("n") >= line_share * F.col("documents")).select("host", "line")
+    if line_share > 0:
+        sizes = rows.groupBy("host").agg(F.count("*").alias("documents"))
+        common = common.join(sizes, "host").where(F.col("n") >= line_share * F.col("documents"))
+    common = common.select("host", "line")
     removed = in_doc.join(common, ["host", "line"], "left_semi").groupBy("row").agg(F.sum("size").alias("n_removed"))
     n_removed = F.coalesce("n_removed", F.lit(0).cast("bigint"))
     failed = (F.col("n_words") < LEAST_WORDS) | (100 * F.col("n_repeat_words") > REPEATED_PERCENT * F.col("n_words"))
