@@ -403,6 +403,16 @@ def test_urls(spark):
     assert url_templates.judge(spark.createDataFrame([], "page_id bigint, url string")).count() == 0
 
 
+@pytest.mark.parametrize("sections", [8, 9, 100])
+def test_urls_of_many_sections(spark, sections):
+    """A few blocked pages don't block the rest of a host, however many sections it has."""
+    urls = [f"http://big.net/{'es' if s == 0 else f'part-x{s}'}/{name}x{k}" for s in range(sections) for k in range(20) for name in ("p", "q")]
+    got = url_templates.judge(spark.createDataFrame(list(enumerate(urls)), "page_id bigint, url string")).collect()
+    assert len(got) == len(urls)
+    assert {r.verdict for r in got if r.path.startswith("/es/")} == {"block"} and {r.template for r in got if r.path.startswith("/es/")} == {"/es/*"}
+    assert {r.verdict for r in got if not r.path.startswith("/es/")} == {"allow"}
+
+
 # Dialogues
 
 def test_perspectives(spark):

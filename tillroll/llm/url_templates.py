@@ -1,10 +1,11 @@
 """URL filter by a tree of path templates.
 
 Rules judge the urls they fit.  For the rest, a tree of templates is learned per host: segment by
-segment, numbers and the rare values of crowded nodes become wildcards; templates of a host
+segment, numbers and the rare values of crowded nodes become wildcards, unless their share of
+blocked pages differs from that of their siblings by more than chance explains; templates of a host
 that differ in one segment only and whose shares of blocked pages can't be told apart are merged;
-and a template is blocked if its purity, the share of blocked pages among those that rules judge,
-smoothed towards that of its host and this towards a prior, reaches a threshold.
+and a template is blocked if its purity, the share of blocked pages with those that no rule judges at
+the prior, smoothed towards that of its host and this towards a prior, reaches a threshold.
 """
 
 from __future__ import annotations
@@ -57,6 +58,18 @@ def _chosen(number: Column, values: Sequence[str]) -> Column:
     return F.get(F.array(*[F.lit(v) for v in values]).cast("array<string>"), number)
 
 
+def _apart(blocked: Column, pages: Column, others_blocked: Column, others: Column) -> Column:
+    """Whether two shares of blocked pages differ by more than chance explains."""
+    pooled = (blocked + others_blocked + 1) / (pages + others + 2)
+    error = F.sqrt(pooled * (1 - pooled) * (1 / pages + 1 / F.nullif(others, F.lit(0))))
+    return F.abs(blocked / pages - others_blocked / F.nullif(others, F.lit(0))) > ERRORS * error
+
+
+def _expected(n: Column, judged: Column, blocked: Column) -> Column:
+    """Blocked pages, those that no rule judges at the prior."""
+    return blocked + PRIOR * (n - judged)
+
+
 def templates(paths: DataFrame, depth: int = DEPTH) -> DataFrame:
     """paths (host, path, n, judged, blocked) with template: the segments of the path, variable ones as wildcards."""
     parts = F.filter(F.split("path", "/"), lambda p: p != "")
@@ -64,11 +77,13 @@ def templates(paths: DataFrame, depth: int = DEPTH) -> DataFrame:
     deepest = min(depth, rows.agg(F.max(F.size("parts"))).first()[0] or 0)
     for level in range(deepest):
         here = rows.where(F.size("parts") > level).withColumn("part", F.get("parts", F.lit(level)))
-        # Segments of a node, from which those that stand for themselves are chosen: a few for each node.
-        children = here.groupBy("host", "template", "part").agg(F.sum("n").alias("n"))
-        nodes = children.groupBy("host", "template").agg(F.count("*").alias("children"), F.sum("n").alias("all"))
+        # Segments of a node, from which those that stand for themselves are chosen: the frequent ones and those unlike their siblings.
+        expected = _expected(F.sum("n"), F.sum("judged"), F.sum("blocked"))
+        children = here.groupBy("host", "template", "part").agg(F.sum("n").alias("n"), expected.alias("bad"))
+        nodes = children.groupBy("host", "template").agg(F.count("*").alias("children"), F.sum("n").alias("all"), F.sum("bad").alias("all_bad"))
+        unlike = F.coalesce(_apart(F.col("bad"), F.col("n"), F.col("all_bad") - F.col("bad"), F.col("all") - F.col("n")), F.lit(False))
         named = children.join(nodes, ["host", "template"]).where(
-            ~F.col("part").rlike(NUMBER) & ((F.col("children") <= CROWDED) | (F.col("n") >= SHARE * F.col("all")))
+            unlike | ~F.col("part").rlike(NUMBER) & ((F.col("children") <= CROWDED) | (F.col("n") >= SHARE * F.col("all")))
         ).select("host", "template", "part", F.lit(True).alias("named"))
         rows = rows.withColumn("part", F.get("parts", F.lit(level))).join(named, ["host", "template", "part"], "left")
         there, own = F.col("part").isNotNull(), F.coalesce("named", F.lit(False))
@@ -120,11 +135,11 @@ def judge(pages: DataFrame, rules: Sequence[tuple[str, str, str]] = RULES) -> Da
     )
     placed = staged(templates(paths).select("host", "path", "template", "last", "n", "judged", "blocked"), "templates")
     leaves = staged(merged(placed), "merged")
-    hosts = leaves.groupBy("host").agg(F.sum("n").alias("pages"), F.sum("judged").alias("seen"), F.sum("blocked").alias("bad"))
-    # Pages that no rule judges count at the prior, so a few blocked branches don't condemn their host.
-    hosts = hosts.select("host", ((F.col("bad") + PRIOR * (F.col("pages") - F.col("seen")) + WEIGHT * PRIOR) / (F.col("pages") + WEIGHT)).alias("of_host"))
-    branches = leaves.groupBy("host", "branch").agg(F.sum("judged").alias("judged"), F.sum("blocked").alias("blocked")).join(hosts, "host")
-    branches = branches.select("host", "branch", ((F.col("blocked") + WEIGHT * F.col("of_host")) / (F.col("judged") + WEIGHT)).alias("purity"))
+    hosts = leaves.groupBy("host").agg(F.sum("n").alias("pages"), _expected(F.sum("n"), F.sum("judged"), F.sum("blocked")).alias("bad"))
+    # Pages that no rule judges count at the prior, so a few blocked branches don't condemn their host, nor a few blocked pages their branch.
+    hosts = hosts.select("host", ((F.col("bad") + WEIGHT * PRIOR) / (F.col("pages") + WEIGHT)).alias("of_host"))
+    branches = leaves.groupBy("host", "branch").agg(F.sum("n").alias("pages"), _expected(F.sum("n"), F.sum("judged"), F.sum("blocked")).alias("bad")).join(hosts, "host")
+    branches = branches.select("host", "branch", ((F.col("bad") + WEIGHT * F.col("of_host")) / (F.col("pages") + WEIGHT)).alias("purity"))
     known = placed.select("host", "path", "template").join(leaves.select("host", "template", "branch"), ["host", "template"]).join(branches, ["host", "branch"])
     out = parsed.join(known, ["host", "path"])
     rule = _chosen(F.col("number"), [h + p for h, p, _ in rules])
