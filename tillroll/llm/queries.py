@@ -7,10 +7,10 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from tillroll.llm import (
-    covering_simhash, entropy_mix, fuzzy_lines, line_frequency, perspectives, pu_quality, token_files, toxicity_gru, url_templates,
-    winnowing,
+    covering_simhash, entropy_mix, fuzzy_lines, line_frequency, periodic_runs, perspectives, pu_quality, token_files, toxicity_gru,
+    url_templates, winnowing,
 )
-from tillroll.llm.shared import table
+from tillroll.llm.shared import table, words
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -159,6 +159,37 @@ def op10(spark: SparkSession, directory: str) -> DataFrame:
     return token_files.token_digests(table(spark, directory, "documents"), token_files.default_tokenizer(spark))
 
 
+def _with_planted_run(docs: DataFrame) -> DataFrame:
+    """doc_id and text; one document in ten, by the checksum of its id, repeats its words from a place on with a period."""
+    checksum = F.crc32(F.col("doc_id").cast("string").cast("binary"))
+    base = docs.select("doc_id", "text", checksum.alias("h"), F.when(checksum % 10 == 0, words(F.col("text"))).alias("w"))
+    sized = base.withColumn("n", F.size("w")).withColumn("g", F.expr("h div 10"))
+    placed = sized.withColumn("a", F.expr("IF(n > 0, CAST(g % n AS INT), 0)"))
+    placed = placed.withColumn("p", F.expr("CAST(1 + (n - a) div (3 + g % 8) AS INT)"))
+    repeated = F.expr(
+        "array_join(concat(slice(w, 1, a), slice(flatten(array_repeat(slice(w, a + 1, p), CAST(ceil((n - a) / p) AS INT))), 1, n - a)), ' ')"
+    )
+    return placed.select("doc_id", F.when((F.col("h") % 10 == 0) & (F.col("n") > 0), repeated).otherwise(F.col("text")).alias("text"))
+
+
+@query("op11_periodic_runs")
+def op11(spark: SparkSession, directory: str) -> DataFrame:
+    found = periodic_runs.periodic_runs(_with_planted_run(table(spark, directory, "documents")))
+    more = lambda a, b: a["length"] * b["period"] - b["length"] * a["period"]  # noqa: E731  which of two runs has more periods
+    order = lambda a, b: (
+        F.when(more(a, b) != 0, -F.signum(more(a, b))).when(a["start"] != b["start"], F.signum(a["start"] - b["start"]))
+        .otherwise(F.signum(a["period"] - b["period"])).cast("int")
+    )
+    first = F.get(F.array_sort("runs", order), 0)
+    listed = F.transform("runs", lambda r: F.concat_ws(",", r["start"], r["length"], r["period"]))
+    text = F.when(F.size("runs") > 0, F.concat(F.array_join(listed, "\n"), F.lit("\n"))).otherwise("")
+    digests = found.select("doc_id", F.size("runs").cast("bigint").alias("n_runs"), first.alias("best"), text.alias("runs_text"), "collapsed")
+    return digests.select(
+        "doc_id", "n_runs", "best.start", "best.length", "best.period", F.expr("1000 * best.length div best.period").alias("exponent_milli"),
+        F.sha2(F.col("runs_text").cast("binary"), 256).alias("runs_sha256"), F.sha2(F.col("collapsed").cast("binary"), 256).alias("collapsed_sha256"),
+    )
+
+
 @query("pipeline")
 def pipeline(spark: SparkSession, directory: str) -> DataFrame:
     import corpus_pipeline
