@@ -103,17 +103,23 @@ class Catchers:
         if run >= 0:
             self.run_end[run] = end
             here = self.run_of[marked:end]
-            here[(here < 0) | (self.run_end[here] < end)] = run
+            here[(here < 0) | (self.run_end[here] < end) | ((self.run_end[here] == end) & (self.run_period[here] > q))] = run
         self.latest[q] = [start, end, run]
         (self.open.add if end == self.n else self.open.discard)(q)
 
+    def _outside(self, b: int, s: np.ndarray, q: np.ndarray | int) -> np.ndarray:
+        """Whether a pair of blocks lies outside the runs so far.  Inside one whose period divides q, its stretch is that run."""
+        run = self.run_of[s]
+        return (run < 0) | (self.run_end[run] < s + q + b) | (q % self.run_period[run] != 0)
+
     def _caught(self, b: int, s: np.ndarray, q: np.ndarray) -> None:
         """Blocks [s, s + b) that came again q later."""
-        for period in np.unique(q).tolist():
-            at = s[q == period]
-            run = self.run_of[at]
-            # Inside a run whose period divides this one, the stretch is that run.
-            at = at[(run < 0) | (self.run_end[run] < at + (period + b)) | (period % self.run_period[run] != 0)]
+        new = self._outside(b, s, q)
+        s, q = s[new], q[new]
+        order = np.argsort(q, kind="stable")
+        periods, firsts = np.unique(q[order], return_index=True)
+        for period, at in zip(periods.tolist(), np.split(s[order], firsts[1:]), strict=False):
+            at = at[self._outside(b, at, period)]
             k = 0
             while k < len(at):
                 block = int(at[k])
@@ -138,18 +144,18 @@ class Catchers:
                 first, hashes = self.windows[b][0], np.concatenate([self.windows[b][1], hashes])
             new = max(before - b + 1, 0)  # the first suffix that was not complete before
             if b >= LOWEST:
+                if b == LOWEST and new < b:  # in the first block there is only the block itself to wait for
+                    at = np.arange(max(new, 1), min(b, first + len(hashes)))
+                    hit = at[hashes[at - first] == hashes[0]] if len(at) and first == 0 else at[:0]
+                    if len(hit):
+                        self._caught(b, np.zeros(len(hit), np.int64), hit)
                 at = np.arange(max(new, b), first + len(hashes))
-                for back in (1, 0) if b == LOWEST else (1,):
+                for back in (0, 1) if b == LOWEST else (1,):  # short periods first
                     block = (at // b - back) * b
                     hit = np.flatnonzero(hashes[block - first] == hashes[at - first])
                     hit = hit[at[hit] > block[hit]]
                     if len(hit):
                         self._caught(b, block[hit], at[hit] - block[hit])
-                if b == LOWEST and new < b:  # in the first block there is only the block itself to wait for
-                    at = np.arange(max(new, 1), min(b, first + len(hashes)))
-                    hit = at[hashes[at - first] == hashes[0]] if len(at) and first == 0 else at[:0]
-                    if len(hit):
-                        self._caught(b, np.zeros(len(hit), np.int64), hit)
             # The next level needs the last b windows, the catchers the last two blocks.
             keep = max(first, (first + len(hashes)) // b * b - 2 * b)
             self.windows[b] = (keep, hashes[keep - first :])
