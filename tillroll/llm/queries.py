@@ -7,8 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from tillroll.llm import (
-    covering_simhash, entropy_mix, fuzzy_lines, line_frequency, periodic_runs, perspectives, pu_quality, token_files, toxicity_gru,
-    url_templates, winnowing,
+    covering_simhash, entropy_mix, fuzzy_lines, line_frequency, periodic_runs, perspectives, pu_quality, token_alignment, token_files,
+    toxicity_gru, url_templates, winnowing,
 )
 from tillroll.llm.shared import table, words
 
@@ -190,6 +190,14 @@ def op11(spark: SparkSession, directory: str) -> DataFrame:
     )
 
 
+@query("op13_token_alignment")
+def op13(spark: SparkSession, directory: str) -> DataFrame:
+    vocabularies = token_alignment.default_vocabularies(spark)
+    found = token_alignment.aligned(table(spark, directory, "documents"), *vocabularies)
+    digest = F.when(F.col("n_a") > 0, F.sha2(F.col("groups").cast("binary"), 256)).otherwise("")
+    return token_alignment.with_counts(found.select("doc_id", "n_a", "n_b", "n_groups", "n_links", digest.alias("groups_sha256"), "links"), *vocabularies)
+
+
 @query("pipeline")
 def pipeline(spark: SparkSession, directory: str) -> DataFrame:
     import corpus_pipeline
