@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from tillroll.llm import (
-    covering_simhash, entropy_mix, fuzzy_lines, line_frequency, periodic_runs, perspectives, pu_quality, token_alignment, token_files,
+    cover_search, covering_simhash, entropy_mix, fuzzy_lines, line_frequency, periodic_runs, perspectives, pu_quality, token_alignment, token_files,
     toxicity_gru, url_templates, winnowing,
 )
 from tillroll.llm.shared import table, words
@@ -190,6 +190,25 @@ def op11(spark: SparkSession, directory: str) -> DataFrame:
     )
 
 
+OP12_SQL = """
+WITH vectors AS (
+  SELECT vec_id, list_transform(embedding, lambda x: floor(256 * CAST(x AS DOUBLE))) AS v FROM embeddings
+  WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+), scores AS (
+  SELECT q.vec_id AS query_id, c.vec_id, CAST(list_inner_product(q.v, c.v) AS BIGINT) AS score
+  FROM vectors q JOIN vectors c ON c.vec_id <> q.vec_id WHERE q.vec_id % 50 = 0
+), ranked AS (
+  SELECT *, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS INTEGER) AS rank FROM scores
+)
+SELECT query_id, rank, vec_id, score FROM ranked WHERE rank <= 5
+"""
+
+
+@query("op12_cover_search", OP12_SQL)
+def op12(spark: SparkSession, directory: str) -> DataFrame:
+    return cover_search.top_k(table(spark, directory, "embeddings"), F.col("vec_id") % 50 == 0)
+
+
 @query("op13_token_alignment")
 def op13(spark: SparkSession, directory: str) -> DataFrame:
     vocabularies = token_alignment.default_vocabularies(spark)
