@@ -12,9 +12,10 @@ from tillroll.plans import calendar as cal, cashiers, compare, flights, picking,
 from tillroll.sources import loads, scratch, sinks
 from tillroll.sources.inline import inline_table
 from tillroll.sources.mart import Mart
+from tillroll.sources.published import Conflict, Published
 from tillroll.streaming.live import LiveMart
-from tillroll.streaming.orders import append_new_orders, loaded_orders
-from tillroll.streaming.picking import picking_pairs, write_pairs
+from tillroll.streaming.orders import append_new_orders, compact_orders, loaded_orders
+from tillroll.streaming.picking import compact_pairs, picking_pairs, write_pairs
 
 SMALL = "/root/testdata/sf0.001"
 
@@ -192,11 +193,14 @@ def test_start_without_stop_counts_no_time(spark):
     log = [
         ("o1", 1, at, 40, "P1", 1), ("o1", 2, at + dt.timedelta(seconds=90), 50, "P1", 1), ("o1", 3, at + dt.timedelta(hours=1), 40, "P2", 1),
         ("o2", 4, at, 40, "P1", 1), ("o2", 5, at + dt.timedelta(seconds=30), 60, "P1", 5), ("o3", 6, at, 50, "P1", 1),
+        ("o4", 7, at, 40, "P1", 1), ("o4", 8, at + dt.timedelta(seconds=40), 60, "P1", 5), ("o4", 9, at + dt.timedelta(hours=2), 40, "P1", 1),
     ]
     events = spark.createDataFrame(log, "order_no string, tracking_no bigint, created_at timestamp, status int, picker string, amount int")
     got = {(r.order_no, r.picker): r.time_used for r in picking.pick_times(events).collect()}
     assert got == {
-        ("o1", "P1"): "00:01:30", ("o1", "P2"): "00:00:00", ("o1", "Total"): "00:01:30", ("o2", "P1"): "00:00:30", ("o2", "Total"): "00:00:30",
+        ("o1", "P1"): "00:01:30", ("o1", "P2"): "00:00:00", ("o1", "Total"): "00:01:30",
+        # A confirmed line ends a start only where a later start of the order follows it.
+        ("o2", "P1"): "00:00:00", ("o2", "Total"): "00:00:00", ("o4", "P1"): "00:00:40", ("o4", "Total"): "00:00:40",
     }
 
 
@@ -325,6 +329,76 @@ def test_a_new_checkpoint_adds_to_what_is_loaded(spark, mart, event_files):
     assert rows(loaded_orders(spark, f"{base}/orders").select("order_no", "tracking_no")) == rows(batch)
 
 
+@pytest.fixture(scope="module")
+def small_log(spark):
+    """Twelve files of forty orders, each order started in one file and stopped in a later one."""
+    folder = scratch.scratch_path(spark).replace("file:", "")
+    os.makedirs(folder)
+    at = dt.datetime(2024, 1, 1, 8)
+    shape = "order_no string, tracking_no bigint, created_at timestamp, status int, picker string"
+    for n in range(12):
+        lines = [(f"n{n}-{k}", 1000 * n + k, at + dt.timedelta(days=n), 40, "P") for k in range(40)]
+        lines += [(f"n{n - 2}-{k}", 1000 * n + 500 + k, at + dt.timedelta(days=n, seconds=k), 50, "P") for k in range(0, 40, 2) if n > 1]
+        spark.createDataFrame(lines, shape).coalesce(1).write.parquet(f"{folder}/_{n}")
+        name = next(f for f in os.listdir(f"{folder}/_{n}") if f.endswith(".parquet"))
+        os.rename(f"{folder}/_{n}/{name}", f"{folder}/log-{n:02d}.parquet")
+        os.utime(f"{folder}/log-{n:02d}.parquet", (1_700_000_000 + n * 60,) * 2)
+
+    def read(pattern="log-*.parquet", files=1):
+        return spark.readStream.schema(shape).option("pathGlobFilter", pattern).option("maxFilesPerTrigger", files).parquet(folder)
+
+    return read
+
+
+def test_batches_of_the_order_load_cost_their_own_lines(spark, small_log):
+    base = scratch.scratch_path(spark)
+    stream = append_new_orders(small_log(), f"{base}/orders", f"{base}/state")
+    stream.awaitTermination()
+    progress = [p for p in stream.recentProgress if p["numInputRows"]]
+    assert len(progress) == 12 and [p["numInputRows"] for p in progress][2:] == [60] * 10
+    # State is updated for the orders of the batch only, whatever is loaded: none is read or written beside them.
+    assert [p["stateOperators"][0]["numRowsUpdated"] for p in progress] == [40] * 12
+    assert loaded_orders(spark, f"{base}/orders").count() == 480 == loaded_orders(spark, f"{base}/orders").select("order_no").distinct().count()
+    before = rows(loaded_orders(spark, f"{base}/orders"))
+    assert compact_orders(spark, f"{base}/orders") >= 11 and compact_orders(spark, f"{base}/orders") == 0
+    assert rows(loaded_orders(spark, f"{base}/orders")) == before
+    # A new checkpoint starts from what is loaded, compacted or not, and adds nothing twice.
+    append_new_orders(small_log(files=6), f"{base}/orders", f"{base}/state2").awaitTermination()
+    assert rows(loaded_orders(spark, f"{base}/orders")) == before
+
+
+def test_a_new_checkpoint_of_the_pairs_loses_nothing(spark, small_log):
+    base = scratch.scratch_path(spark)
+    write_pairs(small_log("log-0[0-7].parquet"), f"{base}/pairs", f"{base}/state").awaitTermination()
+    part = rows(picking_pairs(spark, f"{base}/pairs").filter("stopped_at IS NOT NULL"))
+    write_pairs(small_log(files=5), f"{base}/pairs", f"{base}/state2").awaitTermination()
+    assert compact_pairs(spark, f"{base}/pairs") > 5
+    got = picking_pairs(spark, f"{base}/pairs")
+    assert set(part) <= set(rows(got)) and got.count() == 480 and got.filter("stopped_at IS NOT NULL").count() == 200
+    assert got.filter("stopped_at < started_at").count() == 0
+
+
+def test_starts_are_given_up_after_the_patience(spark, small_log):
+    base = scratch.scratch_path(spark)
+    stream = write_pairs(small_log(), f"{base}/pairs", f"{base}/state", patience="36 hours")
+    stream.awaitTermination()
+    got = picking_pairs(spark, f"{base}/pairs")
+    assert got.count() == 480 and got.filter("stopped_at IS NOT NULL").count() < 200
+    kept = [p["stateOperators"][0]["numRowsTotal"] for p in stream.recentProgress if p["stateOperators"]]
+    assert kept[-1] < 480
+
+
+def test_two_writers_cannot_both_publish(spark):
+    folder = scratch.scratch_path(spark)
+    a, b = Published(spark, folder), Published(spark, folder)
+    assert a.version() == b.version() == 0 and a.read() == {}
+    assert a.publish(0, {"rows": "x"}) == 1
+    with pytest.raises(Conflict):
+        b.publish(0, {"rows": "y"})
+    assert b.publish(1, {"rows": "z"}) == 2 and a.read() == {"rows": "z"} and a.read(1) == {"rows": "x"}
+    assert a.children("_versions") == ["v0000000001.json", "v0000000002.json"]
+
+
 def test_streamed_pairs_equal_batch_pairs(spark, mart, event_files):
     live = LiveMart(spark, event_files, "events-*.parquet", files_per_batch=1)
     base = scratch.scratch_path(spark)

@@ -2,42 +2,56 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, functions as F
+from collections.abc import Iterator
+
+from pyspark.sql import DataFrame, Row, functions as F
 from pyspark.sql.streaming import StreamingQuery
+from pyspark.sql.streaming.stateful_processor import StatefulProcessor, StatefulProcessorHandle
 
-from tillroll.sources.loads import empty_like, incremental_append
+from tillroll.streaming import state
 
 SHAPE = "order_no string, tracking_no bigint, created_at timestamp_ntz, status int, picker string"
-FOLDERS = "run_id string, batch_id bigint"
 
 
-def first_lines(batch: DataFrame) -> DataFrame:
-    """The first log line of every order in a batch."""
-    first = F.min(F.struct("tracking_no", "created_at", "status", "picker"))
-    return batch.groupBy("order_no").agg(first.alias("_first")).select("order_no", "_first.*")
+class FirstLine(StatefulProcessor):
+    """Passes on the first line of an order that was not seen before; its state is one flag per order."""
+
+    def init(self, handle: StatefulProcessorHandle) -> None:
+        self._seen = handle.getValueState("seen", "seen boolean")
+
+    def handleInitialState(self, key, initialState, timerValues) -> None:
+        self._seen.update((True,))
+
+    def handleInputRows(self, key, rows: Iterator[Row], timerValues) -> Iterator[Row]:
+        if self._seen.exists():
+            return
+        self._seen.update((True,))
+        yield min(rows, key=lambda r: r.tracking_no)
+
+    def close(self) -> None:
+        pass
 
 
 def append_new_orders(stream: DataFrame, target: str, checkpoint: str) -> StreamingQuery:
     """Append each order once, with its first log line.
 
-    A batch compares its orders with all that is loaded but its own rows, and writes to a folder
-    named by the query and its number.  A batch that is repeated after a failure replaces its own
-    rows and adds nothing twice; a query with a new checkpoint adds to what earlier ones loaded.
+    Which orders are loaded is kept as state by order, so a batch reads no target: it costs what its own
+    lines cost, however much is loaded.  Only the first batch of a new checkpoint reads the order numbers of
+    the target, to start from what earlier queries loaded.  A batch that is repeated after a failure
+    meets the state it met before and replaces its own folder.
     """
     spark = stream.sparkSession
-    empty_like(spark, SHAPE).write.mode("ignore").parquet(f"{target}/run_id=none/batch_id=-1")
+    loaded = loaded_orders(spark, target).select("order_no").distinct().groupBy("order_no")
+    lines = stream.select("order_no", "tracking_no", F.col("created_at").cast("timestamp_ntz").alias("created_at"), "status", "picker")
+    with state.keyed_state(spark):
+        fresh = lines.groupBy("order_no").transformWithState(FirstLine(), SHAPE, "Append", "None", loaded)
+        return state.write_batches(fresh, target, checkpoint)
 
-    def load(batch: DataFrame, batch_id: int) -> None:
-        session = batch.sparkSession
-        # The query's id lives in its checkpoint: it stays over restarts, and a new checkpoint has another.
-        run_id = session.sparkContext.getLocalProperty("sql.streaming.queryId")
-        own = (F.col("run_id") == run_id) & (F.col("batch_id") >= batch_id)
-        loaded = session.read.schema(f"{SHAPE}, {FOLDERS}").parquet(target).filter(~own)
-        fresh = incremental_append(first_lines(batch), loaded, ["order_no"])
-        fresh.write.mode("overwrite").parquet(f"{target}/run_id={run_id}/batch_id={batch_id}")
 
-    return stream.writeStream.foreachBatch(load).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
+def loaded_orders(spark, target: str) -> DataFrame:
+    return state.written_rows(spark, target, SHAPE)
 
 
-def loaded_orders(spark, target: str) -> DataFrame:
-    return spark.read.schema(f"{SHAPE}, {FOLDERS}").parquet(target).drop("run_id", "batch_id")
+def compact_orders(spark, target: str, pieces: int = 1) -> int:
+    """Puts the folders of finished batches together; returns how many."""
+    return state.compact(spark, target, SHAPE, pieces)
