@@ -10,7 +10,7 @@ bytes.  The bytes of all tokens joined must be the text itself, else the text co
 Texts are cut into segments that both tokenizers treat alone: before a lone space between two
 characters that aren't white space, A always begins a new piece, and no piece of B reaches over it
 (this is looked up in B's vocabulary, else texts stay whole).  So each different segment is encoded
-and aligned once for each run of rows, and a text is the chain of its segments.
+and aligned once for each piece of the table, and a text is the chain of its segments.
 
 Two tokens that end together are suffixes of one another.  So the id pairs that can ever be linked
 are given by the vocabularies: at most two for each suffix of each token, under a million for 50,000 and
@@ -23,7 +23,7 @@ import os
 import re
 from collections.abc import Iterator
 from functools import partial
-from itertools import accumulate
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -32,10 +32,11 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from tillroll.llm.shared import staged
 
-#: Segments that a worker remembers: as many again are kept from before.
-REMEMBERED = 250_000
+#: Different segments that are encoded at once, and that are put together as one text.
+CHUNK = 8192
+RUN = 64
 #: Texts are aligned in pieces of about so many bytes; a longer text is a piece of its own.
-PIECE = 1 << 22
+PIECE = 1 << 23
 
 _LONE_SPACE = re.compile(r"(?<=\S)(?= \S)")
 
@@ -69,69 +70,100 @@ class Aligner:
         self.bits = (len(pieces) - 1).bit_length()
         self.type = np.dtype("<u4" if (len(self.a_bytes) - 1).bit_length() + self.bits <= 32 else "<u8")
         self.splits = not any("▁" in p.lstrip("▁") for p in pieces)
-        self.known: dict[str, tuple[int, int, bytes, bytes] | None] = {}
-        self.older: dict[str, tuple[int, int, bytes, bytes] | None] = {}
-
-    def a_tokens(self, texts: list[str]) -> list[list[tuple[int, int, int]]]:
-        """Per text its tokens of A: id and span, the characters' places turned into those of their bytes."""
-        out = []
-        for text, found in zip(texts, self.a.encode_batch(texts, add_special_tokens=False), strict=True):
-            if text.isascii():
-                out.append([(i, x, y) for i, (x, y) in zip(found.ids, found.offsets, strict=True)])
-            else:
-                place = [0, *accumulate(len(c.encode()) for c in text)]
-                out.append([(i, place[x], place[y]) for i, (x, y) in zip(found.ids, found.offsets, strict=True)])
-        return out
-
-    def b_tokens(self, texts: list[str]) -> list[list[tuple[int, int, int]]]:
-        """Per text its tokens of B: id and span in bytes, counted from the space that is put before the text."""
-        found = self.b.encode(texts, return_type="proto", num_threads=1)
-        return [[(p.id, p.begin + 1 if k else 0, p.end + 1) for k, p in enumerate(one.pieces)] for one in found]
-
-    def aligned(self, segment: str, a: list[tuple[int, int, int]], b: list[tuple[int, int, int]]) -> tuple[int, int, bytes, bytes] | None:
-        """Of a segment and its tokens (id, span in bytes): their numbers, the groups as text and the links as
-        pair codes; None if the tokens aren't the segment's bytes."""
-        a_parts, b_parts = [self.a_bytes[t[0]] for t in a], [self.b_bytes[t[0]] for t in b]
-        raw = segment.encode()
-        if b"".join(a_parts) != raw or b"".join(b_parts) != raw:
-            return None
-        a_cuts, b_cuts = clean_ends(a), clean_ends(b)
-        groups: list[str] = []
-        links: list[int] = []
-        i = j = 0
-        for cut in [*sorted(a_cuts.keys() & b_cuts.keys()), None]:
-            ai, bj = (len(a), len(b)) if cut is None else (a_cuts[cut] + 1, b_cuts[cut] + 1)
-            if ai == i and bj == j:
-                continue
-            a_ends, b_ends = [*accumulate(map(len, a_parts[i:ai]))], [*accumulate(map(len, b_parts[j:bj]))]
-            if not (a_ends and b_ends and a_ends[-1] == b_ends[-1]):
-                continue  # these spans aren't those of the bytes: left to the next cut
-            # One group by the spans, or more of them where the bytes of parts of characters end together.
-            parts = all(t[2] - t[1] == len(self.a_bytes[t[0]]) for t in a[i:ai]) and all(t[2] - t[1] == len(self.b_bytes[t[0]]) for t in b[j:bj])
-            shared = {a_ends[-1]} if parts else set(a_ends) & set(b_ends)
-            x = y = 0
-            for end in sorted(shared):
-                u, v = a_ends.index(end, x) + 1, b_ends.index(end, y) + 1
-                groups.append(",".join([str(t[0]) for t in a[i + x : i + u]]) + "|" + ",".join([str(t[0]) for t in b[j + y : j + v]]))
-                links.append(a[i + u - 1][0] << self.bits | b[j + v - 1][0])
-                x, y = u, v
-            i, j = ai, bj
-        return len(a), len(b), ";".join(groups).encode(), np.array(links, self.type).tobytes()
-
-    def look_up(self, pieces: list[str]) -> list[tuple[int, int, bytes, bytes] | None]:
-        """What is known of the segments, each a space and a piece; unknown ones are encoded and aligned first."""
-        if len(self.known) > REMEMBERED:
-            # What is still in use comes back from the older half when it is next seen.
-            self.known, self.older = {}, self.known
-        known, older = self.known, self.older
-        known.update((p, older[p]) for p in pieces if p not in known and p in older)
-        new = [p for p in pieces if p not in known]
-        for at in range(0, len(new), 2048):
-            some = new[at : at + 2048]
-            segments = [" " + p for p in some]
-            for p, s, a, b in zip(some, segments, self.a_tokens(segments), self.b_tokens(some), strict=True):
-                known[p] = self.aligned(s, a, b)
-        return [known[p] for p in pieces]
+        # How a token is shown inside its group and at the group's end.
+        shown = [f"{i}{mark}" for marks, n in (((",", "|"), len(self.a_bytes)), ((",", ";"), len(pieces))) for i in range(n) for mark in marks]
+        self.shown = pa.array(shown, pa.large_binary())
+        self.a_lengths, self.b_lengths = (np.array(list(map(len, x)), np.int64) for x in (self.a_bytes, self.b_bytes))
+
+    def _a_tokens(self, segments: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Number of tokens of A in each segment, their ids, and their spans in characters."""
+        found = self.a.encode_batch(segments, add_special_tokens=False)
+        ids = [x.ids for x in found]
+        n = np.array(list(map(len, ids)), np.int64)
+        spans = np.fromiter(chain.from_iterable(chain.from_iterable([x.offsets for x in found])), np.int64, 2 * int(n.sum()))
+        return n, np.fromiter(chain.from_iterable(ids), np.int64, int(n.sum())), spans.reshape(-1, 2)
+
+    def _b_tokens(self, pieces: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Number of tokens of B in each piece, their ids, and their spans in bytes, counted from the space that is put before it."""
+        # The spans of the library's immutable proto; this version of it hands them over as an offset mapping.
+        found = self.b.encode([p.encode() for p in pieces], return_type="offset_mapping", num_threads=1)
+        ids = [x["ids"] for x in found]
+        n = np.array(list(map(len, ids)), np.int64)
+        spans = np.fromiter(chain.from_iterable(chain.from_iterable([x["offsets"] for x in found])), np.int64, 2 * int(n.sum())).reshape(-1, 2) + 1
+        spans[(np.cumsum(n) - n)[n > 0], 0] = 0  # the first token has that space
+        return n, np.fromiter(chain.from_iterable(ids), np.int64, int(n.sum())), spans
+
+    def _aligned(self, pieces: list[str], run: int = RUN) -> tuple[np.ndarray, np.ndarray, np.ndarray, pa.Array, pa.Array]:
+        """Of segments, each a space and a piece: numbers of tokens of A and B, whether their bytes aren't the segment's,
+        the groups as text, each ending in `;`, and the links as pair codes.
+
+        Up to `run` pieces that may be cut apart are encoded as one text; where its tokens aren't its bytes, each alone.
+        """
+        plain = [k for k, p in enumerate(pieces) if p and not (p[0].isspace() or p[-1].isspace())] if run > 1 else []
+        odd = sorted(set(range(len(pieces))) - set(plain))
+        texts = [" ".join([pieces[k] for k in plain[at : at + run]]) for at in range(0, len(plain), run)] + [pieces[k] for k in odd]
+        turn = np.array(plain + odd, np.int64)
+        whole = [" " + t for t in texts]
+        raw = [t.encode() for t in whole]
+        sizes = np.array(list(map(len, raw)), np.int64)
+        begins = np.cumsum(sizes) - sizes  # the texts lie one after another: a place names text and byte
+        a_n, a_ids, a_spans = self._a_tokens(whole)
+        b_n, b_ids, b_spans = self._b_tokens(texts)
+        letters = np.array(list(map(len, whole)), np.int64)
+        a_spans = a_spans + np.repeat(np.cumsum(letters) - letters, a_n)[:, None]
+        if letters.sum() < sizes.sum():  # from characters to bytes
+            codes = np.frombuffer("".join(whole).encode("utf-32-le"), "<u4")
+            widths = 1 + (codes >= 0x80) + (codes >= 0x800) + (codes >= 0x10000)
+            a_spans = np.concatenate([[0], np.cumsum(widths)])[a_spans]
+        b_spans = b_spans + np.repeat(begins, b_n)[:, None]
+
+        bad = np.zeros(len(texts), bool)
+        sides = []
+        for n, ids, spans, parts, lengths in ((a_n, a_ids, a_spans, self.a_bytes, self.a_lengths), (b_n, b_ids, b_spans, self.b_bytes, self.b_lengths)):
+            of, first = np.repeat(np.arange(len(n)), n), np.cumsum(n) - n
+            ends = np.concatenate([[0], np.cumsum(lengths[ids])])
+            bad |= ends[np.cumsum(n)] - ends[first] != sizes
+            if bad.any() or b"".join([parts[i] for i in ids.tolist()]) != b"".join(raw):
+                rows = np.split(ids, first[1:])
+                bad |= np.array([b"".join([parts[i] for i in row.tolist()]) != r for row, r in zip(rows, raw, strict=True)])
+            follows = np.concatenate([(of[1:] != of[:-1]) | (spans[1:, 0] == spans[:-1, 1]), [True]]) if len(of) else np.empty(0, bool)
+            # The end of a span is the end of its token if the span isn't empty and the next begins there.
+            sides.append([of, ids, spans[:, 1], ends[1:] - np.repeat(ends[first] - begins, n), (spans[:, 1] > spans[:, 0]) & follows])
+        for side in sides:
+            side[:] = [x[~bad[side[0]]] for x in side]
+        (_, a_ids, a_spans, a_ends, a_clean), (_, b_ids, b_spans, b_ends, b_clean) = sides
+        # Coarse cuts by the spans, as far as the bytes bear them out; the rest by the decoded bytes.
+        shared = both(a_ends, b_ends)
+        coarse = both(shared, both(np.sort(a_spans[a_clean]), np.sort(b_spans[b_clean])))
+        vague = np.sort(np.concatenate([a_ends[~a_clean | (a_spans != a_ends)], b_ends[~b_clean | (b_spans != b_ends)]]))
+        cuts = np.union1d(coarse, both(shared, vague)) if len(vague) else coarse
+        a_group, b_group = np.searchsorted(cuts, a_ends), np.searchsorted(cuts, b_ends)
+        a_last, b_last = a_ends == cuts[a_group], b_ends == cuts[b_group]
+        order = np.argsort(np.concatenate([2 * a_group, 2 * b_group + 1]), kind="stable")
+        shown = np.concatenate([2 * a_ids + a_last, 2 * (len(self.a_bytes) + b_ids) + b_last])[order]
+
+        # Back to the pieces, which lie one after another in the texts.
+        ends = np.cumsum([len(pieces[k].encode()) + 1 for k in turn.tolist()])
+        a_of, b_of = np.searchsorted(ends, a_ends), np.searchsorted(ends, b_ends)
+        a_n, b_n = np.bincount(a_of, minlength=len(pieces)), np.bincount(b_of, minlength=len(pieces))
+        groups = joined(self.shown.take(pa.array(shown)), a_n + b_n)
+        links = (a_ids[a_last] << self.bits | b_ids[b_last]).astype(self.type)
+        offsets = np.concatenate([[0], np.cumsum(np.bincount(a_of[a_last], minlength=len(pieces)))]) * self.type.itemsize
+        coded = pa.LargeBinaryArray.from_buffers(pa.large_binary(), len(pieces), [None, pa.py_buffer(offsets), pa.py_buffer(links.tobytes())])
+        failed = bad[np.searchsorted(begins + sizes, ends)]
+        failed[~failed] |= ~np.isin(ends[~failed], cuts)  # a token across two pieces
+        result = (a_n, b_n, failed, groups, coded)
+        place = np.empty(len(pieces), np.int64)
+        place[turn] = np.arange(len(pieces))
+        again = np.flatnonzero(failed[: len(plain)]) if run > 1 else np.empty(0, np.int64)
+        if len(again):
+            # With a piece that fails, its neighbours in the text are encoded again.
+            of = np.unique(again // run)
+            again = np.flatnonzero(np.isin(np.arange(len(plain)) // run, of))
+            alone = self._aligned([pieces[k] for k in turn[again].tolist()], 1)
+            result = tuple(np.concatenate([x, y]) if isinstance(x, np.ndarray) else pa.concat_arrays([x, y]) for x, y in zip(result, alone, strict=True))
+            place[turn[again]] = len(pieces) + np.arange(len(again))
+        return tuple(x[place] if isinstance(x, np.ndarray) else x.take(pa.array(place)) for x in result)
 
     def segments(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray, list[str]]:
         """The texts as chains of segments: segment numbers, the first place of each text among them, and the segments' texts without their space."""
@@ -162,18 +194,17 @@ class Aligner:
         used = np.unique(codes)
         position = np.zeros(len(pieces), np.int64)
         position[used] = np.arange(len(used))
-        known = self.look_up([pieces[k] for k in used.tolist()])
         codes = position[codes]
-        bad = np.array([k is None for k in known], np.int64)
-        whole = [k or (0, 0, b"", b"") for k in known]
-        sums = [np.concatenate([[0], np.cumsum(x[codes])]) for x in (np.array([k[0] for k in whole]), np.array([k[1] for k in whole]), bad)]
+        wanted = [pieces[k] for k in used.tolist()]
+        found = [self._aligned(wanted[at : at + CHUNK]) for at in range(0, len(wanted), CHUNK)]
+        if not found:
+            return [None] * len(texts)
+        sums = [np.concatenate([[0], np.cumsum(np.concatenate([f[x] for f in found])[codes])]) for x in range(3)]
         n_a, n_b, n_bad = (np.diff(x[bounds]).tolist() for x in sums)
         chained = []
-        for values in ([k[2] + b";" for k in whole], [k[3] for k in whole]):
-            taken = pa.array(values, pa.large_binary()).take(pa.array(codes))
-            ends = np.frombuffer(taken.buffers()[1], np.int64)[bounds].tolist()
-            data = taken.buffers()[2]
-            chained.append((memoryview(data) if data else memoryview(b""), ends))
+        for x in (3, 4):
+            taken = pa.concat_arrays([f[x] for f in found]).take(pa.array(codes))
+            chained.append((memoryview(taken.buffers()[2] or b""), np.frombuffer(taken.buffers()[1], np.int64)[bounds].tolist()))
         (groups, g), (links, e) = chained
         return [
             None if n_bad[k] or not texts[k] else (n_a[k], n_b[k], bytes(groups[g[k] : g[k + 1] - 1]), bytes(links[e[k] : e[k + 1]]))
@@ -181,9 +212,16 @@ class Aligner:
         ]
 
 
-def clean_ends(tokens: list[tuple[int, int, int]]) -> dict[int, int]:
-    """Ends of spans that are ends of tokens too, with the token: the span isn't empty and the next one begins there."""
-    return {t[2]: k for k, t in enumerate(tokens) if t[2] > t[1] and (k + 1 == len(tokens) or tokens[k + 1][1] == t[2])}
+def both(x: np.ndarray, y: np.ndarray) -> np.ndarray:
+    """The values of x that y has too; both are sorted."""
+    return x[y[np.minimum(np.searchsorted(y, x), len(y) - 1)] == x] if len(y) else x[:0]
+
+
+def joined(values: pa.Array, counts: np.ndarray) -> pa.Array:
+    """So many of the values, one after another, put together each time."""
+    ends = np.concatenate([[0], np.cumsum(counts)])
+    offsets = np.frombuffer(values.buffers()[1], np.int64)[ends]
+    return pa.LargeBinaryArray.from_buffers(pa.large_binary(), len(counts), [None, pa.py_buffer(np.ascontiguousarray(offsets)), values.buffers()[2] or pa.py_buffer(b"")])
 
 
 _ALIGNERS: dict[tuple[str, str], Aligner] = {}
