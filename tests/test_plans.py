@@ -8,7 +8,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from tests.test_operators import rows
-from tillroll.plans import calendar as cal, cashiers, compare, flights, picking, reconciliation as rec, sales, settlements, stock
+from tillroll.plans import calendar as cal, cashiers, compare, flights, picking, reconciliation as rec, rollups, sales, settlements, stock
 from tillroll.sources import loads, scratch, sinks
 from tillroll.sources.inline import inline_table
 from tillroll.sources.mart import Mart
@@ -148,12 +148,56 @@ def test_ledger_sides_agree_per_store_and_day(mart):
     assert gap.filter(F.col("gap") != 0).count() == 0
 
 
-def test_monthly_and_daily_rollups_agree(mart):
-    first, last = dt.date(1997, 1, 1), dt.date(1999, 12, 31)
-    daily, monthly = sales.daily_aggregate(mart.sales_rows), sales.monthly_aggregate(mart.sales_rows)
-    by_month = sales.sales_across_chains(sales.pick_rollup(daily, monthly, first, last), mart.articles, "Lev1ArticleHierarchy")
-    by_day = sales.sales_across_chains(daily.filter(cal.within("sale_date", (first, last))), mart.articles, "Lev1ArticleHierarchy")
-    assert rows(by_month.select("id", "quantity", "revenue")) == rows(by_day.select("id", "quantity", "revenue"))
+def plan_of(df):
+    return df._jdf.queryExecution().optimizedPlan().toString()
+
+
+def test_period_is_split_into_months_and_edge_days(spark, mart):
+    rollup = rollups.sales_rollup(spark, scratch.scratch_path(spark))
+    with pytest.raises(ValueError):
+        rollup.between(dt.date(1997, 1, 1), dt.date(1997, 1, 31))
+    facts = mart.sales_facts
+    assert len(rollup.refresh(facts)) > 70
+    for first, last in ((dt.date(1997, 1, 1), dt.date(1999, 12, 31)), (dt.date(1997, 1, 12), dt.date(1999, 12, 30)), (dt.date(1998, 2, 3), dt.date(1998, 2, 9)), (dt.date(1998, 2, 28), dt.date(1998, 3, 1))):
+        got = rollup.between(first, last)
+        assert "l_quantity" not in plan_of(got)
+        want = sales.reduce_to(facts.filter(cal.within("sale_date", (first, last))), "article_idx", "supplier_idx", "price_type")
+        keys = ["article_idx", "supplier_idx", "price_type", "quantity", "revenue_incl_vat", "gross_profit", "use_derived", "min_derived_used", "max_derived_used"]
+        assert rows(sales.regroup(got, "article_idx", "supplier_idx", "price_type").select(*keys)) == rows(want.select(*keys))
+    with pytest.raises(ValueError):
+        rollup.between(dt.date(1997, 1, 1), dt.date(2030, 1, 1))
+
+
+def test_late_row_changes_one_month(spark, mart):
+    folder = scratch.scratch_path(spark)
+    rollup = rollups.sales_rollup(spark, folder)
+    facts = mart.sales_facts.filter(cal.within("sale_date", (dt.date(1998, 1, 1), dt.date(1998, 6, 30))))
+    assert rollup.refresh(facts, "a") == [199801, 199802, 199803, 199804, 199805, 199806]
+    before = Published(spark, folder).read()["months"]
+    assert rollup.refresh(facts, "a") == [] and rollup.refresh(facts.filter("FALSE"), "a") == []  # the token says that nothing is new
+    assert rollup.refresh(facts, "b") == []
+    late = facts.filter(F.col("sale_date") == dt.date(1998, 3, 9)).limit(1)
+    assert rollup.refresh(facts.union(late), "c") == [199803]
+    after = Published(spark, folder).read()["months"]
+    assert [m for m in after if after[m]["folder"] != before[m]["folder"]] == ["199803"]
+    added = late.select(F.col("qty_sold") - F.col("qty_return")).first()[0]
+    total = lambda df: df.agg(F.sum("quantity")).first()[0]
+    want = facts.agg(F.sum("qty_sold") - F.sum("qty_return")).first()[0]
+    assert total(rollup.between(dt.date(1998, 1, 1), dt.date(1998, 6, 30))) == want + added
+    assert rollup.refresh(facts.filter(F.month("sale_date") < 6), "d") == [199803]
+    assert sorted(Published(spark, folder).read()["months"]) == ["199801", "199802", "199803", "199804", "199805"]
+
+
+def test_sketches_unite_within_their_error(spark):
+    """Each value in many days and in three stores, united over part of the days."""
+    days = spark.range(400_000).selectExpr("CAST(id % 3 AS INT) AS store_idx", "id % 150000 AS cashier_idx", "date_add(DATE'1998-01-01', CAST(id % 90 AS INT)) AS sale_date")
+    rollup = rollups.desk_rollup(spark, scratch.scratch_path(spark))
+    rollup.refresh(days)
+    first, last = dt.date(1998, 1, 10), dt.date(1998, 3, 20)
+    exact = {r.store_idx: (r.n, r.c) for r in days.filter(cal.within("sale_date", (first, last))).groupBy("store_idx").agg(F.count("*").alias("n"), F.countDistinct("cashier_idx").alias("c")).collect()}
+    for r in rollups.desks_between(rollup, first, last).collect():
+        n, c = exact[r.store_idx]
+        assert r.receipts == n and abs(r.cashiers - c) < 0.02 * c
 
 
 def test_zero_sale_and_sold_articles_make_the_catalogue(mart):

@@ -2,11 +2,14 @@
 
 from __future__ import annotations
 
+import datetime as dt
+
 from pyspark.sql import DataFrame, functions as F
 
 from tillroll.catalogue.registry import query
 from tillroll.functions.money import in_home_currency, net_amount_sum, net_qty_sum, safe_div
 from tillroll.operators import aggregates as agg, ranking, reshape
+from tillroll.plans.rollups import desks_between
 from tillroll.sources.mart import AS_OF, EVENTS_AS_OF, Mart
 
 
@@ -73,6 +76,13 @@ def _(m: Mart) -> DataFrame:
     )
 
 
+@query("a06_distinct_over_stored_sketches", """
+    SELECT store_idx, count(*) AS receipts, count(DISTINCT cashier_idx) AS cashiers FROM receipt
+    WHERE sale_date BETWEEN DATE '1996-05-20' AND DATE '1996-09-10' GROUP BY store_idx""")
+def _(m: Mart) -> DataFrame:
+    return desks_between(m.desk_rollup, dt.date(1996, 5, 20), dt.date(1996, 9, 10))
+
+
 @query("a07_string_aggregation", """
     SELECT lev1_region_name, string_agg(DISTINCT store_name, ', ' ORDER BY store_name) AS stores FROM store GROUP BY lev1_region_name""")
 def _(m: Mart) -> DataFrame:

@@ -69,7 +69,7 @@ def _(m: Mart) -> DataFrame:
 def _(m: Mart) -> DataFrame:
     parts = []
     for name, last in (("monthly", dt.date(2000, 2, 29)), ("daily", dt.date(2000, 2, 28))):
-        chosen = sales.pick_rollup(sales.daily_aggregate(m.sales_rows), sales.monthly_aggregate(m.sales_rows), dt.date(1997, 2, 1), last)
+        chosen = m.sales_rollup.between(dt.date(1997, 2, 1), last)
         parts.append(chosen.agg(F.sum("quantity").alias("quantity"), F.sum("revenue_incl_vat").alias("revenue")).select(F.lit(name).alias("rollup"), "*"))
     return parts[0].unionByName(parts[1])
 

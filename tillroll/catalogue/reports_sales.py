@@ -402,8 +402,7 @@ def _(m: Mart) -> DataFrame:
 
 
 def _across(m: Mart, first: dt.date, last: dt.date, group_by: str) -> DataFrame:
-    chosen = sales.pick_rollup(sales.daily_aggregate(m.sales_rows), sales.monthly_aggregate(m.sales_rows), first, last)
-    return sales.sales_across_chains(chosen, m.articles, group_by)
+    return sales.sales_across_chains(m.sales_rollup.between(first, last), m.articles, group_by)
 
 
 @query("r21_across_chains_monthly", f"""

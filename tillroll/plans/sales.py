@@ -16,7 +16,7 @@ from tillroll.functions.text import blank_to_null
 from tillroll.functions.weeks import iso_week, weekday_no
 from tillroll.operators import filters as flt
 from tillroll.operators.ranking import top_by_name, top_n
-from tillroll.plans.calendar import Bounds, Period, months_covered, within
+from tillroll.plans.calendar import Bounds, Period, within
 
 def measures() -> dict[str, Column]:
     """Additive measures of the sales fact, as sums."""
@@ -157,27 +157,8 @@ def sales_by_choice(
     )
 
 
-def pick_rollup(daily: DataFrame, monthly: DataFrame, date_from: dt.date, date_to: dt.date) -> DataFrame:
-    """The monthly aggregate when the period is made of whole months, otherwise the daily one; both
-    already cut to the period."""
-    if months_covered(date_from, date_to):
-        first, last = date_from.year * 100 + date_from.month, date_to.year * 100 + date_to.month
-        return monthly.filter(F.col("month_key").between(first, last))
-    return daily.filter(within("sale_date", (date_from, date_to)))
-
-
-def daily_aggregate(sales: DataFrame) -> DataFrame:
-    """The daily aggregate (day, article, supplier, price type) from receipt rows."""
-    return reduce_to(sales, "sale_date", "article_idx", "supplier_idx", "price_type")
-
-
-def monthly_aggregate(sales: DataFrame) -> DataFrame:
-    month = F.year("sale_date") * 100 + F.month("sale_date")
-    return reduce_to(sales, month.alias("month_key"), "article_idx", "supplier_idx", "price_type")
-
-
 def sales_across_chains(aggregate: DataFrame, articles: DataFrame, group_by: str) -> DataFrame:
-    """Sales by article, first level or leaf over a pre-aggregate chosen by ``pick_rollup``."""
+    """Sales by article, first level or leaf over the rows of a stored rollup."""
     ident, name = _article_groups()[group_by]
     dim = articles.filter(F.col("article_idx") != -1).select("article_idx", ident.alias("id"), name.alias("name"))
     reduced = regroup(aggregate, "article_idx")

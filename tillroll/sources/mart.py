@@ -11,6 +11,7 @@ shuffles it otherwise, and adaptive execution splits a hot key.
 from __future__ import annotations
 
 import datetime as dt
+import hashlib
 from functools import cached_property
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
@@ -18,6 +19,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 from tillroll.functions.keys import date_key, receipt_row_key, time_key
 from tillroll.functions.labels import label_of
 from tillroll.functions.money import cents, dec, from_cents, percent_of
+from tillroll.sources.scratch import shared_folder
 
 # The last business day of the order tables and of the event log; "today" for relative periods.
 AS_OF = dt.date(2001, 8, 1)
@@ -64,6 +66,27 @@ class Mart:
     def table(self, name: str) -> DataFrame:
         return load(self.spark, self.directory, name)
 
+    def _stored(self, make, table: str, rows: str):
+        """A stored rollup of these tables, brought up to date if their files have changed."""
+        from tillroll.plans.rollups import file_token
+
+        place = hashlib.sha256(self.directory.encode()).hexdigest()[:16]
+        rollup = make(self.spark, f"{shared_folder(self.spark).rstrip('/')}/tillroll-rollups/{make.__name__}-{place}")
+        rollup.refresh(getattr(self, rows), file_token(self.table(table)))
+        return rollup
+
+    @cached_property
+    def sales_rollup(self):
+        from tillroll.plans.rollups import sales_rollup
+
+        return self._stored(sales_rollup, "lineitem", "sales_facts")
+
+    @cached_property
+    def desk_rollup(self):
+        from tillroll.plans.rollups import desk_rollup
+
+        return self._stored(desk_rollup, "orders", "receipts")
+
     # -- dimensions ---------------------------------------------------------------------------
 
     @cached_property
@@ -200,6 +223,11 @@ class Mart:
             F.when(campaign >= 8, campaign).alias("reduction_id"),
         )
 
+    @cached_property
+    def sales_facts(self) -> DataFrame:
+        """Receipt rows without the numbers that are derived from their order in the receipt."""
+        return self.sales_rows.drop("line_no", "receipt_idx")
+
     @cached_property
     def receipts(self) -> DataFrame:
         """Receipt heads with store, till, cashier, payment and flight link."""

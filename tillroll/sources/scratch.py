@@ -8,8 +8,8 @@ from pyspark.sql import SparkSession
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """The folder every executor can reach, as the session names it.  Only a local session without
-    the setting falls back on a temporary folder of its own machine."""
+    """The folder every executor can reach, as the session names it.  A local session without the setting is
+    given a checkpoint folder of its own machine once, and keeps it."""
     named = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if named:
         return named
@@ -17,7 +17,8 @@ def shared_folder(spark: SparkSession) -> str:
         raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
     import tempfile
 
-    return tempfile.mkdtemp(prefix="run-", dir="/tmp")
+    spark.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="run-", dir="/tmp"))
+    return spark.sparkContext.getCheckpointDir()
 
 
 def scratch_path(spark: SparkSession) -> str:
