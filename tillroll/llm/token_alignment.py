@@ -36,7 +36,10 @@ from tillroll.llm.shared import staged
 CHUNK = 8192
 RUN = 64
 #: Texts are aligned in pieces of about so many bytes; a longer text is a piece of its own.
-PIECE = 1 << 23
+PIECE = 1 << 22
+
+#: Rows whose links are counted or scored at once.
+ROWS = 1000
 
 _LONE_SPACE = re.compile(r"(?<=\S)(?= \S)")
 
@@ -303,11 +306,22 @@ def _codes(column: pa.Array, kind: str) -> tuple[np.ndarray, np.ndarray]:
     return data.view(kind), (offsets - offsets[0]) // np.dtype(kind).itemsize
 
 
-def _count(batches: Iterator[pa.RecordBatch], bits: int, kind: str) -> Iterator[pa.RecordBatch]:
-    codes, counts = np.empty(0, np.int64), np.empty(0, np.int64)
+def _some_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        new, n = np.unique(_codes(batch.column("links"), kind)[0], return_counts=True)
-        codes, counts = _merged(np.concatenate([codes, new.astype(np.int64)]), np.concatenate([counts, n]))
+        for row in range(0, len(batch), ROWS):
+            yield batch.slice(row, ROWS)
+
+
+def _count(batches: Iterator[pa.RecordBatch], bits: int, kind: str) -> Iterator[pa.RecordBatch]:
+    parts, size = [(np.empty(0, np.int64), np.empty(0, np.int64))], 0
+    for batch in _some_rows(batches):
+        codes, n = np.unique(_codes(batch.column("links"), kind)[0], return_counts=True)
+        parts.append((codes.astype(np.int64), n))
+        size += len(codes)
+        if size > 1 << 21:
+            parts = [_merged(*map(np.concatenate, zip(*parts, strict=True)))]
+            size = 0
+    codes, counts = _merged(*map(np.concatenate, zip(*parts, strict=True)))
     yield pa.RecordBatch.from_arrays([pa.array(codes >> bits), pa.array(codes & (1 << bits) - 1), pa.array(counts)], ["a", "b", "n"])
 
 
@@ -321,14 +335,10 @@ def pair_counts(found: DataFrame, bits: int, kind: str) -> DataFrame:
 
 def _score(batches: Iterator[pa.RecordBatch], table, kind: str) -> Iterator[pa.RecordBatch]:
     known, counts, best = table.value
-    for batch in batches:
+    for batch in _some_rows(batches):
         codes, bounds = _codes(batch.column("links"), kind)
-        if not len(known):
-            sums = [np.zeros(len(batch), np.int64)] * 2
-        else:
-            different, place = np.unique(codes, return_inverse=True)
-            at = np.searchsorted(known, different.astype(np.int64))[place]
-            sums = [np.diff(np.concatenate([[0], np.cumsum(x[at])])[bounds]) for x in (best, counts)]
+        at = np.searchsorted(known, codes)
+        sums = [np.diff(np.concatenate([[0], np.cumsum(x[at])])[bounds]) for x in (best, counts)]
         yield pa.RecordBatch.from_arrays([*batch.columns[:-1], *[pa.array(x, pa.int64()) for x in sums]], [*batch.schema.names[:-1], "n_best", "count_sum"])
 
 
@@ -343,7 +353,7 @@ def with_counts(found: DataFrame, a_path: str, b_path: str) -> DataFrame:
     rest = [c for c in found.columns if c != "links"]
     written = staged(found.select(*rest, "links"), "aligned")
     pairs = pair_counts(written, bits, kind).toArrow()
-    codes = pairs.column("a").to_numpy() << bits | pairs.column("b").to_numpy()
+    codes = (pairs.column("a").to_numpy() << bits | pairs.column("b").to_numpy()).astype(kind)
     order = np.argsort(codes)
     table = spark.sparkContext.broadcast((codes[order], pairs.column("n").to_numpy()[order], pairs.column("best").to_numpy().astype(np.int64)[order]))
     schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in written.schema if f.name != "links") + ", n_best bigint, count_sum bigint"

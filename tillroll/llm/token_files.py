@@ -10,16 +10,17 @@ ids before each: the prefix sum of the parts' counts.
 
 from __future__ import annotations
 
+import re
 import sys
 import uuid
 import zlib
 from array import array
 from collections.abc import Iterator
 from functools import partial
-from itertools import chain
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import pyarrow.fs as pafs
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, functions as F
@@ -32,6 +33,10 @@ NO_ID = -(1 << 63)
 END = 2
 #: Different pieces of text whose ids a worker remembers: as many again are kept from before.
 REMEMBERED = 400_000
+#: Texts are encoded in pieces of about so many bytes; a longer text is a piece of its own.
+PIECE = 1 << 23
+
+_LONE_SPACE = re.compile(r"(?<=\S)(?= \S)")
 
 
 def load_tokenizer(path: str):
@@ -46,9 +51,9 @@ def load_tokenizer(path: str):
 class Encoder:
     """Ids of whole texts as bytes.
 
-    The vocabulary's rule splits a text before it merges: a lone space between two other characters
-    always begins a new piece, and a lone line feed always is one.  So such texts are cut there and
-    each different piece is encoded once.  A text with any other white space goes to the tokenizer whole.
+    The vocabulary's rule splits a text before it merges: a lone space between two characters that aren't
+    white space always begins a new piece.  So texts are cut there, each different piece is looked up once for
+    many texts, and the ids of the texts are taken from these as one array.
     """
 
     def __init__(self, path: str) -> None:
@@ -64,38 +69,53 @@ class Encoder:
         code = "H" if self.type.itemsize == 2 else "I"
         return [array(code, x.ids).tobytes() for x in found]
 
-    @staticmethod
-    def pieces(text: str) -> list[str] | None:
-        """The text in pieces that encode alone as they do in place; None if its white space isn't plain."""
-        out: list[str] = []
-        for k, line in enumerate(text.split("\n")):
-            cut = line.split(" ")
-            if line.split() != cut:  # split() cuts at any white space, and at runs of it
-                return None
-            if k:
-                out.append("\n")
-            out.append(cut[0])
-            out += [" " + w for w in cut[1:]]
-        return out
-
-    def encode(self, texts: list[str]) -> list[bytes]:
-        cut = [self.pieces(t) if t else [] for t in texts]
+    def look_up(self, pieces: list[str]) -> list[bytes]:
+        """Ids of pieces; those that aren't known are encoded first."""
         if len(self.known) > REMEMBERED:
             # What is still in use comes back from the older half when it is next seen.
             self.known, self.older = {}, self.known
-        new = set(chain.from_iterable(filter(None, cut))) - self.known.keys()
-        back = new & self.older.keys()
-        self.known.update((p, self.older[p]) for p in back)
-        new -= back
+        known, older = self.known, self.older
+        new = [p for p in pieces if p not in known]
+        known.update((p, older[p]) for p in new if p in older)
+        new = [p for p in new if p not in known]
         # A letter and the mark after it are never merged: such pieces are put together from what is known.
-        marked = [p for p in new if p[-1] in ".," and p[-2:-1].isalpha()]
-        wanted = new.difference(marked).union((p[:-1] for p in marked), (p[-1] for p in marked)) - self.known.keys()
+        marked = [p for p in new if p[-1:] in (".", ",") and p[-2:-1].isalpha()]
+        wanted = set(new).difference(marked).union((p[:-1] for p in marked), (p[-1] for p in marked)).difference(known)
         wanted = list(wanted)
         for at in range(0, len(wanted), 4096):
-            self.known.update(zip(wanted[at : at + 4096], self.raw(wanted[at : at + 4096]), strict=True))
-        self.known.update((p, self.known[p[:-1]] + self.known[p[-1]]) for p in marked)
-        known = self.known
-        return [self.raw([t])[0] if pieces is None else b"".join([known[p] for p in pieces]) for t, pieces in zip(texts, cut, strict=True)]
+            known.update(zip(wanted[at : at + 4096], self.raw(wanted[at : at + 4096]), strict=True))
+        known.update((p, known[p[:-1]] + known[p[-1]]) for p in marked)
+        return [known[p] for p in pieces]
+
+    def encode(self, texts: list[str], tail: bytes = b"") -> tuple[memoryview, np.ndarray]:
+        """The ids of all texts, one after another, each text's ending in `tail`, and the number of bytes of each text's."""
+        lists = pc.split_pattern(pa.array(texts, pa.large_string()), " ")
+        coded = lists.flatten().dictionary_encode()
+        codes, words = coded.indices.to_numpy().astype(np.int64), coded.dictionary.to_pylist()
+        sizes = pc.list_value_length(lists).to_numpy(zero_copy_only=False).astype(np.int64)
+        first = np.cumsum(sizes) - sizes
+        opens = np.array([not w or w[0].isspace() for w in words], bool)
+        closes = np.array([not w or w[-1].isspace() for w in words], bool)
+        of = np.repeat(np.arange(len(texts)), sizes)
+        odd = np.unique(of[:-1][(closes[codes[:-1]] | opens[codes[1:]]) & (of[:-1] == of[1:])]).tolist()
+        # A text's first word is a piece as it is, each other one with the space before it.
+        pieces = words + [" " + w for w in words]
+        codes[np.setdiff1d(np.arange(len(codes)), first)] += len(words)
+        end = len(pieces)
+        chains = np.split(codes, first[1:]) if odd else None
+        if odd:
+            # Texts with other white space are cut at lone spaces only.
+            extra: dict[str, int] = {}
+            for k in odd:
+                own = _LONE_SPACE.split(texts[k])
+                chains[k] = np.array([extra.setdefault(p, end + len(extra)) for p in own], np.int64)
+            pieces, codes, sizes = pieces + list(extra), np.concatenate(chains), np.array(list(map(len, chains)), np.int64)
+        codes = np.insert(codes, np.cumsum(sizes), len(pieces))
+        used, codes = np.unique(codes, return_inverse=True)
+        values = self.look_up([pieces[k] for k in used[:-1].tolist()]) + [tail]
+        taken = pa.array(values, pa.large_binary()).take(pa.array(codes))
+        ends = np.frombuffer(taken.buffers()[1], np.int64)[np.concatenate([[0], np.cumsum(sizes + 1)])]
+        return memoryview(taken.buffers()[2] or b""), np.diff(ends)
 
 
 _ENCODERS: dict[str, Encoder] = {}
@@ -116,18 +136,21 @@ def _write_part(batches: Iterator[pa.RecordBatch], folder: str, tokenizer: str,
     fs, base = pafs.FileSystem.from_uri(folder)
     files, lengths, total, docs = None, [], 0, 0
     for batch in batches:
-        for at in range(0, len(batch), 256):
-            piece = batch.slice(at, 256)
+        sizes = np.cumsum(pc.binary_length(batch.column("text")).fill_null(0).to_numpy(zero_copy_only=False))
+        row = 0
+        while row < len(batch):
+            stop = max(row + 1, int(np.searchsorted(sizes, (sizes[row - 1] if row else 0) + PIECE, "right")))
+            piece, row = batch.slice(row, stop - row), stop
             if files is None:
                 fs.create_dir(base, recursive=True)
                 files = [fs.open_output_stream(f"{base}/{name}.{kind}") for kind in ("ids", "off", "doc")]
                 files[1].write(np.zeros(1, "<u8").tobytes())
-            rows = [x + tail for x in enc.encode([t or "" for t in piece.column("text").to_pylist()])]
-            files[0].write(b"".join(rows))
-            lengths = np.cumsum([len(x) // enc.type.itemsize for x in rows]) + total
+            data, n_bytes = enc.encode([t or "" for t in piece.column("text").to_pylist()], tail)
+            files[0].write(data)
+            lengths = np.cumsum(n_bytes // enc.type.itemsize) + total
             files[1].write(lengths.astype("<u8").tobytes())
             files[2].write(np.asarray(piece.column("doc_id").fill_null(NO_ID)).astype("<i8").tobytes())
-            total, docs = int(lengths[-1]), docs + len(rows)
+            total, docs = int(lengths[-1]), docs + len(piece)
     if files:
         for f in files:
             f.close()
