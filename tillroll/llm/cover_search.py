@@ -34,7 +34,7 @@ SAMPLE = 2048
 CELLS = 256
 #: Rows of a group of data, and queries of a group of queries.
 BLOCK = 4096
-QUERY_BLOCK = 1024
+QUERY_BLOCK = 4096
 #: Children of a node, points and queries of a leaf in a task.
 FAN = 8
 LEAF = 128
