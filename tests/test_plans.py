@@ -291,6 +291,54 @@ def test_unchanged_settlement_is_not_revised(spark):
     assert rows(current) == rows(stored) and archived.count() == 0
 
 
+def test_settlement_store_keeps_revisions_and_archive(spark):
+    store = settlements.SettlementStore(spark, scratch.scratch_path(spark))
+    a = _lines(spark, [(1, 1, "a", "", 0, 5, 0), (1, 1, "b", "", 0, 7, 0), (2, 1, "a", "", 0, 5, 0), (3, 1, "a", "", 0, 5, 0), (3, 1, "a", "", 0, 5, 0), (4, 1, "a", "", 0, 5, 0)])
+    b = _lines(spark, [(1, 1, "a", "", 0, 7, 0), (1, 1, "b", "", 0, 5, 0), (2, 1, "a", "", 0, 5, 0), (3, 1, "a", "", 0, 5, 0), (9, 1, "", "c", 0, 0, 1)])
+    assert store.commit(a) == 1 and {r.revision for r in store.current().collect()} == {1}
+    assert store.commit(a) == 2 and store.archive().count() == 0 and store.current().count() == 6
+    assert store.commit(b) == 3  # swapped amounts, a dropped duplicate, a lost and a new settlement
+    assert {(r.store_idx, r.revision) for r in store.current().collect()} == {(1, 2), (2, 1), (3, 2), (9, 1)}
+    assert sorted(r.store_idx for r in store.archive().collect()) == [1, 1, 3, 3, 4]
+    assert store.commit(a) == 4
+    assert {(r.store_idx, r.revision) for r in store.current().collect()} == {(1, 3), (2, 1), (3, 3), (4, 3)}
+
+
+def test_of_two_commits_one_wins(spark):
+    folder = scratch.scratch_path(spark)
+    one, two = settlements.SettlementStore(spark, folder), settlements.SettlementStore(spark, folder)
+    base = one.version()
+    one.commit(_lines(spark, [(1, 1, "a", "", 0, 5, 0)]), base)
+    with pytest.raises(Conflict):
+        two.commit(_lines(spark, [(1, 1, "a", "", 0, 6, 0)]), base)
+    assert [r.debit_amount for r in two.current().collect()] == [5]
+
+
+def test_most_specific_posting_rule_wins(spark):
+    found = spark.createDataFrame(
+        [(1, 1, "sale", None, 8, "PROMO", 10), (1, 1, "sale", None, 8, "X", 20), (1, 1, "sale", None, 3, "PROMO", 30), (1, 1, "sale", None, 3, None, 40), (1, 1, "payment", 1, None, None, 60), (1, 1, "payment", 2, None, None, 5), (1, 1, "difference", None, None, None, -35)],
+        "store_idx int, znr int, kind string, tender_id int, vat_rate int, department string, amount int",
+    ).withColumn("amount", F.col("amount").cast("decimal(24,2)"))
+    rules = spark.createDataFrame(
+        [(1, "sale", None, None, None, "all"), (2, "sale", None, 8, None, "vat"), (3, "sale", None, None, "PROMO", "dep"), (4, "sale", None, 8, "PROMO", "both"), (5, "payment", 1, None, None, "cash"), (6, "difference", None, None, None, "diff"), (7, "sale", None, 8, None, "later")],
+        "rule_no int, kind string, tender_id int, vat_rate int, department string, account string",
+    )
+    got = {(r.kind, r.tender_id, r.vat_rate, r.department): r.account for r in settlements.account_of(found, rules).collect()}
+    assert got == {
+        ("sale", None, 8, "PROMO"): "both", ("sale", None, 8, "X"): "vat", ("sale", None, 3, "PROMO"): "dep", ("sale", None, 3, None): "all",
+        ("payment", 1, None, None): "cash", ("payment", 2, None, None): "?", ("difference", None, None, None): "diff",
+    }
+    sums = settlements.posted_lines(found, rules).agg(F.sum("debit_amount"), F.sum("credit_amount")).first()
+    assert sums[0] == sums[1] == 100
+
+
+def test_posted_lines_balance(mart):
+    rules = mart.spark.createDataFrame([(1, k, None, None, None, k) for k in ("sale", "payment", "difference")], "rule_no int, kind string, tender_id int, vat_rate int, department string, account string")
+    lines = settlements.posted_lines(settlements.postings(mart.receipts, mart.receipt_rows, mart.articles), rules)
+    assert settlements.debit_equals_credit(lines).filter("approved = 0").count() == 0
+    assert lines.select("vat_rate").distinct().count() > 5
+
+
 # -- files ------------------------------------------------------------------------------------
 
 

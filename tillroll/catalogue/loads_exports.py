@@ -122,25 +122,41 @@ def _(m: Mart) -> DataFrame:
     return m.spark.read.schema("article_id string, qty decimal(23,2), store_id string").options(sep=";", header=True).csv(path)
 
 
-@query("s09_revision_write", """
-    SELECT store_idx, znr, debit_account, sum(amount)::DOUBLE AS debit_amount, CASE WHEN znr >= 200101 THEN 2::BIGINT ELSE 1 END AS revision FROM (
-        SELECT store_idx, CAST(strftime(sale_date, '%Y%m') AS INTEGER) AS znr, amount,
-               CASE tender_id WHEN 1 THEN '1900' WHEN 3 THEN '1920' WHEN 5 THEN '1925' WHEN 6 THEN '1500' WHEN 8 THEN '1905' END AS debit_account FROM receipt)
-    GROUP BY ALL""")
+_SETTLED = """
+    l AS (SELECT store_idx, CAST(strftime(sale_date, '%Y%m') AS INTEGER) AS znr, CASE tender_id WHEN 1 THEN '1900' WHEN 3 THEN '1920' WHEN 5 THEN '1925' WHEN 6 THEN '1500' WHEN 8 THEN '1905' END AS debit_account,
+        '' AS credit_account, sum(amount) AS debit, 0 AS credit FROM receipt GROUP BY ALL
+      UNION ALL SELECT store_idx, CAST(strftime(sale_date, '%Y%m') AS INTEGER), '', '3000', 0, sum(amount) FROM receipt GROUP BY ALL)"""
+
+
+@query("s09_revision_write", f"""
+    WITH {_SETTLED}
+    SELECT 'current' AS part, store_idx, znr, debit_account, credit_account, debit::DOUBLE AS debit_amount, credit::DOUBLE AS credit_amount,
+        CASE WHEN znr >= 200101 THEN 2::BIGINT ELSE 1 END AS revision FROM l
+    UNION ALL SELECT 'archive', store_idx, znr, debit_account, credit_account, 2 * debit::DOUBLE, credit::DOUBLE, 1 FROM l WHERE znr >= 200101""")
 def _(m: Mart) -> DataFrame:
-    from tillroll.plans.settlements import settlement_lines
+    from tillroll.plans.settlements import SettlementStore, settlement_lines
 
     new = settlement_lines(m.receipts)
     doubled = F.when(F.col("znr") >= 200101, F.col("debit_amount") * 2).otherwise(F.col("debit_amount")).cast("decimal(22,2)")
-    stored = new.withColumn("debit_amount", doubled).withColumn("revision", F.lit(1))
-    base = scratch_path(m.spark)
-    current = sinks.write_revision(new, stored, f"{base}/current", f"{base}/archive")
-    return current.filter(F.col("debit_account") != "").select("store_idx", "znr", "debit_account", "debit_amount", "revision")
+    store = SettlementStore(m.spark, f"{scratch_path(m.spark)}-settlements")
+    store.commit(new.withColumn("debit_amount", doubled))
+    store.commit(new)
+    parts = [df.select(F.lit(n).alias("part"), *LINES_SHOWN) for n, df in (("current", store.current()), ("archive", store.archive()))]
+    return parts[0].unionByName(parts[1])
 
 
-@query("s10_empty_with_schema", "SELECT article_id, CAST(NULL AS DOUBLE) AS revenue FROM article WHERE 1 = 0")
+LINES_SHOWN = ("store_idx", "znr", "debit_account", "credit_account", "debit_amount", "credit_amount", "revision")
+
+
+@query("s10_empty_with_schema", """
+    SELECT store_idx, article_id, sum(sales_amount)::DOUBLE AS sales_amount FROM receipt_row JOIN article USING (article_idx) WHERE store_idx = 7 GROUP BY ALL""")
 def _(m: Mart) -> DataFrame:
-    return loads.empty_like(m.spark, m.articles.select("article_id", F.lit(0.0).alias("revenue")).schema)
+    """The report of one store: with its parameter the rows of that store, without it none, but the same columns."""
+    def report(store_idx: int | None) -> DataFrame:
+        per_article = m.receipt_rows.filter(F.col("store_idx") == store_idx).groupBy("store_idx", "article_idx").agg(F.sum("sales_amount").alias("sales_amount"))
+        return per_article.join(m.articles.select("article_idx", "article_id"), "article_idx").drop("article_idx")
+
+    return loads.with_parameter(report, 7).unionByName(loads.with_parameter(report, None))
 
 
 @query("s11_guarded", """

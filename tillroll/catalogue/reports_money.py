@@ -11,6 +11,7 @@ from tillroll.catalogue.registry import query
 from tillroll.operators.payments import classify_payments
 from tillroll.plans import finance, reconciliation as rec, settlements
 from tillroll.plans.calendar import Period
+from tillroll.sources.scratch import scratch_path
 from tillroll.sources.mart import AS_OF, Mart
 
 _CARD = "CASE sub_tender_id WHEN 1 THEN 'BankAxept' WHEN 2 THEN 'Visa' WHEN 3 THEN 'MasterCard' WHEN 4 THEN 'AmericanExpress' WHEN 9 THEN 'Maestro' ELSE 'N/A' END"
@@ -68,11 +69,14 @@ _REVISION = f"""
 _LINE_OUT = "debit_account, credit_account, vat_rate::BIGINT AS vat_rate, debit_amount::DOUBLE AS debit_amount, credit_amount::DOUBLE AS credit_amount"
 
 
-def _revision(m: Mart) -> tuple[DataFrame, DataFrame]:
+def _revision(m: Mart) -> settlements.SettlementStore:
+    """The settlements of an earlier day, stored, and then those of today."""
     foreign = (F.col("order_status") == "P") & (F.col("tender_id") == 8) & (F.year("sale_date") < 1998)
     before = m.receipts.filter(~foreign & (F.col("sale_date") < F.lit(dt.date(2001, 6, 1))))
-    stored = settlements.settlement_lines(before).withColumn("revision", F.lit(1))
-    return settlements.revise(settlements.settlement_lines(m.receipts), stored)
+    store = settlements.SettlementStore(m.spark, f"{scratch_path(m.spark)}-settlements")
+    store.commit(settlements.settlement_lines(before))
+    store.commit(settlements.settlement_lines(m.receipts))
+    return store
 
 
 @query("r54_settlement_revision", f"""{_REVISION}
@@ -80,13 +84,42 @@ def _revision(m: Mart) -> tuple[DataFrame, DataFrame]:
     UNION ALL SELECT store_idx, znr, {_LINE_OUT}, CASE WHEN (store_idx, znr) IN (SELECT store_idx, znr FROM o) THEN 2 ELSE 1 END
     FROM n WHERE (store_idx, znr) IN (SELECT store_idx, znr FROM changed)""")
 def _(m: Mart) -> DataFrame:
-    return _revision(m)[0]
+    return _revision(m).current()
 
 
 @query("r54_settlement_archive", f"""{_REVISION}
     SELECT store_idx, znr, {_LINE_OUT}, 1::BIGINT AS revision FROM o WHERE (store_idx, znr) IN (SELECT store_idx, znr FROM changed)""")
 def _(m: Mart) -> DataFrame:
-    return _revision(m)[1]
+    return _revision(m).archive()
+
+
+# Fixed values of the mapping: accounts by tender, VAT rate and department; open columns fit everything.
+POSTING_RULES = {
+    "rule_no": [1, 2, 3, 4, 5, 6, 7, 8, 9, 10, 11],
+    "kind": ["payment"] * 5 + ["sale"] * 5 + ["difference"],
+    "tender_id": [None, 1, 3, 5, 8] + [None] * 6,
+    "vat_rate": [None] * 6 + [0, None, 8, 8, None],
+    "department": [None] * 7 + ["PROMO", None, "PROMO", None],
+    "account": ["1999", "1900", "1920", "1925", "1905", "3000", "3100", "3500", "3008", "3508", "7999"],
+}
+
+
+@query("r54_posted_lines", f"""
+    WITH p AS (SELECT store_idx, {_ZNR} AS znr, CASE tender_id WHEN 1 THEN '1900' WHEN 3 THEN '1920' WHEN 5 THEN '1925' WHEN 8 THEN '1905' ELSE '1999' END AS debit_account,
+        sum(amount) AS debit FROM receipt GROUP BY ALL),
+    s AS (SELECT store_idx, {_ZNR} AS znr, lev1_id AS department, vat_group, sum(sales_amount + return_amount) AS credit,
+        CASE WHEN vat_group = 8 AND lev1_id = 'PROMO' THEN '3508' WHEN vat_group = 8 THEN '3008' WHEN vat_group = 0 AND lev1_id <> 'PROMO' THEN '3100'
+             WHEN vat_group = 0 THEN '3100' WHEN lev1_id = 'PROMO' THEN '3500' ELSE '3000' END AS credit_account
+        FROM receipt_row JOIN article USING (article_idx) GROUP BY store_idx, 2, lev1_id, vat_group),
+    gap AS (SELECT store_idx, znr, sum(v) AS v FROM (SELECT store_idx, znr, debit AS v FROM p UNION ALL SELECT store_idx, znr, -credit FROM s) GROUP BY ALL)
+    SELECT store_idx, znr, '' AS department, debit_account, '' AS credit_account, 0::BIGINT AS vat_rate, debit::DOUBLE AS debit_amount, 0::DOUBLE AS credit_amount FROM p
+    UNION ALL SELECT store_idx, znr, department, '', credit_account, vat_group, 0, credit::DOUBLE FROM s
+    UNION ALL SELECT store_idx, znr, '', CASE WHEN v < 0 THEN '7999' ELSE '' END, CASE WHEN v > 0 THEN '7999' ELSE '' END, 0,
+        greatest(-v, 0)::DOUBLE, greatest(v, 0)::DOUBLE FROM gap WHERE v <> 0""")
+def _(m: Mart) -> DataFrame:
+    shape = "rule_no int, kind string, tender_id int, vat_rate int, department string, account string"
+    rules = m.spark.createDataFrame(list(zip(*POSTING_RULES.values(), strict=True)), shape)
+    return settlements.posted_lines(settlements.postings(m.receipts, m.receipt_rows, m.articles), rules)
 
 
 @query("r55_debit_equals_credit", f"""

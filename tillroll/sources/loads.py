@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
+from typing import Any
 
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
@@ -31,6 +32,12 @@ def empty_like(spark: SparkSession, schema: T.StructType | str) -> DataFrame:
     return spark.createDataFrame([], schema)
 
 
+def with_parameter(report: Callable[[Any], DataFrame], value: Any) -> DataFrame:
+    """The report for a value; without one an empty frame of the same columns, for which nothing is read."""
+    made = report(value)
+    return made if value is not None else empty_like(made.sparkSession, made.schema)
+
+
 def guard_exists(df: DataFrame, approved: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Rows only for the keys that exist in the reference frame."""
     return df.join(approved.select(*keys), list(keys), "left_semi")
