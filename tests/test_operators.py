@@ -228,6 +228,22 @@ def test_padded_union(spark):
     assert got == [(1, 2.0, 5.0), (2, 0.0, 7.0)]
 
 
+def test_periods_share_no_receipt(spark):
+    at = lambda d, h, m=0: dt.datetime(2024, 1, d, h, m)
+    facts = spark.createDataFrame([(1, at(1, 9), 1), (1, at(1, 12), 2), (1, at(2, 0), 3), (1, at(4, 23, 59), 4), (1, at(5, 8), 5), (2, at(1, 12), 6), (1, None, 7)], "store int, at timestamp, n int")
+    spans = [(1, at(1, 9), at(1, 12), "a"), (1, at(1, 12), at(2, 0), "b"), (1, at(2, 0), at(5, 8), "c"), (1, at(5, 8), at(5, 8), "empty"), (1, at(6, 0), at(5, 0), "back"), (2, at(1, 0), at(1, 13), "d"), (2, at(1, 12), at(1, 14), "e"), (2, None, at(3, 0), "x")]
+    periods = spark.createDataFrame(spans, "store int, s timestamp, e timestamp, name string")
+    got = joins.in_periods(facts, periods, ["store"], "at", "s", "e")
+    assert sorted((r.n, r.name) for r in got.collect()) == [(1, "a"), (2, "b"), (3, "c"), (4, "c"), (6, "d"), (6, "e")]
+    assert "CartesianProduct" not in got._jdf.queryExecution().executedPlan().toString()
+
+
+def test_lists_hold_every_bigint(spark):
+    df = spark.createDataFrame([(9223372036854775807,), (-9223372036854775808,), (7,)], "k bigint")
+    got = flt.in_list(df, "k", "9223372036854775807, -9223372036854775808, 9223372036854775808, 0000000000000000000000007")
+    assert sorted(r.k for r in got.collect()) == [-9223372036854775808, 7, 9223372036854775807]
+
+
 # -- payments ---------------------------------------------------------------------------------
 
 
@@ -242,7 +258,14 @@ def test_padded_union(spark):
         (("Tender", "StoreAccountOut", "Finished", 10, False, None, None), (11, 20704, -10)),
         (("Tender", "StoreAccount", "Finished", -10, False, None, None), (10, 20705, 10)),
         (("PaidOut", "Other", "Finished", 10, False, None, None), (-4, 21304, 10)),
-        (("Tender", "Other", "Finished", 10, False, None, 140), (140, -3, 10)),
+        (("Tender", "Other", "Finished", 10, False, None, 14), (14, -3, 10)),
+        # A tender with a number of its own has the type it is looked up under, or none.
+        (("Tender", "Other", "Finished", 10, False, None, 140), (140, None, 10)),
+        (("Tender", "Ikano", "Finished", 10, False, None, None), (16, 20206, 10)),
+        (("Tender", "Retain24Out", "Finished", 10, False, None, None), (18, -3, 10)),
+        (("Tender", "TypiskNorskReturn", "Finished", 10, False, None, None), (21, 20710, 10)),
+        (("Tender", "VRExt:CashHandlingSystem", "Finished", 10, False, None, None), (9, -3, 10)),
+        (("Info", "Cash", "Finished", 10, False, None, None), (-4, -3, 0)),
         (("Info", "Mobile", "Finished", 10, False, None, None), (22, 20401, 0)),
     ],
 )
@@ -252,3 +275,25 @@ def test_payment_rules(spark, line, expected):
         {"host_authorized": F.lit(True), "authorization_method": F.lit("Automatically")}
     )
     assert tuple(payments.classify_payments(df).select("tender_id", "trans_type", "signed_amount").first()) == expected
+
+
+def test_payment_lookups_and_cash_machine(spark):
+    shape = "n int, line_type string, tender_type string, internal_tender_id int, foreign_rate int, foreign_currency string, is_deposit boolean, is_withdrawal boolean, deposit_result string"
+    lines = [
+        (1, "Tender", "ChainCard", None, None, None, False, False, None), (2, "Tender", "Unheard", None, None, None, None, None, None),
+        (3, "Tender", "x", 101, None, None, False, False, None), (4, "Tender", "x", 102, None, None, True, False, "OK"),
+        (5, "PaidIn", "Cash", None, None, None, True, False, "ok"), (6, "PaidIn", "Cash", None, None, None, True, False, "FlagError"), (7, "PaidIn", "Cash", None, None, None, True, False, "Error"),
+        (8, "PaidOut", "Cash", None, None, None, False, True, "OK"), (9, "PaidOut", "Cash", None, None, None, False, True, "NoCash"),
+        (10, "PaidOut", "Cash", None, None, None, False, True, "FlagError"), (11, "PaidOut", "Cash", None, None, None, False, True, "Error"),
+        (12, "Tender", "Cash", None, 9, "EUR", False, False, None), (13, "Tender", "Cash", None, 9, "NOK", False, False, None),
+    ]
+    df = spark.createDataFrame(lines, shape).withColumns({
+        "status": F.lit("Finished"), "amount": F.lit(10), "is_refund": F.lit(False), "host_authorized": F.lit(True), "authorization_method": F.lit("Automatically"), "currency": F.lit("NOK"),
+    })
+    custom = spark.createDataFrame([("ChainCard", 150), ("ChainCard", 151)], "tender_type string, custom_tender_id int")
+    own = spark.createDataFrame([(101, 20801)], "internal_tender_id int, own_trans_type int")
+    got = {r.n: (r.tender_id, r.trans_type) for r in payments.classify_payments(df, custom, own).collect()}
+    assert got == {
+        1: (150, -3), 2: (-4, -3), 3: (101, 20801), 4: (102, None), 5: (1, 30111), 6: (1, 30112), 7: (1, 30113), 8: (1, 30110), 9: (1, 30114),
+        10: (1, 30115), 11: (1, 30116), 12: (8, 20101), 13: (-4, 20101),
+    }

@@ -13,6 +13,7 @@ from tillroll.operators import filters as flt
 from tillroll.operators.payments import classify_payments
 from tillroll.plans.calendar import Period
 from tillroll.plans.masterdata import hierarchy_nodes
+from tillroll.sources.inline import inline_table
 from tillroll.sources.mart import AS_OF, Mart
 
 
@@ -268,66 +269,85 @@ def _(m: Mart) -> DataFrame:
     )
 
 
-_PAYMENT_RULES_SQL = """
-    SELECT line_type, tender_type, status, tender_id, trans_type, count(*) AS line_count,
-           sum(signed_amount)::DOUBLE AS signed_amount
-    FROM (
-        SELECT *,
-          CASE WHEN tender_type = 'Cash' AND foreign_rate IS NULL THEN 1
-               WHEN tender_type = 'Cash' THEN 8
-               WHEN tender_type = 'CreditDebit' AND NOT host_ok THEN 5
-               WHEN tender_type = 'CreditDebit' AND method = 'Automatically' THEN 3
-               WHEN tender_type = 'CreditDebit' THEN 14
-               WHEN tender_type = 'Mobile' THEN 22
-               WHEN tender_type = 'GiftCard' THEN 2
-               WHEN tender_type = 'CustomerAccount' THEN 6 ELSE -4 END AS tender_id,
-          CASE WHEN line_type = 'Tender' AND tender_type = 'Cash' THEN 20101
-               WHEN line_type = 'TenderChange' AND tender_type = 'Cash' THEN 21301
-               WHEN tender_type = 'CustomerAccount' THEN 20202
-               WHEN tender_type = 'CreditDebit' AND NOT host_ok THEN 20301
-               WHEN tender_type = 'CreditDebit' AND method = 'Automatically' THEN 20303
-               WHEN tender_type = 'CreditDebit' THEN 20302
-               WHEN tender_type = 'GiftCard' THEN 20702
-               WHEN tender_type = 'Mobile' THEN 20401
-               WHEN line_type = 'PaidIn' THEN 20104
-               WHEN line_type = 'PaidOut' THEN 21304 ELSE -3 END AS trans_type,
+# The payment lines of the till log and their rules, restated.
+PAYMENT_LINES_SQL = """
+    l AS (
+        SELECT *, detail < 90 AS host_ok, CASE WHEN sub_tender_id = 1 THEN 'Manually' ELSE 'Automatically' END AS method, sub_tender_id = 3 AS is_refund,
+          CASE WHEN detail < 60 THEN 'Tender' WHEN detail < 80 THEN 'TenderChange' WHEN detail < 90 THEN 'PaidIn' ELSE 'PaidOut' END AS line_type,
+          CASE WHEN event_type = 'view' THEN 'Cash' WHEN event_type = 'click' THEN 'CreditDebit' WHEN event_type = 'purchase' THEN 'Mobile'
+               WHEN event_type = 'signup' THEN 'GiftCard' WHEN detail < 5 THEN 'Ikano' WHEN detail < 10 THEN 'Retain24In' WHEN detail < 15 THEN 'Retain24Out'
+               WHEN detail < 20 THEN 'TypiskNorskDiscount' WHEN detail < 25 THEN 'TypiskNorskReturn' WHEN detail < 30 THEN 'VRExt:CashHandlingSystem'
+               WHEN detail < 35 THEN 'CashHandlingSystem' WHEN detail < 40 THEN 'ChainCard' WHEN detail < 45 THEN 'Bitcoin' ELSE 'CustomerAccount' END AS tender_type,
+          CASE WHEN receipt_status = 5 THEN 'PostVoided' ELSE 'Finished' END AS status, CASE WHEN sub_tender_id = 2 THEN 10.5 END AS foreign_rate,
+          CASE WHEN sub_tender_id = 2 AND detail % 2 = 0 THEN 'EUR' WHEN sub_tender_id = 2 THEN 'NOK' END AS foreign_currency,
+          CASE WHEN event_type = 'signup' AND detail < 8 THEN 98 + detail END AS internal_id,
+          event_type = 'view' AND detail BETWEEN 90 AND 94 AS is_deposit, event_type = 'view' AND detail >= 95 AS is_withdrawal
+        FROM payment),
+    classified AS (
+        SELECT * EXCLUDE (tender_id),
+          CASE WHEN internal_id IS NOT NULL THEN internal_id WHEN tender_type = 'Cash' AND foreign_rate IS NULL THEN 1
+               WHEN tender_type = 'Cash' AND foreign_currency <> 'NOK' THEN 8 WHEN tender_type = 'Cash' THEN -4
+               WHEN tender_type = 'CreditDebit' AND NOT host_ok THEN 5 WHEN tender_type = 'CreditDebit' AND method = 'Automatically' THEN 3
+               WHEN tender_type = 'CreditDebit' THEN 14 WHEN tender_type = 'Mobile' THEN 22 WHEN tender_type = 'GiftCard' THEN 2
+               WHEN tender_type = 'CustomerAccount' THEN 6 WHEN tender_type = 'Ikano' THEN 16 WHEN tender_type = 'Retain24In' THEN 17
+               WHEN tender_type = 'Retain24Out' THEN 18 WHEN tender_type = 'TypiskNorskDiscount' THEN 20 WHEN tender_type = 'TypiskNorskReturn' THEN 21
+               WHEN tender_type LIKE '%CashHandlingSystem' THEN 9 WHEN tender_type = 'ChainCard' THEN 150 ELSE -4 END AS tender_id,
+          CASE WHEN internal_id >= 100 THEN CASE internal_id WHEN 101 THEN 20801 WHEN 102 THEN 20802 END
+               WHEN is_deposit THEN CASE detail % 5 WHEN 0 THEN 30111 WHEN 1 THEN 30112 WHEN 2 THEN 30113 ELSE 21304 END
+               WHEN is_withdrawal THEN CASE detail % 5 WHEN 0 THEN 30110 WHEN 1 THEN 30115 WHEN 2 THEN 30116 WHEN 3 THEN 30114 ELSE 21304 END
+               WHEN line_type = 'Tender' AND tender_type = 'Cash' THEN 20101 WHEN line_type = 'TenderChange' AND tender_type = 'Cash' THEN 21301
+               WHEN line_type = 'Tender' AND tender_type = 'CashHandlingSystem' THEN 20102
+               WHEN tender_type = 'CustomerAccount' THEN 20202 WHEN tender_type = 'Ikano' THEN 20206
+               WHEN tender_type = 'CreditDebit' AND NOT host_ok THEN 20301 WHEN tender_type = 'CreditDebit' AND method = 'Automatically' THEN 20303
+               WHEN tender_type = 'CreditDebit' THEN 20302 WHEN tender_type IN ('GiftCard', 'Retain24In') THEN 20702 WHEN tender_type = 'Mobile' THEN 20401
+               WHEN tender_type IN ('TypiskNorskDiscount', 'TypiskNorskReturn') THEN 20710
+               WHEN line_type = 'PaidIn' THEN 20104 WHEN line_type = 'PaidOut' THEN 21304 ELSE -3 END AS trans_type,
           CASE WHEN status = 'PostVoided' THEN -1 ELSE 1 END *
           CASE WHEN line_type = 'TenderChange' AND tender_type = 'Cash' THEN -abs(amount)
+               WHEN line_type = 'Tender' AND tender_type = 'CashHandlingSystem' THEN abs(amount)
                WHEN line_type IN ('Tender', 'TenderChange') AND is_refund THEN -amount ELSE amount END AS signed_amount
-        FROM (
-            SELECT amount,
-              CASE WHEN detail < 60 THEN 'Tender' WHEN detail < 80 THEN 'TenderChange' WHEN detail < 90 THEN 'PaidIn'
-                   ELSE 'PaidOut' END AS line_type,
-              CASE event_type WHEN 'view' THEN 'Cash' WHEN 'click' THEN 'CreditDebit' WHEN 'purchase' THEN 'Mobile'
-                   WHEN 'signup' THEN 'GiftCard' ELSE 'CustomerAccount' END AS tender_type,
-              CASE WHEN receipt_status = 5 THEN 'PostVoided' ELSE 'Finished' END AS status,
-              detail < 90 AS host_ok, CASE WHEN sub_tender_id = 1 THEN 'Manually' ELSE 'Automatically' END AS method,
-              sub_tender_id = 3 AS is_refund, CASE WHEN sub_tender_id = 2 THEN 10.5 END AS foreign_rate
-            FROM payment))
-    GROUP BY line_type, tender_type, status, tender_id, trans_type"""
+        FROM l)"""
+
+_PAYMENT_RULES_SQL = f"""
+    WITH {PAYMENT_LINES_SQL}
+    SELECT line_type, tender_type, status, tender_id::BIGINT AS tender_id, trans_type::BIGINT AS trans_type, count(*) AS line_count, sum(signed_amount)::DOUBLE AS signed_amount
+    FROM classified GROUP BY line_type, tender_type, status, tender_id, trans_type"""
 
 
 def payment_lines(m: Mart) -> DataFrame:
     """Raw payment lines of the till log, before they are classified."""
-    k = F.col("detail")
-    types = {
-        "view": "Cash", "click": "CreditDebit", "purchase": "Mobile", "signup": "GiftCard", "error": "CustomerAccount",
-    }
+    k, event, sub = F.col("detail"), F.col("event_type"), F.col("sub_tender_id")
+    types = {"view": "Cash", "click": "CreditDebit", "purchase": "Mobile", "signup": "GiftCard"}
+    rare = ("Ikano", "Retain24In", "Retain24Out", "TypiskNorskDiscount", "TypiskNorskReturn", "VRExt:CashHandlingSystem", "CashHandlingSystem", "ChainCard", "Bitcoin")
+    other = F.coalesce(F.get(F.array(*[F.lit(t) for t in rare]), F.floor(k / 5).cast("int")), F.lit("CustomerAccount"))
+    answers = F.array(*[F.lit(a) for a in ("OK", "FlagError", "Error", "NoCash", "Timeout")])
     return m.payments.select(
         "payment_no", "store_idx", "till_id", "cashier_idx", "cashier_name", "logged_at", "date_key", "time_key", "amount",
         F.when(k < 60, "Tender").when(k < 80, "TenderChange").when(k < 90, "PaidIn").otherwise("PaidOut").alias("line_type"),
-        label_of("event_type", types).alias("tender_type"),
+        F.coalesce(label_of("event_type", types), other).alias("tender_type"),
         F.when(F.col("receipt_status") == 5, "PostVoided").otherwise("Finished").alias("status"),
         (k < 90).alias("host_authorized"),
-        F.when(F.col("sub_tender_id") == 1, "Manually").otherwise("Automatically").alias("authorization_method"),
-        (F.col("sub_tender_id") == 3).alias("is_refund"),
-        F.when(F.col("sub_tender_id") == 2, F.lit("10.50").cast("decimal(6,2)")).alias("foreign_rate"),
-        F.lit(None).cast("int").alias("internal_tender_id"),
+        F.when(sub == 1, "Manually").otherwise("Automatically").alias("authorization_method"),
+        (sub == 3).alias("is_refund"),
+        F.when(sub == 2, F.lit("10.50").cast("decimal(6,2)")).alias("foreign_rate"),
+        F.lit("NOK").alias("currency"),
+        F.when((sub == 2) & (k % 2 == 0), "EUR").when(sub == 2, "NOK").alias("foreign_currency"),
+        F.when((event == "signup") & (k < 8), 98 + k).cast("int").alias("internal_tender_id"),
+        ((event == "view") & k.between(90, 94)).alias("is_deposit"),
+        ((event == "view") & (k >= 95)).alias("is_withdrawal"),
+        F.get(answers, (k % 5).cast("int")).alias("deposit_result"),
     )
 
 
+def classified_lines(m: Mart) -> DataFrame:
+    """The payment lines by the rules, with the tenders that the chain has added."""
+    custom = inline_table(m.spark, {"tender_type": ["ChainCard", "Ikano"], "custom_tender_id": [150, 999]})
+    own = inline_table(m.spark, {"internal_tender_id": [101, 102], "own_trans_type": [20801, 20802]})
+    return classify_payments(payment_lines(m), custom, own)
+
+
 @query("p22_payment_classes", _PAYMENT_RULES_SQL)
 def _(m: Mart) -> DataFrame:
-    return classify_payments(payment_lines(m)).groupBy("line_type", "tender_type", "status", "tender_id", "trans_type").agg(
+    return classified_lines(m).groupBy("line_type", "tender_type", "status", "tender_id", "trans_type").agg(
         F.count("*").alias("line_count"), F.sum("signed_amount").alias("signed_amount")
     )

@@ -6,9 +6,8 @@ import datetime as dt
 
 from pyspark.sql import DataFrame, functions as F
 
-from tillroll.catalogue.predicates import payment_lines
+from tillroll.catalogue.predicates import PAYMENT_LINES_SQL, classified_lines
 from tillroll.catalogue.registry import query
-from tillroll.operators.payments import classify_payments
 from tillroll.plans import finance, reconciliation as rec, settlements
 from tillroll.plans.calendar import Period
 from tillroll.sources.scratch import scratch_path
@@ -39,22 +38,16 @@ def _(m: Mart) -> DataFrame:
 # -- payments and settlements -----------------------------------------------------------------
 
 
-@query("r53_payment_lines", """
-    SELECT payment_no, store_idx, till_id, cashier_name, date_key, strftime(logged_at, '%H:%M') AS payment_time,
-           CASE WHEN tender_type = 'Cash' AND sub_tender_id <> 2 THEN 1 WHEN tender_type = 'Cash' THEN 8
-                WHEN tender_type = 'CreditDebit' AND detail >= 90 THEN 5 WHEN tender_type = 'CreditDebit' AND sub_tender_id <> 1 THEN 3
-                WHEN tender_type = 'CreditDebit' THEN 14 WHEN tender_type = 'Mobile' THEN 22 WHEN tender_type = 'GiftCard' THEN 2 ELSE 6 END AS tender_id,
-           (CASE WHEN receipt_status = 5 THEN -1 ELSE 1 END * CASE WHEN line_type = 'TenderChange' AND tender_type = 'Cash' THEN -abs(amount)
-                WHEN line_type IN ('Tender', 'TenderChange') AND sub_tender_id = 3 THEN -amount ELSE amount END)::DOUBLE AS signed_amount,
-           CASE line_type WHEN 'PaidIn' THEN 113 WHEN 'PaidOut' THEN 114 ELSE 12 END AS transaction_kind
-    FROM (SELECT *, CASE WHEN detail < 60 THEN 'Tender' WHEN detail < 80 THEN 'TenderChange' WHEN detail < 90 THEN 'PaidIn' ELSE 'PaidOut' END AS line_type,
-                 CASE event_type WHEN 'view' THEN 'Cash' WHEN 'click' THEN 'CreditDebit' WHEN 'purchase' THEN 'Mobile'
-                      WHEN 'signup' THEN 'GiftCard' ELSE 'CustomerAccount' END AS tender_type FROM payment)""")
+@query("r53_payment_lines", f"""
+    WITH {PAYMENT_LINES_SQL}
+    SELECT payment_no, store_idx, till_id, cashier_name, date_key, strftime(logged_at, '%H:%M') AS payment_time, tender_id::BIGINT AS tender_id,
+           trans_type::BIGINT AS trans_type, signed_amount::DOUBLE AS signed_amount, CASE line_type WHEN 'PaidIn' THEN 113 WHEN 'PaidOut' THEN 114 ELSE 12 END AS transaction_kind
+    FROM classified""")
 def _(m: Mart) -> DataFrame:
     line = F.col("line_type")
-    return classify_payments(payment_lines(m)).select(
+    return classified_lines(m).select(
         "payment_no", "store_idx", "till_id", "cashier_name", "date_key", F.date_format("logged_at", "HH:mm").alias("payment_time"),
-        "tender_id", "signed_amount", F.when(line == "PaidIn", 113).when(line == "PaidOut", 114).otherwise(12).alias("transaction_kind"),
+        "tender_id", "trans_type", "signed_amount", F.when(line == "PaidIn", 113).when(line == "PaidOut", 114).otherwise(12).alias("transaction_kind"),
     )
 
 
@@ -351,6 +344,31 @@ def _(m: Mart) -> DataFrame:
     return rec.receipt_date_range(m.system_totals)
 
 
+_PERIODS = """
+    WITH c AS (SELECT DISTINCT store_idx, logged_at AS s FROM payment WHERE event_type = 'error' AND detail >= 90),
+    p AS (SELECT * FROM (SELECT store_idx, s AS period_start, lead(s) OVER (PARTITION BY store_idx ORDER BY s) AS period_end FROM c) WHERE period_end IS NOT NULL)"""
+_MOMENT = "strftime({0}, '%Y-%m-%d %H:%M:%S') AS {1}"
+
+
+def _periods(m: Mart) -> DataFrame:
+    return finance.settlement_periods(m.payments, (F.col("event_type") == "error") & (F.col("detail") >= 90))
+
+
+@query("r70_receipts_by_period", f"""{_PERIODS}
+    SELECT p.store_idx, {_MOMENT.format('period_start', 'period_start')}, {_MOMENT.format('period_end', 'period_end')}, {_MOMENT.format('min(logged_at)', 'first_receipt')},
+        {_MOMENT.format('max(logged_at)', 'last_receipt')}, count(logged_at) AS receipts, coalesce(sum(amount), 0)::DOUBLE AS amount
+    FROM p LEFT JOIN payment r ON r.store_idx = p.store_idx AND r.logged_at >= period_start AND r.logged_at < period_end GROUP BY p.store_idx, period_start, period_end""")
+def _(m: Mart) -> DataFrame:
+    return finance.receipts_by_period(m.payments, _periods(m))
+
+
+@query("x03_settlement_span", f"""{_PERIODS}
+    SELECT store_idx, {_MOMENT.format('min(period_start)', 'span_start')}, {_MOMENT.format('max(period_end)', 'span_end')} FROM p
+    WHERE period_end >= DATE '2024-01-10' AND period_end < DATE '2024-01-21' GROUP BY store_idx""")
+def _(m: Mart) -> DataFrame:
+    return finance.settlement_span(_periods(m), dt.date(2024, 1, 10), dt.date(2024, 1, 20))
+
+
 @query("r71_vat_guarded", f"""
     SELECT store_idx, sale_date::VARCHAR AS sale_date, vat_group, {_VAT} FROM receipt_row
     WHERE (store_idx, sale_date) IN (SELECT store_idx, sale_date FROM bank) GROUP BY store_idx, sale_date, vat_group""")

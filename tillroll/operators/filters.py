@@ -42,7 +42,8 @@ def in_list(df: DataFrame, col: str, values) -> DataFrame:
         return df
     whole = isinstance(df.schema[col].dataType, T.IntegralType)
     if whole:
-        wanted = [int(v) for v in wanted if re.fullmatch(r"[+-]?[0-9]{1,18}", v)]
+        numbers = [int(v) for v in wanted if re.fullmatch(r"[+-]?[0-9]+", v)]
+        wanted = [n for n in numbers if -(1 << 63) <= n < 1 << 63]
     key = F.col(col).cast("bigint" if whole else "string")
     if not wanted:
         return df.limit(0)

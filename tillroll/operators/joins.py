@@ -108,6 +108,19 @@ def next_event(
     )
 
 
+def in_periods(facts: DataFrame, periods: DataFrame, keys: Sequence[str], at: str, start: str, end: str) -> DataFrame:
+    """Each fact with every period of its keys that it lies in: ``start`` <= ``at`` < ``end``.
+
+    A period is entered under each day it touches and a fact under its own day, so the two meet by an equi
+    join on keys and day; the exact moments decide.  Abutting periods share no fact, one that ends within a day takes only that
+    part of the day, and an empty or reversed one takes none.
+    """
+    days = F.sequence(F.col(start).cast("date"), F.col(end).cast("date"))
+    binned = periods.filter(F.col(start) < F.col(end)).withColumn("_day", F.explode(days))
+    met = facts.withColumn("_day", F.col(at).cast("date")).join(binned, [*keys, "_day"])
+    return met.filter((F.col(at) >= F.col(start)) & (F.col(at) < F.col(end))).drop("_day")
+
+
 def latest_before(
     rows: DataFrame, key: Sequence[str], order: Sequence[str], values: Sequence[str], names: Sequence[str] | None = None
 ) -> DataFrame:

@@ -11,7 +11,7 @@ from tillroll.functions.labels import label_of
 from tillroll.functions.money import in_home_currency, sum_if
 from tillroll.operators import filters as flt
 from tillroll.operators.aggregates import latest_rows, pivot_sums
-from tillroll.operators.joins import full_on, single_row
+from tillroll.operators.joins import full_on, in_periods, next_event, single_row
 from tillroll.operators.reshape import union_rows
 from tillroll.plans.calendar import Bounds, Period
 from tillroll.plans.reconciliation import ACC_BOTTLE_DEPOSIT, ACC_EXPENSES, CARDS, tender_bridge, tender_is
@@ -81,6 +81,32 @@ def report_period(receipts: DataFrame, payments: DataFrame, kind: str | None, pe
     return inside.agg(F.min("sale_date").alias("date_from"), F.max("sale_date").alias("date_to"))
 
 
+def settlement_periods(payments: DataFrame, is_closing: Column) -> DataFrame:
+    """Per store the periods between one closing line of the log and the next, with date and time.  The period after the last
+    closing has no end yet and is left out."""
+    closings = payments.filter(is_closing).select("store_idx", "logged_at").distinct()
+    numbered = closings.withColumn("_at", F.unix_micros(F.col("logged_at").cast("timestamp")))
+    every = F.lit(True)
+    ended = next_event(numbered, "store_idx", "_at", every, {"period_end": every}, "logged_at", (), 30 * 86_400_000_000)
+    return ended.filter(F.col("period_end").isNotNull()).select("store_idx", F.col("logged_at").alias("period_start"), "period_end")
+
+
+def receipts_by_period(payments: DataFrame, periods: DataFrame) -> DataFrame:
+    """First and last receipt, number and amount per store and period; periods without receipts are kept."""
+    lines = payments.select("store_idx", "logged_at", "amount")
+    keys = ["store_idx", "period_start", "period_end"]
+    sums = in_periods(lines, periods, ["store_idx"], "logged_at", "period_start", "period_end").groupBy(*keys).agg(
+        F.min("logged_at").alias("first_receipt"), F.max("logged_at").alias("last_receipt"), F.count("*").alias("receipts"), F.sum("amount").alias("amount")
+    )
+    return periods.join(sums, keys, "left").fillna(0, ["receipts", "amount"])
+
+
+def settlement_span(periods: DataFrame, first: dt.date, last: dt.date) -> DataFrame:
+    """Per store the moments from the start of its first to the end of its last period that ends within the days."""
+    ended = periods.filter((F.col("period_end") >= F.lit(first)) & (F.col("period_end") < F.lit(last + dt.timedelta(days=1))))
+    return ended.groupBy("store_idx").agg(F.min("period_start").alias("span_start"), F.max("period_end").alias("span_end"))
+
+
 def tender_totals(payments: DataFrame, selection: str, span: tuple[Moment, Moment]) -> DataFrame:
     """Count and amount per tender of one selection in a span."""
     from tillroll.sources.mart import TENDER_NAMES
