@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, functions as F
+from collections.abc import Callable
+
+from pyspark.sql import Column, DataFrame, functions as F
 
 
 def cents(col: Column | str) -> Column:
@@ -20,6 +22,29 @@ def from_cents(whole: Column) -> Column:
     return (whole.cast("decimal(12,0)") * F.lit("0.01").cast("decimal(2,2)")).cast("decimal(12,2)")
 
 
+#: Prefix of the whole hundredths that a frame carries beside its row amounts.
+WHOLE = "cents_of_"
+
+
+def whole_amounts(fact: DataFrame) -> tuple[DataFrame, Callable[..., DataFrame]]:
+    """The frame with its row amounts as whole hundredths, and what turns sums of them back into amounts.
+
+    Sums of whole numbers stay in a long per group, checked for overflow; sums of decimals of more than eight digits
+    don't.  A frame that doesn't carry hundredths is left as it is, and so are its sums.
+    """
+    carried = [c for c in fact.columns if c.startswith(WHOLE)]
+    if not carried:
+        return fact, lambda df, *names: df
+    names = {c.removeprefix(WHOLE) for c in carried}
+    whole = fact.select(*[c for c in fact.columns if c not in names and c not in carried], *[F.col(c).alias(c.removeprefix(WHOLE)) for c in carried])
+    return whole, lambda df, *sums: df.withColumns({n: from_cent_sum(F.col(n)) for n in sums})
+
+
+def from_cent_sum(total: Column) -> Column:
+    """A sum of hundredths as ``decimal(22,2)``."""
+    return (total.cast("decimal(20,0)") * F.lit("0.01").cast("decimal(2,2)")).cast("decimal(22,2)")
+
+
 def percent_of(whole: Column, percent: Column | int) -> Column:
     """Percent of a non-negative whole amount, rounded half up."""
     part = whole * percent + 50

@@ -7,7 +7,7 @@ import datetime as dt
 from pyspark.sql import DataFrame, functions as F
 
 from tillroll.functions.labels import AGE_CHECK_APPROVED, AGE_CHECK_REFUSED, label_of
-from tillroll.functions.money import net_amount_sum, safe_div, sum_each_if, sum_if
+from tillroll.functions.money import net_amount_sum, safe_div, sum_each_if, sum_if, whole_amounts
 from tillroll.operators import filters as flt
 from tillroll.operators.reshape import padded_union_sum
 from tillroll.plans.calendar import Period
@@ -67,10 +67,11 @@ def age_control(rows: DataFrame, articles: DataFrame, checks: DataFrame) -> Data
 def bags_per_customer(rows: DataFrame, articles: DataFrame, *, bag_group: str) -> DataFrame:
     """Carrier bags sold per customer and cashier; one pass over the sales."""
     is_bag = F.col("article_idx").isNotNull() & F.col("is_bag")
-    flagged = rows.join(articles.select("article_idx", (F.col("lev1_id") == bag_group).alias("is_bag")), "article_idx")
-    per_cashier = flagged.groupBy(*CASHIER).agg(
+    whole, amounts = whole_amounts(rows)
+    flagged = whole.join(articles.select("article_idx", (F.col("lev1_id") == bag_group).alias("is_bag")), "article_idx")
+    per_cashier = amounts(flagged.groupBy(*CASHIER).agg(
         sum_each_if(is_bag, "qty_sold", -F.col("qty_return")).alias("bags"), F.count_if(is_bag).alias("bag_rows"), F.count_if(F.col("line_no") == 1).alias("customers")
-    )
+    ), "bags")
     sold = per_cashier.filter(F.col("bag_rows") > 0).drop("bag_rows")
     return sold.withColumn("bags_per_customer", safe_div(F.col("bags"), F.col("customers"), "one"))
 
@@ -147,7 +148,8 @@ def key_figures(rows: DataFrame, articles: DataFrame) -> DataFrame:
     """Sales with and without third-party articles, customers, averages and scan rates per
     cashier."""
     dim = articles.select("article_idx", "is_third_party", (F.length("gtin") > 6).alias("scannable"))
-    flagged = rows.join(dim, "article_idx")
+    whole, amounts = whole_amounts(rows)
+    flagged = whole.join(dim, "article_idx")
     third = F.col("is_third_party")
     scanned = F.col("scannable") & (F.col("line_status") == "F")
     per_receipt = flagged.groupBy(*CASHIER, "receipt_id").agg(
@@ -162,6 +164,7 @@ def key_figures(rows: DataFrame, articles: DataFrame) -> DataFrame:
         F.count("*").alias("receipts"), F.count_if("only_third").alias("only_third"), F.count_if("has_third").alias("third_party_customers"),
         F.sum("own_items").alias("own_items"), F.sum("own_scannable").alias("own_scannable"), F.sum("own_scanned").alias("own_scanned"),
     )
+    grouped = amounts(grouped, "total", "third_party_sales", "own_items", "own_scannable", "own_scanned")
     customers = F.col("receipts") - F.col("only_third")
     own_sales = F.col("total") - F.col("third_party_sales")
     return grouped.select(
@@ -178,7 +181,8 @@ def returns_by_cashier(rows: DataFrame, articles: DataFrame) -> DataFrame:
     """Returns per cashier: receipts, articles, amount, share of sales, and those on short article
     codes."""
     dim = articles.select("article_idx", (F.length("gtin") <= 6).alias("generic"))
-    flagged = rows.join(dim, "article_idx")
+    whole, amounts = whole_amounts(rows)
+    flagged = whole.join(dim, "article_idx")
     returned = F.col("qty_return") > 0
     generic = returned & F.col("generic")
     per_receipt = flagged.groupBy(*CASHIER, "receipt_id").agg(
@@ -192,6 +196,7 @@ def returns_by_cashier(rows: DataFrame, articles: DataFrame) -> DataFrame:
         F.count_if("has_generic").alias("generic_receipts"), F.sum("generic_qty").alias("generic_qty"),
         F.sum("generic_amount").alias("generic_amount"),
     )
+    grouped = amounts(grouped, "revenue_incl_vat", "returned_qty", "return_amount", "sales", "generic_qty", "generic_amount")
     return grouped.withColumn("return_share", safe_div(F.col("return_amount"), F.col("sales"))).drop("sales")
 
 

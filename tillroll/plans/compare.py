@@ -10,7 +10,7 @@ import datetime as dt
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from tillroll.functions.money import safe_div, sum_each_if
+from tillroll.functions.money import safe_div, sum_each_if, whole_amounts
 from tillroll.functions.text import split_list
 from tillroll.operators import filters as flt
 from tillroll.operators.aggregates import with_grand_total
@@ -28,7 +28,8 @@ def compared_revenue(
     Groups without revenue in every period are left out."""
     second = None if second_start is None else same_length(second_start, *bounds)
     in_first = within("sale_date", bounds)
-    kept = flt.in_direction(rows, direction)
+    whole, amounts = whole_amounts(rows)
+    kept = flt.in_direction(whole, direction)
     kept = kept.filter(in_first if second is None else in_first | within("sale_date", second))
     dim = flt.in_list(articles, "article_id", article_ids).select("article_idx", "article_id", "article_name")
 
@@ -45,6 +46,7 @@ def compared_revenue(
         per_key = _on_campaign_days(kept, aggs, campaigns)
     else:
         per_key = kept.groupBy("store_idx", *(["article_idx"] if by_article or article_ids else [])).agg(*aggs)
+    per_key = amounts(per_key, *[f"{n}_{k}" for k in ("1", "2")[: 1 if second is None else 2] for n in ("revenue", "moved")])
     named = per_key.join(stores.select("store_idx", "store_name"), "store_idx")
     if "article_idx" in per_key.columns:
         named = named.join(dim, "article_idx")
@@ -90,9 +92,11 @@ def year_sums(rows: DataFrame, articles: DataFrame, windows: YearWindows, *, art
         "items": [F.col("qty_sold"), -F.col("qty_return")],
         "customers": [F.when(F.col("line_no") == 1, 1)],
     }
-    per_article = rows.filter(windows.any_of("sale_date")).groupBy("article_idx").agg(
+    whole, amounts = whole_amounts(rows)
+    per_article = whole.filter(windows.any_of("sale_date")).groupBy("article_idx").agg(
         *_window_sums(windows, base), F.max(within("sale_date", windows.period)).alias("in_period")
     )
+    per_article = amounts(per_article, *[f"{n}_{w}" for n in ("revenue", "items") for w in windows.named()])
     return _by_level1(per_article, articles, article_ids)
 
 

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from tillroll.functions.money import net_amount_sum, net_qty_sum, signed
+from tillroll.functions.money import net_amount_sum, net_qty_sum, signed, whole_amounts
 from tillroll.functions.text import format_date, format_decimal, sql_len
 from tillroll.functions.weeks import week_stamp
 from tillroll.operators import filters as flt
@@ -36,11 +36,12 @@ def week_sales_lines(rows: DataFrame, articles: DataFrame) -> DataFrame:
     """Weekly accumulated sales per store and article, normal and offer sales apart."""
     offer = F.col("list_amount") != F.col("sales_amount")
     code = F.when(offer, F.lit(OFFER_LINE)).otherwise(F.lit(NORMAL_LINE)).alias("report_code")
-    per_key = rows.groupBy("store_idx", week_stamp("sale_date").alias("week"), code, "article_idx", "supplier_idx").agg(
+    whole, amounts = whole_amounts(rows)
+    per_key = amounts(whole.groupBy("store_idx", week_stamp("sale_date").alias("week"), code, "article_idx", "supplier_idx").agg(
         net_amount_sum("sales_excl_vat", "return_excl_vat").alias("net"), F.sum("cost_amount").alias("cost"),
         net_qty_sum().alias("qty"), F.count_if(F.col("line_no") == 1).alias("customers"),
         net_amount_sum("sales_vat", "return_vat").alias("vat"),
-    )
+    ), "net", "cost", "qty", "vat")
     dim = articles.select(
         "article_idx", "gtin", "article_name", F.col("lev1_id").alias("group_id"), "unit_amount", "unit_name",
         F.when(sql_len("gtin") > 6, F.lit("E")).otherwise(F.lit("P")).alias("id_kind"),

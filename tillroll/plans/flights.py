@@ -7,7 +7,7 @@ import datetime as dt
 from pyspark.sql import DataFrame, functions as F
 
 from tillroll.functions.labels import FLIGHT_TYPE, TRAVEL_TYPE, label_of
-from tillroll.functions.money import net_amount_sum, net_qty_sum
+from tillroll.functions.money import net_amount_sum, net_qty_sum, whole_amounts
 from tillroll.functions.text import split_list
 from tillroll.operators import filters as flt
 from tillroll.operators.joins import difference, latest_before
@@ -30,7 +30,8 @@ def flight_filter(rows: DataFrame, *, direction: int = 0, flights=None, airports
 
 def flight_revenue(rows: DataFrame, articles: DataFrame, *, by_flight: bool, direction: int = 0, flights=None, airports=None) -> DataFrame:
     """Quantity, revenue and customers per article, and per flight where asked for."""
-    kept = flight_filter(rows, direction=direction, flights=flights, airports=airports)
+    whole, amounts = whole_amounts(rows)
+    kept = flight_filter(whole, direction=direction, flights=flights, airports=airports)
     shown = F.concat(F.col("flight_no"), F.lit(" - "), F.col("connected_airport"))
     directed = F.trim("origin_code").isin("D", "A")
     flight = F.when(directed, shown).otherwise(F.col("flight_no"))
@@ -42,6 +43,7 @@ def flight_revenue(rows: DataFrame, articles: DataFrame, *, by_flight: bool, dir
         net_qty_sum().alias("sold"), net_amount_sum("sales_excl_vat", "return_excl_vat").alias("revenue"),
         F.count_if(F.col("line_no") == 1).alias("customers"),
     )
+    per_key = amounts(per_key, "sold", "revenue")
     names = articles.select("article_idx", "article_name")
     return per_key.join(names, "article_idx").groupBy("flight_no", "flight_type", "article_name").agg(
         F.sum("sold").alias("sold"), F.sum("revenue").alias("revenue"), F.sum("customers").alias("customers")
@@ -50,11 +52,12 @@ def flight_revenue(rows: DataFrame, articles: DataFrame, *, by_flight: bool, dir
 
 def group_quantities(rows: DataFrame, articles: DataFrame, *, direction: int = 0) -> DataFrame:
     """Quantity, units and revenue per second-level group of flight receipts."""
-    kept = flt.in_direction(rows, direction)
-    per_article = kept.groupBy("article_idx").agg(
+    whole, amounts = whole_amounts(rows)
+    kept = flt.in_direction(whole, direction)
+    per_article = amounts(kept.groupBy("article_idx").agg(
         net_qty_sum().alias("sold"), net_amount_sum("sales_excl_vat", "return_excl_vat").alias("revenue"),
         net_amount_sum().alias("revenue_incl_vat"),
-    )
+    ), "sold", "revenue", "revenue_incl_vat")
     return _by_group(per_article, articles).filter(F.col("revenue_incl_vat") != 0)
 
 
@@ -106,10 +109,11 @@ def last_sold(articles: DataFrame, sales: DataFrame) -> DataFrame:
 
 
 def article_revenue(rows: DataFrame) -> DataFrame:
-    return rows.groupBy("article_idx").agg(
+    whole, amounts = whole_amounts(rows)
+    return amounts(whole.groupBy("article_idx").agg(
         net_qty_sum().alias("sold"), net_amount_sum().alias("revenue"),
         (net_amount_sum() - F.sum("cost_amount")).alias("gross_profit"),
-    ).filter(F.col("revenue") != 0)
+    ).filter(F.col("revenue") != 0), "sold", "revenue", "gross_profit")
 
 
 def collected_revenue(orders: DataFrame, lines: DataFrame, sales: DataFrame, *, direction: int = 0, bounds: Bounds | None = None) -> DataFrame:

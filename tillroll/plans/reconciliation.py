@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from tillroll.functions.labels import label_of
-from tillroll.functions.money import in_home_currency, net_amount, net_amount_sum, sum_each_if, sum_if
+from tillroll.functions.money import in_home_currency, net_amount, net_amount_sum, sum_each_if, sum_if, whole_amounts
 from tillroll.operators import filters as flt
 from tillroll.operators.aggregates import conditional_sums, latest_rows
 from tillroll.operators.joins import full_on
@@ -85,7 +85,11 @@ def daily_branches(
 ) -> DataFrame:
     """Pre-aggregated branches per store and day, joined on the sales branch."""
     day = ["store_idx", "sale_date"]
-    grouped = rows.join(articles.select("article_idx", "lev1_id"), "article_idx")
+    # Rows are summed by article and VAT group before they meet the article table.
+    whole, amounts = whole_amounts(rows)
+    names = ("sales_amount", "return_amount", "sales_excl_vat", "return_excl_vat")
+    per_article = whole.groupBy(*day, "article_idx", "vat_group").agg(*[F.sum(n).alias(n) for n in names])
+    grouped = per_article.join(articles.select("article_idx", "lev1_id"), "article_idx")
     plain = ~F.col("lev1_id").isin(GAMING_GROUP, GIFT_CARD_GROUP)
     vat = F.col("vat_group")
     amount = ("sales_amount", "return_amount")
@@ -98,6 +102,7 @@ def daily_branches(
         sum_each_if(F.col("lev1_id") == GAMING_GROUP, *amount).alias("gaming"),
         sum_each_if(F.col("lev1_id") == GIFT_CARD_GROUP, *amount).alias("gift_cards"),
     )
+    sales = amounts(sales, "sales_low", "sales_mid", "sales_high", "net_revenue", "gross_revenue", "gaming", "gift_cards")
     cards = {
         "card_1": tender_is(CARDS) & (F.col("sub_tender_id") == 1),
         "card_2": tender_is(CARDS) & (F.col("sub_tender_id") == 2),

@@ -11,7 +11,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from tillroll.functions.money import net_amount_sum, net_qty, net_qty_sum, safe_div, sum_if
+from tillroll.functions.money import net_amount_sum, net_qty, net_qty_sum, safe_div, sum_if, whole_amounts
 from tillroll.functions.text import blank_to_null
 from tillroll.functions.weeks import iso_week, weekday_no
 from tillroll.operators import filters as flt
@@ -35,11 +35,15 @@ def measures() -> dict[str, Column]:
 def reduce_to(fact: DataFrame, *keys: str | Column) -> DataFrame:
     """First step: all measures per surrogate key, with the price-source flags."""
     derived, used = (F.col("line_status") == "F").cast("int"), (F.col("price_type") == 0).cast("int")
-    return fact.groupBy(*keys).agg(
-        *[total.alias(n) for n, total in measures().items()],
-        F.min(derived).alias("use_derived"),
-        F.min(used).alias("min_derived_used"),
-        F.max(used).alias("max_derived_used"),
+    whole, amounts = whole_amounts(fact)
+    return amounts(
+        whole.groupBy(*keys).agg(
+            *[total.alias(n) for n, total in measures().items()],
+            F.min(derived).alias("use_derived"),
+            F.min(used).alias("min_derived_used"),
+            F.max(used).alias("max_derived_used"),
+        ),
+        *measures(),
     )
 
 

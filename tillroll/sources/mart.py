@@ -18,7 +18,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
 from tillroll.functions.keys import date_key, receipt_row_key, time_key
 from tillroll.functions.labels import label_of
-from tillroll.functions.money import cents, dec, from_cents, percent_of
+from tillroll.functions.money import WHOLE, cents, dec, from_cents, percent_of
 from tillroll.sources.scratch import shared_folder
 
 # The last business day of the order tables and of the event log; "today" for relative periods.
@@ -69,10 +69,15 @@ class Mart:
     def _stored(self, make, table: str, rows: str):
         """A stored rollup of these tables, brought up to date if their files have changed."""
         from tillroll.plans.rollups import file_token
+        from tillroll.sources.published import Conflict
 
         place = hashlib.sha256(self.directory.encode()).hexdigest()[:16]
         rollup = make(self.spark, f"{shared_folder(self.spark).rstrip('/')}/tillroll-rollups/{make.__name__}-{place}")
-        rollup.refresh(getattr(self, rows), file_token(self.table(table)))
+        token = file_token(self.table(table))
+        try:
+            rollup.refresh(getattr(self, rows), token)
+        except Conflict:  # another session has refreshed it meanwhile
+            rollup.refresh(getattr(self, rows), token)
         return rollup
 
     @cached_property
@@ -191,11 +196,24 @@ class Mart:
         qty, price, gross, vat = F.col("_qty"), F.col("_price"), F.col("_gross"), F.col("_vat")
 
         def sold(whole: Column) -> Column:
-            return from_cents(F.when(~returned, whole).otherwise(0))
+            return F.when(~returned, whole).otherwise(0)
 
         def back(whole: Column) -> Column:
-            return from_cents(F.when(returned, whole).otherwise(0))
-
+            return F.when(returned, whole).otherwise(0)
+
+        amounts = {
+            "qty_sold": sold(qty),
+            "qty_return": back(qty),
+            "list_amount": sold(price),
+            "sales_amount": sold(gross),
+            "return_amount": back(-gross),
+            "sales_excl_vat": sold(gross - vat),
+            "return_excl_vat": back(vat - gross),
+            "sales_vat": sold(vat),
+            "return_vat": back(-vat),
+            "discount_amount": sold(price - gross),
+            "cost_amount": F.when(returned, -percent_of(price, 70)).otherwise(percent_of(price, 70)),
+        }
         return taxed.select(
             "receipt_id",
             "line_no",
@@ -205,22 +223,14 @@ class Mart:
             "article_idx",
             "supplier_idx",
             "line_status",
-            sold(qty).alias("qty_sold"),
-            back(qty).alias("qty_return"),
-            sold(price).alias("list_amount"),
-            sold(gross).alias("sales_amount"),
-            back(-gross).alias("return_amount"),
-            sold(gross - vat).alias("sales_excl_vat"),
-            back(vat - gross).alias("return_excl_vat"),
-            sold(vat).alias("sales_vat"),
-            back(-vat).alias("return_vat"),
-            sold(price - gross).alias("discount_amount"),
-            from_cents(F.when(returned, -percent_of(price, 70)).otherwise(percent_of(price, 70))).alias("cost_amount"),
+            *[from_cents(whole).alias(name) for name, whole in amounts.items()],
             "vat_group",
             "price_type",
             F.when(campaign.between(1, 4), campaign).alias("campaign_id"),
             F.when(campaign.between(5, 7), campaign).alias("combination_id"),
             F.when(campaign >= 8, campaign).alias("reduction_id"),
+            # The same amounts in whole hundredths, for sums (see ``whole_amounts``).
+            *[whole.alias(f"{WHOLE}{name}") for name, whole in amounts.items()],
         )
 
     @cached_property
