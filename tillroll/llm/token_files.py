@@ -17,6 +17,7 @@ import zlib
 from array import array
 from collections.abc import Iterator
 from functools import partial
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -33,6 +34,9 @@ NO_ID = -(1 << 63)
 END = 2
 #: Different pieces of text whose ids a worker remembers: as many again are kept from before.
 REMEMBERED = 400_000
+#: Different pieces that are encoded at once, and that are put together as one text.
+CHUNK = 8192
+RUN = 64
 #: Texts are encoded in pieces of about so many bytes; a longer text is a piece of its own.
 PIECE = 1 << 23
 
@@ -59,6 +63,11 @@ class Encoder:
     def __init__(self, path: str) -> None:
         self.tokenizer = load_tokenizer(path)
         self.type = np.dtype("<u2" if self.tokenizer.get_vocab_size() <= 1 << 16 else "<u4")
+        # A token has as many bytes as letters in a byte-level vocabulary, where each letter stands for a byte.
+        vocabulary = self.tokenizer.get_vocab(with_added_tokens=True)
+        self.lengths = np.zeros(max(vocabulary.values()) + 1, np.int64)
+        for token, number in vocabulary.items():
+            self.lengths[number] = len(token)
         self.known: dict[str, bytes] = {}
         self.older: dict[str, bytes] = {}
 
@@ -69,6 +78,23 @@ class Encoder:
         code = "H" if self.type.itemsize == 2 else "I"
         return [array(code, x.ids).tobytes() for x in found]
 
+    def together(self, pieces: list[str]) -> dict[str, bytes]:
+        """Ids of pieces that may be cut apart, encoded in texts of many pieces; the bytes of the tokens tell where each piece
+        ends.  If the tokens aren't the
+        pieces' bytes, none is given."""
+        texts = ["".join(pieces[at : at + RUN]) for at in range(0, len(pieces), RUN)]
+        ids = np.fromiter(chain.from_iterable([x.ids for x in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]), np.int64)
+        ends = np.cumsum(self.lengths[ids])
+        wanted = np.cumsum([len(p.encode()) for p in pieces])
+        if not len(ids) or ends[-1] != wanted[-1]:
+            return {}
+        last = np.searchsorted(ends, wanted)
+        if (ends[last] != wanted).any():
+            return {}
+        data, size = ids.astype(self.type).tobytes(), self.type.itemsize
+        places = [0, *((last + 1) * size).tolist()]
+        return {p: data[a:b] for p, a, b in zip(pieces, places[:-1], places[1:], strict=True)}
+
     def look_up(self, pieces: list[str]) -> list[bytes]:
         """Ids of pieces; those that aren't known are encoded first."""
         if len(self.known) > REMEMBERED:
@@ -82,8 +108,12 @@ class Encoder:
         marked = [p for p in new if p[-1:] in (".", ",") and p[-2:-1].isalpha()]
         wanted = set(new).difference(marked).union((p[:-1] for p in marked), (p[-1] for p in marked)).difference(known)
         wanted = list(wanted)
-        for at in range(0, len(wanted), 4096):
-            known.update(zip(wanted[at : at + 4096], self.raw(wanted[at : at + 4096]), strict=True))
+        spaced = [p for p in wanted if p[:1] == " " and p[1:2] and not (p[1].isspace() or p[-1].isspace())]
+        for at in range(0, len(spaced), CHUNK):
+            known.update(self.together(spaced[at : at + CHUNK]))
+        alone = [p for p in wanted if p not in known]
+        for at in range(0, len(alone), CHUNK):
+            known.update(zip(alone[at : at + CHUNK], self.raw(alone[at : at + CHUNK]), strict=True))
         known.update((p, known[p[:-1]] + known[p[-1]]) for p in marked)
         return [known[p] for p in pieces]
 
