@@ -107,7 +107,7 @@ _REPORT_LINES = f"""
 @query("s07_report_lines", _REPORT_LINES)
 def _(m: Mart) -> DataFrame:
     lines = exports.week_sales_lines(m.receipt_rows, m.articles)
-    return exports.report_lines(lines, exports.week_totals(lines))
+    return exports.report_lines(lines)
 
 
 @query("s08_export_per_store", """
@@ -304,7 +304,7 @@ def _(m: Mart) -> DataFrame:
 def _(m: Mart) -> DataFrame:
     lines = exports.week_sales_lines(m.receipt_rows, m.articles)
     path = f"{scratch_path(m.spark)}/week_sales"
-    sinks.write_report_lines(exports.report_lines(lines, exports.week_totals(lines)), path)
+    sinks.write_report_lines(exports.report_lines(lines), path)
     return m.spark.read.schema("value string, store_idx int").text(path).select("store_idx", F.col("value").alias("line"))
 
 

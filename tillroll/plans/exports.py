@@ -8,7 +8,6 @@ from tillroll.functions.money import net_amount_sum, net_qty_sum, signed, whole_
 from tillroll.functions.text import format_date, format_decimal, sql_len
 from tillroll.functions.weeks import week_stamp
 from tillroll.operators import filters as flt
-from tillroll.operators.reshape import union_rows
 from tillroll.plans.calendar import Bounds, within
 from tillroll.plans.stock import signed_cost, signed_qty
 
@@ -48,30 +47,31 @@ def week_sales_lines(rows: DataFrame, articles: DataFrame) -> DataFrame:
     )
     amount = F.when(F.col("unit_name") == "L", F.col("qty") * F.col("unit_amount")).otherwise(F.col("qty"))
     return per_key.join(dim, "article_idx").select(
-        "report_code", "store_idx", "week", "id_kind", "gtin", "net", "cost", amount.alias("qty"), "customers", "vat", "supplier_idx", "group_id", "article_name"
+        "report_code", "store_idx", "week", "id_kind", "gtin", "net", "cost", amount.alias("qty"), "customers", "vat", "supplier_idx", "group_id", "article_name",
+        "article_idx",
     )
 
 
-def week_totals(lines: DataFrame) -> DataFrame:
-    return lines.groupBy("store_idx", "week").agg(*[F.sum(c).alias(c) for c in ("net", "cost", "qty", "customers", "vat")])
-
-
-def report_lines(lines: DataFrame, totals: DataFrame) -> DataFrame:
-    """Text lines of the weekly file per store: header, details and a SUM line, in file order."""
+def report_lines(lines: DataFrame) -> DataFrame:
+    """Text lines of the weekly file per store: header, details and a SUM line, in file order.  Details and sums come
+    from one pass over the lines."""
     def text(*cols: Column) -> Column:
         return F.concat_ws(",", *[F.coalesce(c.cast("string"), F.lit("")) for c in cols])
 
-    money = [F.col(c).cast("decimal(28,2)") for c in ("net", "cost", "qty")]
-    detail = lines.select(
-        "store_idx", "week", F.lit(2).alias("part"),
-        text(F.col("report_code"), F.col("store_idx"), F.col("week"), F.col("id_kind"), F.col("gtin"), *money, F.col("customers"),
-             F.col("vat").cast("decimal(28,2)"), F.col("supplier_idx"), F.col("group_id"), F.col("article_name")).alias("line"),
-    )
-    total = text(F.lit("OTU"), F.col("store_idx"), F.col("week"), F.lit("SUM"), *money, F.col("customers"), F.col("vat").cast("decimal(28,2)"))
-    frame = F.array(
-        F.struct(F.lit(1).alias("part"), F.lit(FILE_HEADER).alias("line")), F.struct(F.lit(3).alias("part"), total.alias("line"))
+    keys = [F.col(k) for k in ("store_idx", "week", "report_code", "id_kind", "gtin", "supplier_idx", "group_id", "article_name", "article_idx")]
+    sums = lines.groupingSets([keys, keys[:2]], *keys).agg(
+        *[F.sum(c).alias(c) for c in ("net", "cost", "qty", "customers", "vat")], F.grouping("report_code").alias("_total")
     )
-    return union_rows(detail, totals.select("store_idx", "week", F.inline(frame)))
+    money, vat = [F.col(c).cast("decimal(28,2)") for c in ("net", "cost", "qty")], F.col("vat").cast("decimal(28,2)")
+    detail = text(F.col("report_code"), F.col("store_idx"), F.col("week"), F.col("id_kind"), F.col("gtin"), *money, F.col("customers"), vat,
+                  F.col("supplier_idx"), F.col("group_id"), F.col("article_name"))
+    total = text(F.lit("OTU"), F.col("store_idx"), F.col("week"), F.lit("SUM"), *money, F.col("customers"), vat)
+
+    def part(number: int, line: Column) -> Column:
+        return F.struct(F.lit(number).alias("part"), line.alias("line"))
+
+    framed = F.when(F.col("_total") == 1, F.array(part(1, F.lit(FILE_HEADER)), part(3, total))).otherwise(F.array(part(2, detail)))
+    return sums.select("store_idx", "week", F.inline(framed))
 
 
 # Reason written for a transfer between stores.
