@@ -88,8 +88,7 @@ WITH d AS (SELECT row_number() OVER () AS r, doc_id, coalesce('=' || source, '')
 ), dups AS (SELECT r, count(*) - count(DISTINCT l) AS n_dup_lines FROM lines GROUP BY r
 ), in_doc AS (SELECT r, host, lower(array_to_string(w, ' ')) AS line, sum(len(w)) AS size FROM lines GROUP BY ALL
 ), common AS (
-  SELECT host, line FROM (SELECT host, line, count(*) AS n FROM in_doc GROUP BY ALL) JOIN (SELECT host, count(*) AS documents FROM d GROUP BY host) USING (host)
-  WHERE n >= 20 AND n >= 0.01 * documents
+  SELECT host, line FROM in_doc GROUP BY ALL HAVING count(*) >= 20
 ), removed AS (SELECT r, sum(size) AS n_removed FROM in_doc JOIN common USING (host, line) GROUP BY r
 ), counts AS (
   SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(length(array_to_string(w, '')) AS BIGINT) AS word_chars,
