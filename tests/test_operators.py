@@ -238,6 +238,16 @@ def test_periods_share_no_receipt(spark):
     assert "CartesianProduct" not in got._jdf.queryExecution().executedPlan().toString()
 
 
+def test_ancestors_of_any_depth(spark):
+    chain = [(f"n{k}", f"n{k + 1}") for k in range(13)]
+    links = spark.createDataFrame([*chain, *chain, ("x", "n3"), ("x", "n9"), ("n13", "n13"), ("c1", "c2"), ("c2", "c1"), (None, "n1"), ("lone", None)], "node string, parent string")
+    got = {(r.node, r.ancestor): r.steps for r in joins.ancestors(links).collect()}
+    assert {a: s for (n, a), s in got.items() if n == "n2"} == {f"n{k}": k - 2 for k in range(2, 14)}
+    assert {a: s for (n, a), s in got.items() if n == "x"} == {"x": 0, **{f"n{k}": k - 2 for k in range(3, 9)}, **{f"n{k}": k - 8 for k in range(9, 14)}}
+    assert {a: s for (n, a), s in got.items() if n == "c1"} == {"c1": 0, "c2": 1}
+    assert not any(n in ("lone", None) for n, _ in got)
+
+
 def test_lists_hold_every_bigint(spark):
     df = spark.createDataFrame([(9223372036854775807,), (-9223372036854775808,), (7,)], "k bigint")
     got = flt.in_list(df, "k", "9223372036854775807, -9223372036854775808, 9223372036854775808, 0000000000000000000000007")

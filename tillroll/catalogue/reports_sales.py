@@ -7,6 +7,7 @@ import datetime as dt
 from pyspark.sql import DataFrame, functions as F
 
 from tillroll.catalogue.registry import query
+from tillroll.operators.joins import ancestors
 from tillroll.plans import campaigns, compare, flights, sales
 from tillroll.plans.calendar import Period, YearWindows
 from tillroll.sources.mart import AS_OF, Mart
@@ -405,6 +406,14 @@ def _across(m: Mart, first: dt.date, last: dt.date, group_by: str) -> DataFrame:
     return sales.sales_across_chains(m.sales_rollup.between(first, last), m.articles, group_by)
 
 
+@query("r20_sales_by_any_level", """
+    WITH n AS (SELECT article_idx, unnest(['department|' || left(lev1_id, 1), '1|' || lev1_id, '2|' || lev1_id || '|' || lev2_id, '3|' || lev1_id || '|' || lev2_id || '|' || lev3_id]) AS ancestor FROM article)
+    SELECT ancestor, sum(qty_sold - qty_return)::DOUBLE AS quantity, sum(sales_amount + return_amount)::DOUBLE AS revenue_incl_vat
+    FROM sales_row JOIN n USING (article_idx) WHERE ancestor IS NOT NULL AND sale_date BETWEEN DATE '1999-01-01' AND DATE '1999-12-31' GROUP BY ancestor""")
+def _(m: Mart) -> DataFrame:
+    return sales.sales_by_any_level(m.sales_rows, ancestors(sales.hierarchy_links(m.articles)), bounds=Y1999)
+
+
 @query("r21_across_chains_monthly", f"""
     SELECT lev1_id AS id, lev1_name AS name, {_MEASURES}, {_CONFIG_PRODUCT} FROM sales_row JOIN article USING (article_idx)
     WHERE sale_date BETWEEN DATE '1998-01-01' AND DATE '2000-12-31' GROUP BY 1, 2""")

@@ -11,6 +11,8 @@ from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
+from tillroll.sources.scratch import scratch_path
+
 
 def full_on(left: DataFrame, right: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Full outer join with merged keys."""
@@ -108,6 +110,29 @@ def next_event(
     )
 
 
+def ancestors(links: DataFrame) -> DataFrame:
+    """Every node with itself and each node above it, and the number of steps between: node, ancestor, steps.
+
+    links: node and parent, any depth, several parents allowed.  Each round joins the pairs so far with themselves,
+    which doubles the steps they span: a tree of depth d takes about log2(d) rounds, each written to the shared folder.
+    A node is listed once per ancestor, with the fewest steps; links that run in a circle end there too.
+    """
+    spark = links.sparkSession
+    given = links.filter(F.col("node").isNotNull() & F.col("parent").isNotNull()).select("node", "parent").distinct()
+    own = given.select("node").union(given.select("parent")).distinct().select("node", F.col("node").alias("ancestor"), F.lit(0).alias("steps"))
+    pairs, known = own.union(given.select("node", "parent", F.lit(1))), -1
+    while True:
+        path = f"{scratch_path(spark)}-ancestors"
+        pairs.groupBy("node", "ancestor").agg(F.min("steps").alias("steps")).write.parquet(path)
+        done = spark.read.parquet(path)
+        found = done.count()
+        if found == known:
+            return done
+        known = found
+        upper = done.select(F.col("node").alias("ancestor"), F.col("ancestor").alias("_top"), F.col("steps").alias("_more"))
+        pairs = done.join(upper, "ancestor").select("node", F.col("_top").alias("ancestor"), (F.col("steps") + F.col("_more")).alias("steps"))
+
+
 def in_periods(facts: DataFrame, periods: DataFrame, keys: Sequence[str], at: str, start: str, end: str) -> DataFrame:
     """Each fact with every period of its keys that it lies in: ``start`` <= ``at`` < ``end``.
 

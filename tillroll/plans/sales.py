@@ -161,6 +161,30 @@ def sales_by_choice(
     )
 
 
+def hierarchy_links(articles: DataFrame) -> DataFrame:
+    """The article tree as links from node to parent: article, its levels as deep as they go, department.  Nodes are named by
+    their kind and the path above them, so that equal ids under different groups stay apart."""
+    def path(kind: str, *levels: str) -> Column:
+        return F.concat(F.lit(f"{kind}|"), *[c for level in levels for c in (F.col(level), F.lit("|"))][:-1])
+
+    chain = F.array_compact(F.array(
+        F.concat(F.lit("article|"), F.col("article_idx").cast("string")), path("3", "lev1_id", "lev2_id", "lev3_id"), path("2", "lev1_id", "lev2_id"), path("1", "lev1_id"),
+        F.concat(F.lit("department|"), F.substring("lev1_id", 1, 1)),
+    ))
+    steps = F.transform(F.sequence(F.lit(1), F.size("chain") - 1), lambda k: F.struct(F.element_at("chain", k).alias("node"), F.element_at("chain", k + 1).alias("parent")))
+    return articles.select(chain.alias("chain")).select(F.inline(steps)).distinct()
+
+
+def sales_by_any_level(sales: DataFrame, closure: DataFrame, *, bounds: Bounds | None = None) -> DataFrame:
+    """Quantity and revenue of every node of the article tree, whatever its depth, from one grouping: sales are summed by article and
+    each article counts once for each node above it."""
+    rows = sales if bounds is None else sales.filter(within("sale_date", bounds))
+    node = F.concat(F.lit("article|"), F.col("article_idx").cast("string"))
+    per_article = reduce_to(rows, "article_idx").select(node.alias("node"), "quantity", "revenue_incl_vat")
+    above = closure.filter(F.col("steps") > 0).select("node", "ancestor")
+    return per_article.join(above, "node").groupBy("ancestor").agg(F.sum("quantity").alias("quantity"), F.sum("revenue_incl_vat").alias("revenue_incl_vat"))
+
+
 def sales_across_chains(aggregate: DataFrame, articles: DataFrame, group_by: str) -> DataFrame:
     """Sales by article, first level or leaf over the rows of a stored rollup."""
     ident, name = _article_groups()[group_by]
