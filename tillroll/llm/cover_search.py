@@ -37,8 +37,8 @@ BLOCK = 4096
 QUERY_BLOCK = 4096
 #: Children of a node, points and queries of a leaf in a task.
 FAN = 8
-LEAF = 128
-QUERY_LEAF = 16
+LEAF = 512
+QUERY_LEAF = 64
 
 _LOW = np.iinfo(np.int64).min
 
