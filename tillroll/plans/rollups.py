@@ -64,25 +64,34 @@ class Rollup:
         if token is not None and token == state.get("token"):
             return []
         row = F.xxhash64(*[c for c in rows.columns if not c.startswith(WHOLE)])  # hundredths say nothing new
-        marks = rows.groupBy(month_of(self.day).alias("m")).agg(
-            F.count("*"), F.bit_xor(row), F.sum(F.pmod(row, F.lit(1 << 24))), F.min(self.day), F.max(self.day)
-        ).collect()  # one row for each month
-        found = {str(r[0]): [r[1], r[2], r[3]] for r in marks if r[0] is not None}
-        known = state.get("months", {})
-        changed = sorted(m for m, mark in found.items() if known.get(m, {}).get("mark") != mark)
-        months = {m: known[m] for m in found if m in known and m not in changed}
-        if changed:
-            name = f"v{base + 1:010d}-{uuid.uuid4().hex}"
-            some = rows.withColumn("month_key", month_of(self.day)).filter(F.col("month_key").isin([int(m) for m in changed]))
-            self._write(self._daily(some, "month_key", self.day), f"daily/{name}")
+        dated = rows.withColumn("month_key", month_of(self.day)).filter(F.col("month_key").isNotNull())
+        name = f"v{base + 1:010d}-{uuid.uuid4().hex}"
+        dated.groupBy("month_key").agg(
+            F.count("*").alias("n"), F.bit_xor(row).alias("a"), F.sum(F.pmod(row, F.lit(1 << 24))).alias("b"),
+            F.min(self.day).cast("date").alias("first_day"), F.max(self.day).cast("date").alias("last_day"),
+        ).coalesce(1).write.partitionBy("month_key").parquet(f"{self.folder}/marks/{name}")  # one row for each month
+        marks = self._marks(f"marks/{name}")
+        known = self._marks(state["marks"]) if state else marks.limit(0)
+        changed = marks.select("month_key", "n", "a", "b").exceptAll(known.select("month_key", "n", "a", "b")).select("month_key")
+        if not changed.isEmpty():
+            self._write(self._daily(dated.join(changed, "month_key", "left_semi"), "month_key", self.day), f"daily/{name}")
             daily = self.spark.read.parquet(f"{self.folder}/daily/{name}")
             self._write(self._merge(daily, "month_key"), f"monthly/{name}")
-            months |= {m: {"mark": found[m], "folder": name} for m in changed}
-        days = [d for r in marks if r[0] is not None for d in r[4:]]
-        if changed or months.keys() != known.keys() or token != state.get("token"):
-            covers = [str(min(days)), str(max(days))] if days else []
-            self._versions.publish(base, {"token": token, "months": months, "covers": covers})
-        return [int(m) for m in changed]
+        new, before = self._months(f"daily/{name}"), state.get("months", {})
+        months = {m: {"folder": name} if m in new else before[m] for m in self._months(f"marks/{name}")}
+        if new or months.keys() != before.keys() or token != state.get("token"):
+            days = marks.agg(F.min("first_day").alias("first"), F.max("last_day").alias("last")).first()
+            covers = [str(days["first"]), str(days["last"])] if months else []
+            self._versions.publish(base, {"token": token, "marks": f"marks/{name}", "months": months, "covers": covers})
+        return [int(m) for m in new]
+
+    def _months(self, name: str) -> list[str]:
+        """The months a folder has rows of."""
+        return [f.split("=")[1] for f in self._versions.children(name) if f.startswith("month_key=")]
+
+    def _marks(self, name: str) -> DataFrame:
+        shape = "n bigint, a bigint, b bigint, first_day date, last_day date, month_key int"
+        return self.spark.read.schema(shape).parquet(f"{self.folder}/{name}")
 
     def _write(self, rolled: DataFrame, name: str) -> None:
         # One file for each month, more for months with many rows.
