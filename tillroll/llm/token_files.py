@@ -130,7 +130,9 @@ class Encoder:
         odd = np.unique(of[:-1][(closes[codes[:-1]] | opens[codes[1:]]) & (of[:-1] == of[1:])]).tolist()
         # A text's first word is a piece as it is, each other one with the space before it.
         pieces = words + [" " + w for w in words]
-        codes[np.setdiff1d(np.arange(len(codes)), first)] += len(words)
+        later = np.ones(len(codes), bool)
+        later[first] = False
+        codes[later] += len(words)
         end = len(pieces)
         chains = np.split(codes, first[1:]) if odd else None
         if odd:
@@ -141,7 +143,9 @@ class Encoder:
                 chains[k] = np.array([extra.setdefault(p, end + len(extra)) for p in own], np.int64)
             pieces, codes, sizes = pieces + list(extra), np.concatenate(chains), np.array(list(map(len, chains)), np.int64)
         codes = np.insert(codes, np.cumsum(sizes), len(pieces))
-        used, codes = np.unique(codes, return_inverse=True)
+        seen = np.zeros(len(pieces) + 1, bool)
+        seen[codes] = True
+        used, codes = np.flatnonzero(seen), (np.cumsum(seen) - 1)[codes]
         values = self.look_up([pieces[k] for k in used[:-1].tolist()]) + [tail]
         taken = pa.array(values, pa.large_binary()).take(pa.array(codes))
         ends = np.frombuffer(taken.buffers()[1], np.int64)[np.concatenate([[0], np.cumsum(sizes + 1)])]
