@@ -1,6 +1,7 @@
 """Report programs, exports and streams on small frames or the smallest data set."""
 
 import datetime as dt
+import glob
 import os
 from decimal import Decimal
 
@@ -188,6 +189,25 @@ def test_late_row_changes_one_month(spark, mart):
     assert sorted(Published(spark, folder).read()["months"]) == ["199801", "199802", "199803", "199804", "199805"]
 
 
+def test_months_are_aggregated_in_pieces_from_one_exchange(spark, monkeypatch):
+    """Months of more rows than a piece, with repeated rows and empty keys, by day and by month in one job."""
+    monkeypatch.setattr(rollups, "PIECE_ROWS", 100)
+    keys = ("if(id % 7 = 0, NULL, id % 50) AS article_idx", "id % 3 AS supplier_idx", "CAST(id % 2 AS INT) AS price_type", "if(id % 5 = 0, 'F', 'O') AS line_status")
+    amounts = ("qty_sold", "qty_return", "sales_amount", "return_amount", "sales_excl_vat", "return_excl_vat", "list_amount", "cost_amount", "sales_vat", "return_vat")
+    day = "date_add(DATE'1998-01-01', CAST(id % 90 AS INT)) AS sale_date"
+    facts = spark.range(3000).selectExpr(day, *keys, *[f"CAST((id * {k + 3}) % 1000 / 100 AS DECIMAL(12,2)) AS {a}" for k, a in enumerate(amounts)])
+    facts = facts.union(facts.limit(500))
+    folder = scratch.scratch_path(spark)
+    rollup = rollups.sales_rollup(spark, folder)
+    assert rollup.refresh(facts) == [199801, 199802, 199803]
+    place = glob.glob(f"{folder}/rolled/*")
+    assert len(place) == 1 and all(len(glob.glob(f"{place[0]}/grain={g}/month_key=199802/*.parquet")) > 1 for g in ("daily", "monthly"))
+    names = ["article_idx", "supplier_idx", "price_type", *sales.measures(), "use_derived", "min_derived_used", "max_derived_used"]
+    for first, last in ((dt.date(1998, 1, 1), dt.date(1998, 3, 31)), (dt.date(1998, 1, 5), dt.date(1998, 3, 3)), (dt.date(1998, 2, 3), dt.date(1998, 2, 9))):
+        want = sales.reduce_to(facts.filter(cal.within("sale_date", (first, last))), *names[:3]).select(*names)
+        assert rows(sales.regroup(rollup.between(first, last), *names[:3]).select(*names)) == rows(want)
+
+
 def test_sketches_unite_within_their_error(spark):
     """Each value in many days and in three stores, united over part of the days."""
     days = spark.range(400_000).selectExpr("CAST(id % 3 AS INT) AS store_idx", "id % 150000 AS cashier_idx", "date_add(DATE'1998-01-01', CAST(id % 90 AS INT)) AS sale_date")

@@ -1,6 +1,7 @@
 """Stored daily and monthly aggregates, kept up to date month by month.
 
-A rollup holds its rows per day and, merged from these, per month, each month in folders of its own.
+A rollup holds its rows per day and, merged from these, per month, each month in folders of its own; both are written
+in one job from one exchange of the rows.
 Which folders are current, and what the source looked like when they were made, is one published
 version: readers see all of a refresh or nothing of it, and of two refreshes that start from one version one
 is refused.  A period is answered from the months it holds whole and from the days at its edges;
@@ -12,7 +13,7 @@ from __future__ import annotations
 import datetime as dt
 import hashlib
 import uuid
-from collections.abc import Callable
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
@@ -23,6 +24,9 @@ from tillroll.sources.published import Published
 
 Step = Callable[..., DataFrame]
 
+#: Rows of a month that are aggregated together; a month of more is dealt to several pieces by its ``spread`` keys.
+PIECE_ROWS = 100_000
+
 
 def month_of(day: Column | str) -> Column:
     return F.year(day) * 100 + F.month(day)
@@ -45,10 +49,14 @@ class Rollup:
 
     ``daily(rows, *keys)`` aggregates source rows and ``merge(rolled, *keys)`` aggregates what is aggregated
     already; both add keys of their own to those given.  ``day`` is the source's date column.
+
+    ``spread`` names keys of both steps whose groups are about as many as the rows.  The rows are then exchanged once, by month and
+    piece, before they are aggregated: every task holds the groups of some pieces, however large the source's files
+    are.  Without it, map tasks aggregate first, which suits few groups.
     """
 
-    def __init__(self, spark: SparkSession, folder: str, daily: Step, merge: Step, day: str = "sale_date"):
-        self.spark, self.folder, self.day = spark, folder.rstrip("/"), day
+    def __init__(self, spark: SparkSession, folder: str, daily: Step, merge: Step, day: str = "sale_date", spread: Sequence[str] = ()):
+        self.spark, self.folder, self.day, self._spread = spark, folder.rstrip("/"), day, tuple(spread)
         self._daily, self._merge = daily, merge
         self._versions = Published(spark, self.folder)
 
@@ -72,17 +80,16 @@ class Rollup:
         ).coalesce(1).write.partitionBy("month_key").parquet(f"{self.folder}/marks/{name}")  # one row for each month
         marks = self._marks(f"marks/{name}")
         known = self._marks(state["marks"]) if state else marks.limit(0)
-        changed = marks.select("month_key", "n", "a", "b").exceptAll(known.select("month_key", "n", "a", "b")).select("month_key")
+        changed = marks.select("month_key", "n", "a", "b").exceptAll(known.select("month_key", "n", "a", "b")).select("month_key", "n")
+        types = state.get("types", {})
         if not changed.isEmpty():
-            self._write(self._daily(dated.join(changed, "month_key", "left_semi"), "month_key", self.day), f"daily/{name}")
-            daily = self.spark.read.parquet(f"{self.folder}/daily/{name}")
-            self._write(self._merge(daily, "month_key"), f"monthly/{name}")
-        new, before = self._months(f"daily/{name}"), state.get("months", {})
-        months = {m: {"folder": name} if m in new else before[m] for m in self._months(f"marks/{name}")}
+            types = self._write(dated, changed, name)
+        new, before = self._months(f"rolled/{name}/grain=daily"), state.get("months", {})
+        months = {m: {"folder": name, "rolled": True} if m in new else before[m] for m in self._months(f"marks/{name}")}
         if new or months.keys() != before.keys() or token != state.get("token"):
             days = marks.agg(F.min("first_day").alias("first"), F.max("last_day").alias("last")).first()
             covers = [str(days["first"]), str(days["last"])] if months else []
-            self._versions.publish(base, {"token": token, "marks": f"marks/{name}", "months": months, "covers": covers})
+            self._versions.publish(base, {"token": token, "marks": f"marks/{name}", "months": months, "covers": covers, "types": types})
         return [int(m) for m in new]
 
     def _months(self, name: str) -> list[str]:
@@ -93,9 +100,35 @@ class Rollup:
         shape = "n bigint, a bigint, b bigint, first_day date, last_day date, month_key int"
         return self.spark.read.schema(shape).parquet(f"{self.folder}/{name}")
 
-    def _write(self, rolled: DataFrame, name: str) -> None:
-        # One file for each month, more for months with many rows.
-        rolled.hint("rebalance", "month_key").write.partitionBy("month_key").parquet(f"{self.folder}/{name}")
+    def _write(self, dated: DataFrame, changed: DataFrame, name: str) -> dict[str, str]:
+        """Aggregates the changed months by day and by month; returns the types of the rows by day."""
+        if self._spread:
+            sizes = changed.select("month_key", F.ceil(F.col("n") / PIECE_ROWS).cast("int").alias("_pieces"))
+            piece = F.pmod(F.xxhash64(*self._spread), F.col("_pieces")).cast("int")
+            rows = dated.join(sizes, "month_key").withColumn("_piece", piece).drop("_pieces")
+            keys = ("month_key", "_piece")
+            rows = rows.repartition(sizes.agg(F.sum("_pieces")).first()[0], *keys)
+        else:
+            rows, keys = dated.join(changed, "month_key", "left_semi"), ("month_key",)
+        daily = self._daily(rows, *keys, self.day)
+        monthly = self._merge(daily, *keys)
+        both = daily.withColumn("grain", F.lit("daily")).unionByName(monthly.withColumn("grain", F.lit("monthly")), allowMissingColumns=True).drop("_piece")
+        # A piece is a file; otherwise one file for each month, more for months with many rows.
+        both = both if self._spread else both.hint("rebalance", "grain", "month_key")
+        both.write.partitionBy("grain", "month_key").parquet(f"{self.folder}/rolled/{name}")
+        return {c: t for c, t in daily.dtypes if c not in ("month_key", "_piece")}
+
+    def _place(self, state: dict, grain: str, month: str) -> str:
+        """The folder of a month's rows by day or by month; both had folders of their own once."""
+        entry = state["months"][month]
+        place = f"rolled/{entry['folder']}/grain={grain}" if entry.get("rolled") else f"{grain}/{entry['folder']}"
+        return f"{self.folder}/{place}/month_key={month}"
+
+    def _read(self, grain: str, places: list[str], types: dict[str, str]) -> DataFrame:
+        rows = self.spark.read.parquet(*places)
+        if grain == "monthly":
+            return rows.drop(self.day)
+        return rows.select(*[F.col(c).cast(types.get(c, t)) for c, t in rows.dtypes])
 
     def between(self, first: dt.date, last: dt.date) -> DataFrame:
         """The rollup's rows, without day and month, that together make up the period, first and last day included."""
@@ -110,17 +143,16 @@ class Rollup:
             key, after = f"{month:%Y%m}", month_end(month) + dt.timedelta(days=1)
             if key in state["months"]:
                 inside = first <= month and after - dt.timedelta(days=1) <= last
-                (whole if inside else edges).append(f"{state['months'][key]['folder']}/month_key={key}")
+                (whole if inside else edges).append(key)
             month = after
-        parts = []
+        parts, types = [], state.get("types", {})
         if whole:
-            parts.append(self.spark.read.parquet(*[f"{self.folder}/monthly/{w}" for w in whole]))
+            parts.append(self._read("monthly", [self._place(state, "monthly", m) for m in whole], types))
         if edges:
-            days = self.spark.read.parquet(*[f"{self.folder}/daily/{e}" for e in edges])
+            days = self._read("daily", [self._place(state, "daily", m) for m in edges], types)
             parts.append(days.filter(within(self.day, (first, last))).drop(self.day))
         if not parts:  # a month of the cover without rows
-            some = next(iter(state["months"]))
-            parts.append(self.spark.read.parquet(f"{self.folder}/monthly/{state['months'][some]['folder']}/month_key={some}").limit(0))
+            parts.append(self._read("monthly", [self._place(state, "monthly", next(iter(state["months"])))], types).limit(0))
         columns = parts[0].columns
         out = parts[0]
         for other in parts[1:]:
@@ -135,7 +167,7 @@ _SALES_KEYS = ("article_idx", "supplier_idx", "price_type")
 
 def sales_rollup(spark: SparkSession, folder: str) -> Rollup:
     """Sales measures per article, supplier and price type."""
-    return Rollup(spark, folder, lambda rows, *keys: reduce_to(rows, *keys, *_SALES_KEYS), lambda rolled, *keys: regroup(rolled, *keys, *_SALES_KEYS))
+    return Rollup(spark, folder, lambda rows, *keys: reduce_to(rows, *keys, *_SALES_KEYS), lambda rolled, *keys: regroup(rolled, *keys, *_SALES_KEYS), spread=_SALES_KEYS)
 
 
 #: Registers of a sketch, as a power of two: a standard error of about 0.4 per cent; up to some thousand values it is exact
