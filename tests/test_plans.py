@@ -9,7 +9,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from tests.test_operators import rows
-from tillroll.plans import calendar as cal, cashiers, compare, flights, picking, reconciliation as rec, rollups, sales, settlements, stock
+from tillroll.plans import calendar as cal, cashiers, compare, exports, flights, picking, reconciliation as rec, rollups, sales, settlements, stock
 from tillroll.sources import loads, scratch, sinks
 from tillroll.sources.inline import inline_table
 from tillroll.sources.mart import Mart
@@ -334,6 +334,24 @@ def test_of_two_commits_one_wins(spark):
     assert [r.debit_amount for r in two.current().collect()] == [5]
 
 
+def test_week_file_counts_articles_listed_twice_on_one_line(spark):
+    """Lines come once for each key, before and after the file's text is made; no line is copied for the sums."""
+    names = ["receipt_id", "line_no", "store_idx", "sale_date", "article_idx", "supplier_idx", "list_amount", "sales_amount", "sales_excl_vat", "return_excl_vat", "cost_amount", "qty_sold", "qty_return", "sales_vat", "return_vat"]
+    sold = [(1, 1, 7, dt.date(1999, 5, 4), 5, 1, 3, 3, 2, 0, 1, 2, 0, 1, 0), (2, 1, 7, dt.date(1999, 5, 5), 5, 1, 3, 3, 2, 0, 1, 2, 0, 1, 0), (2, 2, 7, dt.date(1999, 5, 5), 6, 1, 4, 3, 2, 0, 1, 2, 0, 1, 0), (3, 1, 7, None, 6, 1, None, 3, 2, 0, 1, 2, 0, 1, 0)]
+    facts = spark.createDataFrame(sold, ", ".join(f"{n} {'date' if n == 'sale_date' else 'int'}" for n in names))
+    facts = facts.select(*names[:6], *[F.col(n).cast("decimal(12,2)").alias(n) for n in names[6:]])
+    goods = [(5, "5", "five", "A", "L", 3), (5, "5", "five", "A", "PCS", 1), (6, "6", "six", "A", "L", None)]
+    articles = spark.createDataFrame(goods, "article_idx int, gtin string, article_name string, lev1_id string, unit_name string, unit_amount int").withColumn("unit_amount", F.col("unit_amount").cast("decimal(8,2)"))
+    lines = exports.week_sales_lines(facts, articles)
+    assert lines.count() == lines.select("store_idx", "week", "report_code", "article_idx", "supplier_idx").distinct().count() == 3
+    report = exports.report_lines(lines)
+    assert "Expand" not in plan_of(report)
+    got = sorted(r.line for r in report.filter("week IS NOT NULL").collect())
+    assert got == [
+        "OTU,7,1999050918,SUM,10.00,5.00,16.00,4,5.00", "OVUN,7,1999050918,P,5,8.00,4.00,16.00,4,4.00,1,A,five", "OVUT,7,1999050918,P,6,2.00,1.00,,0,1.00,1,A,six", "RIGAL95,6.0",
+    ]
+
+
 def test_most_specific_posting_rule_wins(spark):
     found = spark.createDataFrame(
         [(1, 1, "sale", None, 8, "PROMO", 10), (1, 1, "sale", None, 8, "X", 20), (1, 1, "sale", None, 3, "PROMO", 30), (1, 1, "sale", None, 3, None, 40), (1, 1, "payment", 1, None, None, 60), (1, 1, "payment", 2, None, None, 5), (1, 1, "difference", None, None, None, -35)],

@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from tillroll.functions.money import net_amount_sum, net_qty_sum, signed, whole_amounts
 from tillroll.functions.text import format_date, format_decimal, sql_len
-from tillroll.functions.weeks import week_stamp
+from tillroll.functions.weeks import week_end, week_stamp
 from tillroll.operators import filters as flt
 from tillroll.plans.calendar import Bounds, within
 from tillroll.plans.stock import signed_cost, signed_qty
@@ -32,36 +32,42 @@ def down_pricing_export(rows: DataFrame, articles: DataFrame, stores: DataFrame,
 
 
 def week_sales_lines(rows: DataFrame, articles: DataFrame) -> DataFrame:
-    """Weekly accumulated sales per store and article, normal and offer sales apart."""
-    offer = F.col("list_amount") != F.col("sales_amount")
-    code = F.when(offer, F.lit(OFFER_LINE)).otherwise(F.lit(NORMAL_LINE)).alias("report_code")
+    """Weekly accumulated sales per store and article, normal and offer sales apart.
+
+    Rows are exchanged once, by article, which serves the sums and the join with the articles; an article with very many
+    rows takes one task longer, but no more memory than its lines.  Articles that are listed several times under the same
+    names are put together before the join, so that each line comes once.
+    """
+    offer = F.coalesce(F.col("list_amount") != F.col("sales_amount"), F.lit(False)).alias("offer")
     whole, amounts = whole_amounts(rows)
-    per_key = amounts(whole.groupBy("store_idx", week_stamp("sale_date").alias("week"), code, "article_idx", "supplier_idx").agg(
+    # Narrow keys and whole numbers until the articles are joined: stamp, code and amounts are made of them afterwards.
+    per_key = whole.repartition("article_idx").groupBy("store_idx", week_end("sale_date").alias("sunday"), offer, "article_idx", "supplier_idx").agg(
         net_amount_sum("sales_excl_vat", "return_excl_vat").alias("net"), F.sum("cost_amount").alias("cost"),
         net_qty_sum().alias("qty"), F.count_if(F.col("line_no") == 1).alias("customers"),
         net_amount_sum("sales_vat", "return_vat").alias("vat"),
-    ), "net", "cost", "qty", "vat")
-    dim = articles.select(
-        "article_idx", "gtin", "article_name", F.col("lev1_id").alias("group_id"), "unit_amount", "unit_name",
-        F.when(sql_len("gtin") > 6, F.lit("E")).otherwise(F.lit("P")).alias("id_kind"),
     )
-    amount = F.when(F.col("unit_name") == "L", F.col("qty") * F.col("unit_amount")).otherwise(F.col("qty"))
-    return per_key.join(dim, "article_idx").select(
-        "report_code", "store_idx", "week", "id_kind", "gtin", "net", "cost", amount.alias("qty"), "customers", "vat", "supplier_idx", "group_id", "article_name",
-        "article_idx",
+    unit = F.when(F.col("unit_name") == "L", F.col("unit_amount")).otherwise(1)
+    dim = articles.groupBy("article_idx", "gtin", "article_name", F.col("lev1_id").alias("group_id")).agg(F.count("*").alias("copies"), F.sum(unit).alias("units"))
+    joined = amounts(per_key.join(dim, "article_idx"), "net", "cost", "qty", "vat")
+
+    def times(name: str, factor: str) -> Column:
+        return (F.col(name) * F.col(factor)).alias(name)
+
+    return joined.select(
+        F.when(F.col("offer"), F.lit(OFFER_LINE)).otherwise(F.lit(NORMAL_LINE)).alias("report_code"), "store_idx", week_stamp("sunday").alias("week"),
+        F.when(sql_len("gtin") > 6, F.lit("E")).otherwise(F.lit("P")).alias("id_kind"), "gtin", times("net", "copies"), times("cost", "copies"),
+        times("qty", "units"), times("customers", "copies"), times("vat", "copies"), "supplier_idx", "group_id", "article_name", "article_idx",
     )
 
 
 def report_lines(lines: DataFrame) -> DataFrame:
-    """Text lines of the weekly file per store: header, details and a SUM line, in file order.  Details and sums come
-    from one pass over the lines."""
+    """Text lines of the weekly file per store: header, details and a SUM line, in file order.  Each line is
+    written as it is, and the sums share the exchanges below the lines."""
     def text(*cols: Column) -> Column:
         return F.concat_ws(",", *[F.coalesce(c.cast("string"), F.lit("")) for c in cols])
 
-    keys = [F.col(k) for k in ("store_idx", "week", "report_code", "id_kind", "gtin", "supplier_idx", "group_id", "article_name", "article_idx")]
-    sums = lines.groupingSets([keys, keys[:2]], *keys).agg(
-        *[F.sum(c).alias(c) for c in ("net", "cost", "qty", "customers", "vat")], F.grouping("report_code").alias("_total")
-    )
+    numbers = ("net", "cost", "qty", "customers", "vat")
+    totals = lines.groupBy("store_idx", "week").agg(*[F.sum(c).alias(c) for c in numbers])
     money, vat = [F.col(c).cast("decimal(28,2)") for c in ("net", "cost", "qty")], F.col("vat").cast("decimal(28,2)")
     detail = text(F.col("report_code"), F.col("store_idx"), F.col("week"), F.col("id_kind"), F.col("gtin"), *money, F.col("customers"), vat,
                   F.col("supplier_idx"), F.col("group_id"), F.col("article_name"))
@@ -70,8 +76,8 @@ def report_lines(lines: DataFrame) -> DataFrame:
     def part(number: int, line: Column) -> Column:
         return F.struct(F.lit(number).alias("part"), line.alias("line"))
 
-    framed = F.when(F.col("_total") == 1, F.array(part(1, F.lit(FILE_HEADER)), part(3, total))).otherwise(F.array(part(2, detail)))
-    return sums.select("store_idx", "week", F.inline(framed))
+    framed = totals.select("store_idx", "week", F.inline(F.array(part(1, F.lit(FILE_HEADER)), part(3, total))))
+    return lines.select("store_idx", "week", F.lit(2).alias("part"), detail.alias("line")).unionByName(framed)
 
 
 # Reason written for a transfer between stores.

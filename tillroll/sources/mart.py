@@ -176,9 +176,10 @@ class Mart:
         A returned row keeps its quantity positive in ``qty_return`` and its amounts negative in
         ``return_*``.
         """
-        raw = self.table("lineitem").select(
+        # Numbered before any column is renamed: the exchange by order then serves the join with the receipts too.
+        raw = self.table("lineitem").withColumn("line_no", line_number()).select(
             F.col("l_orderkey").alias("receipt_id"),
-            line_number().alias("line_no"),
+            "line_no",
             F.col("l_shipdate").cast("date").alias("sale_date"),
             F.col("l_partkey").alias("article_idx"),
             F.col("l_suppkey").alias("supplier_idx"),
