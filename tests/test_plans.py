@@ -14,6 +14,7 @@ from tillroll.sources import loads, scratch, sinks
 from tillroll.sources.inline import inline_table
 from tillroll.sources.mart import Mart
 from tillroll.sources.published import Conflict, Published
+from tillroll.streaming import orders
 from tillroll.streaming.live import LiveMart
 from tillroll.streaming.orders import append_new_orders, compact_orders, loaded_orders
 from tillroll.streaming.picking import compact_pairs, picking_pairs, write_pairs
@@ -480,6 +481,23 @@ def small_log(spark):
     return read
 
 
+def test_first_lines_are_picked_in_parts():
+    """One line for each order whatever the batches, the smallest number first, that of a loaded order before all others."""
+    import pyarrow as pa
+
+    def batch(*lines):
+        return pa.RecordBatch.from_pylist([dict(zip(("order_no", "tracking_no", "loaded"), r)) for r in lines], pa.schema({"order_no": pa.string(), "tracking_no": pa.int64(), "loaded": pa.bool_()}))
+
+    orders.GATHERED, before = 2, orders.GATHERED
+    try:
+        parts = [batch(("b", 4, False), ("a", 9, False), ("a", 3, False)), batch(), batch(("a", 2, False), ("c", 7, False)), batch(("b", None, True), ("c", 8, False)), batch(("d", 1, False))]
+        got = pa.Table.from_batches(orders.first_lines(iter(parts)), parts[0].schema).to_pylist()
+    finally:
+        orders.GATHERED = before
+    assert [tuple(r.values()) for r in got] == [("a", 2, False), ("b", None, True), ("c", 7, False), ("d", 1, False)]
+    assert list(orders.first_lines(iter([batch()]))) == []
+
+
 def test_batches_of_the_order_load_cost_their_own_lines(spark, small_log):
     base = scratch.scratch_path(spark)
     stream = append_new_orders(small_log(), f"{base}/orders", f"{base}/state")
