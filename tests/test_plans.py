@@ -6,7 +6,7 @@ import os
 from decimal import Decimal
 
 import pytest
-from pyspark.sql import functions as F
+from pyspark.sql import Row, functions as F
 
 from tests.test_operators import rows
 from tillroll.plans import calendar as cal, cashiers, compare, exports, flights, picking, reconciliation as rec, rollups, sales, settlements, stock
@@ -17,7 +17,7 @@ from tillroll.sources.published import Conflict, Published
 from tillroll.streaming import orders
 from tillroll.streaming.live import LiveMart
 from tillroll.streaming.orders import append_new_orders, compact_orders, loaded_orders
-from tillroll.streaming.picking import compact_pairs, picking_pairs, write_pairs
+from tillroll.streaming.picking import OpenStarts, compact_pairs, picking_pairs, write_pairs
 
 SMALL = "/root/testdata/sf0.001"
 
@@ -481,6 +481,41 @@ def small_log(spark):
     return read
 
 
+def test_orders_with_starts_only_read_no_state():
+    """Starts join those that wait without a read; a stop closes all that wait, those of the same batch after it excepted."""
+    class Waiting:
+        rows, reads = [], 0
+
+        def get(self):
+            self.reads += 1
+            return iter(self.rows)
+
+        def put(self, rows):
+            self.rows = list(rows)
+
+        def appendList(self, rows):
+            self.rows = [*self.rows, *rows]
+
+        def clear(self):
+            self.rows = []
+
+    class Handle:
+        def getListState(self, name, shape):
+            return Waiting()
+
+    def line(number, status):
+        return Row(tracking_no=number, created_at=dt.datetime(2024, 1, 1, 8, number), status=status)
+
+    def batch(*lines):
+        return [(r.tracking_no, r.stopped_at and r.stopped_at.minute) for r in starts.handleInputRows(("a",), iter(lines), None)]
+
+    starts = OpenStarts()
+    starts.init(Handle())
+    assert batch(line(2, 40), line(1, 40)) == [(1, None), (2, None)] and batch(line(3, 40)) == [(3, None)] and starts._open.reads == 0
+    assert batch(line(5, 40), line(4, 50)) == [(1, 4), (2, 4), (3, 4), (5, None)] and starts._open.reads == 1
+    assert [r[0] for r in starts._open.rows] == [5] and batch(line(6, 50)) == [(5, 6)] and starts._open.rows == []
+
+
 def test_first_lines_are_picked_in_parts():
     """One line for each order whatever the batches, the smallest number first, that of a loaded order before all others."""
     import pyarrow as pa

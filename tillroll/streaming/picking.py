@@ -29,19 +29,26 @@ class OpenStarts(StatefulProcessor):
         self._open = handle.getListState("open", "tracking_no bigint, created_at timestamp_ntz")
 
     def handleInputRows(self, key, rows: Iterator[Row], timerValues) -> Iterator[Row]:
-        waiting, before = [tuple(r) for r in self._open.get()] if self._open.exists() else [], 0
-        before = list(waiting)
-        for number, at, starts in sorted((r.tracking_no, r.created_at, r.status == PICK_START) for r in rows):
-            if starts:
-                waiting.append((number, at))
+        lines = sorted((r.tracking_no, r.created_at, r.status == PICK_START) for r in rows)
+        if all(starts for _, _, starts in lines):  # nothing is closed: they join those that wait, whichever these are
+            waiting = [(number, at) for number, at, _ in lines]
+            for number, at in waiting:
                 yield Row(order_no=key[0], tracking_no=number, created_at=at, stopped_at=None)
-                continue
-            for start, begun in waiting:
-                if start < number:
-                    yield Row(order_no=key[0], tracking_no=start, created_at=begun, stopped_at=at)
-            waiting = [w for w in waiting if w[0] > number]
-        if waiting != before:
-            self._open.put(waiting) if waiting else self._open.clear()
+            self._open.appendList(waiting)
+        else:
+            waiting = [tuple(r) for r in self._open.get()]
+            before = list(waiting)
+            for number, at, starts in lines:
+                if starts:
+                    waiting.append((number, at))
+                    yield Row(order_no=key[0], tracking_no=number, created_at=at, stopped_at=None)
+                    continue
+                for start, begun in waiting:
+                    if start < number:
+                        yield Row(order_no=key[0], tracking_no=start, created_at=begun, stopped_at=at)
+                waiting = [w for w in waiting if w[0] > number]
+            if waiting != before:
+                self._open.put(waiting) if waiting else self._open.clear()
         if self._patience is not None and waiting:
             for timer in list(self._handle.listTimers()):
                 self._handle.deleteTimer(timer[0] if isinstance(timer, tuple | Row) else timer)
