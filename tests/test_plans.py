@@ -209,6 +209,37 @@ def test_months_are_aggregated_in_pieces_from_one_exchange(spark, monkeypatch):
         assert rows(sales.regroup(rollup.between(first, last), *names[:3]).select(*names)) == rows(want)
 
 
+@pytest.fixture
+def one_partition(spark):
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", "1")
+    yield
+    spark.conf.set("spark.sql.shuffle.partitions", before)
+
+
+def largest_task(df):
+    """Rows of the largest partition."""
+    return df.groupBy(F.spark_partition_id()).count().agg(F.max("count")).first()[0]
+
+
+def test_totals_by_cashier_are_summed_in_pieces(spark, one_partition, monkeypatch):
+    folder = f"{scratch.scratch_path(spark)}-tables"
+    # Every cashier has two receipts of a month and tender; one cashier is listed twice, one receipt has no cashier, one no amount.
+    spark.range(4000).selectExpr(
+        "id AS o_orderkey", "if(id = 7, NULL, id % 2000) AS o_custkey", "'F' AS o_orderstatus", "if(id = 9, NULL, 1.25D) AS o_totalprice",
+        "timestamp_ntz'2001-03-04 00:00:00' AS o_orderdate", "concat(id % 2000 % 5 + 1, '-X') AS o_orderpriority",
+    ).write.parquet(f"{folder}/orders.parquet")
+    spark.range(2001).selectExpr("id % 2000 AS c_custkey", "concat('C', id % 2000) AS c_name", "int(id % 2000 % 3) AS c_nationkey", "'BUILDING' AS c_mktsegment").write.parquet(f"{folder}/customer.parquet")
+    whole = rows(Mart(spark, folder).system_totals)
+    monkeypatch.setattr("tillroll.operators.aggregates.PIECE_GROUPS", 100, raising=False)
+    totals = Mart(spark, folder).system_totals
+    assert rows(totals) == whole and totals.count() == 2000 and dict(totals.dtypes)["amount"] == "decimal(22,2)"
+    sums = {r.cashier_idx: (r.amount, r.transactions) for r in totals.collect()}
+    assert sums[5] == (Decimal("2.50"), 2) and sums[0] == (Decimal("5.00"), 4)
+    assert sums[7] == (Decimal("1.25"), 1) and sums[9] == (Decimal("1.25"), 2)
+    assert largest_task(totals) < 500
+
+
 def test_sketches_unite_within_their_error(spark):
     """Each value in many days and in three stores, united over part of the days."""
     days = spark.range(400_000).selectExpr("CAST(id % 3 AS INT) AS store_idx", "id % 150000 AS cashier_idx", "date_add(DATE'1998-01-01', CAST(id % 90 AS INT)) AS sale_date")

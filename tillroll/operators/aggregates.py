@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
@@ -9,6 +10,25 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 from tillroll.functions.money import sum_if
 
 
+#: Groups that one task aggregates, and up to how many such pieces rows aren't dealt to pieces at all.
+PIECE_GROUPS, FEW_PIECES = 200_000, 4
+
+
+def pieces_of(rows: DataFrame, *keys: str) -> int:
+    """How many pieces the groups of these keys make up, by a sketch of the keys; 0 for few."""
+    pieces = math.ceil(rows.agg(F.approx_count_distinct(F.xxhash64(*keys))).first()[0] / PIECE_GROUPS)
+    return max(pieces, rows.sparkSession.sparkContext.defaultParallelism) if pieces > FEW_PIECES else 0
+
+
+def dealt(rows: DataFrame, pieces: int, *keys: str) -> DataFrame:
+    """The rows exchanged by these keys into so many pieces, to be aggregated by keys that contain them.
+
+    For groups that are about as many as the rows: tasks then hold the groups of a piece, while the partitions of a
+    grouping's own exchange don't become more as the data grow.  Without pieces map tasks aggregate first.
+    """
+    return rows.repartition(pieces, *keys) if pieces else rows
+
+
 def conditional_sums(cases: Mapping[str, Column], value: Column | str, default: int | None = 0) -> list[Column]:
     """One sum per named condition, to be used in a single aggregation."""
     return [sum_if(cond, value, default).alias(name) for name, cond in cases.items()]
@@ -21,8 +41,9 @@ def attributes_wide(rows: DataFrame, entity: Sequence[str], key: str, value: str
 
 
 def pivot_sums(df: DataFrame, keys: Sequence[str], column: str, values: Sequence, measure: str) -> DataFrame:
-    """Pivot with listed values; absent combinations are 0."""
-    return df.groupBy(*keys).pivot(column, list(values)).agg(F.sum(measure)).fillna(0)
+    """Pivot with listed values, in one grouping by the keys; absent combinations are 0."""
+    cases = {str(v): F.col(column) == v for v in values}
+    return df.groupBy(*keys).agg(*conditional_sums(cases, measure, None)).fillna(0)
 
 
 def subtotals(df: DataFrame, outer: str, inner: str, aggs: Sequence[Column], label: str = "Total") -> DataFrame:

@@ -19,6 +19,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 from tillroll.functions.keys import date_key, receipt_row_key, time_key
 from tillroll.functions.labels import label_of
 from tillroll.functions.money import WHOLE, cents, dec, from_cents, percent_of
+from tillroll.operators.aggregates import dealt, pieces_of
 from tillroll.sources.scratch import shared_folder
 
 # The last business day of the order tables and of the event log; "today" for relative periods.
@@ -240,13 +241,13 @@ class Mart:
         return self.sales_rows.drop("line_no", "receipt_idx")
 
     @cached_property
-    def receipts(self) -> DataFrame:
-        """Receipt heads with store, till, cashier, payment and flight link."""
-        orders, users = self.table("orders"), self.users
+    def _heads(self) -> DataFrame:
+        """Receipt heads as far as the orders tell."""
+        orders = self.table("orders")
         day = F.col("o_orderdate").cast("date")
         tender = label_of(F.substring("o_orderpriority", 1, 1), TENDER_OF_PRIORITY)
         status = F.col("o_orderstatus")
-        heads = orders.select(
+        return orders.select(
             F.col("o_orderkey").alias("receipt_id"),
             F.col("o_custkey").alias("cashier_idx"),
             day.alias("sale_date"),
@@ -262,6 +263,9 @@ class Mart:
             .alias("origin_code"),
             F.concat(F.lit("X"), F.substring("o_orderpriority", 1, 1)).alias("connected_airport"),
         )
+
+    def _at_tills(self, heads: DataFrame) -> DataFrame:
+        """Heads, or sums of heads by cashier and tender, with what the cashier's till adds."""
         till = F.col("till_id")
         foreign = F.col("tender_id") == 8
         rate = (
@@ -274,7 +278,7 @@ class Mart:
             .cast("decimal(6,2)")
         )
         store_no = F.lpad(F.col("store_idx").cast("string"), 3, "0")
-        return heads.join(users, "cashier_idx").select(
+        return heads.join(self.users, "cashier_idx").select(
             *heads.columns,
             "cashier_name",
             "store_idx",
@@ -286,6 +290,11 @@ class Mart:
             F.concat(F.lit("EN"), F.substring(store_no, 2, 2)).alias("local_airport"),
         )
 
+    @cached_property
+    def receipts(self) -> DataFrame:
+        """Receipt heads with store, till, cashier, payment and flight link."""
+        return self._at_tills(self._heads)
+
     @cached_property
     def receipt_rows(self) -> DataFrame:
         """Receipt rows with their head; dated by the receipt."""
@@ -482,17 +491,24 @@ class Mart:
 
     @cached_property
     def system_totals(self) -> DataFrame:
-        """Till totals per settlement round (store and month), till, cashier and tender."""
-        znr = F.year("sale_date") * 100 + F.month("sale_date")
-        return (
-            self.receipts.withColumn("znr", znr)
-            .groupBy("store_idx", "znr", "till_id", "cashier_idx", "cashier_name", "tender_id", "exchange_rate")
-            .agg(
-                F.sum("amount").alias("amount"),
-                F.count("*").alias("transactions"),
-                F.min("sale_date").alias("first_date"),
-                F.max("sale_date").alias("last_date"),
-            )
+        """Till totals per settlement round (store and month), till, cashier and tender.
+
+        Heads are summed by cashier before they meet the cashiers; one exchange by cashier serves the sums, the join and
+        groupings by cashier after it.
+        """
+        keys = ("cashier_idx", "znr", "tender_id")
+        heads = self._heads.withColumn("znr", F.year("sale_date") * 100 + F.month("sale_date"))
+        sums = dealt(heads, pieces_of(heads, *keys), "cashier_idx").groupBy(*keys).agg(
+            F.sum("amount").alias("amount"),
+            F.count("*").alias("transactions"),
+            F.min("sale_date").alias("first_date"),
+            F.max("sale_date").alias("last_date"),
+        )
+        return self._at_tills(sums).groupBy("store_idx", "znr", "till_id", "cashier_idx", "cashier_name", "tender_id", "exchange_rate").agg(
+            F.sum("amount").cast("decimal(22,2)").alias("amount"),
+            F.sum("transactions").alias("transactions"),
+            F.min("first_date").alias("first_date"),
+            F.max("last_date").alias("last_date"),
         )
 
     @cached_property
