@@ -329,6 +329,29 @@ def _lines(spark, data, revision=None):
     return df if revision is None else df.withColumn("revision", F.lit(revision))
 
 
+def test_counts_are_set_against_book_in_pieces(spark, one_partition, monkeypatch):
+    n = 2000
+    lines = spark.range(2 * n).selectExpr(
+        "int(200101 + id div 4000) AS count_no", "id % 2000 AS article_idx", "cast(2 AS decimal(12,2)) AS in_stock_qty", "cast(if(id < 2000, 1, 2) AS decimal(12,2)) AS counted_qty", "80 AS line_status"
+    )
+    # 11 is a pack of six of 10; the pack 13 is one of an article that isn't known; 20 is known by two prices.
+    links = spark.createDataFrame([(11, 10, 6), (13, -1, 6)], "master_idx bigint, linked_idx bigint, link_qty int").withColumn("link_qty", F.col("link_qty").cast("decimal(4,0)"))
+    articles = spark.range(n + 1).selectExpr(
+        "if(id = 2000, 20, id) AS article_idx", "string(if(id = 2000, 20, id)) AS article_id", "concat('n', id % 1) AS article_name", "concat('g', id % 1) AS lev3_id", "concat('G', id % 1) AS lev3_name",
+        "cast(if(id = 2000, 3, 1) AS decimal(12,2)) AS retail_price",
+    )
+    whole = rows(stock.count_against_book(lines, links, articles, only_changed=True))
+    monkeypatch.setattr("tillroll.operators.aggregates.PIECE_GROUPS", 100, raising=False)
+    out = stock.count_against_book(lines, links, articles, only_changed=True)
+    assert rows(out) == whole
+    got = {r.article_id: (int(r.in_stock_qty), int(r.counted_qty), int(r.in_stock_value), int(r.unit_cost)) for r in out.collect()}
+    assert len(got) == n - 2 and "11" not in got and "13" not in got
+    assert got["5"] == (4, 3, 4, 1) and got["10"] == (28, 21, 28, 1) and got["20"] == (8, 6, 16, 3)
+    groups = stock.count_against_book(lines, links, articles, by_group=True).collect()
+    assert [(int(g.in_stock_qty), int(g.counted_qty)) for g in groups] == [(4 * (n + 5), 3 * (n + 5))]
+    assert largest_task(out) < 500
+
+
 def test_revision_sees_swapped_accounts_and_duplicates(spark):
     stored = _lines(spark, [(1, 1, "a", "", 0, 5, 0), (1, 1, "b", "", 0, 7, 0), (2, 1, "a", "", 0, 5, 0), (3, 1, "a", "", 0, 5, 0), (3, 1, "a", "", 0, 5, 0)], 4)
     new = _lines(spark, [(1, 1, "a", "", 0, 7, 0), (1, 1, "b", "", 0, 5, 0), (2, 1, "a", "", 0, 5, 0), (3, 1, "a", "", 0, 5, 0), (9, 1, "a", "", 0, 1, 0)])

@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from tillroll.functions.money import safe_div, signed, sum_if
 from tillroll.operators import filters as flt
+from tillroll.operators.aggregates import dealt, pieces_of
 from tillroll.plans.calendar import Bounds, within
 
 # Stock adjustment types.
@@ -136,20 +137,33 @@ def resolve_links(lines: DataFrame, links: DataFrame) -> DataFrame:
     )
 
 
+def counted_as(links: DataFrame, articles: DataFrame) -> DataFrame:
+    """The article that a line of ``article_idx`` counts as, and how many times: the linked one for a pack, else itself."""
+    one = F.lit(1)
+    packs = links.select(
+        F.col("master_idx").alias("article_idx"), F.coalesce("linked_idx", "master_idx").alias("_as"), F.coalesce("link_qty", one).alias("link_qty")
+    )
+    linked = packs.join(articles.withColumnRenamed("article_idx", "_as"), "_as").drop("_as")
+    return articles.join(packs, "article_idx", "left_anti").withColumn("link_qty", one).unionByName(linked)
+
+
 def count_against_book(
     lines: DataFrame, links: DataFrame, articles: DataFrame, *, by_group: bool = False, only_changed: bool = False
 ) -> DataFrame:
-    """Counted against book quantity and value per count, by article or by group."""
+    """Counted against book quantity and value per count, by article or by group.
+
+    Packs are resolved among the articles, so the sums by count and article meet one table and are grouped once more.
+    """
     closed = lines.filter(F.col("line_status") == LINE_CLOSED)
-    per_line = closed.groupBy("count_no", "article_idx").agg(
+    pieces = pieces_of(closed, "count_no", "article_idx")
+    per_line = dealt(closed, pieces, "count_no", "article_idx").groupBy("count_no", "article_idx").agg(
         F.sum("in_stock_qty").alias("in_stock"), F.sum("counted_qty").alias("counted")
     )
-    per_article = resolve_links(per_line, links).groupBy("count_no", "article_idx").agg(
-        F.sum(F.col("in_stock") * F.col("link_qty")).alias("in_stock_qty"),
-        F.sum(F.col("counted") * F.col("link_qty")).alias("counted_qty"),
-    )
-    dim = articles.select("article_idx", "article_id", "article_name", "lev3_id", "lev3_name", "retail_price")
-    named = per_article.join(dim, "article_idx").withColumns(
+    names = ([] if by_group else ["article_id", "article_name"]) + ["lev3_id", "lev3_name"]
+    named = per_line.join(counted_as(links, articles.select("article_idx", *names, "retail_price")), "article_idx").select(
+        "count_no", *names, "retail_price",
+        (F.col("in_stock") * F.col("link_qty")).alias("in_stock_qty"), (F.col("counted") * F.col("link_qty")).alias("counted_qty"),
+    ).withColumns(
         {
             "in_stock_value": F.col("in_stock_qty") * F.col("retail_price"),
             "counted_value": F.col("counted_qty") * F.col("retail_price"),
@@ -157,6 +171,8 @@ def count_against_book(
     )
     keys = ["count_no", "lev3_id", "lev3_name"] + ([] if by_group else ["article_id", "article_name"])
     sums = ("in_stock_qty", "counted_qty", "in_stock_value", "counted_value")
+    # Groups are few, articles of a count about as many as the sums before.
+    named = named if by_group else dealt(named, pieces, *keys)
     out = named.groupBy(*keys).agg(*[F.sum(c).alias(c) for c in sums], F.max("retail_price").alias("unit_cost"))
     if only_changed:
         out = out.filter(F.col("in_stock_qty") != F.col("counted_qty"))
