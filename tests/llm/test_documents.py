@@ -402,6 +402,64 @@ def test_similar_by_words_replaced_or_distance(spark):
     assert got == [edit_distance(line, x) <= int(round(0.2 * max(len(line), len(x)), 6)) for x in others] and set(got) == {True, False}
 
 
+def test_fuzzy_lines_that_meet_by_chance_are_not_compared(spark, monkeypatch):
+    """Lines of a few common words and short lines of common letters: few pairs get as far as the edit distance, all near copies are found."""
+    rng = np.random.default_rng(3)
+    common, syllables = [a + b for a in "abcdefgh" for b in "xyz"], [a + b for a in "bdfgk" for b in "aeiou"]
+    long = [" ".join([*rng.choice(common, 12, replace=False), *("".join(rng.choice(list("klmnopqrst"), 9)) for _ in range(24))]) for _ in range(300)]
+    short = [" ".join([*["the of and"] * 2, *("".join(rng.choice(syllables, 3)) for _ in range(6))]) for _ in range(300)]
+    texts = [*long, *short]
+    rows = [(k, t, "s") for k, t in enumerate(texts)] + [(1000 + k, t[:40] + "q" + t[41:], "s") for k, t in enumerate(texts)]
+    compared, verified = [], fuzzy_lines.verified
+    monkeypatch.setattr(fuzzy_lines, "verified", lambda pairs, *rest: compared.append(pairs.count()) or verified(pairs, *rest))
+    component = {r.doc_id: r.component for r in fuzzy_lines.fuzzy(cases.frame(spark, rows), meet=fuzzy_lines.by_words).collect()}
+    print("compared", compared)
+    assert all(component[k] == component[1000 + k] for k in range(600)) and len(set(component.values())) == 600
+    # 14450 before pairs were told apart by their sketches.
+    assert sum(compared) < 6000
+
+
+def test_fuzzy_lines_sketches_keep_similar_short_lines(spark):
+    """Changed letters, also where trigrams repeat: what the lengths and the distance allow, sketches allow too."""
+    rng = np.random.default_rng(5)
+    rows, letters = [], list("ab ")
+    for k in range(300):
+        a = "x" + "".join(rng.choice(letters if k % 2 else list("abcdefghij "), int(rng.integers(3, 78))))
+        b = list(a)
+        for _ in range(int(0.2 * len(a))):
+            at = int(rng.integers(0, len(b)))
+            b[at : at + 1] = [[], ["z"], [b[at], "y"]][int(rng.integers(0, 3))]
+        lines = [" ".join(x.split()) for x in (a, "".join(b))]
+        if all(lines) and edit_distance(*lines) <= int(round(0.2 * max(map(len, lines)), 6)):
+            rows += [(2 * k, lines[0]), (2 * k + 1, lines[1])]
+    tables, near, alike = fuzzy_lines.by_words(spark.createDataFrame(rows, "key bigint, line string"), 0.8)
+    of_letters = tables.where("mark < 0")
+    x, y = (of_letters.select(*[F.col(c).alias(side + c) for c in of_letters.columns]) for side in "xy")
+    fields = [lambda name, side=side: F.col(side + name) for side in "xy"]
+    met = x.join(y, (F.col("xkey") % 2 == 0) & (F.col("ykey") == F.col("xkey") + 1))
+    got = met.select((near(F.col("xmark"), F.col("ymark")) & alike(*fields)).alias("kept")).collect()
+    assert len(got) == len(rows) / 2 > 100 and all(r.kept for r in got)
+
+
+def test_aligned_is_no_less_than_the_distance(spark):
+    """Words replaced, moved, dropped, doubled or joined; near copies come out similar without their distance."""
+    rng = np.random.default_rng(6)
+    pairs = [("a", "a"), ("a", "b"), ("a b", "b a"), ("a " * 20 + "a", "b"), ("a b c", "abc")]
+    for _ in range(60):
+        a = ["".join(rng.choice(list("abcd"), int(rng.integers(1, 6)))) for _ in range(int(rng.integers(5, 60)))]
+        b = list(a)
+        for _ in range(int(rng.integers(0, len(a)))):
+            at = int(rng.integers(0, len(b)))
+            b[at : at + 1] = [["new"], [], [b[at], b[at]], [b[at] + "x"], [b[at], *["more"] * 10]][int(rng.integers(0, 5))] or ["e"]
+        pairs.append((" ".join(a), " ".join(b)))
+    words = ["".join(rng.choice(list("abcdefgh"), 6)) for _ in range(200)]
+    near = " ".join([*words[:20], "new", *words[21:90], *words[92:150], "and", "one", *words[150:]])
+    frame = spark.createDataFrame([(a, b) for a, b in [*pairs, (" ".join(words), near)]], "a string, b string")
+    got = [r[0] for r in frame.select(fuzzy_lines._aligned(F.col("a"), F.col("b"))).collect()]
+    assert all(n >= edit_distance(a, b) for n, (a, b) in zip(got, pairs, strict=False)) and got[:2] == [0, 1]
+    assert edit_distance(" ".join(words), near) <= got[-1] <= 40
+
+
 def test_fuzzy_lines_on_odd_rows(spark, docs):
     assert fuzzy_lines.fuzzy(docs).where("kept").count() > 0
 
